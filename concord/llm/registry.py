@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, line_dedup
 from ._common import documents
 
 
@@ -25,9 +26,41 @@ WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS nr
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), repeated AS (
+  SELECT k, max(doc_id) AS keep_id FROM keyed WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+  SELECT l.*, (r.k IS NOT NULL AND l.doc_id <> r.keep_id) AS gone FROM keyed l LEFT JOIN repeated r ON l.k = r.k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY nr) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_exact_dedup": op6_exact_dedup}
+    return {
+        "op2_line_dedup": op2_line_dedup,
+        "op6_exact_dedup": op6_exact_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {
+        "op2_line_dedup": OP2_SQL,
+        "op6_exact_dedup": OP6_SQL,
+    }
