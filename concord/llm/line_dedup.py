@@ -127,7 +127,7 @@ def repeated_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> D
     shared = spark.sparkContext.broadcast(twice.tobytes())
     suspects = staged(texts.mapInArrow(_suspects(min_chars, bits, shared), "digest binary, doc_id long"), "line-suspects")
     confirmed = (
-        suspects.groupBy("digest", "doc_id").agg()
+        suspects.distinct()
         .groupBy("digest").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_id"))
         .where(F.col("n_docs") >= min_docs)
         .select("digest", "keep_id")
