@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup
+from . import chat_format, exact_dedup, line_dedup, pii, simhash_dedup
 from ._common import documents
 
 
@@ -26,6 +26,10 @@ WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -52,10 +56,50 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir))
+    base = [k.name for k in pii.KINDS if k.base]
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(pii.listed(F.flatten(F.array(*base))), 256).alias("base_sha256"),
+        pii.listed(F.flatten(F.array(*[k.name for k in pii.KINDS]))).alias("spans"),
+    )
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").unionByName(extra)
+    return chat_format.read_back(chat_format.format_conversations(turns))
+
+
+OP10_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+  SELECT *, length(text) + 2
+    + len(regexp_extract_all(text, '\[/?INST\]|</?s>|<</?SYS>>|\[ROLE [A-Za-z0-9*_.+%-]*\]|\[/ROLE\]'))
+    + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 14 + length(role) END AS n
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       (sum(n) + count(*) - 1)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash_dedup": op1_simhash_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op6_exact_dedup": op6_exact_dedup,
+        "op9_personal_data": op9_personal_data,
+        "op10_chat_format": op10_chat_format,
     }
 
 
@@ -63,4 +107,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": OP2_SQL,
         "op6_exact_dedup": OP6_SQL,
+        "op10_chat_format": OP10_SQL,
     }
