@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, line_dedup, pii, simhash_dedup
+from . import chat_format, decontaminate, exact_dedup, licenses, line_dedup, mixing, pii, simhash_dedup, toxicity
 from ._common import documents
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -56,6 +71,20 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(documents(spark, sf_dir))
     base = [k.name for k in pii.KINDS if k.base]
@@ -97,9 +126,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_line_dedup": op2_line_dedup,
+        "op3_toxicity": op3_toxicity,
+        "op5_decontamination": op5_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_license_scan": op7_license_scan,
+        "op8_source_mixing": op8_source_mixing,
         "op9_personal_data": op9_personal_data,
         "op10_chat_format": op10_chat_format,
+        "pipeline": pipeline,
     }
 
 
