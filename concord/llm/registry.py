@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, licenses, line_dedup, mixing, pii, simhash_dedup, toxicity
+from . import chat_format, decontaminate, exact_dedup, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity
 from ._common import documents
 
 
@@ -22,6 +22,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -127,6 +132,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_dedup": op1_simhash_dedup,
         "op2_line_dedup": op2_line_dedup,
         "op3_toxicity": op3_toxicity,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_decontamination": op5_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_license_scan": op7_license_scan,
