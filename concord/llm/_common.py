@@ -2,46 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local: list[str] = []
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only where the setting is absent, as in tests."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not _local:
-        folder = tempfile.TemporaryDirectory(prefix="concord-")
-        atexit.register(folder.cleanup)
-        _local.append(folder.name)
-    return _local[0]
-
-
-def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back, which cuts its lineage.
+from ..sources.staging import staged
 
-    The table survives lost executors. It stays for as long as its readers may need it; everything
-    is below ``<checkpoint dir>/<application id>``, which can be deleted once the application has ended.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "staged", "text_or_empty"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def text_or_empty(column: str = "text"):
+def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
