@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.staging import staged
+
 ACTIONS = ("insert", "update", "delete", "archive", "upsert")
 
 
@@ -115,17 +117,18 @@ def plan(rows: DataFrame, operations: dict[str, tuple[str, str]], key: str) -> D
 def levels(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame:
     """(id, level): rows follow all rows they depend on; level null marks rows on or behind a cycle.
 
-    edges: (id, parent). Every round settles the rows whose parents are settled, by joins; as many rounds as the longest
-    chain is long.
+    edges: (id, parent). Every round takes the edges to rows just settled out of the open ones and settles the rows that
+    have none left. Both are written to the shared folder, so a round costs what is still open. Raises if there are
+    chains of more than ``rounds`` rows.
     """
-    waiting = nodes.join(edges.select("id").distinct(), "id", "left_anti").select("id", F.lit(0).alias("level"))
-    settled, level = waiting, 0
-    while level < rounds:
-        level += 1
-        open_edges = edges.join(settled.select(F.col("id").alias("parent"), F.lit(True).alias("done")), "parent", "left")
-        ready = open_edges.groupBy("id").agg(F.bool_and(F.coalesce("done", F.lit(False))).alias("ok")).where("ok").select("id")
-        fresh = ready.join(settled, "id", "left_anti").select("id", F.lit(level).alias("level"))
+    waiting = staged(edges.select("id", "parent").distinct(), "open-edges")
+    fresh = staged(nodes.select("id").distinct().join(waiting.select("id").distinct(), "id", "left_anti"), "level-0")
+    settled = fresh.withColumn("level", F.lit(0))
+    for level in range(1, rounds + 1):
+        still = staged(waiting.join(fresh.select(F.col("id").alias("parent")), "parent", "left_anti").select("id", "parent"), "open-edges")
+        fresh = staged(waiting.select("id").distinct().join(still.select("id").distinct(), "id", "left_anti"), f"level-{level}")
         if fresh.isEmpty():
-            break
-        settled = settled.unionByName(fresh)
-    return nodes.join(settled, "id", "left")
+            return nodes.join(settled, "id", "left")
+        settled = settled.unionByName(fresh.withColumn("level", F.lit(level)))
+        waiting = still
+    raise RuntimeError(f"chains of more than {rounds} rows")
