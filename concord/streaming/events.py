@@ -58,49 +58,38 @@ def newest_only(events: DataFrame, key: str, order: str) -> DataFrame:
     return events.groupBy(key).applyInPandasWithState(fresh, events.schema, "last long", "append", GroupStateTimeout.NoTimeout)
 
 
-def reordered(events: DataFrame, key: str, sequence: str, payload: str, most: int = 100, timeout_ms: int = 30_000, start: int = 0) -> DataFrame:
+def reordered(events: DataFrame, key: str, sequence: str, payload: str, at: str, most: int = 100, timeout_ms: int = 30_000, start: int = 0) -> DataFrame:
     """(key, sequence, payload) released in order of sequence, per key.
 
     An event that is next in turn is released with all that follow it without a gap; one behind the turn is dropped; one
-    ahead waits. When ``most`` events wait, or the turn has not moved for ``timeout_ms``, all that wait are released in
-    order and the turn goes on behind the last. State holds fewer than ``most`` events per key.
+    ahead waits. When ``most`` events wait, or an event ahead comes ``timeout_ms`` (by the column ``at``) after the first
+    that waits, all that wait are released in order and the turn goes on behind the last. A timeout shows when the
+    key's next event comes. State holds fewer than ``most`` events per key.
     """
     schema = f"{key} {dict(events.dtypes)[key]}, {sequence} long, {payload} string"
 
     def release(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        turn, numbers, texts = state.get if state.exists else (start, [], [])
+        turn, since, numbers, texts = state.get if state.exists else (start, 0, [], [])
         held = dict(zip(numbers, texts))
         out = []
-
-        def drain():
-            nonlocal turn
-            while turn in held:
-                out.append((k[0], turn, held.pop(turn)))
-                turn += 1
-
-        def flush():
-            nonlocal turn
-            for n in sorted(held):
-                out.append((k[0], n, held[n]))
-            turn = max([turn - 1, *held]) + 1
-            held.clear()
-
-        if state.hasTimedOut:
-            flush()
         for frame in frames:
-            for n, text in zip(frame[sequence].tolist(), frame[payload].tolist()):
-                if n >= turn and n not in held:
-                    held[n] = text
-                    drain()
-                    if len(held) >= most:
-                        flush()
-        state.update((turn, list(held), list(held.values())))
-        if held:
-            state.setTimeoutDuration(timeout_ms)
+            for n, text, now in zip(frame[sequence].tolist(), frame[payload].tolist(), frame["__ms"].tolist()):
+                if n < turn or n in held:
+                    continue
+                since = since if held else now
+                held[n] = text
+                while turn in held:
+                    out.append((k[0], turn, held.pop(turn)))
+                    turn, since = turn + 1, now
+                if len(held) >= most or (held and now - since >= timeout_ms):
+                    out += [(k[0], m, held[m]) for m in sorted(held)]
+                    turn = max(held) + 1
+                    held.clear()
+        state.update((turn, since, list(held), list(held.values())))
         yield pd.DataFrame(out, columns=[key, sequence, payload])
 
-    rows = events.select(key, F.col(sequence).cast("long").alias(sequence), F.col(payload).cast("string").alias(payload))
-    return rows.groupBy(key).applyInPandasWithState(release, schema, "turn long, numbers array<long>, texts array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    rows = events.select(key, F.col(sequence).cast("long").alias(sequence), F.col(payload).cast("string").alias(payload), F.unix_millis(at).alias("__ms"))
+    return rows.groupBy(key).applyInPandasWithState(release, schema, "turn long, since long, numbers array<long>, texts array<string>", "append", GroupStateTimeout.NoTimeout)
 
 
 def debounced(events: DataFrame, key: str, at: str, payload: str, quiet: str, late: str = "0 seconds") -> DataFrame:

@@ -36,16 +36,25 @@ def test_newest_only(streamed):
     assert sorted((r.id, r.seq) for r in out.collect()) == [("j", 9), ("k", 1), ("k", 3), ("k", 5), ("k", 6)]
 
 
+def in_order(batches, streamed, **limits):
+    timed = [[(k, n, p, f"2024-01-01 00:00:{second:02d}") for k, n, p in rows] for second, rows in enumerate(batches)]
+    out = streamed(timed, "id string, seq long, p string, t string", lambda s: ev.reordered(s.selectExpr("id", "seq", "p", "cast(t as timestamp) as at"), "id", "seq", "p", "at", **limits))
+    return [(r.seq, r.p) for r in out.collect()]
+
+
 def test_reordered_releases_without_gaps(streamed):
     batches = [[("k", 0, "a"), ("k", 2, "c")], [("k", 1, "b"), ("k", 0, "late"), ("k", 2, "again")], [("k", 9, "x")]]
-    out = streamed(batches, "id string, seq long, p string", lambda s: ev.reordered(s, "id", "seq", "p", timeout_ms=3_600_000))
-    assert [(r.seq, r.p) for r in out.collect()] == [(0, "a"), (1, "b"), (2, "c")]
+    assert in_order(batches, streamed) == [(0, "a"), (1, "b"), (2, "c")]
 
 
 def test_reordered_flushes_when_full(streamed):
     batches = [[("k", 5, "f"), ("k", 3, "d")], [("k", 9, "j")], [("k", 4, "late"), ("k", 10, "k")]]
-    out = streamed(batches, "id string, seq long, p string", lambda s: ev.reordered(s, "id", "seq", "p", most=3, timeout_ms=3_600_000))
-    assert [r.seq for r in out.collect()] == [3, 5, 9, 10]
+    assert in_order(batches, streamed, most=3) == [(3, "d"), (5, "f"), (9, "j"), (10, "k")]
+
+
+def test_reordered_flushes_after_the_timeout(streamed):
+    batches = [[("k", 5, "f")], [("k", 7, "h")], [("k", 8, "i")]]
+    assert in_order(batches, streamed, timeout_ms=2000) == [(5, "f"), (7, "h"), (8, "i")]
 
 
 def test_debounced(streamed):
