@@ -286,7 +286,7 @@ def repeated_strings(codes: np.ndarray, owner: np.ndarray, depth: int) -> Iterat
     for _ in range(depth):
         inside = before[at] > 0
         code, interval, at = before[at[inside]], interval[inside], step[at[inside]]
-        turned = np.argsort(at, kind="stable")
+        turned = np.argsort(code, kind="stable")  # as by ``at``, which rises with the code and, within one, with the place before
         code, interval, at = code[turned], interval[turned], at[turned]
         if not len(at):
             return
