@@ -9,10 +9,16 @@ newly shared bits, and prunes a pair of groups as soon as the sum exceeds the ra
 
 A task returns its links as stars; components over them are found by joins. Blocks with very many
 fingerprints are cut into chunks, and each pair of chunks gets a task of its own.
+
+``similar_texts`` links texts by the Jaccard similarity of their five-word shingles instead. Its radius is too wide for
+blocks of bits, so tasks hold the texts that share one of the first shingles in hash order: two texts of similarity s
+share one among the first n - ceil(s * n) + 1 of n. The same index finds the candidates there; components of candidates
+are dealt out with their texts, and only pairs whose exact similarity is high enough are linked.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -29,6 +35,7 @@ SHINGLE, SEED, RADIUS = 3, 42, 3
 FANOUT = 8
 CHUNK_ROWS = 20_000
 MAX_HEAVY = 200
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS = 5, 0.8, 26
 
 
 def shingle_hashes(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -45,11 +52,14 @@ def shingle_hashes(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
 
 def fingerprints_of(texts: list[bytes | None], size: int = SHINGLE, block: int = 1 << 16) -> np.ndarray:
     """One 64-bit fingerprint per text: a bit is 1 if it is set in over half the text's shingle hashes."""
-    each = [shingle_hashes(t, size) for t in texts]
+    return fingerprints_of_hashes([shingle_hashes(t, size) for t in texts], block)
+
+
+def fingerprints_of_hashes(each: list[np.ndarray], block: int = 1 << 16) -> np.ndarray:
     lengths = np.array([len(x) for x in each], np.int64)
     hashes = np.concatenate([*each, np.empty(0, np.uint64)])
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    counts = np.zeros((len(texts), 64), np.int64)
+    owner = np.repeat(np.arange(len(each)), lengths)
+    counts = np.zeros((len(each), 64), np.int64)
     for k in range(0, len(hashes), block):
         part, own = hashes[k : k + block], owner[k : k + block]
         bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -140,19 +150,23 @@ def _link(radius: int):
     return link
 
 
+def _tasks(dealt: DataFrame, limit: int, salt: str = "fp") -> DataFrame:
+    """``dealt`` with ``task`` in place of ``block``: a block of more than ``limit`` rows becomes pairs of chunks."""
+    sizes = dealt.groupBy("block").agg(F.count("*").alias("n"))
+    heavy = sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int")).drop("n")  # at most max_heavy rows
+    chunk = F.pmod(F.xxhash64(salt), F.col("chunks")).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("i"), F.greatest(chunk, j).alias("j")))
+    parts = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)
+    tasks = dealt.join(F.broadcast(heavy), "block", "left").select("*", F.explode(parts).alias("part"))
+    return tasks.withColumn("task", F.xxhash64("block", "part.i", "part.j")).drop("block", "chunks", "part")
+
+
 def links(fingerprints: DataFrame, radius: int = RADIUS, chunk_rows: int = CHUNK_ROWS, max_heavy: int = MAX_HEAVY) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) that connect all pairs within ``radius`` bits."""
     width = -(-64 // (radius + 1))
     blocks = F.array(*[F.concat_ws(":", F.lit(i), F.shiftrightunsigned("fp", i * width).bitwiseAND((1 << min(width, 64 - i * width)) - 1)) for i in range(radius + 1)])
     dealt = fingerprints.select("fp", F.explode(blocks).alias("block"))
-    sizes = dealt.groupBy("block").agg(F.count("*").alias("n"))
-    limit = max(chunk_rows, (radius + 1) * fingerprints.count() // max_heavy)
-    heavy = sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int"))  # at most max_heavy rows
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("i"), F.greatest(chunk, j).alias("j")))
-    parts = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)
-    tasks = dealt.join(F.broadcast(heavy), "block", "left").select("fp", "block", F.explode(parts).alias("part"))
-    tasks = tasks.select("fp", F.xxhash64("block", "part.i", "part.j").alias("task"))
+    tasks = _tasks(dealt, max(chunk_rows, (radius + 1) * fingerprints.count() // max_heavy)).select("fp", "task")
     return tasks.repartition("task").mapInArrow(_link(radius), "a long, b long")
 
 
@@ -174,3 +188,99 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     of_single = distinct.join(roots, "fp", "left_anti").select("fp", F.col("least_id").alias("component_id"))
     by_fingerprint = staged(of_linked.unionByName(of_single), "fingerprint-components")
     return marked.join(by_fingerprint, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _prefix(sizes: int, similarity: float) -> int:
+    return sizes - math.ceil(similarity * sizes - 1e-9) + 1 if sizes else 0
+
+
+def _describe(similarity: float):
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [shingle_hashes(t, SIMILAR_SHINGLE) for t in batch.column("text").to_pylist()]
+            sets = [np.unique(x) for x in each]
+            nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            first = [x[: _prefix(len(x), similarity)].view(np.int64) for x in sets]
+            ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.empty(0, np.int64)])))
+            size, fp = pa.array([len(x) for x in sets], pa.int32()), pa.array(fingerprints_of_hashes(sets).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes), size, fp, prefix], names=["doc_id", "text_hash", "node", "size", "fp", "prefix"])
+
+    return describe
+
+
+def _similar_stars(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, codes: np.ndarray, similarity: float, sets: list[np.ndarray] | None, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Stars of the candidates of equal key, or with ``sets`` of those whose similarity is high enough.
+
+    A pair is compared only as long as other pairs have not connected it, so a group of n near copies takes about n comparisons.
+    """
+    order = np.lexsort((gray_rank(codes), keys))
+    keys, nodes, sizes, codes = keys[order], nodes[order], sizes[order], codes[order]
+    label = np.arange(len(codes))
+    for a, b in linked_pairs(keys, codes, SIMILAR_RADIUS):
+        fits = np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9
+        a, b = a[fits], b[fits]
+        while len(a):
+            apart = label[a] != label[b]
+            a, b = a[apart], b[apart]
+            if sets is None:
+                x, y = a, b
+            else:
+                x, y, a, b = a[:step], b[:step], a[step:], b[step:]
+                both = np.array([len(np.intersect1d(sets[order[i]], sets[order[j]], assume_unique=True)) for i, j in zip(x, y)], np.int64)
+                alike = both >= similarity * (sizes[x] + sizes[y] - both) - 1e-9
+                x, y = x[alike], y[alike]
+            while len(x):
+                u, v = label[x], label[y]
+                apart = u != v
+                x, y, u, v = x[apart], y[apart], u[apart], v[apart]
+                np.minimum.at(label, np.maximum(u, v), np.minimum(u, v))
+                while not np.array_equal(up := label[label], label):
+                    label = up
+    moved = np.flatnonzero(label != np.arange(len(codes)))
+    return nodes[moved], nodes[label[moved]]
+
+
+def _link_similar(similarity: float, verify: bool):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts)
+        keys, nodes, sizes, codes = (rows.column(c).to_numpy() for c in ("task", "node", "size", "fp"))
+        _, keys, times = np.unique(keys, return_inverse=True, return_counts=True)
+        at = np.flatnonzero(times[keys] > 1)
+        sets = [np.unique(shingle_hashes(t, SIMILAR_SHINGLE)) for t in rows.column("text").take(pa.array(at)).to_pylist()] if verify else None
+        a, b = _similar_stars(keys[at], nodes[at], sizes[at], codes[at].view(np.uint64), similarity, sets)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return link
+
+
+def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: int = 500, max_heavy: int = MAX_HEAVY) -> DataFrame:
+    """One row per row of ``docs``: doc_id and component_id, the smallest doc_id that links reach (null where none has an id).
+
+    Texts link at a Jaccard similarity of ``similarity`` or more between their sets of five-word shingles, cut as in
+    ``near_duplicates``; wordless and null texts are alike. SIMILAR_RADIUS is far above the bits in which such sets differ: at 0.8 a
+    bit differs with probability 0.15 (up to 0.19 in short texts), so it is exceeded less than once in 10,000 such pairs.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    texts = texts.withColumn("text_hash", F.xxhash64("text"))
+    marked = staged(texts.mapInArrow(_describe(similarity), "doc_id long, text_hash long, node long, size int, fp long, prefix array<long>"), "shingle-sets")
+    distinct = marked.groupBy("node").agg(
+        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix")
+    )
+    distinct = staged(distinct, "distinct-shingle-sets")
+    n_prefix = distinct.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0
+    dealt = distinct.select("node", "size", "fp", F.explode("prefix").alias("block"))
+    tasks = _tasks(dealt, max(chunk_rows, n_prefix // max_heavy), "node").select("node", "size", "fp", "task")
+    loose = components(tasks.repartition("task").mapInArrow(_link_similar(similarity, False), "a long, b long"))
+    members = staged(distinct.drop("prefix").join(loose, "node"), "candidate-members")
+    with_text = texts.join(members.select("row", "node", "size", "fp", F.col("root").alias("block")), (F.col("text_hash") == F.col("row.text_hash")) & F.col("doc_id").eqNullSafe(F.col("row.doc_id")))
+    with_text = staged(with_text.select("node", "size", "fp", "block", "text").dropDuplicates(["node"]), "candidate-texts")
+    tasks = _tasks(with_text, max(chunk_rows, members.count() // max_heavy), "node").select("node", "size", "fp", "text", "task")
+    roots = staged(components(tasks.repartition("task").mapInArrow(_link_similar(similarity, True), "a long, b long")), "similar-roots")
+    linked = distinct.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    by_node = staged(linked.join(least, "root").select("node", "component_id"), "similar-components")
+    return marked.select("doc_id", "node").join(by_node, "node").select("doc_id", "component_id")

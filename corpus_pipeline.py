@@ -28,8 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
-    found = simhash_dedup.near_duplicates(docs)
+    """One document of each group of near duplicates (five-word shingles at least 0.8 similar), the one with the smallest doc_id."""
+    found = simhash_dedup.similar_texts(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.select(*COLUMNS).join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 

@@ -39,3 +39,10 @@ def test_edge_cases(make_docs, edge_pairs, spark, name, stage):
     out = stage(spark, make_docs(edge_pairs, clash=True), SF).collect()
     assert len(out) <= 2 * len(edge_pairs)
     assert stage(spark, make_docs([]), SF).collect() == []
+
+
+def test_near_duplicate_stage_takes_similar_texts(make_docs, spark):
+    words = [f"w{i}" for i in range(100)]
+    pairs = [(1, " ".join(words)), (2, " ".join([*words[:30], "other", *words[31:]])), (3, " ".join([*words[:50], *(f"x{i}" for i in range(50))]))]
+    assert ids(corpus_pipeline.drop_near_duplicates(spark, make_docs(pairs), SF)) == [1, 3]
+    assert ids(corpus_pipeline.drop_near_duplicates(spark, make_docs([(i, " ".join([*words[: 3 * i], "other", *words[3 * i + 1 :]])) for i in range(1, 30)]), SF)) == [1]

@@ -1,3 +1,5 @@
+import random
+
 import xxhash
 
 from concord.llm import registry, simhash_dedup
@@ -57,3 +59,54 @@ def test_chunked_blocks_lose_no_link(spark):
     roots = dict(components(edges).collect())
     assert {roots.get(c, c) for c in codes if c < 1 << 40} == {min(codes)}
     assert 7 << 50 not in roots
+
+
+def similar_brute(pairs, least=0.8):
+    """Components over all pairs of texts whose sets of five-word shingles have a Jaccard similarity of at least ``least``."""
+    sets = []
+    for _, text in pairs:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    parent = list(range(len(pairs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if min(len(a), len(b)) >= least * max(len(a), len(b)) and 10 * len(a & b) >= round(10 * least) * len(a | b):
+                parent[root(i)] = root(j)
+    ids = {}
+    for i, (d, _) in enumerate(pairs):
+        ids.setdefault(root(i), []).append(d)
+    smallest = {r: min((d for d in x if d is not None), default=None) for r, x in ids.items()}
+    return sorted(((d, smallest[root(i)]) for i, (d, _) in enumerate(pairs)), key=repr)
+
+
+def test_similar_texts_equal_brute_force(spark):
+    docs = [tuple(r) for r in registry.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text").collect()]
+    assert found(simhash_dedup.similar_texts(registry.documents(spark, "/root/testdata/sf0.01"))) == similar_brute(docs)
+
+
+def test_changed_words_are_found_in_chunks_too(make_docs):
+    rnd = random.Random(5)
+    docs = []
+    for g in range(12):
+        base = [f"w{rnd.randint(0, 400)}" for _ in range(rnd.choice([12, 40, 150]))]
+        for _ in range(rnd.choice([2, 3, 40])):
+            text = list(base)
+            for _ in range(rnd.randint(0, max(1, len(text) // 40))):
+                text[rnd.randrange(len(text))] = f"new{rnd.randint(0, 400)}"
+            docs.append((len(docs), " ".join(text)))
+    wanted = similar_brute(docs)
+    assert 12 < len({c for _, c in wanted}) < len(docs)
+    assert found(simhash_dedup.similar_texts(make_docs(docs, clash=True))) == wanted
+    assert found(simhash_dedup.similar_texts(make_docs(docs), chunk_rows=10, max_heavy=10**6)) == wanted
+
+
+def test_similar_texts_edge_cases(make_docs, edge_pairs):
+    assert found(simhash_dedup.similar_texts(make_docs(edge_pairs, clash=True))) == similar_brute(edge_pairs)
+    assert found(simhash_dedup.similar_texts(make_docs([]))) == []
