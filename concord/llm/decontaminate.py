@@ -1,7 +1,7 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
-A window that is 0.8 similar to an item shares a word shingle with it, so windows are laid where the shingles of a
-document and an item line up; each is as long as that item. A window's SimHash weighs every shingle by its
+A window is as long as an item. One that is 0.8 similar to it holds most of its shingles, in any order, so windows are
+laid at all starts where enough of a document's shingles belong to items of that length. A window's SimHash weighs every shingle by its
 number of occurrences. Fingerprints are looked up among items of the window's length by a multi-index: within
 ``RADIUS`` differing bits at least one of RADIUS + 1 blocks is equal, so the equi-join on blocks returns all
 fingerprints within the radius. An exact weighted-shingle similarity (sum of the smaller counts over sum of the
@@ -22,6 +22,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 18
 BROADCAST_ROWS = 1_000_000
+PIECE = 64  # starts of windows that are cut from one run of words
 
 
 def _small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -57,6 +58,23 @@ def _blocks(print_: Column) -> Column:
     return F.explode(F.array(*parts))
 
 
+def _starts(similarity: float) -> Column:
+    """All starts whose windows hold enough positions of the sorted array ``hits`` for the similarity.
+
+    Two bags of m and m' shingles are s similar only if they share s / (1 + s) * (m + m'). Windows whose first hit is
+    number i start after the hit before it, and late enough to reach the last hit that they need.
+    """
+    need = f"cast(greatest(ceil({similarity / (1 + similarity)!r}D * (least(n, n_words) + n_words - 2 * k + 2) - 1e-6D), 1) as int)"
+    return F.expr(
+        f"""flatten(transform(
+              filter(transform(CASE WHEN size(hits) >= {need} THEN sequence(0, size(hits) - {need}) ELSE cast(array() AS array<int>) END,
+                               i -> struct(greatest(hits[i + {need} - 1] - (n_words - k), CASE WHEN i > 0 THEN hits[i - 1] + 1 ELSE 0 END, 0) AS lo,
+                                           least(hits[i], greatest(n - n_words, 0)) AS hi)),
+                     x -> x.lo <= x.hi),
+              x -> sequence(x.lo, x.hi)))"""
+    )
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, item_id, start, n_words, similarity): the best window of each document for each item it leaks.
 
@@ -71,26 +89,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
         own = own.select("item_id", F.size("h").alias("n_words"), F.lit(size).alias("k"), shingles(F.col("h"), size).alias("s"))
         items = own if items is None else items.unionByName(own)
     items = staged(items, "benchmark-items")
-    wanted = staged(items.select("n_words", "k", F.posexplode("s").alias("q", "s")).groupBy("k", "s", "n_words", "q").agg(F.lit(1).alias("one")).drop("one"), "benchmark-shingles")
+    wanted = staged(items.select("n_words", "k", F.explode("s").alias("s")).distinct(), "benchmark-shingles")
     sizes = sorted(r.k for r in wanted.select("k").distinct().collect())  # at most five
     texts = docs.where("doc_id is not null").select("doc_id", word_hashes(F.col("text")).alias("h"))
     spots = None
     for size in sizes:
         runs = texts.select("doc_id", F.size("h").alias("n"), F.posexplode(shingles(F.col("h"), size)).alias("p", "s"))
         met = runs.join(_small(wanted.where(F.col("k") == size).drop("k")), "s")
-        start = F.greatest(F.least(F.col("p") - F.col("q"), F.col("n") - F.col("n_words")), F.lit(0))
-        met = met.select("doc_id", F.lit(size).alias("k"), "n_words", start.alias("start"))
+        met = met.groupBy("doc_id", "n", "n_words").agg(F.sort_array(F.collect_set("p")).alias("hits")).withColumn("k", F.lit(size))
         spots = met if spots is None else spots.unionByName(met)
     empty = "doc_id long, item_id long, start int, n_words int, similarity double"
     if spots is None:
         return docs.sparkSession.createDataFrame([], empty)
-    spots = staged(spots.distinct(), "window-places")
-    places = staged(spots.groupBy("doc_id").agg(F.collect_list(F.struct("k", "n_words", "start")).alias("w")), "windows-of-documents")
+    spots = staged(spots, "shared-shingles")  # written, so that no lambda sorts the hits again
+    spots = staged(spots.select("doc_id", "k", "n_words", F.explode(_starts(similarity)).alias("start")).distinct(), "window-places")
+    pieces = spots.groupBy("doc_id", "k", "n_words", (F.col("start") - F.col("start") % PIECE).alias("base")).agg(F.collect_list("start").alias("starts"))
+    places = staged(pieces.groupBy("doc_id").agg(F.collect_list(F.struct("k", "n_words", "base", "starts")).alias("w")), "windows-of-documents")
+    joined = texts.join(F.broadcast(places) if spots.count() <= BROADCAST_ROWS // 2 else places, "doc_id")
+    pieces = joined.select("doc_id", "h", F.explode("w").alias("w")).select("doc_id", "w.*", F.slice("h", F.col("w.base") + 1, F.col("w.n_words") + PIECE - 1).alias("h"))
+    pieces = staged(pieces, "passages")
     cut = None
-    joined = texts.join(_small(places, BROADCAST_ROWS // 10), "doc_id")
     for size in sizes:
-        own = joined.select("doc_id", shingles(F.col("h"), size).alias("all"), F.explode(F.filter("w", lambda x: x["k"] == size)).alias("w"))
-        own = own.select("doc_id", "w.*", F.slice("all", F.col("w.start") + 1, F.col("w.n_words") - (size - 1)).alias("s"))
+        own = pieces.where(F.col("k") == size).select("doc_id", "k", "n_words", "base", shingles(F.col("h"), size).alias("all"), F.explode("starts").alias("start"))
+        own = own.select("doc_id", "k", "n_words", "start", F.slice("all", F.col("start") - F.col("base") + 1, F.col("n_words") - (size - 1)).alias("s"))
         cut = own if cut is None else cut.unionByName(own)
     windows = staged(cut.withColumn("fp", fingerprint("s")), "windows")
     prints = items.withColumn("fp", fingerprint("s"))

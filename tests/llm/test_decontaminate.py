@@ -80,3 +80,21 @@ def test_empty_tables(make_docs, spark):
     bench = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert decontaminate.leaks(make_docs([]), bench).collect() == []
     assert decontaminate.leaks(make_docs([(1, "one")]), bench.limit(0)).collect() == []
+
+
+def test_reordered_passages(make_docs, spark):
+    """Parts of an item in another order, which no shared shingle lines up with at the passage's start."""
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randint(0, 5000)}"
+    items = [(k, [word() for _ in range(n)]) for k, n in enumerate([60, 60, 90, 120, 45])]
+    docs = []
+    for k, item in items:
+        for cuts in (2, 3):
+            edges = [len(item) * c // cuts for c in range(cuts + 1)]
+            parts = [item[a:b] for a, b in zip(edges, edges[1:])]
+            around = [[word() for _ in range(n)] for n in (40, 70)]
+            docs.append((len(docs), " ".join([*around[0], *(w for part in reversed(parts) for w in part), *around[1]])))
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in items], "item_id long, text string")
+    wanted = brute(docs, [(k, " ".join(item)) for k, item in items])
+    assert len(wanted) >= 6
+    assert result(decontaminate.leaks(make_docs(docs, clash=True), bench)) == wanted
