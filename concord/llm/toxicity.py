@@ -2,8 +2,8 @@
 
 The kernel compares strings by their three-letter subsequences that span at most ``SPAN`` characters; each
 character skipped inside a subsequence multiplies its weight by ``DECAY``. Digits and signs can only be skipped,
-and so can blanks beside single letters; other blanks count as a letter that marks the ends of words. So
-``i-d i.o_t`` still shares its subsequences with ``idiot``. A text is a bag of windows as long as a
+and so can blanks beside single letters; a run of them counts as one, and other blanks as a letter that marks the ends
+of words. So ``i-d i.o_t`` and ``i - d...i--o--t`` still shares its subsequences with ``idiot``. A text is a bag of windows as long as a
 landmark (and nearly twice as long, for inserted characters); its similarity to a landmark is the best normalised
 kernel value of a window, and the number of near matches is kept beside it.
 
@@ -37,24 +37,34 @@ THRESHOLD = 0.3
 PIECE = 1 << 18
 
 
-def encode(text: str) -> np.ndarray:
-    """Letter numbers: 1 to 26 for a-z, 27 to 62 for letters beyond ASCII, 63 for blanks between words, 0 for all else."""
+def _letters(text: str) -> np.ndarray:
+    """Letter numbers: 1 to 26 for a-z, 27 to 62 for letters beyond ASCII, 63 for blanks, 0 for all else."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.zeros(len(points) + 2, np.int32)  # a text begins and ends like a word
-    inner = codes[1:-1]
+    codes = np.zeros(len(points), np.int32)
     latin = (points >= 97) & (points <= 122)
-    inner[latin] = points[latin] - 96
+    codes[latin] = points[latin] - 96
     wide = points >= 0xC0
-    inner[wide] = 27 + points[wide] % 36
-    blank = np.ones(len(codes), bool)
-    blank[1:-1] = (points == 32) | ((points >= 9) & (points <= 13))
-    codes[blank] = BLANK
-    alone = np.flatnonzero(blank[:-2] & ~blank[1:-1] & blank[2:])  # the blank before a single character
-    inside = alone[(alone > 0) & (alone + 3 < len(codes))]
-    codes[inside[np.isin(inside + 2, alone)] + 2] = 0  # between two of them
+    codes[wide] = 27 + points[wide] % 36
+    codes[(points == 32) | ((points >= 9) & (points <= 13))] = BLANK
     return codes
 
 
+def encode(text: str) -> np.ndarray:
+    """Letter numbers, with one 63 for the blanks between words and one 0 for each run of what can be skipped.
+
+    Blanks are skipped between two runs of characters that hold one letter or none, as in a spelled-out word.
+    """
+    end = np.array([BLANK], np.int32)  # a text begins and ends like a word
+    codes = np.concatenate([end, _letters(text), end])
+    blank = codes == BLANK
+    codes = codes[~(blank & np.concatenate([[False], blank[:-1]]))]
+    at = np.flatnonzero(codes == BLANK)
+    short = np.add.reduceat((codes > 0) & (codes != BLANK), at[:-1], dtype=np.int64) <= 1
+    codes[at[1:-1][short[:-1] & short[1:]]] = 0
+    skipped = codes == 0
+    return codes[~(skipped & np.concatenate([[False], skipped[:-1]]))]
+
+
 def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """By pair of offsets: triple numbers at all starts, which of them are whole, and their weight.
 
@@ -69,7 +79,7 @@ def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, fl
 
 def landmark_codes(z: str) -> np.ndarray:
     """As ``encode``, but only the blanks that the landmark has itself."""
-    return encode(z)[1:-1]
+    return _letters(z)
 
 
 @dataclass
@@ -214,7 +224,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
             words = {"".join(c for c in w if c.isalpha()) for w in set((text or "").lower().split())}
-            (toxic if label else clean).update(f" {w} " for w in words if GRAM[0] <= len(w) <= 40)
+            (toxic if label else clean).update(f" {w} " for w in words if GRAM[0] - 1 <= len(w) <= 40)
     words = list(toxic.keys() | clean.keys())
     yield pa.RecordBatch.from_pydict({"word": words, "toxic": [toxic[w] for w in words], "clean": [clean[w] for w in words]}, schema=pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())]))
 

@@ -60,3 +60,28 @@ def test_no_labels_and_empty_tables(make_docs, edge_pairs, spark):
     scored = toxicity.score(make_docs(edge_pairs, clash=True), model)
     assert {0 <= r.score <= 1 for r in scored.collect()} == {True} and scored.count() == len(edge_pairs)
     assert toxicity.score(make_docs([]), toxicity.fit(make_docs([]), none)).collect() == []
+
+
+RUNS = ["--", "...", "-_*.", " - ", "  ", " -- ", "- "]
+
+
+@pytest.mark.parametrize("run", RUNS)
+def test_runs_of_inserted_characters_count_as_one(run):
+    kernel = toxicity.Kernel(["idiot", " idiot "])
+    one, many = kernel.similarities(["you are an i-d-i-o-t my friend", f"you are an {run.join('idiot')} my friend"])[:, :2]
+    assert np.allclose(one, many) and one.max() > 0.3
+
+
+def test_runs_score_like_one_sign_labelled_or_not(make_docs, spark):
+    for gapped in (True, False):
+        model = toxicity.fit(*sample(make_docs, spark, gapped))
+        one, *many = model.scores([f"what that {run.join('grumblewit')} said" for run in ["-", *RUNS]])
+        assert np.allclose(many, one)
+        assert not gapped or one > 0.3
+
+
+def test_three_letter_insults_become_landmarks(make_docs, spark):
+    docs = make_docs([(i, f"{'you zug there' if i % 3 == 0 else 'an ordinary pleasant morning'} number{i}") for i in range(300)])
+    model = toxicity.fit(docs.selectExpr("doc_id", "replace(replace(text, 'you', ''), 'there', '') AS text"), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    assert any("zug" in z for z in model.kernel.landmarks)
+    assert min(model.scores(["what a zug"])) > 0.3 > max(model.scores(["what a morning"]))
