@@ -2,20 +2,19 @@
 
 A position is covered if a string of ``LENGTH`` bytes over it also starts in a document with a smaller id.
 
-1. Anchors. Every string of LENGTH bytes holds a minimiser: the ``GRAM``-byte substring with the least hash among its
-   LENGTH - GRAM + 1. Equal strings have the same one at the same place, so strings can only be equal where anchors are.
-   An anchor's context is all that strings with this anchor can reach. Tasks send (anchor hash, context hash,
-   document) packed by hash bucket.
-2. Groups. Per anchor hash, copies of a whole context collapse into the one of the smallest document: the others are
-   covered. Where several contexts remain, in more than one document, they are partial.
-3. Intervals. Partial contexts are dealt by anchor. A task sorts the suffixes of its contexts to depth LENGTH,
-   forms their Burrows-Wheeler transform, and extends backwards breadth first: level by level, each interval of suffixes
-   that share a string of n bytes splits into those that share n + 1 bytes. Boundaries that arise on level n are common
-   prefixes of length n - 1. Intervals of one document are dropped; expansion stops at LENGTH. What is left are the
-   strings that repeat, and all but their smallest document lose them.
-4. Removal. Covered spans go back to their documents.
-
-Anchors with very many partial contexts are cut into chunks, and each pair of chunks gets a task of its own.
+1. Segments. Every string of LENGTH bytes has a minimiser: the leftmost ``GRAM``-byte substring with the least hash among
+   its LENGTH - GRAM + 1. Neighbouring strings with one minimiser form a segment. Equal strings have equal minimisers, so
+   only segments that share a minimiser can repeat each other. Tasks send (minimiser hash, document, place) packed by hash.
+2. Candidates. Minimisers of several documents go back to these documents, whose segments are then cut from the texts.
+   Copies of one segment within a task go through the expansion at once; only the one of the smallest document goes on.
+3. Intervals. Segments are dealt by minimiser. A task sorts the suffixes of a block of whole minimisers to depth LENGTH,
+   which gives the Burrows-Wheeler transform, and extends all candidate strings backwards breadth first, ``STEP`` bytes a
+   level: each interval of suffixes that share a prefix splits by the bytes before them, so common prefixes arise by
+   increasing length. Intervals of one document are dropped; expansion stops at LENGTH. What is left are the strings
+   that repeat, and all but their smallest document lose them.
+4. Removal. Covered ranges go back to their documents.
+
+Only the bytes decide; hashes deal the work. A minimiser with more than ``HEAVY`` segments is dealt by single strings.
 """
 
 from __future__ import annotations
@@ -31,92 +30,58 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ._common import staged
 
-LENGTH, GRAM = 50, 20
+LENGTH, GRAM, STEP, FIRST = 50, 20, 10, 5
 SLACK = LENGTH - GRAM
-BUCKETS = 1024
-BLOCK = 1 << 20
-FLUSH = 1 << 20
-TASK_BYTES = 2 << 20
-CHUNK_ROWS, MAX_HEAVY = 2_000, 500
-SMALL_ROWS, SMALL_BYTES = 300_000, 48 << 20
+PIECE = 1 << 15
+FLUSH = 1 << 19
+OFTEN = 8
+CUT = 200_000
+BLOCK = 1 << 19
+HEAVY = 4_000
+ANCHORS_A_TASK, TEXT_A_TASK, SEGMENTS_A_TASK = 250_000, 8 << 20, 30_000
+BROADCAST_ROWS = 50_000
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _BYTE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
+_LOW = np.uint64(0xFFFF)
 
 
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = a * _K[0]
-    out += b * _K[1]
+def _pair(h: np.ndarray, gap: int) -> np.ndarray:
+    """Hashes of neighbours that lie ``gap`` apart."""
+    out = h[: len(h) - gap] * _K[0]
+    out += h[gap:] * _K[1]
     out ^= out >> np.uint64(31)
     out *= _K[2]
     return out
 
 
-def _pair(h: np.ndarray, gap: int) -> np.ndarray:
-    return _mix(h[: len(h) - gap], h[gap:])
-
-
-def _slide(x: np.ndarray, width: int, least) -> np.ndarray:
-    """Least (or greatest) of each run of ``width`` values."""
+def _slid_least(x: np.ndarray, width: int) -> np.ndarray:
+    """Least of each run of ``width`` values."""
     done = 1
     while 2 * done <= width:
-        x = least(x[: len(x) - done], x[done:])
+        x = np.minimum(x[: len(x) - done], x[done:])
         done *= 2
-    if done < width:
-        x = least(x[: len(x) - (width - done)], x[width - done :])
-    return x
-
+    return np.minimum(x[: len(x) - (width - done)], x[width - done :]) if done < width else x
 
-def anchors(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(place, hash, low, high, context hash) of all anchors of a block of texts.
 
-    begin and end give, for each byte, the bounds of its text; a text of which the block holds a part may reach beyond it.
-    """
-    none = np.empty(0, np.int64)
-    n = len(data)
-    if n < LENGTH:
-        return none, none.astype(np.uint64), none, none, none.astype(np.uint64)
-    h1 = _BYTE[data]
-    h2 = _pair(h1, 1)
-    h4 = _pair(h2, 2)
-    h8 = _pair(h4, 4)
-    h16 = _pair(h8, 8)
-    gram = _mix(h16[: n - GRAM + 1], h4[16 : 16 + n - GRAM + 1])
-    h32 = _pair(h16, 16)
-    whole = _mix(h32[: n - LENGTH + 1], h32[LENGTH - 32 : LENGTH - 32 + n - LENGTH + 1])
-    least = _slide(gram, SLACK + 1, np.minimum)
-    at = np.arange(n - LENGTH + 1)
-    least[at + LENGTH > end[: n - LENGTH + 1]] = 0
-    padded = np.concatenate([np.zeros(SLACK, np.uint64), least, np.zeros(SLACK, np.uint64)])
-    place = np.flatnonzero(_slide(padded, SLACK + 1, np.maximum) == gram)
-    low, high = np.maximum(begin[place], place - SLACK), np.minimum(end[place], place + LENGTH)
-    inside = (low >= 0) & (high <= n) & (high - low >= LENGTH)
-    place, low, high = place[inside], low[inside], high[inside]
-    reach = ((place - low) * 128 + (high - place)).astype(np.uint64)
-    return place, gram[place], low, high, _mix(_mix(whole[low], whole[high - LENGTH]), reach)
-
-
-def _blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, int]]:
-    """Blocks of about BLOCK bytes: data, begin, end, text number, first byte's offset, bytes to report from there.
-
-    A longer text comes in pieces that overlap by more than a context; each piece reports its own part.
-    """
+def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(data, end of the own text for each byte, text number, offset of the piece's first byte in its text): texts joined
+    to pieces of at most about PIECE bytes; pieces of a longer text overlap by LENGTH - 1."""
     held, size = [], 0
     for i, t in enumerate(texts):
         if len(t) < LENGTH:
             continue
-        if len(t) > BLOCK:
+        if size + len(t) > PIECE and held:
+            yield _joined(texts, held)
+            held, size = [], 0
+        if len(t) > PIECE:
             whole = np.frombuffer(t, np.uint8)
-            for a in range(0, len(t), BLOCK):
-                first = max(0, a - 128)
-                piece = whole[first : a + BLOCK + 128]
-                yield piece, np.full(len(piece), -first), np.full(len(piece), len(t) - first), np.full(len(piece), i), a - first, min(BLOCK, len(t) - a), first
+            for a in range(0, len(t) - LENGTH + 1, PIECE):
+                part = whole[a : a + PIECE + LENGTH - 1]
+                yield part, np.full(len(part), len(part)), np.full(len(part), i), np.full(len(part), -a)
             continue
         held.append(i)
         size += len(t)
-        if size > BLOCK:
-            yield _joined(texts, held)
-            held, size = [], 0
     if held:
         yield _joined(texts, held)
 
@@ -124,208 +89,324 @@ def _blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 def _joined(texts: list[bytes], held: list[int]):
     lengths = np.array([len(texts[i]) for i in held])
     last = np.cumsum(lengths)
-    data = np.frombuffer(b"".join(texts[i] for i in held), np.uint8)
-    return data, np.repeat(last - lengths, lengths), np.repeat(last, lengths), np.repeat(np.array(held), lengths), 0, len(data), 0
+    return np.frombuffer(b"".join(texts[i] for i in held), np.uint8), np.repeat(last, lengths), np.repeat(np.array(held), lengths), np.repeat(last - lengths, lengths)
+
+
+def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, minimiser hash of 48 bits, first start, number of starts) of all segments; starts are offsets in the text."""
+    for data, end, number, base in _pieces(texts):
+        h1 = _BYTE[data]
+        h4 = _pair(_pair(h1, 1), 2)
+        gram = _pair(_pair(h4, 4), 8)
+        gram = gram[: len(data) - GRAM + 1] * _K[0] + h4[16 : 16 + len(data) - GRAM + 1]
+        gram ^= gram >> np.uint64(29)
+        gram *= _K[2]
+        gram |= _LOW
+        gram ^= _LOW - np.arange(len(gram), dtype=np.uint64)  # the place in the low bits: ties go to the left
+        least = _slid_least(gram, SLACK + 1)
+        at = np.flatnonzero(np.arange(len(least)) + LENGTH <= end[: len(least)])
+        best = least[at]
+        new = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (at[1:] != at[:-1] + 1)]))
+        first = at[new]
+        yield number[first], best[new] >> np.uint64(16), first - base[first], np.diff(np.append(new, len(at)))
+
+
+def _planes(values: np.ndarray, width: int = 8) -> bytes:
+    """The low ``width`` bytes of each number, byte by byte, which compresses better."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def text_anchors(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text number, hash, context hash, low, high) with offsets within the text, block by block."""
-    for data, begin, end, number, first, count, shift in _blocks(texts):
-        place, gram, low, high, context = anchors(data, begin, end)
-        own = (place >= first) & (place < first + count)
-        place, gram, low, high, context = place[own], gram[own], low[own], high[own], context[own]
-        base = begin[place]
-        yield number[place], gram, context, low - base, high - base
+def _unplanes(blob: bytes, width: int = 8) -> np.ndarray:
+    full = np.zeros((len(blob) // width, 8), np.uint8)
+    full[:, :width] = np.frombuffer(blob, np.uint8).reshape(width, -1).T
+    return full.view("<i8").ravel()
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """The low ``width`` bytes of each number, byte by byte, which compresses better."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+PACKED = "part int, known boolean, anchor binary, doc binary, low binary, run binary"
+_PACKED = pa.schema([("part", pa.int32()), ("known", pa.bool_()), *[(c, pa.binary()) for c in ("anchor", "doc", "low", "run")]])
 
 
-def _unplanes(blob: bytes, width: int) -> np.ndarray:
-    full = np.zeros((len(blob) // width, 8), np.uint8)
-    full[:, :width] = np.frombuffer(blob, np.uint8).reshape(width, -1).T
-    return full.view("<u8").ravel()
+def _pack(part: np.ndarray, known: bool, anchor, doc, low, run) -> pa.RecordBatch:
+    """One row for each part, its columns as differences, byte by byte."""
+    order = np.argsort(part, kind="stable")
+    rows = []
+    for o in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+        rows.append((int(part[o[0]]), known, _planes(anchor[o], 6), _planes(np.diff(doc[o], prepend=0)), _planes(np.diff(low[o], prepend=0)), _planes(run[o], 1)))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PACKED)], schema=_PACKED)
 
 
-def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("bucket", pa.int32()), ("anchor", pa.binary()), ("context", pa.binary()), ("doc", pa.binary())])
+def _unpack(rows: list[dict]) -> tuple[np.ndarray, ...]:
+    """(anchor, doc, low, run) of packed rows."""
+    made = [(_unplanes(r["anchor"], 6), np.cumsum(_unplanes(r["doc"])), np.cumsum(_unplanes(r["low"])), _unplanes(r["run"], 1)) for r in rows]
+    return tuple(np.concatenate(c) for c in zip(*made)) if made else (np.empty(0, np.int64),) * 4
 
-    def packed(parts):
-        gram, context, doc = (np.concatenate(x) for x in zip(*parts))
-        bucket = gram % np.uint64(BUCKETS)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        rows = [(int(bucket[o[0]]), _planes(gram[o] >> np.uint64(16), 6), _planes(context[o], 6), _planes(np.diff(doc[o], prepend=0).astype(np.uint64), 8)) for o in np.split(order, cuts)]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    parts, size = [], 0
-    for batch in batches:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        for number, gram, context, _, _ in text_anchors(batch.column("text").to_pylist()):
-            parts.append((gram, context, ids[number]))
-            size += len(gram)
-            if size > FLUSH:
-                yield packed(parts)
-                parts, size = [], 0
-    if size:
-        yield packed(parts)
-
-
-def _by_document(ids: np.ndarray, values: np.ndarray) -> tuple[pa.Array, pa.Array]:
-    """Distinct values of each document, as one binary of 8-byte numbers per document."""
-    order = np.lexsort((values, ids))
-    ids, values = ids[order], values[order]
-    new = np.concatenate([[True], (ids[1:] != ids[:-1]) | (values[1:] != values[:-1])])
-    ids, values = ids[new], values[new]
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1, [len(ids)]])
-    blobs = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
-    return pa.array(ids[cut[:-1]], pa.int64()), blobs
-
-
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document the contexts (hashed with their anchors) that a smaller one has too, and the anchors that need a closer look."""
-    schema = pa.schema([("doc_id", pa.int64()), ("full", pa.bool_()), ("anchors", pa.binary())])
-    parts = []
-    for batch in batches:
-        for r in batch.to_pylist():
-            a = (_unplanes(r["anchor"], 6) << np.uint64(16)) | np.uint64(r["bucket"])
-            parts.append((a, _unplanes(r["context"], 6), np.cumsum(_unplanes(r["doc"], 8).astype(np.int64))))
-    if not parts:
-        return
-    bucket = np.concatenate([p[0] & np.uint64(0xFFFF) for p in parts])
-    a, x, d = (np.concatenate(c) for c in zip(*parts))
-    del parts
-    order = np.argsort(bucket, kind="stable")
-    for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-        yield from _resolve_bucket(a[rows], x[rows], d[rows], schema)
-
-
-def _resolve_bucket(a, x, d, schema) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((d, x, a))
-    a, x, d = a[order], x[order], d[order]
-    new_a = np.concatenate([[True], a[1:] != a[:-1]])
-    new_x = new_a | np.concatenate([[True], x[1:] != x[:-1]])
-    first_x = np.flatnonzero(new_x)
-    covered = d > d[first_x][np.cumsum(new_x) - 1]
-    first_a, group = np.flatnonzero(new_a), np.cumsum(new_a) - 1
-    several = np.add.reduceat(new_x.astype(np.int64), first_a) > 1
-    apart = np.minimum.reduceat(d, first_a) < np.maximum.reduceat(d, first_a)
-    partial = ~covered & (several & apart)[group]
-    for chosen, full in ((covered, True), (partial, False)):
-        if chosen.any():
-            ids, blobs = _by_document(d[chosen], (_mix(a[chosen], x[chosen]) if full else a[chosen]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(ids), full)), blobs], schema=schema)
-
-
-def _known(blobs: list[bytes] | None) -> np.ndarray:
-    """Sorted hashes of a document."""
-    return np.unique(np.frombuffer(b"".join(blobs or []), np.uint64))
-
-
-def _stored(gram: np.ndarray) -> np.ndarray:
-    """An anchor's hash as it is stored: its high 48 bits and its bucket."""
-    return (gram >> np.uint64(16) << np.uint64(16)) | (gram % np.uint64(BUCKETS))
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("low", pa.int64()), ("context", pa.binary())])
-    for batch in batches:
-        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-        wanted = [_known(w) for w in batch.column("anchors").to_pylist()]
-        for number, gram, _, low, high in text_anchors(texts):
-            key = _stored(gram)
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(number)]])
-            rows = []
-            for b, e in zip(edges[:-1], edges[1:]):
-                if b == e:
-                    continue
-                i = number[b]
-                for j in b + np.flatnonzero(np.isin(key[b:e], wanted[i])):
-                    rows.append((int(key[j].view(np.int64)), ids[i], int(low[j]), texts[i][low[j] : high[j]]))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-
-def depth_sorted(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix numbers in the order of their first ``depth`` codes (below 512)."""
-    n = len(codes)
-    key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key <<= np.uint64(9)
-        key[: n - k] |= codes[k:].astype(np.uint64)
-    done = 7
+def _home(doc: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a document, the same as ``_home_column`` gives."""
+    return (doc ^ (doc >> 15) ^ (doc >> 31)) % parts
+
+
+def _home_column(parts: int):
+    doc = F.col("doc_id")
+    return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 15)).bitwiseXOR(F.shiftright(doc, 31)), F.lit(parts)).cast("int")
+
+
+def _send(parts: int):
+    """Segments packed by minimiser. Where one task sees a minimiser in several documents and more than OFTEN times, its
+    segments are known as candidates, and only the smallest and largest document stand for them with the others."""
+
+    def flushed(held):
+        anchor, doc, low, run = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(anchor, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0]))
+        least, most = np.minimum.reduceat(doc[order], first), np.maximum.reduceat(doc[order], first)
+        count = np.diff(np.append(first, len(order)))
+        often = (count > OFTEN) & (least < most)
+        known = np.empty(len(order), bool)
+        known[order] = np.repeat(often, count)
+        if known.any():
+            yield _pack(_home(doc[known], parts), True, anchor[known], doc[known], low[known], run[known])
+        stand = np.repeat(anchor[order][first[often]], 2)
+        ends = np.stack([least[often], most[often]], 1).ravel()
+        none = np.zeros(len(stand), np.int64)
+        anchor, doc, low, run = (np.concatenate([x[~known], y]) for x, y in ((anchor, stand), (doc, ends), (low, none), (run, none)))
+        yield _pack(anchor % parts, False, anchor, doc, low, run)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            for number, anchor, low, run in segments(batch.column("text").to_pylist()):
+                held.append((anchor.astype(np.int64), ids[number], low, run))
+                size += len(low)
+                if size > FLUSH:
+                    yield from flushed(held)
+                    held, size = [], 0
+        if held:
+            yield from flushed(held)
+
+    return send
+
+
+def _resolve(homes: int):
+    """Segments whose minimiser several documents have, packed by document."""
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        anchor, doc, low, run = _unpack([r for r in rows if not r["known"]])
+        if len(anchor):
+            order = np.argsort(anchor, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0]))
+            shared = np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)
+            keep = order[np.repeat(shared, np.diff(np.append(first, len(order))))]
+            keep = keep[run[keep] > 0]
+            if len(keep):
+                yield _pack(_home(doc[keep], homes), True, anchor[keep], doc[keep], low[keep], run[keep])
+        anchor, doc, low, run = _unpack([r for r in rows if r["known"]])
+        if len(anchor):
+            yield _pack(_home(doc, homes), True, anchor, doc, low, run)
+
+    return resolve
+
+
+def suffix_order(data: np.ndarray) -> np.ndarray:
+    """Suffix numbers in the order of their first LENGTH bytes, zeros following the last; for up to 2^21 bytes."""
+    n = len(data)
+    bits = np.uint64(max(1, int(n).bit_length()))
+    mask, here = np.uint64((1 << int(bits)) - 1), np.arange(n, dtype=np.uint64)
+    rank = np.zeros(n, np.uint64)
+    for k in range(FIRST):
+        rank <<= np.uint64(8)
+        rank[: n - k] |= data[k:]
+    done, top = FIRST, rank
     while True:
-        order = np.argsort(key, kind="stable")
-        if done >= depth:
+        key = np.sort((top << bits) | here)
+        order = (key & mask).astype(np.int64)
+        if done == LENGTH:
             return order
+        key >>= bits
         rank = np.empty(n, np.uint64)
-        ordered = key[order]
-        rank[order] = np.cumsum(np.concatenate([[1], ordered[1:] != ordered[:-1]])).astype(np.uint64)
-        step = min(done, depth - done)
-        key = rank << np.uint64(32)
-        key[: n - step] |= rank[step:]
+        rank[order] = np.cumsum(np.concatenate([[1], key[1:] != key[:-1]])).astype(np.uint64)
+        step = min(done, LENGTH - done)
+        top = rank << bits
+        top[: n - step] |= rank[step:]
         done += step
 
 
-def repeated_strings(codes: np.ndarray, owner: np.ndarray, depth: int) -> Iterator[np.ndarray]:
-    """Suffix numbers of each string of ``depth`` codes that several owners have; code 0 ends a context.
+def repeated(data: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """For each start, whether its string of LENGTH bytes also starts in ``data`` with a smaller owner.
 
-    Breadth-first backward extension over the Burrows-Wheeler transform: level n holds the intervals, in suffix
-    order, of the strings of n codes that several owners have.
+    Breadth-first backward extension over the Burrows-Wheeler transform, STEP bytes a level: a level holds, in suffix
+    order, the intervals of strings that several owners have, beginning with the empty string at the end of each.
     """
-    order = depth_sorted(codes, depth)
-    before = codes[order - 1]  # the transform; the code before the first is the last one, an end
-    # where a suffix stands once its preceding code is put before it
-    step = np.empty(len(order), np.int64)
-    step[np.argsort(before, kind="stable")] = np.arange(len(order))
-    own = owner[order]
-    at = np.arange(len(order))  # members of the level's intervals, in suffix order; the empty string has all
-    interval = np.zeros(len(order), np.int64)
-    for _ in range(depth):
-        inside = before[at] > 0
-        code, interval, at = before[at[inside]], interval[inside], step[at[inside]]
-        turned = np.argsort(code, kind="stable")  # as by ``at``, which rises with the code and, within one, with the place before
-        code, interval, at = code[turned], interval[turned], at[turned]
-        if not len(at):
-            return
-        new = np.concatenate([[True], (code[1:] != code[:-1]) | (interval[1:] != interval[:-1])])  # a common prefix ends here
+    data = np.concatenate([data, np.zeros(LENGTH, np.uint8)])
+    order = suffix_order(data)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    head = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(np.uint64).ravel()  # bytes 0 to 7 of a place, 2 to 9 by its second next
+    at, own, member = rank[start + LENGTH], owner, np.arange(len(start))
+    interval = np.zeros(len(start), np.int64)
+    bits = np.int64(max(1, len(start).bit_length()))
+    for _ in range(LENGTH // STEP):
+        moved = np.sort((rank[order[at] - STEP] << bits) | np.arange(len(at)))
+        turned, at = moved & ((1 << bits) - 1), moved >> bits
+        own, member, interval, place = own[turned], member[turned], interval[turned], order[at]
+        a, b = head[place], head[place + STEP - 8]
+        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (interval[1:] != interval[:-1])])  # a common prefix ends here
         first = np.flatnonzero(new)
-        interval = np.cumsum(new) - 1
-        o = own[at]
-        several = np.minimum.reduceat(o, first) < np.maximum.reduceat(o, first)
-        keep = several[interval]
-        at, interval = at[keep], interval[keep]
-    if len(at):
-        yield from np.split(order[at], np.flatnonzero(np.diff(interval)) + 1)
+        keep = np.repeat(np.minimum.reduceat(own, first) < np.maximum.reduceat(own, first), np.diff(np.append(first, len(at))))
+        if not keep.any():
+            return np.zeros(len(start), bool)
+        at, own, member = at[keep], own[keep], member[keep]
+        interval = np.cumsum(new)[keep]
+    first = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
+    found = np.zeros(len(start), bool)
+    found[member] = own > np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(own))))
+    return found
+
+
+def _ranges(texts: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, offset, length) of the runs of repeated starts of each text."""
+    lengths = np.array([len(t) for t in texts])
+    runs = lengths - LENGTH + 1
+    row = np.repeat(np.arange(len(texts)), runs)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
+    hit = np.flatnonzero(repeated(np.frombuffer(b"".join(texts), np.uint8), (np.cumsum(lengths) - lengths)[row] + offset, owner[row]))
+    if not len(hit):
+        return (np.empty(0, np.int64),) * 3
+    new = np.flatnonzero(np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])]))
+    return row[hit[new]], offset[hit[new]], np.diff(np.append(new, len(hit)))
+
+
+def _decided(texts: list[bytes], code: np.ndarray, doc: np.ndarray, several_only: bool) -> tuple[np.ndarray, ...]:
+    """(row, offset, length) of covered starts of rows of segment ``code`` in document ``doc``, and each code's smallest document.
+
+    A segment enters the expansion for its smallest document and, if there are more, for its largest, which stands for them.
+    """
+    order = np.lexsort((doc, code))
+    first = np.flatnonzero(np.concatenate([[True], np.diff(code[order]) != 0]))
+    least = doc[order][first]
+    most = doc[order][np.append(first[1:], len(order)) - 1]
+    several = np.flatnonzero(most > least)
+    single = several if several_only else np.arange(len(texts))
+    entries, owner = np.concatenate([single, several]), np.concatenate([least[single], most[several]])
+    size = np.array([len(t) for t in texts])[entries]
+    found = []
+    if several_only and len(entries):  # codes need not meet each other: any blocks will do
+        block = np.tile(np.cumsum(size[: len(several)]) // (BLOCK // 2), 2)
+    else:
+        block = np.zeros(len(entries), np.int64)
+    for b in range(int(block.max(initial=-1)) + 1):
+        chosen = np.flatnonzero(block == b)
+        if len(chosen):
+            number, offset, length = _ranges([texts[i] for i in entries[chosen]], owner[chosen])
+            found.append((chosen[number], offset, length))
+    if not found:
+        return (np.empty(0, np.int64),) * 3 + (least,)
+    entry, offset, length = (np.concatenate(x) for x in zip(*found))
+    # rows take the verdict of their entry: the smallest document's rows that of the first, others that of the second
+    of = np.full((len(texts), 2), -1)
+    of[single, 0], of[several, 1] = np.arange(len(single)), len(single) + np.arange(len(several))
+    mine = of[code, (doc > least[code]).astype(np.int64)]
+    order = np.argsort(entry, kind="stable")
+    begin, end = np.searchsorted(entry[order], mine), np.searchsorted(entry[order], mine, "right")
+    begin[mine < 0] = end[mine < 0] = 0
+    many = end - begin
+    row = np.repeat(np.arange(len(code)), many)
+    pick = order[np.repeat(begin, many) + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)]
+    return row, offset[pick], length[pick], least
+
+
+_FOUND = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("low", pa.binary()), ("run", pa.binary())])
+FOUND = "doc_id long, text_key long, low binary, run binary"
+
+
+def _by_text(doc: np.ndarray, key: np.ndarray, low: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+    """Ranges of starts, one row per text."""
+    order = np.lexsort((low, key, doc))
+    doc, key, low, run = doc[order], key[order], low[order].astype(np.int64), run[order].astype(np.int64)
+    cut = np.concatenate([[0], np.flatnonzero((np.diff(doc) != 0) | (np.diff(key) != 0)) + 1, [len(doc)]])
+    blobs = [[x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])] for x in (low, run)]
+    return pa.RecordBatch.from_arrays([pa.array(doc[cut[:-1]]), pa.array(key[cut[:-1]]), *[pa.array(b, pa.binary()) for b in blobs]], schema=_FOUND)
+
+
+CANDIDATES = FOUND + ", anchor long, start long, segment binary"
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cuts candidate segments out of the texts (packed places come first) and decides copies within the task."""
+    more = pa.schema([*_FOUND, ("anchor", pa.int64()), ("start", pa.int64()), ("segment", pa.binary())])
+    packed, places = [], None
+    codes: dict[bytes, int] = {}
+    code, anchors, docs, keys, lows = [], [], [], [], []
+
+    def flushed():
+        texts = list(codes)
+        c, a, d, k, s = (np.array(x, np.int64) for x in (code, anchors, docs, keys, lows))
+        row, offset, length, least = _decided(texts, c, d, True)
+        if len(row):
+            covered = _by_text(d[row], k[row], s[row] + offset, length)
+            none = [pa.nulls(len(covered), f.type) for f in list(more)[4:]]
+            yield pa.RecordBatch.from_arrays([*covered.columns, *none], schema=more)
+        go = np.flatnonzero(d == least[c])
+        empty = pa.nulls(len(go), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(d[go]), pa.array(k[go]), empty, empty, pa.array(a[go]), pa.array(s[go]), pa.array([texts[i] for i in c[go]], pa.binary())], schema=more)
+
+    for batch in batches:
+        kinds = batch.column("text").is_valid().to_numpy(zero_copy_only=False)
+        if not kinds.all():
+            packed += batch.filter(pa.array(~kinds)).select(["anchor", "doc", "low", "run"]).to_pylist()
+            batch = batch.filter(pa.array(kinds))
+        if not len(batch):
+            continue
+        if places is None:
+            anchor, doc, low, run = _unpack(packed)
+            packed = []
+            order = np.lexsort((low, doc))
+            places = tuple(x[order] for x in (doc, anchor, low, run))
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        begin, end = np.searchsorted(places[0], ids), np.searchsorted(places[0], ids, "right")
+        for text, i, key, b, e in zip(batch.column("text").to_pylist(), ids.tolist(), batch.column("text_key").to_pylist(), begin.tolist(), end.tolist()):
+            for a, s, r in zip(places[1][b:e].tolist(), places[2][b:e].tolist(), places[3][b:e].tolist()):
+                if s + r + LENGTH - 1 <= len(text):  # another row of this doc_id may be shorter
+                    code.append(codes.setdefault(text[s : s + r + LENGTH - 1], len(codes)))
+                    anchors.append(a)
+                    docs.append(i)
+                    keys.append(key)
+                    lows.append(s)
+            if len(code) > CUT:
+                yield from flushed()
+                codes.clear()
+                code, anchors, docs, keys, lows = [], [], [], [], []
+    if code:
+        yield from flushed()
 
 
 def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("starts", pa.binary())])
-    docs, lows, texts = [], [], []
+    """Covered ranges of segments, which come in the order of ``dealt``; a block ends between two values of it."""
+    codes: dict[bytes, int] = {}
+    code, rows, size, last = [], [], 0, None
+
+    def decided():
+        doc, key, start = (np.array(x, np.int64) for x in zip(*rows))
+        row, offset, length, _ = _decided(list(codes), np.array(code), doc, False)
+        if len(row):
+            yield _by_text(doc[row], key[row], start[row] + offset, length)
+
     for batch in batches:
-        docs += batch.column("doc_id").to_pylist()
-        lows += batch.column("low").to_pylist()
-        texts += batch.column("context").to_pylist()
-    if not texts:
-        return
-    data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.uint16) + 1
-    lengths = np.array([len(t) + 1 for t in texts])
-    last = np.cumsum(lengths)
-    data[last - 1] = 0
-    number = np.repeat(np.arange(len(texts)), lengths)
-    docs, lows = np.array(docs), np.array(lows)
-    place = np.arange(len(data)) - np.repeat(last - lengths, lengths) + lows[number]
-    owner = docs[number]
-    found = []
-    for suffixes in repeated_strings(data, owner, LENGTH):
-        o = owner[suffixes]
-        found.append(suffixes[o > o.min()])
-    if not found:
-        return
-    found = np.concatenate(found)
-    yield pa.RecordBatch.from_arrays(list(_by_document(owner[found], place[found])), schema=schema)
+        columns = [batch.column(c).to_pylist() for c in ("dealt", "doc_id", "text_key", "start", "segment")]
+        for dealt, doc, key, start, segment in zip(*columns):
+            if dealt != last and size > BLOCK:
+                yield from decided()
+                codes.clear()
+                code, rows, size = [], [], 0
+            last = dealt
+            known = len(codes)
+            code.append(codes.setdefault(segment, known))
+            size += len(segment) if len(codes) > known else 0
+            rows.append((doc, key, start))
+    if rows:
+        yield from decided()
 
 
 def _keep(text: bytes, low: np.ndarray, high: np.ndarray) -> tuple[bytes, int, int]:
@@ -341,80 +422,59 @@ def _keep(text: bytes, low: np.ndarray, high: np.ndarray) -> tuple[bytes, int, i
 def _remove(schema: pa.Schema):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column("__text").to_pylist()]
-            full = [_known(w) for w in batch.column("__full").to_pylist()]
-            starts = batch.column("__starts").to_pylist()
-            lows: dict[int, list] = {}
-            highs: dict[int, list] = {}
-            for i, s in enumerate(starts):
-                if s:
-                    place = np.frombuffer(b"".join(s), np.int64)
-                    lows.setdefault(i, []).append(place)
-                    highs.setdefault(i, []).append(place + LENGTH)
-            chosen = [i for i, f in enumerate(full) if len(f)]
-            for number, gram, context, low, high in text_anchors([texts[i] for i in chosen]):
-                key = _mix(_stored(gram), context & np.uint64((1 << 48) - 1))
-                edges = np.concatenate([[0], np.flatnonzero(np.diff(number)) + 1, [len(number)]])
-                for b, e in zip(edges[:-1], edges[1:]):
-                    if b < e:
-                        i = chosen[number[b]]
-                        hit = b + np.flatnonzero(np.isin(key[b:e], full[i]))
-                        lows.setdefault(i, []).append(low[hit])
-                        highs.setdefault(i, []).append(high[hit])
-            kept, removed, spans = [], [], []
-            for i, t in enumerate(texts):
-                left, n, runs = _keep(t, np.concatenate(lows[i]), np.concatenate(highs[i])) if i in lows else (t, 0, 0)
-                kept.append(left)
-                removed.append(n)
-                spans.append(runs)
-            made = {
-                "kept": pa.array(kept, pa.binary()),
-                "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-                "n_removed": pa.array(removed, pa.int64()),
-                "n_spans": pa.array(spans, pa.int64()),
-            }
+            kept, size, removed, spans = [], [], [], []
+            for text, lows, runs in zip(*(batch.column(c).to_pylist() for c in ("__text", "__low", "__run"))):
+                text = text or b""
+                size.append(len(text))
+                if lows:
+                    low = np.frombuffer(b"".join(lows), np.int64)
+                    text, n, m = _keep(text, low, low + np.frombuffer(b"".join(runs), np.int64) + LENGTH - 1)
+                kept.append(text)
+                removed.append(n if lows else 0)
+                spans.append(m if lows else 0)
+            made = {"kept": pa.array(kept, pa.binary())} | {c: pa.array(x, pa.int64()) for c, x in (("n_bytes", size), ("n_removed", removed), ("n_spans", spans))}
             yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in schema.names], schema=schema)
 
     return remove
 
 
-def _starts(contexts: DataFrame) -> DataFrame:
-    """(doc_id, starts): where strings begin that a smaller document has, from the partial contexts."""
-    total = contexts.count()
-    limit = max(CHUNK_ROWS, total // MAX_HEAVY)
-    heavy = contexts.groupBy("anchor").count().where(F.col("count") > limit)  # at most MAX_HEAVY rows
-    heavy = heavy.select("anchor", F.ceil(2 * F.col("count") / limit).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("doc_id", "low"), F.col("chunks")).cast("int")
-    pairs = F.transform(F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: j != chunk), lambda j: F.struct(F.least(chunk, j).alias("i"), F.greatest(chunk, j).alias("j")))
-    parts = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)
-    dealt = contexts.join(F.broadcast(heavy), "anchor", "left").withColumn("part", F.explode(parts))
-    tasks = max(8, total * (LENGTH + SLACK) // TASK_BYTES)
-    dealt = dealt.select("doc_id", "low", "context", F.xxhash64("anchor", "part.i", "part.j").alias("task"))
-    return dealt.repartition(int(tasks), "task").select("doc_id", "low", "context").mapInArrow(_expand, "doc_id long, starts binary")
+def _dealt(segments: DataFrame) -> DataFrame:
+    """Segments with the value they are dealt by: their minimiser, or single strings by themselves where it has more than HEAVY."""
+    own = ("doc_id", "text_key", "start", "segment")
+    heavy = staged(segments.groupBy("anchor").count().where(F.col("count") > HEAVY).select("anchor", F.lit(True).alias("heavy")), "heavy")
+    marked = segments.join(F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy.hint("shuffle_hash"), "anchor", "left")
+    light = marked.where("heavy is null").select(F.col("anchor").alias("dealt"), *own)
+    single = marked.where("heavy").select("doc_id", "text_key", "start", "segment", F.explode(F.sequence(F.lit(0), F.octet_length("segment") - LENGTH)).alias("i"))
+    single = single.select("doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.substring("segment", F.col("i") + 1, LENGTH).alias("segment"))
+    return light.unionByName(single.select(F.xxhash64("segment").alias("dealt"), *own))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without ``text``, with kept (binary), n_bytes, n_removed and n_spans (maximal removed runs).
 
-    Texts are UTF-8 bytes; null counts as empty. Matches never cross documents, a document is not compared with
-    itself, nor are rows that share a doc_id; a null doc_id is neither larger nor smaller than another, so its row stays
-    whole. Columns named as the added ones are replaced; all others stay. Empty in, empty out.
+    Texts are UTF-8 bytes; null counts as empty. Texts of any length are taken whole. Matches never cross documents, a
+    document is not compared with itself, nor are rows that share a doc_id (repeated rows have the same result); a null
+    doc_id is neither larger nor smaller than another, so its row stays whole. Columns named as the added ones are
+    replaced; all others stay. Empty in, empty out.
     """
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    sent = texts.mapInArrow(_send, "bucket int, anchor binary, context binary, doc binary")
-    resolved = staged(sent.repartition("bucket").mapInArrow(_resolve, "doc_id long, full boolean, anchors binary"), "anchors")
-    partial = resolved.where("not full").groupBy("doc_id").agg(F.collect_list("anchors").alias("anchors"))
-    partial = staged(partial, "partial-anchors")
-    size = partial.agg(F.count("*"), F.sum(F.aggregate("anchors", F.lit(0).cast("long"), lambda a, x: a + F.octet_length(x)))).first()
-    small = size[0] <= SMALL_ROWS and (size[1] or 0) <= SMALL_BYTES
-    looked = texts.join(F.broadcast(partial) if small else partial.hint("shuffle_hash"), "doc_id")
-    contexts = staged(looked.mapInArrow(_contexts, "anchor long, doc_id long, low long, context binary"), "contexts")
-    starts = staged(_starts(contexts), "starts")
-    full = resolved.where("full").select("doc_id", F.col("anchors").alias("f"), F.lit(None).cast("binary").alias("s"))
-    found = full.unionByName(starts.select("doc_id", F.lit(None).cast("binary").alias("f"), F.col("starts").alias("s")))
-    found = found.groupBy("doc_id").agg(F.collect_list("f").alias("__full"), F.collect_list("s").alias("__starts")).withColumnRenamed("doc_id", "__id")
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts, homes = int(total * 2 // ((SLACK + 2) * ANCHORS_A_TASK)) + 8, int(total // TEXT_A_TASK) * 2 + 17
+    sent = texts.select("doc_id", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(_send(parts), PACKED)
+    shared = sent.repartitionById(parts, F.col("part")).mapInArrow(_resolve(homes), PACKED).withColumnRenamed("part", "home")
+    looked = shared.unionByName(texts.withColumn("home", _home_column(homes)), allowMissingColumns=True)
+    looked = looked.repartitionById(homes, F.col("home")).sortWithinPartitions(F.col("text").isNotNull(), "doc_id")
+    found = staged(looked.mapInArrow(_candidates, CANDIDATES), "candidates")
+    going = found.where("segment is not null").select("anchor", "doc_id", "text_key", "start", "segment")
+    tasks = max(8, going.count() // SEGMENTS_A_TASK)
+    dealt = _dealt(going).repartition(tasks, "dealt").sortWithinPartitions("dealt")
+    covered = found.where("low is not null").select("doc_id", "text_key", "low", "run").unionByName(dealt.mapInArrow(_expand, FOUND))
+    covered = covered.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_list("low").alias("__low"), F.collect_list("run").alias("__run"))
     added = ("kept", "n_bytes", "n_removed", "n_spans")
     rest = [c for c in docs.columns if c not in ("text", *added)]
     out = T.StructType([*docs.select(*rest).schema, T.StructField("kept", T.BinaryType()), *[T.StructField(c, T.LongType()) for c in added[1:]]])
-    joined = docs.select(*rest, F.col("text").cast("binary").alias("__text")).join(found.hint("shuffle_hash"), F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    joined = docs.select(*rest, F.col("text").cast("binary").alias("__text"))
+    same = (F.col("doc_id") == F.col("__id")) & (F.xxhash64(F.coalesce(F.col("__text"), F.lit("").cast("binary"))) == F.col("__key"))
+    joined = joined.join(covered.hint("shuffle_hash"), same, "left").drop("__id", "__key")
     return joined.mapInArrow(_remove(to_arrow_schema(out)), out)

@@ -54,33 +54,64 @@ def test_planted_passages(make_docs):
     assert result(make_docs(pairs)) == brute(pairs)
 
 
-def test_heavy_anchor_is_cut_into_chunks(make_docs, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "CHUNK_ROWS", 10)
-    monkeypatch.setattr(suffix_dedup, "MAX_HEAVY", 1000)
+def test_heavy_minimiser_is_dealt_by_strings(make_docs, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HEAVY", 10)
     rnd = random.Random(4)
-    noise = lambda: "".join(rnd.choice("abcdefgh") for _ in range(60))
-    passage = noise()
-    pairs = [(i, noise() + passage + noise()) for i in range(60)]
+    noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage = noise(60)
+    pairs = [(i, noise(rnd.randint(0, 70)) + passage[rnd.randint(0, 9) :] + noise(60)) for i in range(80)]
     assert result(make_docs(pairs)) == brute(pairs)
 
 
-def test_long_texts_come_in_pieces(make_docs, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "BLOCK", 700)
-    rnd = random.Random(5)
+def test_a_heavy_minimiser_sends_rows_in_proportion(make_docs):
+    """10,000 contexts of one passage: no segment is sent more than once for each of its strings."""
+    rnd = random.Random(6)
     noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
-    p = [noise(n) for n in (50, 51, 90, 2000)]
-    pairs = [(i, noise(rnd.randint(0, 900)) + rnd.choice(p) + noise(rnd.randint(0, 900)) + rnd.choice(p)) for i in range(30)]
-    got = {i: v for i, v in zip([x for x, _ in pairs], [None] * 30)}
-    texts = [t.encode() for _, t in pairs]
-    whole = {}
-    monkeypatch.setattr(suffix_dedup, "BLOCK", 1 << 20)
-    for n, g, c, lo, hi in suffix_dedup.text_anchors(texts):
-        whole.setdefault("a", []).extend(zip(n.tolist(), g.tolist(), c.tolist(), lo.tolist(), hi.tolist()))
-    monkeypatch.setattr(suffix_dedup, "BLOCK", 700)
-    pieces = []
-    for n, g, c, lo, hi in suffix_dedup.text_anchors(texts):
-        pieces.extend(zip(n.tolist(), g.tolist(), c.tolist(), lo.tolist(), hi.tolist()))
-    assert sorted(pieces) == sorted(whole["a"]) and len(got) == 30
+    passage = noise(30)
+    docs = make_docs([(i, noise(40) + passage + noise(40)) for i in range(10_000)])
+    segments = docs.selectExpr("1L as anchor", "doc_id", "0L as text_key", "0L as start", "cast(substring(text, 15, 80) as binary) as segment")
+    dealt = suffix_dedup._dealt(segments)
+    assert dealt.count() == 10_000 * 31
+    assert dealt.groupBy("dealt").count().agg({"count": "max"}).first()[0] < 20
+    assert {v[1] for v in result(docs).values()} == {0}
+
+
+def test_long_texts_come_in_pieces(monkeypatch):
+    """Whatever the pieces, every string has the minimiser that its own bytes give, and one segment."""
+    rnd = random.Random(5)
+    noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n)).encode()
+    texts = [noise(rnd.randint(0, 900)) + b"z" * rnd.choice((0, 120)) + noise(rnd.randint(0, 2000)) for _ in range(30)]
+
+    def strings():
+        return sorted((n, s + i, a) for number, anchor, low, run in suffix_dedup.segments(texts) for n, a, s, r in zip(number.tolist(), anchor.tolist(), low.tolist(), run.tolist()) for i in range(r))
+
+    whole = strings()
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    assert strings() == whole
+    assert [(n, s) for n, s, _ in whole] == [(i, s) for i, t in enumerate(texts) for s in range(len(t) - N + 1)]
+    by_string = {}
+    for n, s, a in whole:
+        assert by_string.setdefault(texts[n][s : s + N], a) == a
+
+
+def test_expansion_equals_direct_comparison():
+    rnd = random.Random(7)
+    for size in (60, 300, 3000):
+        parts = ["".join(rnd.choice("ab") for _ in range(rnd.randint(20, 70))) for _ in range(6)]
+        data = "".join(rnd.choice(parts) for _ in range(size // 20)).encode()
+        start = np.arange(len(data) - N + 1)
+        owner = np.array([rnd.randint(0, 9) for _ in start])
+        least = {}
+        for s, o in zip(start.tolist(), owner.tolist()):
+            least[data[s : s + N]] = min(o, least.get(data[s : s + N], o))
+        expected = [least[data[s : s + N]] < o for s, o in zip(start.tolist(), owner.tolist())]
+        assert suffix_dedup.repeated(np.frombuffer(data, np.uint8), start, owner).tolist() == expected
+
+
+def test_rows_that_share_an_id_differ(make_docs):
+    pairs = [(5, "p" * 70), (7, "k" * 10 + "p" * 60), (7, "p" * 55 + "m" * 90), (7, None), (9, "m" * 70)]
+    rows = suffix_dedup.remove_repeats(make_docs(pairs)).select("doc_id", "n_bytes", "n_removed").collect()
+    assert sorted(map(tuple, rows)) == [(5, 70, 0), (7, 0, 0), (7, 70, 60), (7, 145, 55), (9, 70, 70)]
 
 
 def test_edge_cases(make_docs):
