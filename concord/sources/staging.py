@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: list[str] = []
 
 
@@ -31,5 +32,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # nothing reads this job's shuffles once the table is there
+    before = spark.conf.get(SHUFFLES, "false")
+    spark.conf.set(SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
