@@ -6,23 +6,27 @@ A position is covered if a string of ``LENGTH`` bytes over it also starts in a d
    its LENGTH - GRAM + 1. Neighbouring strings with one minimiser form a segment. Equal strings have equal minimisers, so
    only segments that share a minimiser can repeat each other. Tasks send (minimiser hash, document, place) packed by hash.
 2. Candidates. Minimisers of several documents go back to these documents, whose segments are then cut from the texts.
-   Copies of one segment within a task go through the expansion at once; only the one of the smallest document goes on.
+   Copies of one segment within a task go through the expansion at once; only that of the smallest document goes on.
 3. Intervals. Segments are dealt by minimiser. A task sorts the suffixes of a block of whole minimisers to depth LENGTH,
    which gives the Burrows-Wheeler transform, and extends all candidate strings backwards breadth first, ``STEP`` bytes a
    level: each interval of suffixes that share a prefix splits by the bytes before them, so common prefixes arise by
    increasing length. Intervals of one document are dropped; expansion stops at LENGTH. What is left are the strings
-   that repeat, and all but their smallest document lose them.
+   that repeat, and all but their smallest document lose them. Copies enter once, with their smallest and largest document.
 4. Removal. Covered ranges go back to their documents.
 
-Only the bytes decide; hashes deal the work. A minimiser with more than ``HEAVY`` segments is dealt by single strings.
+Only the bytes decide; hashes deal the work. The segments of a minimiser with more than ``HEAVY`` of them (or one in a million
+of all strings, which bounds their number) are dealt by single strings.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,9 +41,8 @@ FLUSH = 1 << 19
 OFTEN = 8
 CUT = 200_000
 BLOCK = 1 << 19
-HEAVY = 4_000
-ANCHORS_A_TASK, TEXT_A_TASK, SEGMENTS_A_TASK = 250_000, 8 << 20, 30_000
-BROADCAST_ROWS = 50_000
+HEAVY, MOST_HEAVY = 4_000, 1_000_000
+SEND_TASK, TEXT_TASK, EXPAND_TASK = 4 << 20, 16 << 20, 8 << 20  # bytes of text behind a task
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 _BYTE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
@@ -122,16 +125,19 @@ def _unplanes(blob: bytes, width: int = 8) -> np.ndarray:
     return full.view("<i8").ravel()
 
 
-PACKED = "part int, known boolean, anchor binary, doc binary, low binary, run binary"
-_PACKED = pa.schema([("part", pa.int32()), ("known", pa.bool_()), *[(c, pa.binary()) for c in ("anchor", "doc", "low", "run")]])
+PACKED = "part int, kind string, anchor binary, doc binary, low binary, run binary"
+_PACKED = pa.schema([("part", pa.int32()), ("kind", pa.string()), *[(c, pa.binary()) for c in ("anchor", "doc", "low", "run")]])
 
 
-def _pack(part: np.ndarray, known: bool, anchor, doc, low, run) -> pa.RecordBatch:
-    """One row for each part, its columns as differences, byte by byte."""
+def _split(part: np.ndarray) -> list[np.ndarray]:
+    """Row numbers of each part, in their order."""
     order = np.argsort(part, kind="stable")
-    rows = []
-    for o in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
-        rows.append((int(part[o[0]]), known, _planes(anchor[o], 6), _planes(np.diff(doc[o], prepend=0)), _planes(np.diff(low[o], prepend=0)), _planes(run[o], 1)))
+    return np.split(order, np.flatnonzero(np.diff(part[order])) + 1)
+
+
+def _pack(part: np.ndarray, kind: str, anchor, doc, low, run) -> pa.RecordBatch:
+    """One row for each part, its columns as differences, byte by byte."""
+    rows = [(int(part[o[0]]), kind, _planes(anchor[o], 6), _planes(np.diff(doc[o], prepend=0)), _planes(np.diff(low[o], prepend=0)), _planes(run[o], 1)) for o in _split(part)]
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _PACKED)], schema=_PACKED)
 
 
@@ -151,9 +157,9 @@ def _home_column(parts: int):
     return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 15)).bitwiseXOR(F.shiftright(doc, 31)), F.lit(parts)).cast("int")
 
 
-def _send(parts: int):
+def _send(parts: int, homes: int):
     """Segments packed by minimiser. Where one task sees a minimiser in several documents and more than OFTEN times, its
-    segments are known as candidates, and only the smallest and largest document stand for them with the others."""
+    segments are known as candidates, and only the smallest and largest document, with the count, stand for them with the others."""
 
     def flushed(held):
         anchor, doc, low, run = (np.concatenate(c) for c in zip(*held))
@@ -165,12 +171,12 @@ def _send(parts: int):
         known = np.empty(len(order), bool)
         known[order] = np.repeat(often, count)
         if known.any():
-            yield _pack(_home(doc[known], parts), True, anchor[known], doc[known], low[known], run[known])
-        stand = np.repeat(anchor[order][first[often]], 2)
-        ends = np.stack([least[often], most[often]], 1).ravel()
-        none = np.zeros(len(stand), np.int64)
-        anchor, doc, low, run = (np.concatenate([x[~known], y]) for x, y in ((anchor, stand), (doc, ends), (low, none), (run, none)))
-        yield _pack(anchor % parts, False, anchor, doc, low, run)
+            yield _pack(_home(doc[known], homes) % parts, "known", anchor[known], doc[known], low[known], run[known])
+            stand, n = np.repeat(anchor[order][first[often]], 2), count[often]
+            ends, halves = np.stack([least[often], most[often]], 1).ravel(), np.stack([n // 2, n - n // 2], 1).ravel()
+            yield _pack(stand % parts, "stand", stand, ends, halves, np.zeros(len(stand), np.int64))
+        if not known.all():
+            yield _pack(anchor[~known] % parts, "one", anchor[~known], doc[~known], low[~known], run[~known])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -188,23 +194,29 @@ def _send(parts: int):
     return send
 
 
-def _resolve(homes: int):
-    """Segments whose minimiser several documents have, packed by document."""
+def _resolve(homes: int, heavy: int):
+    """Segments whose minimiser several documents have, packed by document; and, as rows of kind heavy, the minimisers with
+    more than ``heavy`` segments."""
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in batch.to_pylist()]
-        anchor, doc, low, run = _unpack([r for r in rows if not r["known"]])
+        anchor, doc, low, run = _unpack([r for r in rows if r["kind"] != "known"])
         if len(anchor):
             order = np.argsort(anchor, kind="stable")
             first = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0]))
             shared = np.minimum.reduceat(doc[order], first) < np.maximum.reduceat(doc[order], first)
+            many = np.add.reduceat(np.where(run > 0, 1, low)[order], first) > heavy
             keep = order[np.repeat(shared, np.diff(np.append(first, len(order))))]
             keep = keep[run[keep] > 0]
             if len(keep):
-                yield _pack(_home(doc[keep], homes), True, anchor[keep], doc[keep], low[keep], run[keep])
-        anchor, doc, low, run = _unpack([r for r in rows if r["known"]])
+                yield _pack(_home(doc[keep], homes), "place", anchor[keep], doc[keep], low[keep], run[keep])
+            if many.any():
+                named = anchor[order][first[many]]
+                none = np.zeros(len(named), np.int64)
+                yield _pack(none, "heavy", named, none, none, none)
+        anchor, doc, low, run = _unpack([r for r in rows if r["kind"] == "known"])
         if len(anchor):
-            yield _pack(_home(doc, homes), True, anchor, doc, low, run)
+            yield _pack(_home(doc, homes), "place", anchor, doc, low, run)
 
     return resolve
 
@@ -233,84 +245,76 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
         done += step
 
 
-def repeated(data: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """For each start, whether its string of LENGTH bytes also starts in ``data`` with a smaller owner.
+def repeated(data: np.ndarray, start: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each start, whether its string of LENGTH bytes also starts in a document smaller than its least, or its most.
 
-    Breadth-first backward extension over the Burrows-Wheeler transform, STEP bytes a level: a level holds, in suffix
-    order, the intervals of strings that several owners have, beginning with the empty string at the end of each.
+    The documents that have a start's copy are given by the least and the most of them. Breadth-first backward extension
+    over the Burrows-Wheeler transform, STEP bytes a level: a level holds, in suffix order, the intervals of strings that
+    several documents have, beginning with the empty string at the end of each.
     """
     data = np.concatenate([data, np.zeros(LENGTH, np.uint8)])
     order = suffix_order(data)
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     head = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(np.uint64).ravel()  # bytes 0 to 7 of a place, 2 to 9 by its second next
-    at, own, member = rank[start + LENGTH], owner, np.arange(len(start))
+    at, member = rank[start + LENGTH], np.arange(len(start))
     interval = np.zeros(len(start), np.int64)
     bits = np.int64(max(1, len(start).bit_length()))
+    found = np.zeros((2, len(start)), bool)
     for _ in range(LENGTH // STEP):
         moved = np.sort((rank[order[at] - STEP] << bits) | np.arange(len(at)))
         turned, at = moved & ((1 << bits) - 1), moved >> bits
-        own, member, interval, place = own[turned], member[turned], interval[turned], order[at]
+        member, interval, place = member[turned], interval[turned], order[at]
         a, b = head[place], head[place + STEP - 8]
         new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (interval[1:] != interval[:-1])])  # a common prefix ends here
         first = np.flatnonzero(new)
-        keep = np.repeat(np.minimum.reduceat(own, first) < np.maximum.reduceat(own, first), np.diff(np.append(first, len(at))))
+        smallest = np.minimum.reduceat(least[member], first)
+        keep = np.repeat(smallest < np.maximum.reduceat(most[member], first), np.diff(np.append(first, len(at))))
         if not keep.any():
-            return np.zeros(len(start), bool)
-        at, own, member = at[keep], own[keep], member[keep]
-        interval = np.cumsum(new)[keep]
-    first = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
-    found = np.zeros(len(start), bool)
-    found[member] = own > np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(own))))
-    return found
+            return found[0], found[1]
+        at, member = at[keep], member[keep]
+        interval = np.cumsum(new)[keep] - 1
+    smallest = smallest[interval]
+    found[0, member], found[1, member] = least[member] > smallest, most[member] > smallest
+    return found[0], found[1]
 
 
-def _ranges(texts: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, offset, length) of the runs of repeated starts of each text."""
+def _ranges(texts: list[bytes], least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text number, offset, length, 0 or 1) of the runs of starts that repeat, for each text's least document and for its others."""
     lengths = np.array([len(t) for t in texts])
     runs = lengths - LENGTH + 1
     row = np.repeat(np.arange(len(texts)), runs)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(runs) - runs, runs)
-    hit = np.flatnonzero(repeated(np.frombuffer(b"".join(texts), np.uint8), (np.cumsum(lengths) - lengths)[row] + offset, owner[row]))
-    if not len(hit):
-        return (np.empty(0, np.int64),) * 3
-    new = np.flatnonzero(np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])]))
-    return row[hit[new]], offset[hit[new]], np.diff(np.append(new, len(hit)))
+    out = []
+    for which, flags in enumerate(repeated(np.frombuffer(b"".join(texts), np.uint8), (np.cumsum(lengths) - lengths)[row] + offset, least[row], most[row])):
+        hit = np.flatnonzero(flags)
+        new = np.flatnonzero(np.concatenate([[True], (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])])) if len(hit) else hit
+        out.append((row[hit[new]], offset[hit[new]], np.diff(np.append(new, len(hit))), np.full(len(new), which)))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _decided(texts: list[bytes], code: np.ndarray, doc: np.ndarray, several_only: bool) -> tuple[np.ndarray, ...]:
     """(row, offset, length) of covered starts of rows of segment ``code`` in document ``doc``, and each code's smallest document.
 
-    A segment enters the expansion for its smallest document and, if there are more, for its largest, which stands for them.
+    ``several_only`` leaves out segments of one document; the others need not meet each other then, so any blocks will do.
     """
     order = np.lexsort((doc, code))
     first = np.flatnonzero(np.concatenate([[True], np.diff(code[order]) != 0]))
     least = doc[order][first]
     most = doc[order][np.append(first[1:], len(order)) - 1]
-    several = np.flatnonzero(most > least)
-    single = several if several_only else np.arange(len(texts))
-    entries, owner = np.concatenate([single, several]), np.concatenate([least[single], most[several]])
-    size = np.array([len(t) for t in texts])[entries]
-    found = []
-    if several_only and len(entries):  # codes need not meet each other: any blocks will do
-        block = np.tile(np.cumsum(size[: len(several)]) // (BLOCK // 2), 2)
-    else:
-        block = np.zeros(len(entries), np.int64)
-    for b in range(int(block.max(initial=-1)) + 1):
-        chosen = np.flatnonzero(block == b)
-        if len(chosen):
-            number, offset, length = _ranges([texts[i] for i in entries[chosen]], owner[chosen])
-            found.append((chosen[number], offset, length))
-    if not found:
-        return (np.empty(0, np.int64),) * 3 + (least,)
-    entry, offset, length = (np.concatenate(x) for x in zip(*found))
-    # rows take the verdict of their entry: the smallest document's rows that of the first, others that of the second
-    of = np.full((len(texts), 2), -1)
-    of[single, 0], of[several, 1] = np.arange(len(single)), len(single) + np.arange(len(several))
-    mine = of[code, (doc > least[code]).astype(np.int64)]
+    chosen = np.flatnonzero(most > least) if several_only else np.arange(len(texts))
+    size = np.cumsum([len(texts[i]) for i in chosen])
+    block = size // BLOCK if several_only else np.zeros(len(chosen), np.int64)
+    found = [(np.empty(0, np.int64),) * 4]
+    for b in np.unique(block):
+        now = chosen[block == b]
+        number, offset, length, which = _ranges([texts[i] for i in now], least[now], most[now])
+        found.append((2 * now[number] + which, offset, length, which))
+    entry, offset, length, _ = (np.concatenate(x) for x in zip(*found))
+    # rows take the verdict of their segment: the smallest document's rows one, all others the other
     order = np.argsort(entry, kind="stable")
+    mine = 2 * code + (doc > least[code])
     begin, end = np.searchsorted(entry[order], mine), np.searchsorted(entry[order], mine, "right")
-    begin[mine < 0] = end[mine < 0] = 0
     many = end - begin
     row = np.repeat(np.arange(len(code)), many)
     pick = order[np.repeat(begin, many) + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)]
@@ -330,83 +334,138 @@ def _by_text(doc: np.ndarray, key: np.ndarray, low: np.ndarray, run: np.ndarray)
     return pa.RecordBatch.from_arrays([pa.array(doc[cut[:-1]]), pa.array(key[cut[:-1]]), *[pa.array(b, pa.binary()) for b in blobs]], schema=_FOUND)
 
 
-CANDIDATES = FOUND + ", anchor long, start long, segment binary"
+# a row holds covered ranges of one text, or many segments: their minimisers, starts, bytes and rows, and documents, keys and places by row
+CANDIDATES = FOUND + ", part int, anchor binary, runs binary, bytes binary, rows binary, docs binary, keys binary, places binary"
+_CANDIDATES = pa.schema([*_FOUND, ("part", pa.int32()), *[(c, pa.binary()) for c in ("anchor", "runs", "bytes", "rows", "docs", "keys", "places")]])
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cuts candidate segments out of the texts (packed places come first) and decides copies within the task."""
-    more = pa.schema([*_FOUND, ("anchor", pa.int64()), ("start", pa.int64()), ("segment", pa.binary())])
-    packed, places = [], None
-    codes: dict[bytes, int] = {}
-    code, anchors, docs, keys, lows = [], [], [], [], []
+def _going(parts: int, texts: list[bytes], code, anchor, doc, key, place) -> pa.RecordBatch:
+    """Segments packed by the part that their minimisers are dealt to; each one's bytes once, compressed."""
+    order = np.argsort(code, kind="stable")
+    code, anchor, doc, key, place = (x[order] for x in (code, anchor, doc, key, place))
+    first = np.flatnonzero(np.concatenate([[True], np.diff(code) != 0]))
+    count = np.diff(np.append(first, len(code)))
+    rows = []
+    for o in _split(anchor[first] % parts):
+        mine = np.repeat(first[o], count[o]) + np.arange(count[o].sum()) - np.repeat(np.cumsum(count[o]) - count[o], count[o])
+        held = [texts[i] for i in code[first[o]].tolist()]
+        runs = np.array([len(t) - LENGTH + 1 for t in held])
+        packed = pa.compress(b"".join(held), codec="zstd", asbytes=True)
+        rows.append((int(anchor[first[o[0]]] % parts), _planes(anchor[first[o]], 6), _planes(runs, 1), packed, _planes(count[o]), _planes(np.diff(doc[mine], prepend=0)), _planes(key[mine]), _planes(np.diff(place[mine], prepend=0))))
+    none = [pa.nulls(len(rows), f.type) for f in _FOUND]
+    return pa.RecordBatch.from_arrays([*none, *[pa.array(c, f.type) for c, f in zip(zip(*rows), list(_CANDIDATES)[4:])]], schema=_CANDIDATES)
 
-    def flushed():
-        texts = list(codes)
-        c, a, d, k, s = (np.array(x, np.int64) for x in (code, anchors, docs, keys, lows))
-        row, offset, length, least = _decided(texts, c, d, True)
-        if len(row):
-            covered = _by_text(d[row], k[row], s[row] + offset, length)
-            none = [pa.nulls(len(covered), f.type) for f in list(more)[4:]]
-            yield pa.RecordBatch.from_arrays([*covered.columns, *none], schema=more)
-        go = np.flatnonzero(d == least[c])
-        empty = pa.nulls(len(go), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(d[go]), pa.array(k[go]), empty, empty, pa.array(a[go]), pa.array(s[go]), pa.array([texts[i] for i in c[go]], pa.binary())], schema=more)
 
-    for batch in batches:
-        kinds = batch.column("text").is_valid().to_numpy(zero_copy_only=False)
-        if not kinds.all():
-            packed += batch.filter(pa.array(~kinds)).select(["anchor", "doc", "low", "run"]).to_pylist()
-            batch = batch.filter(pa.array(kinds))
-        if not len(batch):
-            continue
-        if places is None:
-            anchor, doc, low, run = _unpack(packed)
-            packed = []
-            order = np.lexsort((low, doc))
-            places = tuple(x[order] for x in (doc, anchor, low, run))
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        begin, end = np.searchsorted(places[0], ids), np.searchsorted(places[0], ids, "right")
-        for text, i, key, b, e in zip(batch.column("text").to_pylist(), ids.tolist(), batch.column("text_key").to_pylist(), begin.tolist(), end.tolist()):
-            for a, s, r in zip(places[1][b:e].tolist(), places[2][b:e].tolist(), places[3][b:e].tolist()):
-                if s + r + LENGTH - 1 <= len(text):  # another row of this doc_id may be shorter
-                    code.append(codes.setdefault(text[s : s + r + LENGTH - 1], len(codes)))
-                    anchors.append(a)
-                    docs.append(i)
-                    keys.append(key)
-                    lows.append(s)
-            if len(code) > CUT:
-                yield from flushed()
-                codes.clear()
-                code, anchors, docs, keys, lows = [], [], [], [], []
-    if code:
-        yield from flushed()
+def _covered(parts: int, doc, key, low, run) -> pa.RecordBatch:
+    made = _by_text(doc, key, low, run)
+    part = pa.array(made.column("text_key").to_numpy() % parts, pa.int32())
+    return pa.RecordBatch.from_arrays([*made.columns, part, *[pa.nulls(len(made), f.type) for f in list(_CANDIDATES)[5:]]], schema=_CANDIDATES)
 
 
-def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Covered ranges of segments, which come in the order of ``dealt``; a block ends between two values of it."""
+def _singles(texts: list[bytes], code, anchor, doc, key, place) -> tuple:
+    """The same strings as segments of one start each, with hashes of their own in place of minimisers."""
     codes: dict[bytes, int] = {}
-    code, rows, size, last = [], [], 0, None
+    made = []
+    for c, d, k, p in zip(code.tolist(), doc.tolist(), key.tolist(), place.tolist()):
+        made += [(codes.setdefault(texts[c][i : i + LENGTH], len(codes)), d, k, p + i) for i in range(len(texts[c]) - LENGTH + 1)]
+    code, doc, key, place = np.array(made, np.int64).T
+    own = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=6).digest(), "little") for t in codes], np.int64)
+    return list(codes), code, own[code], doc, key, place
+
+
+def _candidates(parts: int, heavy: Broadcast):
+    """Cuts candidate segments out of the texts (packed places come first), decides copies within the task and packs what is left."""
+
+    def flushed(codes, rows):
+        texts = list(codes)
+        code, anchor, doc, key, place = np.array(rows, np.int64).T
+        row, offset, length, least = _decided(texts, code, doc, True)
+        lost = doc > least[code]
+        mine = lost[row]  # those of the smallest document are judged again, with all others
+        if mine.any():
+            yield _covered(parts, doc[row[mine]], key[row[mine]], place[row[mine]] + offset[mine], length[mine])
+        many = np.isin(anchor, heavy.value)
+        for those, cut in ((~lost & ~many, lambda *x: x), (~lost & many, _singles)):
+            if those.any():
+                yield _going(parts, *cut(texts, *(x[those] for x in (code, anchor, doc, key, place))))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed, places = [], None
+        codes: dict[bytes, int] = {}
+        rows: list[tuple] = []
+        for batch in batches:
+            kinds = batch.column("text").is_valid().to_numpy(zero_copy_only=False)
+            if not kinds.all():
+                packed += batch.filter(pa.array(~kinds)).select(["anchor", "doc", "low", "run"]).to_pylist()
+                batch = batch.filter(pa.array(kinds))
+            if not len(batch):
+                continue
+            if places is None:
+                anchor, doc, low, run = _unpack(packed)
+                order = np.lexsort((low, doc))
+                packed, places = [], tuple(x[order] for x in (doc, anchor, low, run))
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            begin, end = np.searchsorted(places[0], ids), np.searchsorted(places[0], ids, "right")
+            for text, i, key, b, e in zip(batch.column("text"), ids.tolist(), batch.column("text_key").to_pylist(), begin.tolist(), end.tolist()):
+                if b == e:
+                    continue
+                text = text.as_py()
+                for a, s, r in zip(places[1][b:e].tolist(), places[2][b:e].tolist(), places[3][b:e].tolist()):
+                    if s + r + LENGTH - 1 <= len(text):  # another row of this doc_id may be shorter
+                        rows.append((codes.setdefault(text[s : s + r + LENGTH - 1], len(codes)), a, i, key, s))
+                if len(rows) > CUT:
+                    yield from flushed(codes, rows)
+                    codes, rows = {}, []
+        if rows:
+            yield from flushed(codes, rows)
+
+    return candidates
 
-    def decided():
-        doc, key, start = (np.array(x, np.int64) for x in zip(*rows))
-        row, offset, length, _ = _decided(list(codes), np.array(code), doc, False)
-        if len(row):
-            yield _by_text(doc[row], key[row], start[row] + offset, length)
 
+def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Covered ranges of packed segments, in blocks of whole minimisers; ranges that come in go out as they are."""
+    packed = []
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("dealt", "doc_id", "text_key", "start", "segment")]
-        for dealt, doc, key, start, segment in zip(*columns):
-            if dealt != last and size > BLOCK:
-                yield from decided()
-                codes.clear()
-                code, rows, size = [], [], 0
-            last = dealt
-            known = len(codes)
-            code.append(codes.setdefault(segment, known))
-            size += len(segment) if len(codes) > known else 0
-            rows.append((doc, key, start))
-    if rows:
-        yield from decided()
+        done = batch.column("low").is_valid()
+        yield batch.filter(done).select(_FOUND.names)
+        packed += batch.filter(pa.compute.invert(done)).to_pylist()
+    if not packed:
+        return
+    texts: list[bytes] = []
+    for r in packed:
+        size = _unplanes(r["runs"], 1) + LENGTH - 1
+        data = pa.decompress(r.pop("bytes"), decompressed_size=int(size.sum()), codec="zstd", asbytes=True)
+        end = np.cumsum(size)
+        texts += [data[a:b] for a, b in zip((end - size).tolist(), end.tolist())]
+    anchor, count = (np.concatenate([_unplanes(r[c], w) for r in packed]) for c, w in (("anchor", 6), ("rows", 8)))
+    doc, place = (np.concatenate([np.cumsum(_unplanes(r[c])) for r in packed]) for c in ("docs", "places"))
+    key = np.concatenate([_unplanes(r["keys"]) for r in packed])
+    del packed
+    begin = np.cumsum(count) - count
+    order = np.argsort(anchor, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) != 0]))
+    size = np.add.reduceat(np.array([len(t) for t in texts])[order], starts)
+    block = np.repeat((np.cumsum(size) - size) // BLOCK, np.diff(np.append(starts, len(order))))
+    for now in np.split(order, np.flatnonzero(np.diff(block)) + 1):
+        codes: dict[bytes, int] = {}
+        code = np.repeat([codes.setdefault(texts[i], len(codes)) for i in now.tolist()], count[now])
+        mine = np.repeat(begin[now], count[now]) + np.arange(count[now].sum()) - np.repeat(np.cumsum(count[now]) - count[now], count[now])
+        block_rows = list(codes), code, doc[mine], key[mine], place[mine]
+        for part in [block_rows] if sum(map(len, codes)) <= 3 * BLOCK else _by_string(*block_rows):
+            row, offset, length, _ = _decided(*part[:3], False)
+            if len(row):
+                yield _by_text(part[2][row], part[3][row], part[4][row] + offset, length)
+
+
+def _by_string(texts: list[bytes], code, doc, key, place) -> Iterator[tuple]:
+    """Blocks of single strings, for a minimiser that is too large for a block of its own."""
+    held, code, own, doc, key, place = _singles(texts, code, code, doc, key, place)
+    order = np.argsort(own, kind="stable")
+    new = np.cumsum(np.diff(own[order], prepend=own[order[0]]) != 0)
+    at = np.searchsorted(new, new)  # where a value begins: its strings stay together
+    for rows in np.split(order, np.flatnonzero(np.diff(at * LENGTH // BLOCK)) + 1):
+        used, now = np.unique(code[rows], return_inverse=True)
+        yield [held[i] for i in used.tolist()], now, doc[rows], key[rows], place[rows]
 
 
 def _keep(text: bytes, low: np.ndarray, high: np.ndarray) -> tuple[bytes, int, int]:
@@ -438,17 +497,6 @@ def _remove(schema: pa.Schema):
     return remove
 
 
-def _dealt(segments: DataFrame) -> DataFrame:
-    """Segments with the value they are dealt by: their minimiser, or single strings by themselves where it has more than HEAVY."""
-    own = ("doc_id", "text_key", "start", "segment")
-    heavy = staged(segments.groupBy("anchor").count().where(F.col("count") > HEAVY).select("anchor", F.lit(True).alias("heavy")), "heavy")
-    marked = segments.join(F.broadcast(heavy) if heavy.count() <= BROADCAST_ROWS else heavy.hint("shuffle_hash"), "anchor", "left")
-    light = marked.where("heavy is null").select(F.col("anchor").alias("dealt"), *own)
-    single = marked.where("heavy").select("doc_id", "text_key", "start", "segment", F.explode(F.sequence(F.lit(0), F.octet_length("segment") - LENGTH)).alias("i"))
-    single = single.select("doc_id", "text_key", (F.col("start") + F.col("i")).alias("start"), F.substring("segment", F.col("i") + 1, LENGTH).alias("segment"))
-    return light.unionByName(single.select(F.xxhash64("segment").alias("dealt"), *own))
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without ``text``, with kept (binary), n_bytes, n_removed and n_spans (maximal removed runs).
 
@@ -460,16 +508,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts, homes = int(total * 2 // ((SLACK + 2) * ANCHORS_A_TASK)) + 8, int(total // TEXT_A_TASK) * 2 + 17
-    sent = texts.select("doc_id", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(_send(parts), PACKED)
-    shared = sent.repartitionById(parts, F.col("part")).mapInArrow(_resolve(homes), PACKED).withColumnRenamed("part", "home")
-    looked = shared.unionByName(texts.withColumn("home", _home_column(homes)), allowMissingColumns=True)
+    parts, homes, ends = (int(total // size) + 8 for size in (SEND_TASK, TEXT_TASK, EXPAND_TASK))
+    sent = texts.select("doc_id", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(_send(parts, homes), PACKED)
+    heavy = max(HEAVY, total // MOST_HEAVY)
+    shared = staged(sent.repartitionById(parts, F.col("part")).mapInArrow(_resolve(homes, heavy), PACKED), "places")
+    named = _unpack([r.asDict() for r in shared.where("kind = 'heavy'").collect()])[0]  # at most MOST_HEAVY
+    named = docs.sparkSession.sparkContext.broadcast(named)
+    looked = shared.where("kind = 'place'").withColumnRenamed("part", "home").unionByName(texts.withColumn("home", _home_column(homes)), allowMissingColumns=True)
     looked = looked.repartitionById(homes, F.col("home")).sortWithinPartitions(F.col("text").isNotNull(), "doc_id")
-    found = staged(looked.mapInArrow(_candidates, CANDIDATES), "candidates")
-    going = found.where("segment is not null").select("anchor", "doc_id", "text_key", "start", "segment")
-    tasks = max(8, going.count() // SEGMENTS_A_TASK)
-    dealt = _dealt(going).repartition(tasks, "dealt").sortWithinPartitions("dealt")
-    covered = found.where("low is not null").select("doc_id", "text_key", "low", "run").unionByName(dealt.mapInArrow(_expand, FOUND))
+    going = looked.mapInArrow(_candidates(ends, named), CANDIDATES).repartitionById(ends, F.col("part"))
+    covered = staged(going.mapInArrow(_expand, FOUND), "covered")
     covered = covered.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(F.collect_list("low").alias("__low"), F.collect_list("run").alias("__run"))
     added = ("kept", "n_bytes", "n_removed", "n_spans")
     rest = [c for c in docs.columns if c not in ("text", *added)]

@@ -54,7 +54,7 @@ def test_planted_passages(make_docs):
     assert result(make_docs(pairs)) == brute(pairs)
 
 
-def test_heavy_minimiser_is_dealt_by_strings(make_docs, monkeypatch):
+def test_heavy_minimisers_are_dealt_by_strings(make_docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HEAVY", 10)
     rnd = random.Random(4)
     noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
@@ -63,16 +63,43 @@ def test_heavy_minimiser_is_dealt_by_strings(make_docs, monkeypatch):
     assert result(make_docs(pairs)) == brute(pairs)
 
 
-def test_a_heavy_minimiser_sends_rows_in_proportion(make_docs):
-    """10,000 contexts of one passage: no segment is sent more than once for each of its strings."""
+def test_a_heavy_minimiser_sends_rows_in_proportion():
+    """10,000 contexts of one passage: each string is sent once, and no value they are dealt by has more than a few."""
     rnd = random.Random(6)
     noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
     passage = noise(30)
+    texts = [(noise(25) + passage + noise(25)).encode() for _ in range(10_000)]
+    n = np.arange(10_000)
+    held, code, anchor, doc, _, place = suffix_dedup._singles(texts, n, n * 0, n, n * 0, n * 0)
+    assert len(code) == 10_000 * 31 and np.bincount(np.unique(anchor, return_inverse=True)[1]).max() < 20
+    assert all(held[c] == texts[d][p : p + N] for c, d, p in zip(code.tolist(), doc.tolist(), place.tolist()))
+
+
+def test_blocks_of_single_strings(monkeypatch):
+    rnd = random.Random(9)
+    parts = ["".join(rnd.choice("ab") for _ in range(30)) for _ in range(5)]
+    texts = list({"".join(rnd.choice(parts) for _ in range(3))[: rnd.randint(50, 80)].encode() for _ in range(200)})
+    code = np.array([rnd.randrange(len(texts)) for _ in range(500)])
+    doc, place = np.arange(500) // 2, np.arange(500) * 1000
+    strings = {}
+    for c, d in zip(code.tolist(), doc.tolist()):
+        for i in range(len(texts[c]) - N + 1):
+            strings[texts[c][i : i + N]] = min(d, strings.get(texts[c][i : i + N], d))
+    expected = {p + i for c, d, p in zip(code.tolist(), doc.tolist(), place.tolist()) for i in range(len(texts[c]) - N + 1) if strings[texts[c][i : i + N]] < d}
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 2000)
+    found, blocks = set(), 0
+    for held, c, d, _, p in suffix_dedup._by_string(texts, code, doc, doc * 0, place):
+        row, offset, length, _ = suffix_dedup._decided(held, c, d, False)
+        found |= {p[r] + o + i for r, o, n in zip(row, offset, length) for i in range(n)}
+        blocks += 1
+    assert found == expected and blocks > 3
+
+
+def test_a_hot_minimiser_in_many_contexts(make_docs):
+    rnd = random.Random(8)
+    noise = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    passage = noise(30)
     docs = make_docs([(i, noise(40) + passage + noise(40)) for i in range(10_000)])
-    segments = docs.selectExpr("1L as anchor", "doc_id", "0L as text_key", "0L as start", "cast(substring(text, 15, 80) as binary) as segment")
-    dealt = suffix_dedup._dealt(segments)
-    assert dealt.count() == 10_000 * 31
-    assert dealt.groupBy("dealt").count().agg({"count": "max"}).first()[0] < 20
     assert {v[1] for v in result(docs).values()} == {0}
 
 
@@ -105,7 +132,8 @@ def test_expansion_equals_direct_comparison():
         for s, o in zip(start.tolist(), owner.tolist()):
             least[data[s : s + N]] = min(o, least.get(data[s : s + N], o))
         expected = [least[data[s : s + N]] < o for s, o in zip(start.tolist(), owner.tolist())]
-        assert suffix_dedup.repeated(np.frombuffer(data, np.uint8), start, owner).tolist() == expected
+        found = suffix_dedup.repeated(np.frombuffer(data, np.uint8), start, owner, owner)
+        assert found[0].tolist() == found[1].tolist() == expected
 
 
 def test_rows_that_share_an_id_differ(make_docs):
