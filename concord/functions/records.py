@@ -14,8 +14,8 @@ def canonical_json(payload: Column) -> Column:
 
 
 def content_hash(payload: Column) -> Column:
-    """SHA-256 of the canonical payload, the identity of a record's content."""
-    return F.sha2(canonical_json(payload), 256)
+    """SHA-256 of the canonical payload, the identity of a record's content; of the text itself where that is not JSON."""
+    return F.sha2(F.coalesce(canonical_json(payload), payload), 256)
 
 
 def row_hash(fields: dict[str, Column]) -> Column:
@@ -29,10 +29,14 @@ def idempotency_key(connector: str, datatype: str, key: Column, digest: Column)
 
 
 def dot_path(payload: Column, path: str) -> Column:
-    """The value under a dotted path as a string; null where a step is missing."""
-    if not re.fullmatch(r"\w+(\.\w+|\[\d+\])*", path):
+    """The value under a dotted path as a string; null where a step is missing.
+
+    A step is a name of any characters but dots, brackets and quotes, with indexes like ``[0]`` behind it.
+    """
+    steps = [re.fullmatch(r"([^.\[\]']+)((?:\[\d+\])*)", s) for s in path.split(".")]
+    if not all(steps):
         raise ValueError(f"not a path of names and indexes: {path}")
-    return F.get_json_object(payload, f"$.{path}")
+    return F.get_json_object(payload, "$" + "".join(f"['{s[1]}']{s[2]}" for s in steps))
 
 
 def cast_or_default(value: Column, kind: str, default=None) -> Column:
@@ -55,28 +59,45 @@ def composite_key(*parts: Column) -> Column:
     return whole
 
 
+def _utc(ts: Column) -> Column:
+    """The UTC wall clock of a timestamp, by plain arithmetic, so no time zone's gaps or folds matter."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(ts).cast("decimal(18,6)"))
+
+
+def _written(clock: Column) -> Column:
+    return F.concat(F.regexp_replace(F.replace(clock.cast("string"), F.lit(" "), F.lit("T")), r"\.\d+$", ""), F.lit("Z"))
+
+
 def iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """A timestamp as YYYY-MM-DDTHH:MM:SSZ in UTC, whatever the session's time zone."""
+    return _written(_utc(ts))
+
+
+def _clock(text: Column) -> Column:
+    """The UTC wall clock that a text names; without an offset of its own it is in UTC. Null where it can't be read."""
+    offset = F.regexp_like(text, F.lit(r"(?i)[0-9]:[0-9].*[0-9]\s*(Z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"))
+    return F.when(offset, _utc(F.try_to_timestamp(text))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def normalize_timestamp(value: Column, kind: str = "auto") -> Column:
     """A text timestamp as YYYY-MM-DDTHH:MM:SSZ; what can't be read stays as it is.
 
-    kind: iso8601, unix_seconds, unix_millis, rfc2822 or auto. In auto, numbers above 1e10 are milliseconds.
+    kind: iso8601, unix_seconds, unix_millis, rfc2822 or auto. In auto, numbers above 1e10 are milliseconds. The result does
+    not depend on the session's time zone.
     """
     number = value.try_cast("double")
     seconds = F.timestamp_seconds(F.floor(number).cast("long"))
     millis = F.timestamp_millis(F.floor(number).cast("long"))
     rfc = F.try_to_timestamp(F.regexp_replace(value, r"^[A-Za-z]{3},\s*", ""), F.lit("d MMM yyyy HH:mm:ss Z"))
-    text = F.when(number.isNull(), F.try_to_timestamp(value))
+    text = F.when(number.isNull(), _clock(value))
     made = {
         "iso8601": text,
-        "unix_seconds": seconds,
-        "unix_millis": millis,
-        "rfc2822": rfc,
-        "auto": F.coalesce(F.when(number > 1e10, millis).when(number.isNotNull(), seconds), text, rfc),
+        "unix_seconds": _utc(seconds),
+        "unix_millis": _utc(millis),
+        "rfc2822": _utc(rfc),
+        "auto": F.coalesce(_utc(F.when(number > 1e10, millis).when(number.isNotNull(), seconds)), text, _utc(rfc)),
     }[kind]
-    return F.coalesce(iso(made), value)
+    return F.coalesce(_written(made), value)
 
 
 def glob_regex(pattern: str) -> str:
@@ -122,3 +143,33 @@ def seconds(duration: str) -> float:
 def lock_key(name: Column) -> Column:
     """A signed 64-bit number from the first half of a name's MD5."""
     return F.conv(F.substring(F.md5(name), 1, 16), 16, -10).cast("long")
+
+
+def hmac_sha256(secret: str, body: Column) -> Column:
+    """HMAC-SHA256 of a text or binary column as lower-case hex, from two built-in digests."""
+    import hashlib
+
+    key = secret.encode()
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(k ^ pad for k in key)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, body.cast("binary")), 256))), 256)
+
+
+def signature_valid(secret: str, body: Column, signature: Column, encoding: str = "hex", sent_at: Column | None = None, now: Column | None = None, skew: int = 300) -> Column:
+    """Whether a signature belongs to a body; with ``sent_at`` (epoch seconds) it covers "<sent_at>.<body>" and may be
+    ``skew`` seconds off ``now``. Hex signatures may have a prefix like ``sha256=`` or ``v1=``. Null signatures are invalid."""
+    signed = body if sent_at is None else F.concat(sent_at.cast("string"), F.lit("."), body)
+    made = hmac_sha256(secret, signed)
+    if encoding == "base64":
+        good = F.base64(F.unhex(made)) == signature
+    else:
+        good = made == F.regexp_replace(signature, r"\A(sha256|v1)=", "")
+    if sent_at is not None and now is not None:
+        good = good & (F.abs(F.unix_seconds(now) - sent_at) <= skew)
+    return F.coalesce(good, F.lit(False))
+
+
+def name_rule(left: Column, right: Column, same_below: int = 3, differ_above: int = 5) -> Column:
+    """auto_link, queue_for_review or undecided, by the edit distance of two names; null where a name is missing."""
+    distance = F.levenshtein(left, right)
+    return F.when(distance < same_below, "auto_link").when(distance > differ_above, "queue_for_review").when(distance.isNotNull(), "undecided")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,3 +50,84 @@ def failures_in_a_row(key: str, order: list[str], failed: Column) -> Column:
     w = Window.partitionBy(key).orderBy(*order)
     island = F.sum(F.when(failed, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
     return island
+
+
+def folded(events: DataFrame, key: str, order: list[str], inputs: list[str], result: str, begin: Callable[[], Any], step: Callable[..., tuple[Any, Any]]) -> DataFrame:
+    """``events`` with a column ``result`` ("name type"): a fold over each key's events in order, one value per event.
+
+    ``step(state, *inputs)`` gives the next state and the value. Partitions are sorted and read as a stream, and only the state of
+    the key at hand is kept, so a key may have any number of events; they are folded in one task, as each step needs the last.
+    """
+    name = result.split()[0]
+    columns = events.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, state = object(), None
+        for frame in frames:
+            made = []
+            for k, *values in zip(frame[key].tolist(), *(frame[c].tolist() for c in inputs)):
+                if k != last:
+                    last, state = k, begin()
+                state, value = step(state, *values)
+                made.append(value)
+            yield frame[columns].assign(**{name: made})
+
+    dealt = events.repartition(key).sortWithinPartitions(key, *order)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema), result])
+    return dealt.mapInPandas(run, schema)
+
+
+def capped(events: DataFrame, key: str, micros: str, order: str, most: int, seconds: int = 3600) -> DataFrame:
+    """``events`` with ``admitted``: at most ``most`` of a key in a window that its first event opens; the first event
+    ``seconds`` or more later opens the next. Refused events don't count. ``micros`` is a time in microseconds."""
+
+    def step(state, at):
+        opened, used = state
+        if opened is None or at - opened >= seconds * 1_000_000:
+            opened, used = at, 0
+        return ((opened, used + 1), True) if used < most else ((opened, used), False)
+
+    return folded(events, key, [micros, order], [micros], "admitted boolean", lambda: (None, 0), step)
+
+
+def breaker(attempts: DataFrame, key: str, micros: str, order: str, failed: str, threshold: int = 5, recovery: float = 60.0, factor: float = 2.0, longest: float = 3600.0) -> DataFrame:
+    """``attempts`` with ``breaker``: closed, half_open or open as each attempt finds it; attempts that find it open do not run.
+
+    ``threshold`` failures in a row open it. After the recovery time the next attempt is let through as a probe: its success
+    closes the breaker and resets everything, its failure opens it again for ``factor`` times as long, up to ``longest`` seconds.
+    """
+
+    def step(state, at, bad):
+        mode, failures, opened, wait = state
+        if mode == "open" and at - opened >= wait * 1_000_000:
+            mode = "half_open"
+        found = mode
+        if mode == "open":
+            pass
+        elif not bad:
+            mode, failures, opened, wait = "closed", 0, None, recovery
+        elif mode == "half_open":
+            mode, failures, opened, wait = "open", failures + 1, at, min(wait * factor, longest)
+        else:
+            failures += 1
+            if failures >= threshold:
+                mode, opened = "open", at
+        return (mode, failures, opened, wait), found
+
+    return folded(attempts, key, [micros, order], [micros, failed], "breaker string", lambda: ("closed", 0, None, recovery), step)
+
+
+def follow_ups(notices: DataFrame, datatype: str, payload: Column, field: str = "id") -> DataFrame:
+    """(datatype, action, external_id), each once: what bare notifications ask for. One with an id fetches that record, one
+    without asks for a full sync."""
+    from ..functions.records import dot_path
+
+    asked = notices.select(F.col(datatype).alias("datatype"), dot_path(payload, field).alias("external_id"))
+    return asked.select("datatype", F.when(F.col("external_id").isNull(), "full_sync").otherwise("single_record").alias("action"), "external_id").distinct()
+
+
+def buffer_stats(waiting: DataFrame, key: str, at: Column, now: Column) -> DataFrame:
+    """(total_buffered_events, entities_with_buffered_events, max_buffer_age_secs) of events that wait for their turn."""
+    age = F.coalesce(F.max(F.unix_seconds(now) - F.unix_seconds(at)), F.lit(0))
+    per_key = waiting.groupBy(key).agg(F.count("*").alias("n"), age.alias("age"))
+    return per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_buffered_events"), F.count("*").alias("entities_with_buffered_events"), F.coalesce(F.max("age"), F.lit(0)).alias("max_buffer_age_secs"))

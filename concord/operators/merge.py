@@ -16,14 +16,15 @@ def first_per_key(df: DataFrame, key: str, arrival: str, columns: list[str]) ->
 def classify(incoming: DataFrame, current: DataFrame) -> DataFrame:
     """(external_id, action, data, _raw_hash): insert, update, resurrect or noop for each incoming record.
 
-    Both sides have one row per external_id and a content hash. A tombstone whose record comes back is resurrected
-    even if its content is as before, and gets its payload again.
+    Both sides have one row per external_id and a content hash, which may be null (a payload that is missing): null
+    equals null only. A tombstone whose record comes back is resurrected even if its content is as before, and gets its
+    payload again.
     """
-    old = current.select("external_id", F.col("_raw_hash").alias("old_hash"), F.col("_deleted").alias("was_deleted"))
+    old = current.select("external_id", F.col("_raw_hash").alias("old_hash"), F.col("_deleted").alias("was_deleted"), F.lit(True).alias("__old"))
     action = (
-        F.when(F.col("old_hash").isNull(), "insert")
+        F.when(F.col("__old").isNull(), "insert")
         .when(F.col("was_deleted"), "resurrect")
-        .when(F.col("old_hash") != F.col("_raw_hash"), "update")
+        .when(~F.col("old_hash").eqNullSafe(F.col("_raw_hash")), "update")
         .otherwise("noop")
     )
     return incoming.join(old, "external_id", "left").select("external_id", action.alias("action"), "data", "_raw_hash")
@@ -31,14 +32,10 @@ def classify(incoming: DataFrame, current: DataFrame) -> DataFrame:
 
 def apply(incoming: DataFrame, current: DataFrame) -> DataFrame:
     """The snapshot after an upsert, in one full outer join: incoming records replace theirs, all others stay."""
-    new = incoming.select("external_id", F.col("data").alias("n_data"), F.col("_raw_hash").alias("n_hash"))
+    new = incoming.select("external_id", F.struct(F.col("data"), F.col("_raw_hash"), F.lit(False).alias("_deleted")).alias("__new"))
     both = current.select(*STATE).join(new, "external_id", "full_outer")
-    return both.select(
-        "external_id",
-        F.when(F.col("n_hash").isNotNull(), F.col("n_data")).otherwise(F.col("data")).alias("data"),
-        F.coalesce("n_hash", "_raw_hash").alias("_raw_hash"),
-        F.when(F.col("n_hash").isNotNull(), False).otherwise(F.col("_deleted")).alias("_deleted"),
-    )
+    came = F.col("__new").isNotNull()
+    return both.select("external_id", *[F.when(came, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in STATE[1:]])
 
 
 def missing(current: DataFrame, seen: DataFrame) -> DataFrame:
@@ -47,17 +44,17 @@ def missing(current: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def deletion_guard(current: DataFrame, seen: DataFrame, most: float = 0.5) -> DataFrame:
-    """(n_live, n_missing, ratio, aborted): deletions above the ratio abort, exactly the ratio passes."""
+    """(n_live, n_missing, ratio, aborted): deletions above the ratio abort, exactly the ratio passes. Ids may be seen repeatedly."""
     live = current.where(~F.col("_deleted")).select("external_id")
-    marked = live.join(seen.select("external_id", F.lit(1).alias("here")), "external_id", "left")
+    marked = live.join(seen.select("external_id", F.lit(1).alias("here")).distinct(), "external_id", "left")
     counts = marked.agg(F.count("*").alias("n_live"), F.count_if(F.col("here").isNull()).alias("n_missing"))
     ratio = F.when(F.col("n_live") > 0, F.col("n_missing") / F.col("n_live")).otherwise(F.lit(0.0))
     return counts.withColumn("ratio", F.round(ratio, 4)).withColumn("aborted", ratio > most)
 
 
 def tombstone(current: DataFrame, gone: DataFrame) -> DataFrame:
-    """The snapshot with the payload of ``gone`` blanked; content hashes stay."""
-    marks = gone.select("external_id", F.lit(True).alias("__gone"))
+    """The snapshot with the payload of ``gone`` (ids may repeat) blanked; content hashes stay."""
+    marks = gone.select("external_id", F.lit(True).alias("__gone")).distinct()
     met = current.join(marks, "external_id", "left")
     hit = F.coalesce("__gone", F.lit(False))
     return met.select("external_id", F.when(hit, "{}").otherwise(F.col("data")).alias("data"), "_raw_hash", (F.col("_deleted") | hit).alias("_deleted"))
@@ -79,6 +76,26 @@ def latest_change(changes: DataFrame, key: str, sequence: str, columns: list[str
     return changes.groupBy(key).agg(F.max_by(F.struct(*columns), sequence).alias("r")).select(key, "r.*")
 
 
+def change_batch(changes: DataFrame, current: DataFrame, order: str, run_id: str, keep: str = "first") -> dict[str, DataFrame]:
+    """One batch of change records (external_id, op, data, _raw_hash and ``order``) against a snapshot.
+
+    ``state`` is the snapshot after it, ``history`` what was inserted, updated or resurrected, ``rejects`` the records without a
+    key, ``watermark`` one row with the greatest ``order``. Of several records of one key in the batch the first counts, or
+    the last if ``keep`` says so. DELETE makes a tombstone of a known record (an unknown one is ignored), all else upserts.
+    """
+    keyed = changes.where("external_id is not null")
+    chosen = first_per_key if keep == "first" else latest_change
+    one = chosen(keyed, "external_id", order, ["op", "data", "_raw_hash"])
+    upserts = one.where("not (op <=> 'DELETE')")
+    known = history(classify(upserts, current), run_id)
+    return {
+        "state": tombstone(apply(upserts, current), one.where("op = 'DELETE'")),
+        "history": known,
+        "rejects": changes.where("external_id is null").withColumn("error_class", F.lit("data_error")),
+        "watermark": keyed.agg(F.max(order).alias("watermark")),
+    }
+
+
 def keyed_merge(current: DataFrame, new: DataFrame, key: list[str], keep_old_if_null: list[str] = (), keep_first: list[str] = ()) -> DataFrame:
     """Upsert by key: new values win, but nulls of ``keep_old_if_null`` and any later value of ``keep_first`` don't."""
     value = [c for c in current.columns if c not in key]

@@ -29,6 +29,11 @@ def drift(spark: SparkSession, fields: DataFrame, known: list[str]) -> DataFrame
     return fields.exceptAll(before).withColumn("drift", F.lit("new")).union(before.exceptAll(fields).withColumn("drift", F.lit("orphan")))
 
 
+def bumped(version: int, drifted: DataFrame) -> DataFrame:
+    """(_schema_version): one more if there are new fields."""
+    return drifted.agg((F.lit(version) + (F.count_if(F.col("drift") == "new") > 0).cast("int")).alias("_schema_version"))
+
+
 def migrate(df: DataFrame, wanted: T.StructType, prune: bool = False) -> DataFrame:
     """Add missing fields as null texts; drop others only if asked; never retype."""
     there = df.columns

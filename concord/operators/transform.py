@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from typing import Any
 
@@ -24,8 +25,6 @@ class Field:
 
 def exclude_fields(df: DataFrame, patterns: list[str]) -> DataFrame:
     """Drop the fields whose bare names match a pattern, inside structs too; arrays are not entered."""
-    import re
-
     regexes = [re.compile(R.glob_regex(p).replace(r"\z", r"\Z")) for p in patterns]
     gone = lambda name: any(r.match(name) for r in regexes)
 
@@ -38,11 +37,11 @@ def exclude_fields(df: DataFrame, patterns: list[str]) -> DataFrame:
 
 
 def map_fields(df: DataFrame, payload: str, fields: list[Field], strict: bool = True, keep: list[str] = ()) -> DataFrame:
-    """Columns made from a JSON payload; if not strict, ``rest`` holds its unmapped top-level fields as JSON."""
+    """Columns made from a JSON payload; if not strict, ``rest`` holds its unmapped top-level fields as JSON, values as they are."""
     made = [R.cast_or_default(R.dot_path(F.col(payload), f.source), f.kind, f.default).alias(f.target) for f in fields]
     if not strict:
-        used = [f.source.split(".")[0] for f in fields]
-        entries = F.from_json(F.col(payload), "map<string,string>")
+        used = [re.split(r"[.\[]", f.source)[0] for f in fields]
+        entries = F.from_json(F.col(payload), "map<string,variant>")
         made.append(F.to_json(F.map_filter(entries, lambda k, _: ~k.isin(used))).alias("rest"))
     return df.select(*keep, *made)
 
@@ -74,9 +73,9 @@ def payload_of(df: DataFrame) -> DataFrame:
 
 
 def add_reference(payload: Column, name: str, value: Column) -> Column:
-    """A JSON object with one more text field; an earlier field of that name is replaced."""
-    entries = F.map_filter(F.from_json(payload, "map<string,string>"), lambda k, _: k != name)
-    return F.to_json(F.map_concat(entries, F.create_map(F.lit(name), value)))
+    """A JSON object with one more text field; an earlier field of that name is replaced, other values stay as they are."""
+    entries = F.map_filter(F.from_json(payload, "map<string,variant>"), lambda k, _: k != name)
+    return F.to_json(F.map_concat(entries, F.create_map(F.lit(name), value.cast("variant"))))
 
 
 def interpolate(template: str, **values: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import staged
+from .events import capped
 
 ACTIONS = ("insert", "update", "delete", "archive", "upsert")
 
@@ -114,21 +115,57 @@ def plan(rows: DataFrame, operations: dict[str, tuple[str, str]], key: str) -> D
     return rows.withColumns({"method": method, "path": path}).withColumn("step", F.when(known & F.col("method").isNotNull(), "write").otherwise("skip"))
 
 
-def levels(edges: DataFrame, nodes: DataFrame, rounds: int = 50) -> DataFrame:
+def resync_commands(resolved: DataFrame, most: int) -> DataFrame:
+    """(external_id, command, admitted) for the rows whose step is resync: at most ``most`` per record in an hour's window.
+
+    ``resolved`` has external_id, ``step`` and ``at``, the time of each decision; the write itself is skipped either way.
+    """
+    asked = resolved.where("step = 'resync'").select("external_id", F.unix_micros("at").alias("micros"))
+    told = capped(asked, "external_id", "micros", "external_id", most)
+    return told.select("external_id", F.lit("resync_record").alias("command"), "admitted")
+
+
+def levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(id, level): rows follow all rows they depend on; level null marks rows on or behind a cycle.
 
     edges: (id, parent). Every round takes the edges to rows just settled out of the open ones and settles the rows that
-    have none left. Both are written to the shared folder, so a round costs what is still open. Raises if there are
-    chains of more than ``rounds`` rows.
+    have none left, until none is left or none can be settled, so there are as many rounds as the longest chain has rows.
+    Both tables are written to the shared folder, so a round costs what is still open.
     """
     waiting = staged(edges.select("id", "parent").distinct(), "open-edges")
     fresh = staged(nodes.select("id").distinct().join(waiting.select("id").distinct(), "id", "left_anti"), "level-0")
-    settled = fresh.withColumn("level", F.lit(0))
-    for level in range(1, rounds + 1):
+    settled, level = [fresh.withColumn("level", F.lit(0))], 0
+    while not fresh.isEmpty():
+        level += 1
         still = staged(waiting.join(fresh.select(F.col("id").alias("parent")), "parent", "left_anti").select("id", "parent"), "open-edges")
-        fresh = staged(waiting.select("id").distinct().join(still.select("id").distinct(), "id", "left_anti"), f"level-{level}")
-        if fresh.isEmpty():
-            return nodes.join(settled, "id", "left")
-        settled = settled.unionByName(fresh.withColumn("level", F.lit(level)))
+        fresh = staged(waiting.select("id").distinct().join(still.select("id").distinct(), "id", "left_anti"), "level")
+        settled.append(fresh.withColumn("level", F.lit(level)))
         waiting = still
-    raise RuntimeError(f"chains of more than {rounds} rows")
+        if len(settled) == 32:  # a long union makes a slow plan
+            settled = [staged(_united(settled), "levels")]
+    return nodes.join(_united(settled), "id", "left")
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def write_order(rows: DataFrame, key: str, group: str, parents: list[str]) -> DataFrame:
+    """``rows`` with ``write_level`` and ``cycle``.
+
+    Within a group, a row comes after the rows that its ``parents`` columns name by key (itself and rows elsewhere don't count). A
+    group with a cycle is flagged as a whole and has no levels. Rows without a group have no level: they go last.
+    """
+    grouped = rows.where(F.col(group).isNotNull())
+    node = F.struct(F.col(group).alias("g"), F.col(key).alias("k"))
+    named = [grouped.where(F.col(p).isNotNull() & (F.col(p) != F.col(key))).select(node.alias("id"), F.struct(F.col(group).alias("g"), F.col(p).alias("k")).alias("parent")) for p in parents]
+    nodes = grouped.select(node.alias("id")).distinct()
+    edges = _united(named).join(nodes.withColumnRenamed("id", "parent"), "parent", "left_semi")
+    found = staged(levels(edges, nodes), "write-levels")
+    bad = found.where("level is null").select(F.col("id.g").alias("__bad")).distinct().withColumn("cycle", F.lit(True))
+    met = rows.join(found.select(F.col("id.g").alias("__g"), F.col("id.k").alias("__k"), "level"), (F.col(group) == F.col("__g")) & (F.col(key) == F.col("__k")), "left")
+    met = met.join(bad, F.col(group) == F.col("__bad"), "left")
+    return met.select(*rows.columns, F.when(F.col("cycle").isNull(), F.col("level")).alias("write_level"), F.coalesce("cycle", F.lit(False)).alias("cycle"))

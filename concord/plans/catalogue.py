@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import entities, event_rules, reports, scan, state, transforms, writes  # noqa: F401
+from . import entities, event_rules, files, metrics, reports, scan, state, transforms, writes  # noqa: F401
 from .registry import ORACLE, QUERIES, Query
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import records as R
-from ..operators import merge, schemas
+from ..operators import hooks, merge, schemas
+from ..operators import runs as runlog
 from .registry import NOW, query, table
+from .state import INPUT, current
 
 # Sync runs, audit and dead letters read from events: one run per event.
 RUNS = """WITH runs AS (SELECT event_id AS id, 'c' || (user_id % 5) AS connector, event_type AS datatype,
@@ -107,9 +110,9 @@ def audit_recent(spark, d):
     return runs(spark, d).orderBy(F.desc("started_at"), F.desc("id")).limit(100).select("id", *PAIR, "status", text("started_at", "processed"))
 
 
-@query("SELECT o_orderkey AS external_id, 'c' || o_custkey AS cluster_id, strftime(o_orderdate, '%Y-%m-%d') AS updated FROM orders WHERE o_custkey % 3 = 0 ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100")
+@query("SELECT o_orderkey AS external_id, 'c' || o_custkey AS cluster_id, strftime(o_orderdate, '%Y-%m-%d') AS updated FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 100")
 def identity_map_list(spark, d):
-    o = table(spark, d, "orders").where("o_custkey % 3 = 0").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(100)
+    o = table(spark, d, "orders").orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(100)
     return o.select(F.col("o_orderkey").alias("external_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("cluster_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("updated"))
 
 
@@ -219,42 +222,134 @@ def dl_replayable(spark, d):
     return letters.where("requeue_count < 3 and requeued_at is null").orderBy("ts", "event_id").limit(100).select("event_id")
 
 
-@query("""SELECT event_id, event_id % 6 + CASE WHEN event_id % 6 < 3 AND event_id % 4 <> 0 THEN 1 ELSE 0 END AS requeue_count FROM events""")
+# Dead letters of users' records; those without a record can't be requeued.
+LETTERS = "WITH l AS (SELECT event_id AS id, CASE WHEN event_id % 4 <> 0 THEN user_id::VARCHAR END AS external_id, props AS raw, event_id % 6 AS requeue_count FROM events)"
+
+
+def letters(spark, d):
+    e = table(spark, d, "events")
+    return e.select(F.col("event_id").alias("id"), F.when(F.col("event_id") % 4 != 0, F.col("user_id").cast("string")).alias("external_id"), F.col("props").alias("raw"), (F.col("event_id") % 6).alias("requeue_count"))
+
+
+@query(LETTERS + "SELECT id, requeue_count + CASE WHEN requeue_count < 3 AND external_id IS NOT NULL THEN 1 ELSE 0 END AS requeue_count FROM l")
 def dl_requeue(spark, d):
-    count = F.col("event_id") % 6
-    again = (count < 3) & (F.col("event_id") % 4 != 0)
-    return table(spark, d, "events").select("event_id", (count + again.cast("int")).alias("requeue_count"))
+    return hooks.requeue(letters(spark, d), current(spark, d))[1].select("id", "requeue_count")
+
+
+@query(INPUT + ", " + LETTERS.removeprefix("WITH ") + """, n AS (SELECT external_id, max_by(raw, id) AS data FROM l WHERE requeue_count < 3 AND external_id IS NOT NULL GROUP BY 1)
+SELECT external_id, coalesce(n.data, c.data) AS data, CASE WHEN n.data IS NOT NULL THEN sha256(replace(n.data, ' ', '')) ELSE c._raw_hash END AS _raw_hash, n.data IS NULL AND c._deleted AS _deleted
+FROM cur c FULL OUTER JOIN n USING (external_id)""")
+def dl_requeue_apply(spark, d):
+    """The snapshot with the newest eligible dead letter of each record."""
+    return hooks.requeue(letters(spark, d), current(spark, d))[0]
+
+
+class _Never(hooks.DefaultPolicy):
+    def should_dead_letter(self, rows):
+        return F.col("attempt_count") >= 2
+
+    def should_replay(self, rows):
+        return F.lit(False)
 
 
-@query("SELECT o_orderkey AS external_id, CASE WHEN o_orderkey % 8 = 0 THEN 'pending' ELSE 'failed' END AS _status FROM orders WHERE o_orderkey % 4 = 0")
+ODD = """WITH f AS (SELECT o_orderkey AS external_id, 'c' || (o_orderkey % 3) AS connector, o_orderkey % 5 AS requeue_count, o_orderkey % 4 AS attempt_count FROM orders)"""
+
+
+def failures(spark, d):
+    k = F.col("o_orderkey")
+    return table(spark, d, "orders").select(k.alias("external_id"), F.concat(F.lit("c"), (k % 3).cast("string")).alias("connector"), (k % 5).alias("requeue_count"), (k % 4).alias("attempt_count"))
+
+
+@query(ODD + """SELECT external_id, CASE WHEN connector <> 'c1' AND requeue_count < 3 THEN 'pending' ELSE 'failed' END AS _status,
+  requeue_count + CASE WHEN connector <> 'c1' AND requeue_count < 3 THEN 1 ELSE 0 END AS requeue_count FROM f""")
 def wb_dl_replay(spark, d):
-    failed = table(spark, d, "orders").where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("external_id"))
-    allowed = failed.where("external_id % 8 = 0").withColumn("again", F.lit(True))
-    return failed.join(allowed, "external_id", "left").select("external_id", F.when(F.col("again"), "pending").otherwise("failed").alias("_status"))
+    return hooks.replayed(failures(spark, d), {"c1": _Never()}).select("external_id", "_status", "requeue_count")
+
+
+@query(ODD + "SELECT external_id, connector FROM f WHERE connector <> 'c1' OR attempt_count >= 2")
+def dl_policy(spark, d):
+    return hooks.dead_lettered(failures(spark, d), {"c1": _Never()}).select("external_id", "connector")
+
+
+def _repair(record):
+    """Drops records with an even k, fails on multiples of 5, and wraps the others."""
+    if record["k"] % 2 == 0:
+        return None
+    if record["k"] % 5 == 0:
+        raise ValueError(record)
+    return {"k": record["k"] + 1, "fixed": True}
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE NOT (n_regionkey = 1 AND n_nationkey % 2 = 0)")
+REPAIRED = LETTERS + """, r AS (SELECT *, (raw::JSON->>'k')::BIGINT AS k FROM l), o AS (SELECT *, CASE WHEN k % 2 = 0 THEN 'dropped' WHEN k % 5 = 0 THEN 'failed' ELSE 'upserted' END AS outcome FROM r)
+"""
+
+
+@query(REPAIRED + "SELECT id, outcome, requeue_count + CASE WHEN outcome = 'failed' THEN 0 ELSE 1 END AS requeue_count FROM o")
+def dl_transform(spark, d):
+    return hooks.reprocessed(letters(spark, d), _repair)[1].select("id", "outcome", "requeue_count")
+
+
+@query(REPAIRED + """SELECT coalesce(external_id, id::VARCHAR) AS external_id, '{"k":' || (k + 1) || ',"fixed":true}' AS data, 'dl_reprocessed' AS _raw_hash FROM o WHERE outcome = 'upserted'""")
+def dl_transform_upserts(spark, d):
+    return hooks.reprocessed(letters(spark, d), _repair)[0]
+
+
+@query("SELECT 'r' || n_regionkey AS connector, n_name AS datatype, 'w' || n_nationkey AS value FROM nation WHERE n_regionkey <> 1 AND NOT (n_regionkey = 2 AND n_name = 'CHINA')")
 def watermark_reset(spark, d):
-    """Watermarks left after clearing those of one connector, but for datatypes that are only written to."""
-    return table(spark, d, "nation").where("not (n_regionkey = 1 and n_nationkey % 2 = 0)").select("n_nationkey", "n_name")
+    """Watermarks left after clearing one connector and one datatype of another."""
+    n = table(spark, d, "nation")
+    marks = n.select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("connector"), F.col("n_name").alias("datatype"), F.concat(F.lit("w"), F.col("n_nationkey").cast("string")).alias("value"))
+    return runlog.clear_watermarks(runlog.clear_watermarks(marks, "r1"), "r2", "CHINA", frozenset({("r2", "INDIA")}))
 
 
-@query("""SELECT * FROM (VALUES ('c_acctbal', 'removed'), ('c_mktsegment', 'removed'), ('c_name', 'retyped'), ('c_phone', 'added')) t(name, change)""")
+@query("""SELECT event_id AS run_id, event_type AS datatype, CASE WHEN event_id % 3 = 0 THEN 'running' WHEN event_id % 3 = 1 THEN 'completed' ELSE 'failed' END AS status,
+  CASE WHEN event_id % 3 <> 0 THEN event_id * 2 ELSE 0 END AS fetched, CASE WHEN event_id % 3 <> 0 THEN 'w' || event_id END AS watermark_after FROM events""")
+def sync_run_log(spark, d):
+    """Runs that start, and two thirds of them that end; results of unknown runs, and second ones, change nothing."""
+    e = table(spark, d, "events")
+    new = e.select(F.col("event_id").alias("run_id"), F.lit("c").alias("connector"), F.col("event_type").alias("datatype"), F.col("ts").alias("started_at"), F.lit(None).cast("string").alias("watermark_before"))
+    log = runlog.started(new.limit(0), new)
+
+    def results(k, status, shift=0):
+        part = e.where(F.col("event_id") % 3 == k)
+        done = [F.lit(status).alias("status"), F.col("ts").alias("finished_at"), F.concat(F.lit("w"), F.col("event_id").cast("string")).alias("watermark_after")]
+        return part.select((F.col("event_id") + shift).alias("run_id"), *done, *[(F.col("event_id") * 2).alias(c) for c in runlog.COUNTERS])
+
+    log = runlog.finished(log, results(1, "completed").union(results(2, "failed")))
+    log = runlog.finished(log, results(1, "failed").union(results(2, "completed", -1_000_000_000)))
+    return log.select("run_id", "datatype", "status", "fetched", "watermark_after")
+
+
+@query("""WITH o AS (SELECT column_name AS name FROM (DESCRIBE customer)), n(name) AS (VALUES ('c_custkey'), ('c_nationkey'), ('c_name'), ('c_phone'))
+SELECT coalesce(o.name, n.name) AS name, CASE WHEN o.name IS NULL THEN 'added' WHEN n.name IS NULL THEN 'removed' ELSE 'retyped' END AS change
+FROM o FULL OUTER JOIN n ON o.name = n.name WHERE o.name IS NULL OR n.name IS NULL OR o.name = 'c_name'""")
 def schema_diff(spark, d):
     old = table(spark, d, "customer")
     new = old.select("c_custkey", "c_nationkey", F.length("c_name").alias("c_name"), F.lit("x").alias("c_phone"))
     return schemas.diff(spark, old.schema, new.schema)
 
 
-@query("""SELECT * FROM (VALUES ('k', 'new'), ('old', 'orphan')) t(field, drift)""")
+FIELDS = "WITH f AS (SELECT DISTINCT unnest(json_keys(props)) AS field FROM events), k(field) AS (VALUES ('old')) "
+
+
+@query(FIELDS + "SELECT field, 'new' AS drift FROM f WHERE field NOT IN (FROM k) UNION ALL SELECT field, 'orphan' FROM k WHERE field NOT IN (FROM f)")
 def schema_drift(spark, d):
     return schemas.drift(spark, schemas.observed(table(spark, d, "events"), "props"), ["old"])
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS _schema_version FROM customer")
+@query(FIELDS + "SELECT 'old' AS known, 4 + CASE WHEN EXISTS (SELECT * FROM f WHERE field <> 'old') THEN 1 ELSE 0 END AS _schema_version UNION ALL SELECT 'k', 4 + CASE WHEN EXISTS (SELECT * FROM f WHERE field <> 'k') THEN 1 ELSE 0 END")
 def schema_bump(spark, d):
-    fresh = F.col("c_custkey") % 3 == 0
-    return table(spark, d, "customer").select("c_custkey", (F.lit(1) + F.when(fresh, 1).otherwise(0)).alias("_schema_version"))
+    """Versions after a batch, for a schema that knows its fields and one that does not."""
+    seen = schemas.observed(table(spark, d, "events"), "props")
+    made = [schemas.bumped(4, schemas.drift(spark, seen, [known])).select(F.lit(known).alias("known"), "_schema_version") for known in ("old", "k")]
+    return made[0].union(made[1])
+
+
+@query("SELECT c_custkey, c_name, NULL::VARCHAR AS c_phone FROM customer")
+def schema_prune(spark, d):
+    """Wanted columns only: missing ones come as nulls, orphans go."""
+    wanted = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()), T.StructField("c_phone", T.StringType())])
+    return schemas.migrate(table(spark, d, "customer"), wanted, prune=True)
 
 
 @query("SELECT DISTINCT unnest(json_keys(props)) AS field FROM events")

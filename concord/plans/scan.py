@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import runs
 from ..sources import paging
 from .registry import query, table
+from .state import INPUT, current
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderdate > timestamp '1997-01-01 00:00:00'")
@@ -46,9 +47,9 @@ def record_selector(spark, d):
     return pages.select("event_id", F.explode(paging.select_records(F.col("props"), "k")).alias("k"))
 
 
-@query("SELECT o_orderkey AS id, c_name, c_nationkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 3 = 0")
+@query("SELECT o_orderkey AS id, c_name, c_nationkey FROM orders JOIN customer ON c_custkey = o_custkey")
 def id_list_detail(spark, d):
-    stubs = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), "o_custkey")
+    stubs = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
     return paging.with_details(stubs, "o_custkey", table(spark, d, "customer"), "c_custkey").select("id", "c_name", "c_nationkey")
 
 
@@ -70,7 +71,17 @@ def seed_expand(spark, d):
     )
 
 
-@query("SELECT c_custkey::VARCHAR AS external_id, c_name, 'update' AS action FROM customer WHERE c_custkey = 7")
+@query(INPUT + """SELECT external_id, CASE WHEN external_id = '7' THEN 'fetched' ELSE data END AS data,
+  CASE WHEN external_id = '7' THEN sha256('fetched') ELSE _raw_hash END AS _raw_hash, external_id <> '7' AND _deleted AS _deleted
+  FROM (SELECT * EXCLUDE (here) FROM cur UNION ALL SELECT '7', '', '', false WHERE '7' NOT IN (SELECT external_id FROM cur))""")
 def single_record_sync(spark, d):
-    one = table(spark, d, "customer").where("c_custkey = 7")
-    return one.select(F.col("c_custkey").cast("string").alias("external_id"), "c_name", F.lit("update").alias("action"))
+    """The snapshot after record 7 was fetched alone and record 8 was not found."""
+    found = table(spark, d, "customer").where("c_custkey in (7, 8)").where("c_custkey <> 8")
+    fetched = found.select(F.col("c_custkey").cast("string").alias("external_id"), F.lit("fetched").alias("data"), F.sha2(F.lit("fetched"), 256).alias("_raw_hash"))
+    return runs.point_sync(current(spark, d), fetched)
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def property_list(spark, d):
+    """The same selection named by a JSON array."""
+    return paging.properties(table(spark, d, "customer"), '["c_custkey", "c_name"]')

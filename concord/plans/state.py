@@ -8,20 +8,20 @@ from ..operators import merge
 from .registry import query, table
 
 # The same inputs for both engines: customers as they come in, and a snapshot that lacks some, differs in others and has
-# tombstones.
+# tombstones. Some payloads have no hash on either side.
 INPUT = """WITH incoming AS (
   SELECT c_custkey::VARCHAR AS external_id, c_mktsegment || ':' || c_nationkey AS data,
-         sha256(c_mktsegment || ':' || c_nationkey) AS _raw_hash
+         CASE WHEN c_custkey % 17 <> 0 THEN sha256(c_mktsegment || ':' || c_nationkey) END AS _raw_hash, true AS here
   FROM customer WHERE c_custkey % 13 <> 0
 ), cur AS (
   SELECT c_custkey::VARCHAR AS external_id,
          CASE WHEN c_custkey % 9 = 0 THEN '{}' ELSE c_mktsegment || ':' || (c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END) END AS data,
-         sha256(c_mktsegment || ':' || (c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END)) AS _raw_hash,
-         c_custkey % 9 = 0 AS _deleted
+         CASE WHEN c_custkey % 19 <> 0 AND c_custkey % 34 <> 0 THEN sha256(c_mktsegment || ':' || (c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END)) END AS _raw_hash,
+         c_custkey % 9 = 0 AS _deleted, true AS here
   FROM customer WHERE c_custkey % 7 <> 0
 ), classified AS (
-  SELECT i.external_id, CASE WHEN c._raw_hash IS NULL THEN 'insert' WHEN c._deleted THEN 'resurrect'
-         WHEN c._raw_hash <> i._raw_hash THEN 'update' ELSE 'noop' END AS action, i.data, i._raw_hash
+  SELECT i.external_id, CASE WHEN c.here IS NULL THEN 'insert' WHEN c._deleted THEN 'resurrect'
+         WHEN c._raw_hash IS DISTINCT FROM i._raw_hash THEN 'update' ELSE 'noop' END AS action, i.data, i._raw_hash
   FROM incoming i LEFT JOIN cur c USING (external_id)
 ), live AS (SELECT external_id FROM cur WHERE NOT _deleted)
 """
@@ -29,14 +29,14 @@ INPUT = """WITH incoming AS (
 
 def incoming(spark, d):
     text = F.concat_ws(":", "c_mktsegment", "c_nationkey")
-    return table(spark, d, "customer").where("c_custkey % 13 <> 0").select(F.col("c_custkey").cast("string").alias("external_id"), text.alias("data"), F.sha2(text, 256).alias("_raw_hash"))
+    return table(spark, d, "customer").where("c_custkey % 13 <> 0").select(F.col("c_custkey").cast("string").alias("external_id"), text.alias("data"), F.when(F.col("c_custkey") % 17 != 0, F.sha2(text, 256)).alias("_raw_hash"))
 
 
 def current(spark, d):
     text = F.concat_ws(":", "c_mktsegment", F.col("c_nationkey") + F.when(F.col("c_custkey") % 5 == 0, 1).otherwise(0))
-    gone = F.col("c_custkey") % 9 == 0
+    gone, hashed = F.col("c_custkey") % 9 == 0, (F.col("c_custkey") % 19 != 0) & (F.col("c_custkey") % 34 != 0)
     rows = table(spark, d, "customer").where("c_custkey % 7 <> 0")
-    return rows.select(F.col("c_custkey").cast("string").alias("external_id"), F.when(gone, "{}").otherwise(text).alias("data"), F.sha2(text, 256).alias("_raw_hash"), gone.alias("_deleted"))
+    return rows.select(F.col("c_custkey").cast("string").alias("external_id"), F.when(gone, "{}").otherwise(text).alias("data"), F.when(hashed, F.sha2(text, 256)).alias("_raw_hash"), gone.alias("_deleted"))
 
 
 def classified(spark, d):
@@ -48,8 +48,8 @@ def upsert_classify(spark, d):
     return classified(spark, d)
 
 
-APPLIED = """SELECT external_id, CASE WHEN i._raw_hash IS NOT NULL THEN i.data ELSE c.data END AS data,
-  coalesce(i._raw_hash, c._raw_hash) AS _raw_hash, CASE WHEN i._raw_hash IS NOT NULL THEN false ELSE c._deleted END AS _deleted
+APPLIED = """SELECT external_id, CASE WHEN i.here THEN i.data ELSE c.data END AS data,
+  CASE WHEN i.here THEN i._raw_hash ELSE c._raw_hash END AS _raw_hash, CASE WHEN i.here THEN false ELSE c._deleted END AS _deleted
   FROM cur c FULL OUTER JOIN incoming i USING (external_id)"""
 
 
@@ -82,22 +82,45 @@ def tombstones(spark, d):
   round(count(*) FILTER (WHERE i.external_id IS NULL) / count(*), 4) AS ratio, count(*) FILTER (WHERE i.external_id IS NULL) / count(*) > 0.5 AS aborted
   FROM live l LEFT JOIN incoming i USING (external_id)""")
 def tombstone_guard(spark, d):
-    return merge.deletion_guard(current(spark, d), incoming(spark, d))
+    """Ids may be seen more than once, as a record may be on several pages."""
+    return merge.deletion_guard(current(spark, d), incoming(spark, d).union(incoming(spark, d)))
 
 
-def changes(spark, d):
-    """Change records: several per customer, deletes among them, in the order of ``seq``."""
-    o = table(spark, d, "orders")
-    return o.select(F.col("o_custkey").cast("string").alias("external_id"), F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 6 == 0, "DELETE").otherwise("UPSERT").alias("op"), F.col("o_orderstatus").alias("data"))
+# Change records: several per customer, deletes among them, in the order of ``seq``. The first of a batch counts.
+CHANGES = INPUT + """, ch AS (
+  SELECT o_custkey::VARCHAR AS external_id, o_orderkey AS seq, CASE WHEN o_orderkey % 6 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS op, o_orderstatus AS data FROM orders
+), one AS (SELECT * FROM ch JOIN (SELECT external_id, min(seq) AS seq FROM ch GROUP BY 1) USING (external_id, seq))
+"""
 
 
-@query("""WITH last AS (SELECT o_custkey::VARCHAR AS external_id, max(o_orderkey) AS seq FROM orders GROUP BY 1)
-SELECT external_id, seq, CASE WHEN seq % 6 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS op, CASE WHEN seq % 6 = 0 THEN '{}' ELSE o_orderstatus END AS data, seq % 6 = 0 AS _deleted
-FROM last JOIN orders ON o_orderkey = seq""")
+def change_batch(spark, d):
+    o = table(spark, d, "orders")
+    changes = o.select(
+        F.col("o_custkey").cast("string").alias("external_id"),
+        F.col("o_orderkey").alias("seq"),
+        F.when(F.col("o_orderkey") % 6 == 0, "DELETE").otherwise("UPSERT").alias("op"),
+        F.col("o_orderstatus").alias("data"),
+        F.sha2("o_orderstatus", 256).alias("_raw_hash"),
+    )
+    return merge.change_batch(changes, current(spark, d), "seq", "run-1")
+
+
+@query(CHANGES + """SELECT external_id, CASE o.op WHEN 'UPSERT' THEN o.data WHEN 'DELETE' THEN '{}' ELSE c.data END AS data,
+  CASE WHEN o.op = 'UPSERT' THEN sha256(o.data) ELSE c._raw_hash END AS _raw_hash, CASE o.op WHEN 'UPSERT' THEN false WHEN 'DELETE' THEN true ELSE c._deleted END AS _deleted
+  FROM cur c FULL OUTER JOIN one o USING (external_id) WHERE c.here OR o.op = 'UPSERT'""")
 def cdc_apply(spark, d):
-    last = merge.latest_change(changes(spark, d), "external_id", "seq", ["seq", "op", "data"])
-    gone = F.col("op") == "DELETE"
-    return last.withColumn("data", F.when(gone, "{}").otherwise(F.col("data"))).withColumn("_deleted", gone)
+    return change_batch(spark, d)["state"]
+
+
+@query(CHANGES + """SELECT external_id, o.data, sha256(o.data) AS _raw_hash, 'run-1' AS _sync_run_id FROM one o LEFT JOIN cur c USING (external_id)
+  WHERE op = 'UPSERT' AND (c.here IS NULL OR c._deleted OR c._raw_hash IS DISTINCT FROM sha256(o.data))""")
+def cdc_history(spark, d):
+    return change_batch(spark, d)["history"]
+
+
+@query("SELECT max(o_orderkey) AS watermark FROM orders")
+def cdc_watermark(spark, d):
+    return change_batch(spark, d)["watermark"]
 
 
 @query("""WITH e AS (SELECT event_id, event_type, 0 AS copy FROM events UNION ALL SELECT event_id, event_type || '-again', 1 FROM events WHERE event_id % 10 = 0)
@@ -145,12 +168,12 @@ def drift_guard(spark, d):
 
 
 @query(INPUT + """, sample AS (SELECT * FROM incoming JOIN (SELECT external_id, _raw_hash AS stored FROM cur WHERE NOT _deleted) USING (external_id) ORDER BY md5(external_id), external_id LIMIT 100)
-SELECT count(*) AS sampled, count(*) FILTER (WHERE stored <> _raw_hash) AS drifted, round(count(*) FILTER (WHERE stored <> _raw_hash) / count(*), 4) AS share FROM sample""")
+SELECT count(*) AS sampled, count(*) FILTER (WHERE stored IS DISTINCT FROM _raw_hash) AS drifted, round(count(*) FILTER (WHERE stored IS DISTINCT FROM _raw_hash) / count(*), 4) AS share FROM sample""")
 def reconcile_drift(spark, d):
     """Content drift over a sample of at most 100 live records, in hash order: a sampling operator."""
     stored = current(spark, d).where("not _deleted").select("external_id", F.col("_raw_hash").alias("stored"))
     sample = incoming(spark, d).join(stored, "external_id").orderBy(F.md5("external_id"), "external_id").limit(100)
-    drifted = F.count_if(F.col("stored") != F.col("_raw_hash"))
+    drifted = F.count_if(~F.col("stored").eqNullSafe(F.col("_raw_hash")))
     return sample.agg(F.count("*").alias("sampled"), drifted.alias("drifted"), F.round(drifted / F.count("*"), 4).alias("share"))
 
 

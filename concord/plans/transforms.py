@@ -30,6 +30,12 @@ def field_map(spark, d):
     return transform.map_fields(customer_payload(spark, d), "raw", fields, strict=False)
 
 
+@query("""SELECT c_name AS label, '{"id":' || c_custkey || ',"geo":{"nation":' || c_nationkey || '},"seg":"' || c_mktsegment || '"}' AS rest FROM customer""")
+def field_map_rest(spark, d):
+    """What is not mapped stays as it is: numbers, objects and texts."""
+    return transform.map_fields(customer_payload(spark, d), "raw", [transform.Field("label", "name")], strict=False)
+
+
 @query("SELECT c_custkey::BIGINT AS id, c_name AS label FROM customer")
 def field_map_strict(spark, d):
     return transform.map_fields(customer_payload(spark, d), "raw", [transform.Field("id", "id", "int"), transform.Field("label", "name")])
@@ -53,15 +59,21 @@ def cast_default(spark, d):
     )
 
 
-@query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_iso, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS from_seconds,
-  strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS from_millis, 'on ' || event_id AS unreadable FROM events""")
+@query("""SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_iso, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_offset, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_rfc,
+  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_seconds, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS from_millis, 'on ' || event_id AS unreadable FROM events""")
 def ts_normalize(spark, d):
-    e = table(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp"))
-    return e.select(
+    """All forms name the same instant; a text without an offset is in UTC."""
+    ntz = F.col("ts")
+    epoch = F.unix_seconds(F.to_timestamp(F.concat(F.substring(ntz.cast("string"), 1, 19), F.lit("Z"))))
+    later = F.substring((ntz + F.expr("interval 2 hours")).cast("string"), 1, 19)
+    rfc = F.concat(F.date_format(ntz, "E, d MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    return table(spark, d, "events").select(
         "event_id",
-        R.normalize_timestamp(F.date_format("t", "yyyy-MM-dd HH:mm:ss")).alias("from_iso"),
-        R.normalize_timestamp(F.unix_seconds("t").cast("string")).alias("from_seconds"),
-        R.normalize_timestamp(F.unix_millis("t").cast("string")).alias("from_millis"),
+        R.normalize_timestamp(F.substring(ntz.cast("string"), 1, 19), "iso8601").alias("from_iso"),
+        R.normalize_timestamp(F.concat(later, F.lit("+02:00"))).alias("from_offset"),
+        R.normalize_timestamp(rfc, "rfc2822").alias("from_rfc"),
+        R.normalize_timestamp(epoch.cast("string")).alias("from_seconds"),
+        R.normalize_timestamp((epoch * 1000).cast("string"), "unix_millis").alias("from_millis"),
         R.normalize_timestamp(F.concat(F.lit("on "), "event_id")).alias("unreadable"),
     )
 
@@ -115,12 +127,25 @@ def payload_extract(spark, d):
     return transform.payload_of(o)
 
 
-@query("""SELECT c_custkey, json_extract_string('{"n":"' || c_name || '"}', '$.n') AS n, 'c' || c_nationkey AS cluster_ref FROM customer""")
+@query("""SELECT c_custkey, '{"n":' || c_custkey || ',"o":{"x":true},"ref":"c' || c_nationkey || '"}' AS payload FROM customer""")
 def external_ref(spark, d):
-    payload = F.concat(F.lit('{"n":"'), "c_name", F.lit('","ref":"old"}'))
+    payload = F.concat(F.lit('{"ref":"old","n":'), F.col("c_custkey").cast("string"), F.lit(',"o":{"x":true}}'))
     made = transform.add_reference(payload, "ref", F.concat(F.lit("c"), F.col("c_nationkey")))
-    c = table(spark, d, "customer").withColumn("p", made)
-    return c.select("c_custkey", R.dot_path(F.col("p"), "n").alias("n"), R.dot_path(F.col("p"), "ref").alias("cluster_ref"))
+    return table(spark, d, "customer").select("c_custkey", made.alias("payload"))
+
+
+@query("SELECT c_custkey, c_name AS dashed, c_nationkey::VARCHAR AS spaced FROM customer")
+def dot_path_names(spark, d):
+    """Names with dashes, blanks and dollars, and indexes."""
+    payload = F.concat(F.lit('{"first-name":[{"$v":"'), "c_name", F.lit('"}],"a b":{"c d":'), F.col("c_nationkey").cast("string"), F.lit("}}"))
+    return table(spark, d, "customer").select("c_custkey", R.dot_path(payload, "first-name[0].$v").alias("dashed"), R.dot_path(payload, "a b.c d").alias("spaced"))
+
+
+@query("""SELECT p_partkey, CASE WHEN levenshtein(p_type, p_brand) < 3 THEN 'auto_link' WHEN levenshtein(p_type, p_brand) > 9 THEN 'queue_for_review' ELSE 'undecided' END AS names,
+  CASE WHEN p_partkey % 3 = 0 THEN 'auto_link' WHEN p_partkey % 3 = 1 THEN 'undecided' END AS shifted FROM part""")
+def name_rule(spark, d):
+    tail = F.when(F.col("p_partkey") % 3 == 0, "xy").when(F.col("p_partkey") % 3 == 1, "wxyz")
+    return table(spark, d, "part").select("p_partkey", R.name_rule(F.col("p_type"), F.col("p_brand"), 3, 9).alias("names"), R.name_rule(F.col("p_name"), F.concat("p_name", tail)).alias("shifted"))
 
 
 @query("SELECT c_name AS display, c_mktsegment AS segment FROM customer")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import merge, writeback
+from ..operators import hooks, merge, writeback
 from .registry import NOW, query, table
 
 # Orders as desired state; last-written and remote differ from it by arithmetic on the key.
@@ -94,13 +94,22 @@ def group_by_id(spark, d):
     return rows.select("external_id", F.array_join(F.transform("keys", lambda k: k.cast("string")), ",").alias("rows"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT o_orderkey AS id, o_orderkey // 3 AS parent FROM orders WHERE o_orderkey > 0 AND o_orderkey // 3 IN (SELECT o_orderkey FROM orders)),
-t AS (SELECT o_orderkey AS id, 0 AS level FROM orders WHERE o_orderkey NOT IN (SELECT id FROM e) UNION ALL SELECT e.id, t.level + 1 FROM e JOIN t ON e.parent = t.id)
-SELECT id, level FROM t""")
+# Orders in 23 groups, each numbered from 0; a row follows rows a half and a third as far. Group 7 has a cycle, group 9 rows have none.
+ORDERED = """WITH RECURSIVE r AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 23 <> 9 THEN o_orderkey % 23 END AS g, o_orderkey // 23 AS i FROM orders),
+p AS (SELECT id, g, (i // 3) * 23 + g AS parent FROM r UNION SELECT id, g, CASE WHEN g = 7 AND i = 0 THEN 2 * 23 + 7 ELSE (i // 2) * 23 + g END FROM r),
+e AS (SELECT id, g, parent FROM p WHERE g IS NOT NULL AND parent <> id AND parent IN (SELECT id FROM r)),
+t AS (SELECT id, 0 AS level FROM r WHERE g IS NOT NULL AND g <> 7 AND id NOT IN (SELECT id FROM e) UNION SELECT e.id, t.level + 1 FROM e JOIN t ON e.parent = t.id)
+SELECT r.id, g, max(level)::INTEGER AS write_level, coalesce(g = 7, false) AS cycle FROM r LEFT JOIN t USING (id) GROUP BY ALL"""
+
+
+@query(ORDERED)
 def row_dependencies(spark, d):
-    nodes = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
-    edges = nodes.where("id > 0").select("id", F.expr("id div 3").alias("parent")).join(nodes.select(F.col("id").alias("parent")), "parent", "left_semi")
-    return writeback.levels(edges, nodes)
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    g = F.when(F.col("id") % 23 != 9, F.col("id") % 23)
+    rows = o.withColumn("g", g).withColumn("i", F.expr("id div 23"))
+    second = F.when((F.col("g") == 7) & (F.col("i") == 0), F.lit(53)).otherwise(F.expr("(i div 2) * 23 + g"))
+    rows = rows.withColumns({"first": F.expr("(i div 3) * 23 + g"), "second": second})
+    return writeback.write_order(rows, "id", "g", ["first", "second"]).select("id", "g", "write_level", "cycle")
 
 
 @query(WAY + "SELECT id, safe FROM s")
@@ -252,11 +261,11 @@ def identity_map_extract(spark, d):
     return rows.select(F.col("o_orderkey").alias("external_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("cluster_id"), first.alias("target_external_id"))
 
 
-@query("SELECT o_orderkey, upper(o_orderpriority) AS priority FROM orders WHERE o_orderstatus <> 'P'")
+@query("SELECT o_orderkey, upper(o_orderpriority) AS priority, length(o_orderpriority) AS size FROM orders WHERE o_orderstatus <> 'P'")
 def hook_filter(spark, d):
-    """Hooks are functions from DataFrame to DataFrame: transform, then filter."""
-    hooks = [lambda df: df.withColumn("priority", F.upper("o_orderpriority")), lambda df: df.where("o_orderstatus <> 'P'")]
-    rows = table(spark, d, "orders")
-    for hook in hooks:
-        rows = hook(rows)
-    return rows.select("o_orderkey", "priority")
+    rules = hooks.Hooks(
+        transform=lambda df: df.withColumn("priority", F.upper("o_orderpriority")),
+        keep=lambda df: F.when(F.col("o_orderstatus") != "P", True),
+        enrich=lambda df: df.withColumn("size", F.length("priority").cast("long")),
+    )
+    return hooks.apply_hooks(table(spark, d, "orders"), rules).select("o_orderkey", "priority", "size")
