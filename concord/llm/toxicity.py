@@ -3,7 +3,8 @@
 The kernel compares strings by their three-letter subsequences that span at most ``SPAN`` characters; each
 character skipped inside a subsequence multiplies its weight by ``DECAY``. Digits and signs can only be skipped,
 and so can blanks beside single letters; a run of them counts as one, and other blanks as a letter that marks the ends
-of words. So ``i-d i.o_t`` and ``i - d...i--o--t`` still shares its subsequences with ``idiot``. A text is a bag of windows as long as a
+of words. Between three or more letters that all stand alone, as in a spelled-out word, the runs are skipped at no cost.
+So ``i-d i.o_t`` and ``i - d...i--o--t`` have the subsequences of ``idiot``. A text is a bag of windows as long as a
 landmark (and nearly twice as long, for inserted characters); its similarity to a landmark is the best normalised
 kernel value of a window, and the number of near matches is kept beside it.
 
@@ -52,7 +53,8 @@ def _letters(text: str) -> np.ndarray:
 def encode(text: str) -> np.ndarray:
     """Letter numbers, with one 63 for the blanks between words and one 0 for each run of what can be skipped.
 
-    Blanks are skipped between two runs of characters that hold one letter or none, as in a spelled-out word.
+    Blanks are skipped between two runs of characters that hold one letter or none, as in a spelled-out word. Runs
+    between neighbours of three or more letters that stand alone leave no 0.
     """
     end = np.array([BLANK], np.int32)  # a text begins and ends like a word
     codes = np.concatenate([end, _letters(text), end])
@@ -62,7 +64,22 @@ def encode(text: str) -> np.ndarray:
     short = np.add.reduceat((codes > 0) & (codes != BLANK), at[:-1], dtype=np.int64) <= 1
     codes[at[1:-1][short[:-1] & short[1:]]] = 0
     skipped = codes == 0
-    return codes[~(skipped & np.concatenate([[False], skipped[:-1]]))]
+    codes = codes[~(skipped & np.concatenate([[False], skipped[:-1]]))]
+    return codes[~_free_runs(codes)]
+
+
+def _free_runs(codes: np.ndarray) -> np.ndarray:
+    """The single 0s between neighbours of three or more letters that stand alone."""
+    free = np.zeros(len(codes), bool)
+    letter = (codes > 0) & (codes != BLANK)
+    alone = letter.copy()
+    alone[1:] &= ~letter[:-1]
+    alone[:-1] &= ~letter[1:]
+    link = np.zeros(len(codes), bool)  # a 0 between two letters that stand alone
+    link[1:-1] = (codes[1:-1] == 0) & alone[:-2] & alone[2:]
+    free[2:] |= link[2:] & link[:-2]
+    free[:-2] |= link[:-2] & link[2:]
+    return free
 
 
 def subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
@@ -250,10 +267,15 @@ def choose_landmarks(sample: DataFrame, n_toxic: int, n_clean: int, limit: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    """Fit on at most ``max_train`` labelled rows, taken in the order of a hash of doc_id, never held-out ones."""
+    """Fit on at most ``max_train`` labelled rows, taken in the order of a hash of doc_id, never held-out ones.
+
+    Null texts count as empty, null labels not at all; a repeated row counts each time. Without rows of both labels, or
+    without a sequence that tells them apart, the model gives one score to all texts. The same rows give the same model
+    however they are partitioned. Long texts are taken whole.
+    """
     usable = labels.where(~held_out() & F.col("toxic").isNotNull()).select("doc_id", "toxic")
     taken = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(max_train)
-    sample = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("text", (F.col("toxic") == 1).cast("int").alias("toxic")).persist()
+    sample = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("text", (F.col("toxic") == 1).cast("int").alias("toxic"), F.xxhash64("text", "toxic").alias("place")).persist()
     counts = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = counts.get(1, 0), counts.get(0, 0)
     landmarks = choose_landmarks(sample, n_toxic, n_clean) if n_toxic and n_clean else []
@@ -265,9 +287,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     def measure(batches):
         for batch in batches:
             x = kernel.similarities(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel(), pa.float64()), x.shape[1]).cast(pa.list_(pa.float64()))], names=["toxic", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel(), pa.float64()), x.shape[1]).cast(pa.list_(pa.float64()))], names=["toxic", "place", "x"])
 
-    rows = sample.select("text", "toxic").mapInArrow(measure, "toxic int, x array<double>").toArrow()
+    rows = sample.mapInArrow(measure, "toxic int, place long, x array<double>").toArrow().sort_by([("place", "ascending"), ("toxic", "ascending")])
     sample.unpersist()
     toxic = rows.column("toxic").to_numpy().astype(float)
     x = np.stack([np.asarray(v) for v in rows.column("x").to_pylist()])
@@ -277,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
     model = Model(kernel, vectors / np.sqrt(np.maximum(values, 0.05)))
     features = model.features(x)
     # the margins that the curve is fitted to come from machines that did not see their rows
-    fold, margin = np.arange(len(toxic)) % 3, np.zeros(len(toxic))
+    fold, margin = rows.column("place").to_numpy() % 3, np.zeros(len(toxic))
     for k in range(3):
         margin[fold == k] = features[fold == k] @ _machine(features[fold != k], 2 * toxic[fold != k] - 1)
     model.weights = _machine(features, 2 * toxic - 1)
@@ -286,7 +308,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1); a column of that name is replaced. Null text counts as empty."""
+    """``docs`` with ``score`` (0 to 1); a column of that name is replaced, all others stay. Null text counts as empty.
+
+    Texts of any length are read whole, in overlapping pieces. Equal texts have equal scores. Empty in, empty out.
+    """
     docs = docs.drop("score")
 
     def scored(batches):

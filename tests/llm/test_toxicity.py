@@ -40,7 +40,6 @@ def test_labelled_gaps_are_learned(make_docs, spark):
     assert min(scores[:4]) > 0.3 > max(scores[4:]), scores
 
 
-@pytest.mark.xfail(strict=True, reason="a sign after every letter, in a form no labelled row has, scores below the threshold")
 def test_unlabelled_gaps_after_every_letter(make_docs, spark):
     model = toxicity.fit(*sample(make_docs, spark, gapped=False))
     assert model.scores([GAPPED])[0] > 0.3
@@ -77,7 +76,7 @@ def test_runs_score_like_one_sign_labelled_or_not(make_docs, spark):
         model = toxicity.fit(*sample(make_docs, spark, gapped))
         one, *many = model.scores([f"what that {run.join('grumblewit')} said" for run in ["-", *RUNS]])
         assert np.allclose(many, one)
-        assert not gapped or one > 0.3
+        assert one > 0.3
 
 
 def test_three_letter_insults_become_landmarks(make_docs, spark):
@@ -85,3 +84,53 @@ def test_three_letter_insults_become_landmarks(make_docs, spark):
     model = toxicity.fit(docs.selectExpr("doc_id", "replace(replace(text, 'you', ''), 'there', '') AS text"), spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int"))
     assert any("zug" in z for z in model.kernel.landmarks)
     assert min(model.scores(["what a zug"])) > 0.3 > max(model.scores(["what a morning"]))
+
+
+def plain_similarity(text, landmark):
+    """The kernel by its definition: all triples of letters, for each window that begins with a shared one."""
+    span, decay = toxicity.SPAN, toxicity.DECAY
+
+    def triples(codes):
+        out = []
+        for i in range(len(codes)):
+            for j in range(i + 1, min(i + span, len(codes))):
+                for k in range(j + 1, min(i + span, len(codes))):
+                    if codes[i] > 0 and codes[j] > 0 and codes[k] > 0:
+                        out.append((i, (codes[i], codes[j], codes[k]), decay ** (k - i - 2)))
+        return out
+
+    own = {}
+    for _, t, w in triples(toxicity.landmark_codes(landmark).tolist()):
+        own[t] = own.get(t, 0) + w
+    norm, best = sum(w * w for w in own.values()) ** 0.5, 0.0
+    found = triples(toxicity.encode(text).tolist())
+    for start in {i for i, t, _ in found if t in own}:
+        for width in (len(landmark), 2 * len(landmark) - 1):
+            inside = [(t, w) for i, t, w in found if start <= i <= start + width - 3]
+            if inside:
+                best = max(best, sum(w * own.get(t, 0) for t, w in inside) / (norm * sum(w * w for _, w in inside) ** 0.5))
+    return min(max((best - toxicity.LOW) / (toxicity.NEAR - toxicity.LOW), 0), 1)
+
+
+def test_kernel_equals_its_definition():
+    import random
+
+    rnd = random.Random(2)
+    landmarks = ["grumb", " blew", "wit ", "umblewit"]
+    kernel = toxicity.Kernel(landmarks)
+    checked = 0
+    for _ in range(150):
+        parts = ["grumblewit", "g-r-u-m", "blew it", "calm", "grXum.ble", "w i t", "rumbl", "z"]
+        text = " ".join(rnd.choice(parts) for _ in range(rnd.randint(1, 4)))
+        got = kernel.similarities([text])[0, : len(landmarks)]
+        for value, z in zip(got, landmarks):
+            wanted = plain_similarity(text, z)
+            checked += wanted > 0.3
+            assert abs(value - wanted) < 1e-6 or value < wanted < 0.55, (text, z, value, wanted)  # fewer than SHARED are not looked at
+    assert checked > 50
+
+
+def test_scores_do_not_depend_on_partitions(make_docs, spark):
+    docs, labels = sample(make_docs, spark, gapped=True)
+    one, many = (toxicity.fit(docs.repartition(n), labels.repartition(n)) for n in (1, 7))
+    assert np.allclose(one.scores(["what a grumblewit", GAPPED, "calm"]), many.scores(["what a grumblewit", GAPPED, "calm"]), atol=1e-9)
