@@ -53,13 +53,56 @@ Unless required by applicable law or agreed to in writing, software distributed
     "BSD-3-Clause": [
         "Released under the 3-clause BSD license.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ],
+    "BSD-2-Clause": [
+        "Released under the 2-clause BSD license.",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ],
+    "ISC": [
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.""",
+    ],
+    "Zlib": [
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+
+3. This notice may not be removed or altered from any source distribution.""",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.""",
     ],
-    "BSD-2-Clause": ["Released under the 2-clause BSD license."],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
-    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
-    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
@@ -81,10 +124,12 @@ def bigrams(text: Column) -> Column:
 
 
 def template_table(spark: SparkSession, templates: dict[str, list[str]] | None = None) -> DataFrame:
-    """(template, license, template_n, bigram); a text of several paragraphs also gives each of them."""
+    """(template, license, template_n, bigram); a text of several paragraphs also gives each of them that no other licence has."""
+    known = templates or TEMPLATES
     rows = []
-    for name, texts in (templates or TEMPLATES).items():
-        parts = [p for t in texts for p in dict.fromkeys([t, *t.split("\n\n")])]
+    for name, texts in known.items():
+        other = {p for n, ts in known.items() if n != name for t in ts for p in t.split("\n\n")}
+        parts = dict.fromkeys(p for t in texts for p in [t, *t.split("\n\n")] if p == t or p not in other)
         rows += [(f"{name}#{i}", name, p) for i, p in enumerate(parts)]
     made = spark.createDataFrame(rows, "template string, license string, text string").withColumn("b", bigrams(F.col("text")))
     return made.select("template", "license", F.size("b").alias("template_n"), F.explode("b").alias("bigram"))
@@ -94,16 +139,16 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates: dict[str, lis
     """(doc_id, license, template, dice): for each document and licence the best template of at least ``threshold``.
 
     Ties go to the smaller template name. A unit needs two words. Null and empty texts match nothing; rows that share a
-    doc_id (or have none) are reported together. Other columns are ignored.
+    doc_id (or have none) are reported together. Other columns are ignored. Texts of any length are taken whole: the size
+    bound counts distinct bigrams, so blanks and repeats don't matter. Empty in, empty out.
     """
     known = template_table(docs.sparkSession, templates).collect()  # the templates' own words: a fixed, small table
     table = docs.sparkSession.createDataFrame(known)
     sizes = [r.template_n for r in known]
     low, high = min(sizes) * threshold / (2 - threshold), max(sizes) * (2 - threshold) / threshold
     text = text_or_empty()
-    whole = F.when(F.length(text) <= int(high * 40), F.array(text)).otherwise(F.array().cast("array<string>"))
-    units = F.array_distinct(F.concat(F.split(text, r"\n", -1), F.split(text, r"\n\s*\n", -1), whole))
-    cut = docs.select("doc_id", F.explode(units).alias("unit")).where(F.length("unit") >= 4)
+    units = F.array_distinct(F.concat(F.split(text, r"\n", -1), F.split(text, r"\n\s*\n", -1), F.array(text)))
+    cut = docs.select("doc_id", F.explode(units).alias("unit")).where(F.length("unit") >= 3)
     cut = cut.select("doc_id", bigrams(F.col("unit")).alias("b")).where(F.size("b").between(low, high))
     shared = F.filter("b", lambda x: x.isin([int(r.bigram) for r in known]))
     cut = cut.select("doc_id", F.size("b").alias("n"), shared.alias("b")).where(F.size("b") >= F.col("n") * (threshold / (2 - threshold)))
