@@ -2,7 +2,8 @@
 
 A source with a share p of all tokens gets the weight p^a, normalised. Bisection finds the exponent a in [0, 1]: the
 largest one at which the weights' entropy reaches a target, raised where needed so that no source is repeated
-more than ``max_repeats`` times within the token budget.
+more than ``max_repeats`` times within the token budget. Each round halves the interval five times with one aggregate over
+the sources, so there may be any number of them.
 
 The weights are realised block by block. A hash deals each source's documents to 4096 blocks. A pass over a source is
 a permutation of its blocks; whole passes use all of them, and the last, partial pass takes blocks in order until the
@@ -12,6 +13,8 @@ only its own documents, so no task ever sorts a source.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,28 +22,49 @@ from ._common import staged, text_or_empty
 
 TARGET_ENTROPY = 0.95
 MAX_REPEATS = 4.0
-MAX_SOURCES = 100_000
-STEPS = 40
+ROUNDS, PARTS = 8, 32
+BROADCAST_SOURCES = 50_000
 
 
 def n_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def _bisect(holds, low: float = 0.0, high: float = 1.0) -> Column:
-    """Greatest a in [low, high] for which ``holds``, if it holds up to some a; low if nowhere."""
-    span = F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi"))
+def _sums(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
+    """For each exponent a, the sums of p^a and of p^a ln p over all sources, in one row."""
+    p = F.col("p")
+    row = shares.agg(*[F.struct(F.sum(F.pow(p, F.lit(a))), F.sum(F.pow(p, F.lit(a)) * F.ln(p))) for a in exponents]).first()
+    return [tuple(r) for r in row]
+
 
-    def step(s, _):
-        middle = (s["lo"] + s["hi"]) / 2
-        good = F.coalesce(holds(middle), F.lit(False))
-        return F.struct(F.when(good, middle).otherwise(s["lo"]).alias("lo"), F.when(good, s["hi"]).otherwise(middle).alias("hi"))
+def choose_exponent(sources: DataFrame, budget: int, total: int, target_entropy: float, max_repeats: float) -> float:
+    """The exponent for (source, tokens > 0), to six digits.
+
+    Both limits hold up to some point: the entropy falls as a rises, and repeats fall as 1 - a falls. If no exponent keeps
+    the repeats (a budget of more than ``max_repeats`` times all tokens), it is 1: natural shares repeat the sources evenly,
+    which is the least that the most repeated one can get.
+    """
+    shares = sources.select((F.col("tokens") / F.lit(total)).alias("p"))
+    n, least = shares.agg(F.count("*"), F.min("p")).first()
+    if not n:
+        return 1.0
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), span, step)["lo"]
+    def even(a, z, s):
+        return math.log(z) - a * s / z >= target_entropy * math.log(n)
 
+    def few(a, z, _):
+        return budget / (total * z) * least ** (a - 1) <= max_repeats
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    spans = {even: (0.0, 1.0), few: (0.0, 1.0)}  # of a, and of 1 - a
+    for _ in range(ROUNDS):
+        grid = {f: [lo + (hi - lo) * k / PARTS for k in range(1, PARTS)] for f, (lo, hi) in spans.items()}
+        points = [(f, x, x if f is even else 1 - x) for f, xs in grid.items() for x in xs]
+        sums = _sums(shares, [a for *_, a in points])
+        for f, (lo, hi) in spans.items():
+            good = [x for (g, x, a), (z, s) in zip(points, sums) if g is f and f(a, z, s)]
+            bad = [x for (g, x, a), (z, s) in zip(points, sums) if g is f and not f(a, z, s)]
+            spans[f] = (max(good, default=lo), min(bad, default=hi))
+    return round(max(spans[even][0], 1 - spans[few][0]), 6)
 
 
 def plan_weights(sources: DataFrame, budget: int | None = None, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS) -> DataFrame:
@@ -49,50 +73,33 @@ def plan_weights(sources: DataFrame, budget: int | None = None, target_entropy:
     target_entropy is a fraction of the largest possible entropy, ln(number of sources with tokens). Without a
     budget, as many tokens are dealt as there are. Sources without tokens get nothing.
     """
-    known = sources.where("tokens > 0").agg(F.sort_array(F.collect_list(F.struct("source", "tokens"))).alias("all"), F.sum("tokens").alias("total"))
-    p = F.transform("all", lambda x: x["tokens"] / F.col("total"))
-    known = known.withColumn("p", p).withColumn("budget", F.col("total") if budget is None else F.lit(budget))
-
-    def weights(a):
-        powers = F.transform("p", lambda x: F.pow(x, a))
-        return powers, _total(powers)
-
-    def even_enough(a):
-        powers, total = weights(a)
-        entropy = -_total(F.transform(powers, lambda x: x / total * F.ln(x / total)))
-        return entropy >= target_entropy * F.ln(F.size("p"))
-
-    def few_repeats(a):
-        powers, total = weights(a)
-        return F.forall(F.zip_with(powers, "p", lambda x, q: x / total * F.col("budget") / (q * F.col("total"))), lambda r: r <= max_repeats)
-
-    # repeats fall as the exponent rises, so their bisection runs over 1 - a
-    exponent = F.round(F.greatest(_bisect(even_enough), 1 - _bisect(lambda b: few_repeats(1 - b))), 6)
-    chosen = known.withColumn("exponent", exponent)
-    powers, total = weights(F.col("exponent"))
-    chosen = chosen.withColumn("powers", powers).withColumn("sum", _total(F.col("powers")))
-    rows = chosen.select("budget", "exponent", F.explode(F.zip_with("all", "powers", lambda x, w: F.struct(x["source"].alias("source"), x["tokens"].alias("tokens"), (w / F.col("sum")).alias("weight")))).alias("r"))
-    return rows.select("r.source", "r.tokens", "exponent", F.round("r.weight", 9).alias("weight"), F.floor(F.round("r.weight", 9) * F.col("budget")).cast("long").alias("target"))
+    known = sources.where("tokens > 0")
+    total = known.agg(F.sum("tokens")).first()[0] or 0
+    budget = total if budget is None else budget
+    exponent = choose_exponent(known, budget, total, target_entropy, max_repeats)
+    power = F.pow(F.col("tokens") / F.lit(total), F.lit(exponent))
+    whole = known.agg(F.sum(power)).first()[0] or 1.0
+    weight = F.round(power / F.lit(whole), 9)
+    return known.select("source", "tokens", F.lit(exponent).alias("exponent"), weight.alias("weight"), F.floor(weight * F.lit(budget)).cast("long").alias("target"))
 
 
-def mix(docs: DataFrame, budget: int | None = None, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS, seed: str = "mix") -> DataFrame:
-    """One row for each time a document is dealt: doc_id, source, tokens, epoch, block, block_rank, weight.
+def mix(docs: DataFrame, budget: int | None = None, target_entropy: float = TARGET_ENTROPY, max_repeats: float = MAX_REPEATS, seed: str = "mix", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each time a document is dealt: doc_id, source, tokens, epoch, block, block_rank, weight, and the columns ``keep``.
 
     block_rank is the block's place in the permutation of that epoch (pass), from 1. A source's tokens add up to
     its target or less by under one document. Null sources are one source named ''. Documents without words
-    go with their block; a source of such documents only is not dealt. Repeated rows are dealt each. Raises if there are
-    more than MAX_SOURCES sources, the bound of what one row holds.
+    go with their block; a source of such documents only is not dealt. Repeated rows are dealt each. Texts of any length
+    count whole; columns not named are ignored. Empty in, empty out.
     """
-    sized = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), n_tokens(text_or_empty()).alias("tokens"))
+    sized = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), n_tokens(text_or_empty()).alias("tokens"), *keep)
     place = F.md5(F.concat_ws(":", F.lit(seed), "doc_id"))
     sized = staged(sized.withColumn("place", place).withColumn("block", F.substring("place", 1, 3)), "mix-documents")
     blocks = staged(sized.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")), "mix-blocks")
     sources = staged(blocks.groupBy("source").agg(F.sum("tokens").alias("tokens")), "mix-sources")
-    if sources.count() > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     plan = plan_weights(sources, budget, target_entropy, max_repeats).withColumn("passes", F.floor(F.col("target") / F.col("tokens")).cast("int"))
     plan = staged(plan.withColumn("rest", F.col("target") - F.col("passes") * F.col("tokens")), "mix-plan")
-    epochs = blocks.join(F.broadcast(plan.select("source", "weight", "passes", "rest")), "source")  # at most MAX_SOURCES rows
+    each = plan.select("source", "weight", "passes", "rest")
+    epochs = blocks.join(F.broadcast(each) if sources.count() <= BROADCAST_SOURCES else each, "source")
     epochs = epochs.select("*", F.explode(F.sequence(F.lit(0), "passes")).alias("epoch"))
     # a window here holds at most 4096 rows
     order = Window.partitionBy("source", "epoch").orderBy(F.md5(F.concat_ws(":", F.lit(seed), "source", "epoch", "block")), "block")
@@ -103,4 +110,4 @@ def mix(docs: DataFrame, budget: int | None = None, target_entropy: float = TARG
     whole = met.where("room = block_tokens")
     inside = Window.partitionBy("source", "block", "epoch").orderBy("place", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
     cut = met.where("room < block_tokens").withColumn("upto", F.sum("tokens").over(inside)).where("upto <= room").drop("upto")
-    return whole.unionByName(cut).select("doc_id", "source", "tokens", "epoch", "block", "block_rank", "weight")
+    return whole.unionByName(cut).select("doc_id", "source", "tokens", "epoch", "block", "block_rank", "weight", *keep)

@@ -14,7 +14,7 @@ def md5(*parts):
 
 def bisect(holds):
     lo, hi = 0.0, 1.0
-    for _ in range(mixing.STEPS):
+    for _ in range(40):
         middle = (lo + hi) / 2
         lo, hi = (middle, hi) if holds(middle) else (lo, middle)
     return lo
@@ -87,10 +87,22 @@ def test_edge_cases(make_docs, edge_pairs):
     assert result(mixing.mix(make_docs([(1, None), (2, "")]))) == []
 
 
-def test_too_many_sources_raise(make_docs, monkeypatch):
-    monkeypatch.setattr(mixing, "MAX_SOURCES", 0)
-    with pytest.raises(ValueError):
-        mixing.mix(make_docs([(1, "a")]))
+def test_many_sources(make_docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 100)
+    rows = [(i, "w " * (1 + i % 23), f"s{i % 700}") for i in range(2000)]
+    docs = make_docs([r[:2] for r in rows]).drop("source").selectExpr("*", "concat('s', doc_id % 700) as source")
+    assert result(mixing.mix(docs)) == brute(rows)
+
+
+def test_a_budget_beyond_all_repeats_takes_natural_shares(make_docs):
+    docs = make_docs([(1, "a b c"), (2, "d")]).drop("source").selectExpr("*", "concat('s', doc_id) as source")
+    got = result(mixing.mix(docs, budget=40))
+    assert [sum(r[1] == s for r in got) for s in ("s1", "s2")] == [10, 10]
+
+
+def test_columns_can_be_kept(make_docs):
+    docs = make_docs([(1, "a b"), (2, None)])
+    assert {tuple(r) for r in mixing.mix(docs, keep=("text", "lang")).select("doc_id", "text", "lang").collect()} == {(1, "a b", "en"), (2, None, "en")}
 
 
 def test_empty_table(make_docs):
