@@ -5,11 +5,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local: list[str] = []
+_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -17,6 +19,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _local:
         folder = tempfile.TemporaryDirectory(prefix="concord-")
         atexit.register(folder.cleanup)
@@ -39,4 +43,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def unstaged(table: DataFrame) -> None:
+    """Delete a table that ``staged`` gave, once nothing reads it any more; other DataFrames are left alone."""
+    path = _paths.pop(table, None)
+    if path:
+        spark = table.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
