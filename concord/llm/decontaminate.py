@@ -1,14 +1,16 @@
 """Benchmark decontamination with SimHash over item-sized windows.
 
 A window is as long as an item. One that is 0.8 similar to it holds most of its shingles, in any order, so windows are
-laid at all starts where enough of a document's shingles belong to items of that length. A window's SimHash weighs every shingle by its
-number of occurrences. Fingerprints are looked up among items of the window's length by a multi-index: within
-``RADIUS`` differing bits at least one of RADIUS + 1 blocks is equal, so the equi-join on blocks returns all
-fingerprints within the radius. An exact weighted-shingle similarity (sum of the smaller counts over sum of the
-larger ones) then verifies the candidates. All steps are DataFrame operations.
+laid at all starts where enough of a document's shingles belong to items of that length; no other window can be that
+similar. A window's SimHash weighs every shingle by its number of occurrences. Fingerprints are looked up among items of
+the window's length by a multi-index of ``BLOCKS`` blocks of 12 or 13 bits: of two fingerprints within ``RADIUS`` differing
+bits, one block differs in at most ``NEAR`` bits. Items enter the index with all values that close to their own, so the equi-join
+on blocks returns all fingerprints within the radius, and about one in four of other ones by chance. An exact
+weighted-shingle similarity (sum of the smaller counts over sum of the larger ones) then verifies the candidates. All
+steps are DataFrame operations.
 
 At similarity 0.8 an angle between shingle vectors of 27 degrees makes each of 64 bits differ with probability 0.15, so
-18 differing bits are exceeded about once in 500 windows at the threshold itself, and far more rarely above it.
+19 differing bits are exceeded about once in 1,000 windows at the threshold itself, and far more rarely above it.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from ._common import staged
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RADIUS = 18
+BLOCKS, NEAR = 5, 3
+RADIUS = BLOCKS * (NEAR + 1) - 1
 BROADCAST_ROWS = 1_000_000
 PIECE = 64  # starts of windows that are cut from one run of words
 
@@ -52,10 +55,17 @@ def fingerprint(shingle_column: str) -> Column:
     )
 
 
-def _blocks(print_: Column) -> Column:
-    edges = [64 * i // (RADIUS + 1) for i in range(RADIUS + 2)]
-    parts = [F.shiftrightunsigned(print_, lo).bitwiseAND((1 << (hi - lo)) - 1).cast("int") + 16 * i for i, (lo, hi) in enumerate(zip(edges, edges[1:]))]
-    return F.explode(F.array(*parts))
+def _blocks(print_: Column, near: int = 0) -> Column:
+    """The values of all blocks, each with its number above 16 bits; and those that differ from them in up to ``near`` bits."""
+    edges = [64 * i // BLOCKS for i in range(BLOCKS + 1)]
+
+    def values(i):
+        most = (1 << (edges[i + 1] - edges[i])) - 1
+        value = F.shiftrightunsigned(print_, edges[i]).bitwiseAND(most).cast("int")
+        masks = F.filter(F.sequence(F.lit(0), F.lit(most)), lambda m: F.bit_count(m) <= near) if near else F.array(F.lit(0))
+        return F.transform(masks, lambda m: value.bitwiseXOR(m) + (i << 16))
+
+    return F.explode(F.flatten(F.array(*[values(i) for i in range(BLOCKS)])))
 
 
 def _starts(similarity: float) -> Column:
@@ -80,7 +90,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
     Texts are lower-cased and cut into words at blanks; start counts words from 0. Items of fewer than five words
     have one shingle, the whole of them; items without words or with a null id never match. Null document ids and
-    texts match nothing. Repeated rows of a document give one result. Other columns are ignored.
+    texts match nothing. Repeated rows of a document give one result. Other columns are ignored. Texts of any length are
+    searched whole; without documents or items there are no leaks.
     """
     hashed = benchmark.where("item_id is not null").select("item_id", word_hashes(F.col("text")).alias("h")).where(F.size("h") > 0).distinct()
     items = None
@@ -105,6 +116,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     spots = staged(spots.select("doc_id", "k", "n_words", F.explode(_starts(similarity)).alias("start")).distinct(), "window-places")
     pieces = spots.groupBy("doc_id", "k", "n_words", (F.col("start") - F.col("start") % PIECE).alias("base")).agg(F.collect_list("start").alias("starts"))
     places = staged(pieces.groupBy("doc_id").agg(F.collect_list(F.struct("k", "n_words", "base", "starts")).alias("w")), "windows-of-documents")
+    # every start is a row of ``spots``, so the bound on these holds for the arrays, too
     joined = texts.join(F.broadcast(places) if spots.count() <= BROADCAST_ROWS // 2 else places, "doc_id")
     pieces = joined.select("doc_id", "h", F.explode("w").alias("w")).select("doc_id", "w.*", F.slice("h", F.col("w.base") + 1, F.col("w.n_words") + PIECE - 1).alias("h"))
     pieces = staged(pieces, "passages")
@@ -117,7 +129,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     prints = items.withColumn("fp", fingerprint("s"))
     near = (
         windows.select("doc_id", "n_words", "start", "fp", _blocks(F.col("fp")).alias("block"))
-        .join(prints.select("item_id", "n_words", F.col("fp").alias("item_fp"), _blocks(F.col("fp")).alias("block")), ["n_words", "block"])
+        .join(prints.select("item_id", "n_words", F.col("fp").alias("item_fp"), _blocks(F.col("fp"), NEAR).alias("block")), ["n_words", "block"])
         .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
         .select("doc_id", "n_words", "start", "item_id")
         .distinct()

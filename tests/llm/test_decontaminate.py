@@ -98,3 +98,43 @@ def test_reordered_passages(make_docs, spark):
     wanted = brute(docs, [(k, " ".join(item)) for k, item in items])
     assert len(wanted) >= 6
     assert result(decontaminate.leaks(make_docs(docs, clash=True), bench)) == wanted
+
+
+def test_blocks_find_all_within_the_radius_and_few_others(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    items = [rnd.getrandbits(64) for _ in range(60)]
+    prints = []
+    for i, x in enumerate(items):
+        for bits in (0, 5, 12, decontaminate.RADIUS):
+            y = x
+            for b in rnd.sample(range(64), bits):
+                y ^= 1 << b
+            prints.append((len(prints), i, signed(y)))
+    left = spark.createDataFrame(prints, "w long, i long, fp long").select("w", "i", decontaminate._blocks(F.col("fp")).alias("block"))
+    right = spark.createDataFrame([(i, signed(x)) for i, x in enumerate(items)], "j long, fp long").select("j", decontaminate._blocks(F.col("fp"), decontaminate.NEAR).alias("block"))
+    met = left.join(right, "block").select("w", "i", "j").distinct().collect()
+    assert {r.w for r in met if r.i == r.j} == set(range(len(prints)))
+    assert sum(r.i != r.j for r in met) < 0.3 * len(prints) * len(items)
+
+
+def test_recall_on_the_larger_table(spark):
+    """All pairs of documents and items with a shared shingle, by sliding windows, against what is found."""
+    docs = [tuple(r) for r in registry.documents(spark, "/root/testdata/sf0.01").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("item_id", "text").collect()]
+    holders = {}
+    for i, t in items:
+        for g in shingles(words_of(t)):
+            holders.setdefault(g, set()).add(i)
+    texts = dict(items)
+    wanted = {}
+    for d, t in docs:
+        own = Counter(i for g in set(shingles(words_of(t))) for i in holders.get(g, ()))
+        # two bags of m and m' shingles that are 0.8 similar share 4/9 of m + m'
+        near = [(i, texts[i]) for i, n in own.items() if n >= 0.3 * len(shingles(words_of(texts[i])))]
+        wanted |= brute([(d, t)], near) if near else {}
+    found = result(registry.op5_decontamination(spark, "/root/testdata/sf0.01"))
+    assert set(found.items()) <= set(wanted.items())
+    assert len(found) >= 0.99 * len(wanted) > 20
