@@ -153,7 +153,7 @@ def _link(radius: int):
 def _tasks(dealt: DataFrame, limit: int, salt: str = "fp") -> DataFrame:
     """``dealt`` with ``task`` in place of ``block``: a block of more than ``limit`` rows becomes pairs of chunks."""
     sizes = dealt.groupBy("block").agg(F.count("*").alias("n"))
-    heavy = sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int")).drop("n")  # at most max_heavy rows
+    heavy = sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int")).drop("n")
     chunk = F.pmod(F.xxhash64(salt), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("i"), F.greatest(chunk, j).alias("j")))
     parts = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)
@@ -161,12 +161,16 @@ def _tasks(dealt: DataFrame, limit: int, salt: str = "fp") -> DataFrame:
     return tasks.withColumn("task", F.xxhash64("block", "part.i", "part.j")).drop("block", "chunks", "part")
 
 
-def links(fingerprints: DataFrame, radius: int = RADIUS, chunk_rows: int = CHUNK_ROWS, max_heavy: int = MAX_HEAVY) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column fp) that connect all pairs within ``radius`` bits."""
+def links(fingerprints: DataFrame, radius: int = RADIUS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints (column fp) that connect all pairs within ``radius`` bits.
+
+    A task holds two chunks of ``chunk_rows`` at most, whatever the input. Blocks that are cut into chunks are named in a
+    broadcast table, which the blocks' bits bound: 4 blocks of 16 bits have 262,144 values.
+    """
     width = -(-64 // (radius + 1))
     blocks = F.array(*[F.concat_ws(":", F.lit(i), F.shiftrightunsigned("fp", i * width).bitwiseAND((1 << min(width, 64 - i * width)) - 1)) for i in range(radius + 1)])
     dealt = fingerprints.select("fp", F.explode(blocks).alias("block"))
-    tasks = _tasks(dealt, max(chunk_rows, (radius + 1) * fingerprints.count() // max_heavy)).select("fp", "task")
+    tasks = _tasks(dealt, chunk_rows).select("fp", "task")
     return tasks.repartition("task").mapInArrow(_link(radius), "a long, b long")
 
 
@@ -176,7 +180,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     Texts are lower-cased (A-Z) and cut into 3-word shingles; texts of fewer words have one shingle, null and
     wordless texts the fingerprint zero, which links like any other. Fingerprints link at ``radius`` or
     fewer differing bits. component_id is the smallest doc_id that links reach (null only where a
-    component has no id). Repeated rows and ties share a component. Other columns are ignored.
+    component has no id). Repeated rows and ties share a component. Other columns are ignored. Texts of any length are
+    read whole; empty in, empty out.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     marked = staged(texts.mapInArrow(_fingerprint, "doc_id long, fp long"), "fingerprints")
