@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from ..sources.staging import staged, unstaged
 
-__all__ = ["documents", "staged", "text_or_empty"]
+__all__ = ["documents", "staged", "text_or_empty", "unstaged"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
