@@ -32,10 +32,25 @@ def test_deduplicated(streamed):
 
 def test_newest_only(streamed):
     batches = [[("k", 1), ("k", 3), ("j", 9)], [("k", 2), ("k", 3), ("k", 5)], [("j", 8), ("k", 6)]]
-    out = streamed(batches, "id string, seq long", lambda s: ev.newest_only(s, "id", "seq"))
+    timed = [[(k, n, f"2024-01-01 00:00:{second:02d}") for k, n in rows] for second, rows in enumerate(batches)]
+    out = streamed(timed, "id string, seq long, t string", lambda s: ev.newest_only(s.selectExpr("id", "seq", "cast(t as timestamp) as at"), "id", "seq", "at"))
     assert sorted((r.id, r.seq) for r in out.collect()) == [("j", 9), ("k", 1), ("k", 3), ("k", 5), ("k", 6)]
 
 
+def test_newest_only_forgets_keys(streamed):
+    """After a day without events, and the watermark past it, a key begins anew."""
+    batches = [[("k", 5, "2024-01-01 00:00:00")], [("j", 1, "2024-01-03 00:00:00")], [("j", 2, "2024-01-03 00:00:01")], [("k", 3, "2024-01-03 00:00:02"), ("j", 1, "2024-01-03 00:00:02")]]
+    out = streamed(batches, "id string, seq long, t string", lambda s: ev.newest_only(s.selectExpr("id", "seq", "cast(t as timestamp) as at"), "id", "seq", "at", late="1 minute"))
+    assert sorted((r.id, r.seq) for r in out.collect()) == [("j", 1), ("j", 2), ("k", 3), ("k", 5)]
+
+
+def test_reordered_releases_by_the_watermark(streamed):
+    """What waits is released once other keys move the time on; no event of its own key has to come."""
+    batches = [[("k", 5, "f", "2024-01-01 00:00:00")], [("j", 0, "a", "2024-01-01 00:10:00")], [("j", 1, "b", "2024-01-01 00:10:01")], [("j", 2, "c", "2024-01-01 00:10:02")]]
+    out = streamed(batches, "id string, seq long, p string, t string", lambda s: ev.reordered(s.selectExpr("id", "seq", "p", "cast(t as timestamp) as at"), "id", "seq", "p", "at", late="1 minute"))
+    assert sorted((r.id, r.seq) for r in out.collect()) == [("j", 0), ("j", 1), ("j", 2), ("k", 5)]
+
+
 def in_order(batches, streamed, **limits):
     timed = [[(k, n, p, f"2024-01-01 00:00:{second:02d}") for k, n, p in rows] for second, rows in enumerate(batches)]
     out = streamed(timed, "id string, seq long, p string, t string", lambda s: ev.reordered(s.selectExpr("id", "seq", "p", "cast(t as timestamp) as at"), "id", "seq", "p", "at", **limits))
