@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from .graph import components
 
 
 def identity_edges(records: DataFrame, key: str, fields: dict[str, Column]) -> DataFrame:
@@ -23,25 +23,11 @@ def identity_edges(records: DataFrame, key: str, fields: dict[str, Column]) -> D
     return out.distinct()
 
 
-def clusters(edges: DataFrame, records: DataFrame, key: str, rounds: int = 40) -> DataFrame:
-    """(key, cluster_id): the smallest record that edges reach. Raises if it does not converge.
-
-    Every round takes the least label of the neighbours and then the label of that label, so long chains halve. Only
-    records with an edge take part; labels are written to the shared folder each round.
-    """
-    both = staged(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "identity-edges")
-    labels = both.select(F.col("a").alias("n"), F.col("a").alias("label")).distinct()
-    for _ in range(rounds):
-        near = both.join(labels, both.b == labels.n).groupBy("a").agg(F.min("label").alias("least"))
-        stepped = labels.join(near, labels.n == near.a).select("n", F.least("label", "least").alias("label"), F.col("label").alias("was"))
-        stepped = staged(stepped, "cluster-steps")
-        jump = stepped.select(F.col("n").alias("m"), F.col("label").alias("further"))
-        new = staged(stepped.join(jump, stepped.label == jump.m).select("n", F.least("label", "further").alias("label"), "was"), "cluster-labels")
-        labels = new.select("n", "label")
-        if new.where("label <> was").isEmpty():
-            met = records.select(key).distinct().join(labels, F.col(key) == F.col("n"), "left")
-            return met.select(key, F.coalesce("label", key).alias("cluster_id"))
-    raise RuntimeError(f"clusters did not converge in {rounds} rounds")
+def clusters(edges: DataFrame, records: DataFrame, key: str) -> DataFrame:
+    """(key, cluster_id): the smallest record that edges reach; only records with an edge take part in the search."""
+    found = components(edges).withColumnRenamed("node", "__node")
+    met = records.select(key).distinct().join(found, F.col(key) == F.col("__node"), "left")
+    return met.select(key, F.coalesce("root", key).alias("cluster_id"))
 
 
 def coalesce_by(value: Column, priority: Column) -> Column:
