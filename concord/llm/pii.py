@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ._common import text_or_empty
 
 BLOCK = 500
-CONTEXT = 48
+CONTEXT, NEIGHBOURS = 48, 4
 KEEP_FROM = 0.5
 BONUS = 0.3
 
@@ -79,19 +79,43 @@ KINDS = (
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, r"\bssn\b|social security|taxpayer", "[0-9]{3}-[0-9]{2}-[0-9]{4}", base=False),
 )
 SPAN = "struct<kind:string,start:bigint,end:bigint,score:double>"
-FOUND = "array<struct<start:bigint,end:bigint,match:string,before:string>>"
+FOUND = "array<struct<start:bigint,end:bigint,match:string,around:string>>"
 
 
 def proposals(text: Column, pattern: str) -> Column:
-    """Matches of ``pattern``, leftmost and non-overlapping: start, end (code points), match, text just before."""
+    """Matches of ``pattern``, leftmost and non-overlapping: start, end (code points), match, text around it.
+
+    Around are CONTEXT characters on either side, read through up to NEIGHBOURS other matches.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(F.length(g).cast("long").alias("gap"), F.length(m).cast("long").alias("len"), m.alias("match"), F.lower(F.right(g, F.lit(CONTEXT))).alias("before")))
+    n = F.lit(NEIGHBOURS)
+
+    # one-element arrays give results a name, so that they are computed once
+    def trimmed(x):
+        return F.struct(x["found"].alias("m"), x["gaps"].alias("g"), F.transform(x["gaps"], lambda g: F.right(g, F.lit(CONTEXT))).alias("tails"), F.transform(x["gaps"], lambda g: F.left(g, F.lit(CONTEXT))).alias("heads"))
+
+    def listed_matches(x):
+        def around(i):
+            first = F.greatest(i - n, F.lit(1))
+            before = F.zip_with(F.slice(x["tails"], first, i - first), F.slice(x["m"], first, i - first), lambda t, m: F.concat(t, m))
+            after = F.zip_with(F.slice(x["m"], i + 1, n), F.slice(x["heads"], i + 2, n), lambda m, h: F.concat(m, F.coalesce(h, F.lit(""))))
+            left = F.right(F.concat(F.array_join(before, ""), F.element_at(x["tails"], i)), F.lit(CONTEXT))
+            right = F.left(F.concat(F.element_at(x["heads"], i + 1), F.array_join(after, "")), F.lit(CONTEXT))
+            return F.lower(F.concat_ws("\n", left, right))
+
+        def one(m, k):
+            return F.struct(F.length(F.get(x["g"], k)).cast("long").alias("gap"), F.length(m).cast("long").alias("len"), m.alias("match"), around(k + 1).alias("around"))
+
+        return F.transform(x["m"], one)
+
+    bound = F.transform(F.array(F.struct(found.alias("found"), gaps.alias("gaps"))), trimmed)
+    pairs = F.element_at(F.transform(bound, listed_matches), 1)
     none = F.array().cast(FOUND)
 
     def step(a, x):
         start = a["at"] + x["gap"]
-        return F.struct((start + x["len"]).alias("at"), F.concat(a["out"], F.array(F.struct(start.alias("start"), (start + x["len"]).alias("end"), x["match"].alias("match"), x["before"].alias("before")))).alias("out"))
+        return F.struct((start + x["len"]).alias("at"), F.concat(a["out"], F.array(F.struct(start.alias("start"), (start + x["len"]).alias("end"), x["match"].alias("match"), x["around"].alias("around")))).alias("out"))
 
     def block(p):
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda b: F.slice(p, b * BLOCK + 1, F.lit(BLOCK)))
@@ -114,7 +138,7 @@ def spans_of(text: Column, kind: Kind) -> Column:
     found = proposals(text, kind.pattern)
     if kind.valid is not None:
         found = F.filter(found, lambda x: kind.valid(x["match"]))
-    scored = F.transform(found, lambda x: F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), (F.lit(kind.score) + F.when(x["before"].rlike(kind.words), BONUS).otherwise(0.0)).alias("score")))
+    scored = F.transform(found, lambda x: F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), (F.lit(kind.score) + F.when(x["around"].rlike(kind.words), BONUS).otherwise(0.0)).alias("score")))
     scored = F.transform(scored, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.least(F.round(x["score"], 2), F.lit(1.0)).alias("score")))
     if not kind.base:
         scored = F.filter(scored, lambda x: x["score"] >= KEEP_FROM)

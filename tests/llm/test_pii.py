@@ -70,5 +70,11 @@ def test_context_adjusts_the_score(make_docs):
     assert [r.ip[0].score for r in row] == [0.6, 0.9]
 
 
+def test_context_is_read_on_both_sides_and_through_neighbours(make_docs):
+    texts = ["SSN: 111-22-3333, 444-55-6666", "111-22-3333 (social security)", "111-22-3333 and 444-55-6666 are social security numbers", "ssn " + "x" * 50 + " 111-22-3333", "111-22-3333" + " " * 50 + "ssn", "é 111-22-3333, é 222-22-3333, é 333-22-3333 ssn"]
+    rows = pii.find_personal_data(make_docs(enumerate(texts))).orderBy("doc_id").collect()
+    assert [[(s.start, s.end) for s in r.ssn] for r in rows] == [[(5, 16), (18, 29)], [(0, 11)], [(0, 11), (16, 27)], [], [], [(2, 13), (17, 28), (32, 43)]]
+
+
 def test_empty_table(make_docs):
     assert pii.find_personal_data(make_docs([])).collect() == []
