@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import staged
-from ._graph import components
+from ..operators.graph import components
+from ._common import staged, unstaged
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 FANOUT = 8
 CHUNK_ROWS = 20_000
 MAX_HEAVY = 200
+BROADCAST_ROWS = 400_000
 SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS = 5, 0.8, 26
 
 
@@ -150,14 +151,19 @@ def _link(radius: int):
     return link
 
 
+def _small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table of a few numbers a row, broadcast if its counted rows are within the bound."""
+    return F.broadcast(table) if table.count() <= most else table
+
+
 def _tasks(dealt: DataFrame, limit: int, salt: str = "fp") -> DataFrame:
     """``dealt`` with ``task`` in place of ``block``: a block of more than ``limit`` rows becomes pairs of chunks."""
     sizes = dealt.groupBy("block").agg(F.count("*").alias("n"))
-    heavy = sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int")).drop("n")
+    heavy = staged(sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int")).drop("n"), "heavy-blocks")
     chunk = F.pmod(F.xxhash64(salt), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("i"), F.greatest(chunk, j).alias("j")))
     parts = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)
-    tasks = dealt.join(F.broadcast(heavy), "block", "left").select("*", F.explode(parts).alias("part"))
+    tasks = dealt.join(_small(heavy), "block", "left").select("*", F.explode(parts).alias("part"))
     return tasks.withColumn("task", F.xxhash64("block", "part.i", "part.j")).drop("block", "chunks", "part")
 
 
@@ -272,19 +278,21 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: i
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     marked = staged(texts.mapInArrow(_describe(similarity), "doc_id long, text_hash long, node long, size int, fp long, prefix array<long>"), "shingle-sets")
-    distinct = marked.groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("prefix").alias("prefix")
-    )
+    # one row stands for all with its shingle set; the sets' long columns stay where they are
+    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("size").alias("size"), F.first("fp").alias("fp"))
     distinct = staged(distinct, "distinct-shingle-sets")
-    n_prefix = distinct.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0
-    dealt = distinct.select("node", "size", "fp", F.explode("prefix").alias("block"))
+    is_row = (F.col("text_hash") == F.col("row.text_hash")) & F.col("doc_id").eqNullSafe(F.col("row.doc_id"))
+    standing = marked.select("doc_id", "text_hash", "prefix", "node").join(_small(distinct.select(F.col("node").alias("n"), "row", "size", "fp")), (F.col("node") == F.col("n")) & is_row)
+    n_prefix = marked.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0
+    dealt = standing.select("node", "size", "fp", F.explode("prefix").alias("block"))
     tasks = _tasks(dealt, max(chunk_rows, n_prefix // max_heavy), "node").select("node", "size", "fp", "task")
     loose = components(tasks.repartition("task").mapInArrow(_link_similar(similarity, False), "a long, b long"))
-    members = staged(distinct.drop("prefix").join(loose, "node"), "candidate-members")
-    with_text = texts.join(members.select("row", "node", "size", "fp", F.col("root").alias("block")), (F.col("text_hash") == F.col("row.text_hash")) & F.col("doc_id").eqNullSafe(F.col("row.doc_id")))
-    with_text = staged(with_text.select("node", "size", "fp", "block", "text").dropDuplicates(["node"]), "candidate-texts")
+    members = staged(distinct.join(loose, "node"), "candidate-members")
+    with_text = texts.join(_small(members.select("row", "node", "size", "fp", F.col("root").alias("block"))), is_row)
+    with_text = staged(with_text.select("node", "size", "fp", "block", "text"), "candidate-texts")
     tasks = _tasks(with_text, max(chunk_rows, members.count() // max_heavy), "node").select("node", "size", "fp", "text", "task")
     roots = staged(components(tasks.repartition("task").mapInArrow(_link_similar(similarity, True), "a long, b long")), "similar-roots")
+    unstaged(with_text)
     linked = distinct.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_node = staged(linked.join(least, "root").select("node", "component_id"), "similar-components")

@@ -54,7 +54,7 @@ def test_chunked_blocks_lose_no_link(spark):
     codes = sorted({1 << a | 1 << b for a in range(40) for b in range(40)} | {7 << 50})
     prints = spark.createDataFrame([(c,) for c in codes], "fp long")
     edges = simhash_dedup.links(prints, chunk_rows=50)
-    from concord.llm._graph import components
+    from concord.operators.graph import components
 
     roots = dict(components(edges).collect())
     assert {roots.get(c, c) for c in codes if c < 1 << 40} == {min(codes)}
