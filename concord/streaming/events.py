@@ -124,6 +124,25 @@ def debounced(events: DataFrame, key: str, at: str, payload: str, quiet: str, la
     return runs.drop("session_window")
 
 
+def change_sink(
+    prepare: Callable[[DataFrame], tuple[DataFrame, DataFrame]], read_state: Callable[[], DataFrame], write: Callable[[dict[str, DataFrame], int], None], run_id: str, keep: str = "first"
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body for change records: prepare, merge, hand over.
+
+    ``prepare`` maps, normalises, checks and keys a batch: it gives records (external_id, seq, op, data, _raw_hash) and rejects.
+    ``write`` gets the frames of ``merge.change_batch`` (state, history, watermark, rejects) and the batch's number, with which it
+    can tell a repeated batch. A snapshot that is partitioned by key needs only the partitions that ``history`` and
+    tombstones name.
+    """
+
+    def body(batch: DataFrame, number: int) -> None:
+        good, bad = prepare(batch)
+        out = merge.change_batch(good, read_state(), "seq", f"{run_id}-{number}", keep)
+        write(out | {"rejects": out["rejects"].unionByName(bad, allowMissingColumns=True)}, number)
+
+    return body
+
+
 def apply_changes(read_state: Callable[[], DataFrame], write_state: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body: changes (external_id, seq, op, data, _raw_hash) merged into a snapshot.
 

@@ -92,3 +92,35 @@ def test_change_batches(spark):
     body(spark.createDataFrame(changes, "external_id string, seq long, op string, data string, _raw_hash string"), 7)
     assert sorted(tuple(r) for r in held["now"].collect()) == [("1", "{}", "h1", True), ("2", "b", "h2", False), ("3", "c", "h3", False)]
     assert held["batch"] == 7
+
+
+def test_change_sink_maps_checks_and_merges(spark):
+    from pyspark.sql import functions as F
+
+    from concord.functions import records as R
+    from concord.operators import transform
+
+    schema = "external_id string, data string, _raw_hash string, _deleted boolean"
+    held = {"now": spark.createDataFrame([("1", "{}", "h1", False), ("2", "b", "h2", False)], schema)}
+
+    def prepare(batch):
+        fields = [transform.Field("external_id", "id"), transform.Field("seq", "n", "int"), transform.Field("op", "op"), transform.Field("name", "v.name")]
+        made = transform.map_fields(batch, "raw", fields)
+        bad = F.coalesce(F.col("op") != "DELETE", F.lit(True)) & F.col("name").isNull()
+        data = F.to_json(F.struct("name"))
+        return made.where(~bad).withColumn("data", data).withColumn("_raw_hash", R.content_hash(data)).drop("name"), made.where(bad).select("external_id", F.lit("quality_violation").alias("error_class"))
+
+    def write(out, number):
+        held.update(now=spark.createDataFrame(out["state"].collect(), schema), batch=number, rejects=out["rejects"].count(), mark=out["watermark"].first()[0], history=[r.external_id for r in out["history"].collect()])
+
+    rows = ['{"id":"1","n":3,"v":{"name":"a"}}', '{"id":"1","n":4,"op":"DELETE"}', '{"id":"2","n":5,"op":"DELETE"}', '{"id":"3","n":6,"v":{}}', '{"n":7,"v":{"name":"z"}}']
+    ev.change_sink(prepare, lambda: held["now"], write, "run")(spark.createDataFrame([(r,) for r in rows], "raw string"), 4)
+    assert sorted((r.external_id, r.data, r._deleted) for r in held["now"].collect()) == [("1", '{"name":"a"}', False), ("2", "{}", True)]
+    assert (held["batch"], held["rejects"], held["mark"], held["history"]) == (4, 2, 5, ["1"])
+
+
+def test_readers_work_on_streams(streamed):
+    from concord.sources import files
+
+    lines = [[('{"a":1}',), ("bad",)], [("data: 5",), ('{"a":2}',)]]
+    assert sorted(r.record for r in streamed(lines, "value string", files.json_lines).collect()) == ['{"a":1}', '{"a":2}']
