@@ -89,7 +89,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
 
     ``turns`` has conv_id, turn, role and text. Rows are ordered by turn, then role, then text (nulls first), so ties
     and repeated rows have one defined order and all stay; a null text or role counts as empty; rows with a
-    null conv_id form one conversation. Other columns are ignored. Empty in, empty out.
+    null conv_id form one conversation. Other columns are ignored. Texts of any length are kept whole, and a conversation is
+    one row, so its turns must fit in a task together. Empty in, empty out.
     """
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     plain = render(F.col("role"), F.col("text"))

@@ -23,7 +23,8 @@ def exact_duplicates(docs: DataFrame, heavy_limit: int = HEAVY_LIMIT, tracked: i
 
     Null and empty texts are equal. The largest doc_id of a group stays; a null doc_id stays only in a group
     without other ids. Rows that repeat a doc_id with the same text all count in group_size and share
-    ``kept``. Other columns of ``docs`` are ignored; an empty table gives an empty result.
+    ``kept``. Other columns of ``docs`` are ignored; an empty table gives an empty result. Texts of any length are
+    digested whole.
     """
     digests = staged(docs.select("doc_id", F.sha2(text_or_empty(), 256).alias("text_sha256")), "exact-digests")
     sketch = digests.select(F.expr(f"explode(approx_top_k(text_sha256, {heavy_limit}, {tracked}))").alias("t"))
