@@ -36,7 +36,7 @@ FANOUT = 8
 CHUNK_ROWS = 20_000
 MAX_HEAVY = 200
 BROADCAST_ROWS = 400_000
-SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS = 5, 0.8, 26
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, BOTH_RADIUS = 5, 0.8, 26, 42
 
 
 def shingle_hashes(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -205,6 +205,13 @@ def _prefix(sizes: int, similarity: float) -> int:
     return sizes - math.ceil(similarity * sizes - 1e-9) + 1 if sizes else 0
 
 
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles, for a second fingerprint."""
+    x = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _describe(similarity: float):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,22 +221,24 @@ def _describe(similarity: float):
             first = [x[: _prefix(len(x), similarity)].view(np.int64) for x in sets]
             ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.empty(0, np.int64)])))
-            size, fp = pa.array([len(x) for x in sets], pa.int32()), pa.array(fingerprints_of_hashes(sets).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes), size, fp, prefix], names=["doc_id", "text_hash", "node", "size", "fp", "prefix"])
+            size = pa.array([len(x) for x in sets], pa.int32())
+            fp, fp2 = (pa.array(fingerprints_of_hashes(x).view(np.int64)) for x in (sets, [_mixed(x) for x in sets]))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes), size, fp, fp2, prefix], names=["doc_id", "text_hash", "node", "size", "fp", "fp2", "prefix"])
 
     return describe
 
 
-def _similar_stars(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, codes: np.ndarray, similarity: float, sets: list[np.ndarray] | None, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def _similar_stars(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, codes: np.ndarray, others: np.ndarray, similarity: float, sets: list[np.ndarray] | None, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Stars of the candidates of equal key, or with ``sets`` of those whose similarity is high enough.
 
     A pair is compared only as long as other pairs have not connected it, so a group of n near copies takes about n comparisons.
     """
     order = np.lexsort((gray_rank(codes), keys))
-    keys, nodes, sizes, codes = keys[order], nodes[order], sizes[order], codes[order]
+    keys, nodes, sizes, codes, others = keys[order], nodes[order], sizes[order], codes[order], others[order]
     label = np.arange(len(codes))
     for a, b in linked_pairs(keys, codes, SIMILAR_RADIUS):
         fits = np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9
+        fits &= np.bitwise_count(codes[a] ^ codes[b]) + np.bitwise_count(others[a] ^ others[b]) <= BOTH_RADIUS
         a, b = a[fits], b[fits]
         while len(a):
             apart = label[a] != label[b]
@@ -258,11 +267,11 @@ def _link_similar(similarity: float, verify: bool):
         if not parts:
             return
         rows = pa.Table.from_batches(parts)
-        keys, nodes, sizes, codes = (rows.column(c).to_numpy() for c in ("task", "node", "size", "fp"))
+        keys, nodes, sizes, codes, others = (rows.column(c).to_numpy() for c in ("task", "node", "size", "fp", "fp2"))
         _, keys, times = np.unique(keys, return_inverse=True, return_counts=True)
         at = np.flatnonzero(times[keys] > 1)
         sets = [np.unique(shingle_hashes(t, SIMILAR_SHINGLE)) for t in rows.column("text").take(pa.array(at)).to_pylist()] if verify else None
-        a, b = _similar_stars(keys[at], nodes[at], sizes[at], codes[at].view(np.uint64), similarity, sets)
+        a, b = _similar_stars(keys[at], nodes[at], sizes[at], codes[at].view(np.uint64), others[at].view(np.uint64), similarity, sets)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return link
@@ -272,25 +281,27 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: i
     """One row per row of ``docs``: doc_id and component_id, the smallest doc_id that links reach (null where none has an id).
 
     Texts link at a Jaccard similarity of ``similarity`` or more between their sets of five-word shingles, cut as in
-    ``near_duplicates``; wordless and null texts are alike. SIMILAR_RADIUS is far above the bits in which such sets differ: at 0.8 a
-    bit differs with probability 0.15 (up to 0.19 in short texts), so it is exceeded less than once in 10,000 such pairs.
+    ``near_duplicates``; wordless and null texts are alike. The radii are far above the bits in which such sets differ: at 0.8 a
+    bit differs with probability 0.15 (up to 0.19 in short texts), so 26 of 64 bits, and 42 of the 128 of two fingerprints, are
+    exceeded about once in 10,000 such pairs; unrelated texts that share a shingle are within both about once in 20,000, so
+    candidates form small groups.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    marked = staged(texts.mapInArrow(_describe(similarity), "doc_id long, text_hash long, node long, size int, fp long, prefix array<long>"), "shingle-sets")
+    marked = staged(texts.mapInArrow(_describe(similarity), "doc_id long, text_hash long, node long, size int, fp long, fp2 long, prefix array<long>"), "shingle-sets")
     # one row stands for all with its shingle set; the sets' long columns stay where they are
-    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("size").alias("size"), F.first("fp").alias("fp"))
+    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2"))
     distinct = staged(distinct, "distinct-shingle-sets")
     is_row = (F.col("text_hash") == F.col("row.text_hash")) & F.col("doc_id").eqNullSafe(F.col("row.doc_id"))
-    standing = marked.select("doc_id", "text_hash", "prefix", "node").join(_small(distinct.select(F.col("node").alias("n"), "row", "size", "fp")), (F.col("node") == F.col("n")) & is_row)
+    standing = marked.select("doc_id", "text_hash", "prefix", "node").join(_small(distinct.select(F.col("node").alias("n"), "row", "size", "fp", "fp2")), (F.col("node") == F.col("n")) & is_row)
     n_prefix = marked.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0
-    dealt = standing.select("node", "size", "fp", F.explode("prefix").alias("block"))
-    tasks = _tasks(dealt, max(chunk_rows, n_prefix // max_heavy), "node").select("node", "size", "fp", "task")
+    dealt = standing.select("node", "size", "fp", "fp2", F.explode("prefix").alias("block"))
+    tasks = _tasks(dealt, max(chunk_rows, n_prefix // max_heavy), "node").select("node", "size", "fp", "fp2", "task")
     loose = components(tasks.repartition("task").mapInArrow(_link_similar(similarity, False), "a long, b long"))
     members = staged(distinct.join(loose, "node"), "candidate-members")
-    with_text = texts.join(_small(members.select("row", "node", "size", "fp", F.col("root").alias("block"))), is_row)
-    with_text = staged(with_text.select("node", "size", "fp", "block", "text"), "candidate-texts")
-    tasks = _tasks(with_text, max(chunk_rows, members.count() // max_heavy), "node").select("node", "size", "fp", "text", "task")
+    with_text = texts.join(_small(members.select("row", "node", "size", "fp", "fp2", F.col("root").alias("block"))), is_row)
+    with_text = staged(with_text.select("node", "size", "fp", "fp2", "block", "text"), "candidate-texts")
+    tasks = _tasks(with_text, max(chunk_rows, members.count() // max_heavy), "node").select("node", "size", "fp", "fp2", "text", "task")
     roots = staged(components(tasks.repartition("task").mapInArrow(_link_similar(similarity, True), "a long, b long")), "similar-roots")
     unstaged(with_text)
     linked = distinct.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
