@@ -55,7 +55,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without words go with their block, a source of such only is not dealt, null sources are one source.
     """
-    return mixing.mix(docs, keep=("text", "lang"))
+    docs = docs.select(*COLUMNS).withColumn("text_key", F.xxhash64("text", "lang"))
+    dealt = mixing.mix(docs, keep=("text_key",)).withColumnRenamed("doc_id", "dealt_id").withColumnRenamed("text_key", "dealt_key")
+    # the mix works on numbers; texts meet it once, at the end
+    texts = docs.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"), F.first("lang").alias("lang"))
+    same = F.col("dealt_id").eqNullSafe(F.col("doc_id")) & (F.col("dealt_key") == F.col("text_key"))
+    return texts.join(dealt.hint("shuffle_hash"), same).drop("dealt_id", "dealt_key", "text_key")
 
 
 STAGES = [
