@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity
+from . import chat_format, decontaminate, exact_dedup, hard_negatives, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity
 from ._common import documents
 
 
@@ -127,6 +127,37 @@ FROM sized GROUP BY conv_id
 """
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(embeddings(spark, sf_dir))
+
+
+OP13_SQL = """
+WITH known AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND NOT list_bool_or(list_transform(embedding, lambda x: coalesce(NOT isfinite(x), true)))
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM known a, known b WHERE a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_dedup": op1_simhash_dedup,
@@ -139,6 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": op8_source_mixing,
         "op9_personal_data": op9_personal_data,
         "op10_chat_format": op10_chat_format,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
     }
 
@@ -148,4 +180,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": OP2_SQL,
         "op6_exact_dedup": OP6_SQL,
         "op10_chat_format": OP10_SQL,
+        "op13_hard_negatives": OP13_SQL,
     }
