@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, hard_negatives, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity
+from . import chat_format, decontaminate, exact_dedup, hard_negatives, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity, whitening
 from ._common import documents
 
 
@@ -131,6 +131,10 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(embeddings(spark, sf_dir))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(embeddings(spark, sf_dir))
 
@@ -170,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": op8_source_mixing,
         "op9_personal_data": op9_personal_data,
         "op10_chat_format": op10_chat_format,
+        "op12_embedding_whitening": op12_embedding_whitening,
         "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
     }
