@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, exact_dedup, hard_negatives, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity, whitening
+from . import chat_format, decontaminate, exact_dedup, hard_negatives, language_model, licenses, line_dedup, mixing, pii, simhash_dedup, suffix_dedup, toxicity, whitening
 from ._common import documents
 
 
@@ -131,6 +131,13 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
 
 
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = language_model.fit(docs.where(~language_model.held_out()))
+    scored = language_model.score(docs, model)
+    return scored.select("doc_id", language_model.held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.vocabulary.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(embeddings(spark, sf_dir))
 
@@ -174,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mixing": op8_source_mixing,
         "op9_personal_data": op9_personal_data,
         "op10_chat_format": op10_chat_format,
+        "op11_language_model": op11_language_model,
         "op12_embedding_whitening": op12_embedding_whitening,
         "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
