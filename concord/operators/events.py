@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def route(events: DataFrame, field: str, routes: list[tuple[str, str, str]]) -> DataFrame:
@@ -57,24 +59,24 @@ def folded(events: DataFrame, key: str, order: list[str], inputs: list[str], res
 
     ``step(state, *inputs)`` gives the next state and the value. Partitions are sorted and read as a stream, and only the state of
     the key at hand is kept, so a key may have any number of events; they are folded in one task, as each step needs the last.
+    Events without a key are one key. All columns pass through as they are.
     """
-    name = result.split()[0]
-    columns = events.columns
+    made = T.StructType.fromDDL(result)
+    kind = to_arrow_schema(made).field(0).type
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state = object(), None
-        for frame in frames:
-            made = []
-            for k, *values in zip(frame[key].tolist(), *(frame[c].tolist() for c in inputs)):
-                if k != last:
+        for batch in batches:
+            values = []
+            for k, *given in zip(*(batch.column(c).to_pylist() for c in (key, *inputs))):
+                if k != last and not (k != k and last != last):  # null is one key, and so is NaN
                     last, state = k, begin()
-                state, value = step(state, *values)
-                made.append(value)
-            yield frame[columns].assign(**{name: made})
+                state, value = step(state, *given)
+                values.append(value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, kind)], names=[*batch.schema.names, made[0].name])
 
     dealt = events.repartition(key).sortWithinPartitions(key, *order)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema), result])
-    return dealt.mapInPandas(run, schema)
+    return dealt.mapInArrow(run, T.StructType([*events.schema.fields, *made.fields]))
 
 
 def capped(events: DataFrame, key: str, micros: str, order: str, most: int, seconds: int = 3600) -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MOST_REQUEUES = 3
 
@@ -35,13 +36,14 @@ def apply_hooks(rows: DataFrame, hooks: Hooks) -> DataFrame:
 def record_hook(rows: DataFrame, payload: str, function: Callable[[dict], dict | None]) -> DataFrame:
     """``rows`` with ``result`` (JSON) and ``outcome``: upserted, dropped (the function gave None) or failed (it raised).
 
-    A payload that is no JSON object comes to the function as {"_raw": text}, a missing one as {}.
+    A payload that is no JSON object comes to the function as {"_raw": text}, a missing one as {}. Columns of ``rows`` pass through as
+    they are.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             results, outcomes = [], []
-            for text in frame[payload].tolist():
+            for text in batch.column(payload).to_pylist():
                 try:
                     record = json.loads(text) if text is not None else {}
                 except ValueError:
@@ -53,10 +55,9 @@ def record_hook(rows: DataFrame, payload: str, function: Callable[[dict], dict |
                 except Exception:  # the user's code may raise anything; the row says so
                     results.append(None)
                     outcomes.append("failed")
-            yield frame.assign(result=results, outcome=outcomes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(results, pa.string()), pa.array(outcomes, pa.string())], names=[*batch.schema.names, "result", "outcome"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "result string", "outcome string"])
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("result", T.StringType()), T.StructField("outcome", T.StringType())]))
 
 
 def reprocessed(letters: DataFrame, function: Callable[[dict], dict | None]) -> tuple[DataFrame, DataFrame]:

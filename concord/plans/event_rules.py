@@ -65,21 +65,26 @@ def retry_budget(spark, d):
     return keyed.select("event_id", F.greatest(F.lit(0).cast("long"), 5 - ev.recent_count("pair", F.col("ts"), 259_200)).alias("budget_left"))
 
 
-# Each user's events in order, with a number; a recursion walks them.
-WALK = """WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS us, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nr FROM events),
+# Each user's events in order, with a number; a recursion walks them. Users have large keys, and some share none.
+WALK = """WITH RECURSIVE u AS (SELECT * REPLACE (CASE WHEN user_id % 50 <> 0 THEN 1152921504606846976 + user_id END AS user_id) FROM events),
+e AS (SELECT event_id, user_id, epoch_us(ts) AS us, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nr FROM u),
 """
 CAPPED = WALK + """w AS (SELECT user_id, nr, event_id, us AS opened, 1 AS used, true AS admitted FROM e WHERE nr = 1
   UNION ALL SELECT e.user_id, e.nr, e.event_id, CASE WHEN e.us - opened >= {us} THEN e.us ELSE opened END,
     CASE WHEN e.us - opened >= {us} THEN 1 WHEN used < {most} THEN used + 1 ELSE used END, e.us - opened >= {us} OR used < {most}
-  FROM w JOIN e ON e.user_id = w.user_id AND e.nr = w.nr + 1)
+  FROM w JOIN e ON e.user_id IS NOT DISTINCT FROM w.user_id AND e.nr = w.nr + 1)
 """
 
 
-@query(CAPPED.format(us=86_400_000_000, most=2) + "SELECT event_id, admitted FROM w")
+def _by_user(spark, d):
+    known = F.when(F.col("user_id") % 50 != 0, F.lit(1 << 60) + F.col("user_id"))
+    return events(spark, d).withColumn("user_id", known).withColumn("us", F.unix_micros("ts"))
+
+
+@query(CAPPED.format(us=86_400_000_000, most=2) + "SELECT event_id, user_id, admitted FROM w")
 def reingest_cap(spark, d):
     """At most two a day, in a window that a record's first signal opens."""
-    timed = events(spark, d).withColumn("us", F.unix_micros("ts"))
-    return ev.capped(timed, "user_id", "us", "event_id", 2, 86_400).select("event_id", "admitted")
+    return ev.capped(_by_user(spark, d), "user_id", "us", "event_id", 2, 86_400).select("event_id", "user_id", "admitted")
 
 
 @query("""WITH RECURSIVE e AS (SELECT event_id, user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, user_id) AS nr FROM events WHERE event_type = 'purchase'),
@@ -98,12 +103,12 @@ def resync_commands(spark, d):
     CASE WHEN found <> 'open' AND bad AND (found = 'half_open' OR fails + 1 >= 2) THEN us ELSE opened END,
     CASE WHEN found = 'open' THEN wait WHEN NOT bad THEN 86400 WHEN found = 'half_open' THEN least(wait * 2, 604800) ELSE wait END
   FROM (SELECT e.*, fails, opened, wait, event_type <> 'purchase' AS bad, CASE WHEN mode = 'open' AND us - opened >= wait * 1000000 THEN 'half_open' ELSE mode END AS found
-        FROM w JOIN e ON e.user_id = w.user_id AND e.nr = w.nr + 1))
-SELECT event_id, found AS breaker FROM w""")
+        FROM w JOIN e ON e.user_id IS NOT DISTINCT FROM w.user_id AND e.nr = w.nr + 1))
+SELECT event_id, user_id, found AS breaker FROM w""")
 def breaker_state(spark, d):
     """Two failures in a row open it for a day, a failed probe for twice as long, up to a week."""
-    timed = events(spark, d).withColumn("us", F.unix_micros("ts")).withColumn("failed", F.col("event_type") != "purchase")
-    return ev.breaker(timed, "user_id", "us", "event_id", "failed", 2, 86_400.0, 2.0, 604_800.0).select("event_id", "breaker")
+    timed = _by_user(spark, d).withColumn("failed", F.col("event_type") != "purchase")
+    return ev.breaker(timed, "user_id", "us", "event_id", "failed", 2, 86_400.0, 2.0, 604_800.0).select("event_id", "user_id", "breaker")
 
 
 @query("""SELECT DISTINCT event_type AS datatype, CASE WHEN event_id % 50 = 0 THEN 'full_sync' ELSE 'single_record' END AS action, CASE WHEN event_id % 50 <> 0 THEN user_id::VARCHAR END AS external_id FROM events""")
