@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import runs
-from ..sources import paging
+from ..sources import pages, paging, staging
 from .registry import query, table
 from .state import INPUT, current
 
@@ -85,3 +87,44 @@ def single_record_sync(spark, d):
 def property_list(spark, d):
     """The same selection named by a JSON array."""
     return paging.properties(table(spark, d, "customer"), '["c_custkey", "c_name"]')
+
+
+def _exported(spark, d, name, order, size):
+    """A folder of pages of a table; the source that reads it is registered."""
+    path = f"{staging.checkpoint_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    pages.register(spark)
+    pages.export_pages(table(spark, d, name), path, order, size)
+    return path
+
+
+def _listing(spark, path, style, schema, **options):
+    return spark.read.format("concord_pages").schema(schema).options(style=style, path=path, **options).load()
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey > 100 AND o_orderstatus = 'O'")
+def page_source_scan(spark, d):
+    """Orders read back from pages in parallel; the watermark and the status go into the requests, only four fields are asked for."""
+    path = _exported(spark, d, "orders", ["o_orderkey"], 500)
+    found = _listing(spark, path, "offset", "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double", pageSize=500, cursor="o_orderkey", filters="o_orderstatus")
+    return found.where("o_orderkey > 100 and o_orderstatus = 'O'")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def token_scan(spark, d):
+    """Customers page after page, each named by the one before."""
+    return _listing(spark, _exported(spark, d, "customer", ["c_custkey"], 100), "cursor", "c_custkey long, c_name string")
+
+
+@query("SELECT p_partkey, p_name, p_size FROM part WHERE p_partkey > 50")
+def link_scan(spark, d):
+    path = _exported(spark, d, "part", ["p_partkey"], 150)
+    return _listing(spark, path, "link", "p_partkey long, p_name string, p_size int", cursor="p_partkey").where("p_partkey > 50")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def snapshot_scan(spark, d):
+    """Suppliers of the first listing, though the folder gets all of them a second time before they are read."""
+    path = _exported(spark, d, "supplier", ["s_suppkey"], 20)
+    pinned = _listing(spark, path, "page", "s_suppkey long, s_name string", pageSize=20, snapshot=1)
+    pages.export_pages(table(spark, d, "supplier"), path, ["s_suppkey"], 20)
+    return pinned
