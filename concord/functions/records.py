@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -28,15 +29,36 @@ def idempotency_key(connector: str, datatype: str, key: Column, digest: Column)
     return F.sha2(F.concat_ws(":", F.lit(connector), F.lit(datatype), key, digest), 256)
 
 
+def path_steps(path: str) -> list[tuple[str, str]]:
+    """(name, indexes) of each step of a dotted path; a name in double quotes may hold any characters, as in JSON."""
+    step = re.compile(r"""("(?:[^"\\]|\\.)*"|[^."\[\]]+)((?:\[\d+\])*)(\.|$)""")
+    steps, at = [], 0
+    while at < len(path) or not steps:
+        found = step.match(path, at)
+        if not found or (found[3] and found.end() == len(path)):
+            raise ValueError(f"not a path of names and indexes: {path}")
+        steps.append((json.loads(found[1]) if found[1][0] == '"' else found[1], found[2]))
+        at = found.end()
+    return steps
+
+
 def dot_path(payload: Column, path: str) -> Column:
     """The value under a dotted path as a string; null where a step is missing.
 
-    A step is a name of any characters but dots, brackets and quotes, with indexes like ``[0]`` behind it.
+    A step is a name, with indexes like ``[0]`` behind it; a name with dots, brackets or quotes stands in double quotes, as in JSON. Objects
+    and arrays come as JSON. ``concord.functions.jmespath`` has more than paths.
     """
-    steps = [re.fullmatch(r"([^.\[\]']+)((?:\[\d+\])*)", s) for s in path.split(".")]
-    if not all(steps):
-        raise ValueError(f"not a path of names and indexes: {path}")
-    return F.get_json_object(payload, "$" + "".join(f"['{s[1]}']{s[2]}" for s in steps))
+    steps = path_steps(path)
+    if not any(set(name) & set("'?") for name, _ in steps):
+        return F.get_json_object(payload, "$" + "".join(f"['{name}']{at}" for name, at in steps))
+    from . import jmespath
+
+    value = F.try_parse_json(payload)
+    for name, at in steps:
+        value = jmespath.build(("field", name), value)
+        for index in re.findall(r"\d+", at):
+            value = jmespath.build(("index", int(index)), value)
+    return jmespath.text(value)
 
 
 def cast_or_default(value: Column, kind: str, default=None) -> Column:

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions import jmespath
+from ..functions import records as R
 from ..operators import runs
 from ..sources import pages, paging, staging
 from .registry import query, table
@@ -49,6 +51,18 @@ def record_selector(spark, d):
     return pages.select("event_id", F.explode(paging.select_records(F.col("props"), "k")).alias("k"))
 
 
+@query("""WITH items AS (SELECT o_custkey // 10 AS page, o_orderkey, o_orderstatus, o_totalprice, row_number() OVER (PARTITION BY o_custkey // 10 ORDER BY o_orderkey) AS nr FROM orders)
+SELECT page, o_orderkey::VARCHAR || ':' || o_orderstatus AS key, o_orderstatus AS status FROM items WHERE o_totalprice > 1000 AND nr > 1""")
+def record_search(spark, d):
+    """Records of pages by an expression with a slice, a filter and members, and their keys by expressions over each record."""
+    item = F.struct(F.col("o_orderkey").alias("id"), F.struct(F.col("o_orderstatus").alias("state"), F.col("o_totalprice").alias("total")).alias("info"))
+    listed = table(spark, d, "orders").groupBy(F.expr("o_custkey div 10").alias("page")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    body = F.to_json(F.struct(F.struct("items").alias("data")))
+    records = listed.select("page", F.explode(paging.select_records(body, "data.items[1:] | [?info.total > `1000`].{id: id, state: info.state}")).alias("r"))
+    key = R.composite_key(jmespath.search_text(F.col("r"), "id"), jmespath.search_text(F.col("r"), "state || 'none'"))
+    return records.select("page", key.alias("key"), jmespath.search_text(F.col("r"), "state").alias("status"))
+
+
 @query("SELECT o_orderkey AS id, c_name, c_nationkey FROM orders JOIN customer ON c_custkey = o_custkey")
 def id_list_detail(spark, d):
     stubs = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")

@@ -23,6 +23,14 @@ def field_exclude(spark, d):
     return transform.exclude_fields(table(spark, d, "customer"), ["c_acct*", "c_mkt?egment"])
 
 
+@query("""SELECT c_custkey, '{"name":"' || c_name || '","geo":{"nation":' || c_nationkey || ',"deep":{"n":1.50}},"list":[{"secret":1}]}' AS raw FROM customer""")
+def field_exclude_payload(spark, d):
+    """Fields of a payload go at every depth of objects, lists are not entered."""
+    geo = F.concat(F.lit('{"secret":{"a":[1,{"b":2}]}, "nation":'), F.col("c_nationkey").cast("string"), F.lit(', "deep":{"c_x":"}", "n":1.50, "secret":"x"}}'))
+    raw = F.concat(F.lit('{"c_acct":-1, "name":"'), "c_name", F.lit('", "geo":'), geo, F.lit(', "list":[{"secret":1}], "secret":null}'))
+    return table(spark, d, "customer").select("c_custkey", transform.exclude_in_payload(raw, ["secret", "c_*"]).alias("raw"))
+
+
 @query("""SELECT c_custkey::BIGINT AS id, c_name AS label, c_nationkey::BIGINT AS nation, 'none' AS phone,
   '{"seg":"' || c_mktsegment || '"}' AS rest FROM customer""")
 def field_map(spark, d):

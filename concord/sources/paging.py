@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import dot_path
+from ..functions import jmespath
 
 
 def cursor_window(df: DataFrame, cursor: str, after: str, span: str, now: str) -> DataFrame:
@@ -35,11 +35,14 @@ def properties(df: DataFrame, wanted: str | list[str]) -> DataFrame:
     return df.select(*wanted)
 
 
-def select_records(payload: Column, path: str) -> Column:
-    """The array under a path, as JSON texts; null gives none, anything but an array is a list of one."""
-    found = dot_path(payload, path)
-    listed = F.from_json(found, "array<string>")
-    return F.when(found.isNull(), F.array().cast("array<string>")).when(found.startswith("["), listed).otherwise(F.array(found))
+def select_records(payload: Column, expression: str) -> Column:
+    """The records that a JMESPath expression finds in a page: objects as JSON, strings as they are.
+
+    Null gives none, and anything but an array is a list of one.
+    """
+    found = jmespath.search(payload, expression)
+    listed = F.transform(jmespath.items(found), lambda e: jmespath.text(jmespath.known(e)))
+    return F.when(found.isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(listed, F.array(jmespath.text(found))))
 
 
 def with_details(stubs: DataFrame, ref: str, details: DataFrame, key: str) -> DataFrame:
