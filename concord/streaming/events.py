@@ -6,14 +6,13 @@ State is kept per key by Spark, so it is partitioned, checkpointed and restored
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import merge
+from .stateful import Newest, Reorder, processed
 
 
 def deduplicated(events: DataFrame, key: list[str], at: str, ttl: str = "24 hours") -> DataFrame:
@@ -29,10 +28,13 @@ def unwrapped(events: DataFrame, payload: str, schema: str) -> DataFrame:
 
 
 def marked_deletes(events: DataFrame, payload: str, is_delete: str) -> DataFrame:
-    """``events`` with ``_deleted``: true in the payloads of delete events."""
-    marked = F.regexp_replace(payload, r"\}\s*$", F.lit(',"_deleted":true}'))
-    empty = F.regexp_like(payload, F.lit(r"^\s*\{\s*\}\s*$"))
-    return events.withColumn(payload, F.when(F.col(is_delete), F.when(empty, '{"_deleted":true}').otherwise(marked)).otherwise(F.col(payload)))
+    """``events`` with ``_deleted``: true in the payloads of delete events, in place of a value that is there.
+
+    A delete event whose payload is missing or no object has ``{"_deleted":true}`` only.
+    """
+    entries = F.map_filter(F.coalesce(F.try_variant_get(F.try_parse_json(payload), "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")), lambda k, _: k != "_deleted")
+    marked = F.to_json(F.map_concat(entries, F.create_map(F.lit("_deleted"), F.lit(True).cast("variant"))))
+    return events.withColumn(payload, F.when(F.col(is_delete), marked).otherwise(F.col(payload)))
 
 
 def newest_only(events: DataFrame, key: str, order: str, at: str, late: str = "1 hour", ttl_seconds: int = 86_400) -> DataFrame:
@@ -42,79 +44,23 @@ def newest_only(events: DataFrame, key: str, order: str, at: str, late: str = "1
     taken by order, so only the batch's boundaries depend on arrival. By the event time ``at``, events that come more than
     ``late`` behind the newest are dropped, and a key is forgotten ``ttl_seconds`` after its last event.
     """
-    columns = events.columns
-
-    def fresh(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, seen = state.get if state.exists else (None, 0)
-        for frame in frames:
-            seen = max(seen, int(frame["__ms"].max()))
-            frame = frame.sort_values(order, kind="stable").drop_duplicates(order)
-            if last is not None:
-                frame = frame[frame[order] > last]
-            if len(frame):
-                last = int(frame[order].iloc[-1])
-                yield frame[columns]
-        state.update((last, seen))
-        _expire(state, seen + 1000 * ttl_seconds)
-
     timed = events.withWatermark(at, late).withColumn("__ms", F.unix_millis(at))
-    return timed.groupBy(key).applyInPandasWithState(fresh, events.schema, "last long, seen long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def _expire(state: GroupState, at_ms: int) -> None:
-    state.setTimeoutTimestamp(max(at_ms, state.getCurrentWatermarkMs() + 1))
+    return processed(timed, key, Newest(order, events.columns, 1000 * ttl_seconds), events.schema)
 
 
 def reordered(events: DataFrame, key: str, sequence: str, payload: str, at: str, most: int = 100, timeout_ms: int = 30_000, start: int = 0, late: str = "1 hour", ttl_seconds: int = 86_400) -> DataFrame:
     """(key, sequence, payload) released in order of sequence, per key.
 
     An event that is next in turn is released with all that follow it without a gap; one behind the turn is dropped; one
-    ahead waits. When ``most`` events wait, or ``timeout_ms`` (by the column ``at``) have passed since the first
+    ahead waits, as one entry of the key's state. When ``most`` events wait, or ``timeout_ms`` (by the column ``at``) have passed since the first
     that waits, all that wait are released in order and the turn goes on behind the last. A timeout shows when the
     key's next event ahead comes, or when the watermark, ``late`` behind the newest event of all keys, passes it. State holds
     fewer than ``most`` events per key; a key without waiting events is forgotten ``ttl_seconds`` after its last event.
     """
-    schema = f"{key} {dict(events.dtypes)[key]}, {sequence} long, {payload} string"
-
-    def release(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        turn, since, seen, numbers, texts = state.get if state.exists else (start, 0, 0, [], [])
-        held = dict(zip(numbers, texts))
-        out = []
-
-        def flush():
-            out.extend((k[0], m, held[m]) for m in sorted(held))
-            after = max(held) + 1
-            held.clear()
-            return after
-
-        if state.hasTimedOut:
-            if not held:
-                state.remove()
-                return
-            turn = flush()
-        else:
-            for frame in frames:
-                for n, text, now in zip(frame[sequence].tolist(), frame[payload].tolist(), frame["__ms"].tolist()):
-                    seen = max(seen, now)
-                    if n < turn or n in held:
-                        continue
-                    since = since if held else now
-                    held[n] = text
-                    while turn in held:
-                        out.append((k[0], turn, held.pop(turn)))
-                        turn, since = turn + 1, now
-                    if len(held) >= most or (held and now - since >= timeout_ms):
-                        turn = flush()
-        state.update((turn, since, seen, list(held), list(held.values())))
-        _expire(state, since + timeout_ms if held else seen + 1000 * ttl_seconds)
-        yield pd.DataFrame(out, columns=[key, sequence, payload])
-
     timed = events.withWatermark(at, late)
     rows = timed.select(key, F.col(sequence).cast("long").alias(sequence), F.col(payload).cast("string").alias(payload), F.unix_millis(at).alias("__ms"), at)
-    return rows.groupBy(key).applyInPandasWithState(release, schema, "turn long, since long, seen long, numbers array<long>, texts array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+    schema = rows.select(key, sequence, payload).schema
+    return processed(rows, key, Reorder([key, sequence, payload], most, timeout_ms, start, 1000 * ttl_seconds), schema)
 
 
 def debounced(events: DataFrame, key: str, at: str, payload: str, quiet: str, late: str = "0 seconds") -> DataFrame:

@@ -51,6 +51,26 @@ def test_reordered_releases_by_the_watermark(streamed):
     assert sorted((r.id, r.seq) for r in out.collect()) == [("j", 0), ("j", 1), ("j", 2), ("k", 5)]
 
 
+def test_large_sequences_and_missing_payloads_stay_as_they_are(streamed):
+    big = 2**60
+    batches = [[("k", big + 3, None, 7, "2024-01-01 00:00:00"), ("k", big + 1, "a", None, "2024-01-01 00:00:00")], [("k", big + 5, "c", 8, "2024-01-01 00:00:01"), ("k", big + 4, "b", 9, "2024-01-01 00:00:01")]]
+    schema = "id string, seq long, p string, other long, t string"
+    made = lambda s: s.selectExpr("id", "seq", "p", "other", "cast(t as timestamp) as at")
+    out = streamed(batches, schema, lambda s: ev.newest_only(made(s), "id", "seq", "at"))
+    assert sorted((r.seq, r.p, r.other) for r in out.collect()) == [(big + 1, "a", None), (big + 3, None, 7), (big + 4, "b", 9), (big + 5, "c", 8)]
+    out = streamed(batches, schema, lambda s: ev.reordered(made(s), "id", "seq", "p", "at", start=big + 1, most=10))
+    assert [(r.seq, r.p) for r in out.collect()] == [(big + 1, "a")]
+
+
+def test_each_waiting_event_is_one_state_entry(spark, streamed, tmp_path):
+    batches = [[("k", n, f"p{n}", "2024-01-01 00:00:00") for n in (0, 5, 7, 9)] + [("j", 3, "x", "2024-01-01 00:00:00")]]
+    schema = "id string, seq long, p string, t string"
+    out = streamed(batches, schema, lambda s: ev.reordered(s.selectExpr("id", "seq", "p", "cast(t as timestamp) as at"), "id", "seq", "p", "at"))
+    assert [r.seq for r in out.collect()] == [0]
+    held = spark.read.format("statestore").option("path", str(next(p for p in tmp_path.iterdir() if p.name.startswith("out_")))).option("stateVarName", "held").load()
+    assert sorted((r["key"][0], r["user_map_key"][0], r["user_map_value"][0]) for r in held.collect()) == [("j", 3, "x"), ("k", 5, "p5"), ("k", 7, "p7"), ("k", 9, "p9")]
+
+
 def in_order(batches, streamed, **limits):
     timed = [[(k, n, p, f"2024-01-01 00:00:{second:02d}") for k, n, p in rows] for second, rows in enumerate(batches)]
     out = streamed(timed, "id string, seq long, p string, t string", lambda s: ev.reordered(s.selectExpr("id", "seq", "p", "cast(t as timestamp) as at"), "id", "seq", "p", "at", **limits))
@@ -82,6 +102,8 @@ def test_unwrapped_and_deletes(spark):
     rows = spark.createDataFrame([(1, '[{"a":1},{"a":2}]', False), (2, '{"a":3}', True), (3, "{}", True)], "id int, p string, gone boolean")
     assert sorted((r.id, r.item.a) for r in ev.unwrapped(rows, "p", "struct<a:int>").collect()) == [(1, 1), (1, 2), (2, 3), (3, None)]
     assert [r.p for r in ev.marked_deletes(rows, "p", "gone").orderBy("id").collect()] == ['[{"a":1},{"a":2}]', '{"a":3,"_deleted":true}', '{"_deleted":true}']
+    more = spark.createDataFrame([(1, '{"_deleted":false,"a":1.50}', True), (2, None, True), (3, "[1]", True), (4, '{"_deleted":true}', False)], "id int, p string, gone boolean")
+    assert [r.p for r in ev.marked_deletes(more, "p", "gone").orderBy("id").collect()] == ['{"a":1.5,"_deleted":true}', '{"_deleted":true}', '{"_deleted":true}', '{"_deleted":true}']
 
 
 def test_change_batches(spark):
