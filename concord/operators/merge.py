@@ -38,6 +38,38 @@ def apply(incoming: DataFrame, current: DataFrame) -> DataFrame:
     return both.select("external_id", *[F.when(came, F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) for c in STATE[1:]])
 
 
+def upserted(incoming: DataFrame, current: DataFrame) -> DataFrame:
+    """The snapshot after ``incoming`` with ``action``: insert, update, resurrect, noop or delete for records that came, null for others.
+
+    One full outer join on external_id; where ``current`` is bucketed by it, only ``incoming`` is exchanged. If ``incoming`` has ``op``,
+    DELETE makes a tombstone of a known record and leaves out an unknown one; a record that is a tombstone already is a noop.
+    """
+    gone = F.coalesce(F.col("op") == "DELETE", F.lit(False)) if "op" in incoming.columns else F.lit(False)
+    new = incoming.select("external_id", F.struct("data", "_raw_hash", gone.alias("gone")).alias("__new"))
+    both = current.select("external_id", F.struct(*STATE[1:]).alias("__old")).join(new, "external_id", "full_outer")
+    came, known, leaves = F.col("__new").isNotNull(), F.col("__old").isNotNull(), F.coalesce("__new.gone", F.lit(False))
+    action = (
+        F.when(~came, F.lit(None))
+        .when(leaves, F.when(F.col("__old._deleted"), "noop").otherwise("delete"))
+        .when(~known, "insert")
+        .when(F.col("__old._deleted"), "resurrect")
+        .when(~F.col("__old._raw_hash").eqNullSafe(F.col("__new._raw_hash")), "update")
+        .otherwise("noop")
+    )
+    made = {
+        "data": F.when(leaves, "{}").when(came, F.col("__new.data")).otherwise(F.col("__old.data")),
+        "_raw_hash": F.when(came & ~leaves, F.col("__new._raw_hash")).otherwise(F.col("__old._raw_hash")),
+        "_deleted": F.when(came, leaves).otherwise(F.col("__old._deleted")),
+    }
+    return both.where(known | ~leaves).select("external_id", *[c.alias(n) for n, c in made.items()], action.alias("action"))
+
+
+def action_counts() -> list[Column]:
+    """Aggregates over ``action``, for ``DataFrame.observe``: the counters of a sync ride on the job that writes it."""
+    names = (("inserted", "insert"), ("updated", "update"), ("resurrected", "resurrect"), ("deleted", "delete"), ("unchanged", "noop"))
+    return [F.count("action").alias("fetched"), *[F.count_if(F.col("action") == a).alias(n) for n, a in names]]
+
+
 def missing(current: DataFrame, seen: DataFrame) -> DataFrame:
     """Live records that a full scan did not see."""
     return current.where(~F.col("_deleted")).join(seen.select("external_id"), "external_id", "left_anti")

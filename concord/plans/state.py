@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import merge
+from ..sources import snapshots
 from .registry import query, table
 
 # The same inputs for both engines: customers as they come in, and a snapshot that lacks some, differs in others and has
