@@ -23,6 +23,25 @@ def route(events: DataFrame, field: str, routes: list[tuple[str, str, str]]) ->
     return events.withColumn("datatype", made)
 
 
+def routed(events: DataFrame, field: str, routes: DataFrame) -> DataFrame:
+    """``events`` with the datatype of the first route that matches, null where none does; any number of routes.
+
+    routes: (kind, text, datatype, place), where kind is equals or prefix and the least place wins, ties by datatype. Every distinct value
+    meets the routes by equal keys, once whole and once for each length that prefixes have, so no pair of all values and routes is formed.
+    The lengths are the only thing that reaches the driver. A null value has no route, and routes with a null are ignored.
+    """
+    usable = routes.where("kind in ('equals', 'prefix') and text is not null and datatype is not null and place is not null")
+    best = usable.groupBy("kind", "text").agg(F.min(F.struct("place", "datatype")).alias("route"))
+    lengths = sorted(r[0] for r in usable.where("kind = 'prefix'").select(F.length("text")).distinct().collect())
+    value = F.col("__value")
+    cuts = [F.when(F.length(value) >= n, F.struct(F.lit("prefix").alias("kind"), F.substring(value, 1, n).alias("text"))) for n in lengths]
+    asked = F.array_compact(F.array(F.struct(F.lit("equals").alias("kind"), value.alias("text")), *cuts))
+    values = events.select(F.col(field).alias("__value")).where("__value is not null").distinct()
+    met = values.select("__value", F.inline(asked)).join(best, ["kind", "text"])
+    chosen = met.groupBy("__value").agg(F.min("route").alias("__route"))
+    return events.drop("datatype").join(chosen, F.col(field) == F.col("__value"), "left").withColumn("datatype", F.col("__route.datatype")).drop("__value", "__route")
+
+
 def stale(events: DataFrame, key: str, order: str, sequence: str) -> DataFrame:
     """``events`` with ``stale``: the sequence does not exceed all earlier ones of the key."""
     before = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

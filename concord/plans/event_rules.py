@@ -23,6 +23,20 @@ def event_route(spark, d):
     return ev.route(table(spark, d, "events"), "event_type", routes).select("event_id", "datatype")
 
 
+@query("""WITH r AS (SELECT 'prefix' AS kind, substr(p_name, 1, 4 + p_partkey % 9) AS text, p_brand AS datatype, p_partkey AS place FROM part
+  UNION ALL SELECT 'equals', p_name, p_type, 10 * p_partkey FROM part WHERE p_partkey % 3 = 0),
+m AS (SELECT l_orderkey, l_linenumber, p_name FROM lineitem JOIN part ON p_partkey = l_partkey), v AS (SELECT DISTINCT p_name FROM m),
+b AS (SELECT v.p_name, min((place, datatype)) AS best FROM v JOIN r ON CASE kind WHEN 'equals' THEN v.p_name = text ELSE starts_with(v.p_name, text) END GROUP BY 1)
+SELECT l_orderkey, l_linenumber, best[2] AS datatype FROM m LEFT JOIN b USING (p_name)""")
+def event_route_table(spark, d):
+    """Lines sent on by a table of routes over the names of their parts: prefixes of several lengths and whole names."""
+    p = table(spark, d, "part")
+    prefixes = p.select(F.lit("prefix").alias("kind"), F.expr("substr(p_name, 1, int(4 + p_partkey % 9))").alias("text"), F.col("p_brand").alias("datatype"), F.col("p_partkey").alias("place"))
+    whole = p.where("p_partkey % 3 = 0").select(F.lit("equals"), "p_name", "p_type", F.col("p_partkey") * 10)
+    lines = table(spark, d, "lineitem").join(p, F.col("p_partkey") == F.col("l_partkey")).select("l_orderkey", "l_linenumber", "p_name")
+    return ev.routed(lines, "p_name", prefixes.union(whole)).select("l_orderkey", "l_linenumber", "datatype")
+
+
 @query("SELECT event_id, event_type FROM events")
 def event_dedup(spark, d):
     """A tenth of the events come again, later and with another type: the first one counts."""

@@ -54,3 +54,28 @@ def metric_alerts(spark, d):
     samples = e.select((F.col("user_id") % 40).alias("connector"), F.lit("depth").alias("metric"), F.col("ts").cast("timestamp").alias("ts"), "value")
     rules = [metrics.Alert("high", "depth", 40.0, severity="critical"), metrics.Alert("low", "depth", 30.0, above=False, hold_seconds=3600)]
     return metrics.alerts(samples, rules, ["connector"], "ts").withColumn("since", F.date_format("since", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("""WITH s AS (SELECT event_type, epoch_us(ts) AS us, event_id % 100 AS n, lag(epoch_us(ts)) OVER w AS before, lag(event_id % 100) OVER w AS was FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id % 100)),
+t AS (SELECT unnest(range((SELECT min(us) // 10800000000 FROM s), (SELECT max(us) // 10800000000 + 4 FROM s))) AS k)
+SELECT event_type, strftime(make_timestamp(k * 10800000000), '%Y-%m-%d %H:%M:%S') AS step, count(*) AS samples,
+  coalesce(sum(CASE WHEN n < was THEN n ELSE n - was END) FILTER (WHERE before > k * 10800000000 - 21600000000), 0)::BIGINT AS increase,
+  round(coalesce(sum(CASE WHEN n < was THEN n ELSE n - was END) FILTER (WHERE before > k * 10800000000 - 21600000000), 0) * 1e6 / nullif(max(us) - min(us), 0), 6) AS rate
+FROM s JOIN t ON us <= k * 10800000000 AND us > k * 10800000000 - 21600000000 GROUP BY ALL""")
+def metric_range(spark, d):
+    """Growth and rate every three hours over the last six."""
+    s = table(spark, d, "events").select("event_type", F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 100).alias("counter"))
+    found = metrics.over_time(s, ["event_type"], "ts", "counter", 10_800, 21_600)
+    return found.select("event_type", F.date_format("step", "yyyy-MM-dd HH:mm:ss").alias("step"), "samples", "increase", F.round("rate", 6).alias("rate"))
+
+
+@query("SELECT event_type, user_id % 5 AS shard, sum(event_id % 7)::BIGINT AS total FROM events GROUP BY ALL")
+def metric_counters(spark, d):
+    e = table(spark, d, "events").select("event_type", (F.col("user_id") % 5).alias("shard"), (F.col("event_id") % 7).alias("n"))
+    return metrics.counters(e, ["event_type", "shard"], "n")
+
+
+@query("SELECT user_id, arg_max(value, (ts, value)) AS value, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS set_at FROM events WHERE value IS NOT NULL GROUP BY 1")
+def metric_gauges(spark, d):
+    found = metrics.gauges(table(spark, d, "events").select("user_id", "ts", "value"), ["user_id"], "ts", "value")
+    return found.select("user_id", "value", F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("set_at"))
