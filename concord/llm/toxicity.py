@@ -4,7 +4,8 @@ The kernel compares strings by their three-letter subsequences that span at most
 character skipped inside a subsequence multiplies its weight by ``DECAY``. Digits and signs can only be skipped,
 and so can blanks beside single letters; a run of them counts as one, and other blanks as a letter that marks the ends
 of words. Between three or more letters that all stand alone, as in a spelled-out word, the runs are skipped at no cost.
-So ``i-d i.o_t`` and ``i - d...i--o--t`` have the subsequences of ``idiot``. A text is a bag of windows as long as a
+So ``i-d i.o_t`` and ``i - d...i--o--t`` have the subsequences of ``idiot``. Letters are folded first: accented, full-width and styled ones
+count as their plain letters, and dashes, bullets and zero-width characters of any script are signs. A text is a bag of windows as long as a
 landmark (and nearly twice as long, for inserted characters); its similarity to a landmark is the best normalised
 kernel value of a window, and the number of near matches is kept beside it.
 
@@ -16,6 +17,7 @@ scoring streams over all documents.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +31,6 @@ from pyspark.sql import types as T
 SPAN, DECAY = 5, 0.6
 OFFSETS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 LETTERS, BLANK = 64, 63
-SHARED = 3
 LOW, NEAR = 0.35, 0.68  # similarities count from LOW, and fully from NEAR
 MAX_TRAIN = 12_000
 LANDMARKS = 32
@@ -38,15 +39,29 @@ THRESHOLD = 0.3
 PIECE = 1 << 18
 
 
+def folded(text: str) -> str:
+    """Lower case; compatible forms (full width, ligatures, styled letters) and letters with marks as their plain letters."""
+    if text.isascii():
+        return text.lower()
+    plain = unicodedata.normalize("NFKD", text).lower()
+    return plain if plain.isascii() else "".join(c for c in plain if not unicodedata.category(c).startswith("M"))
+
+
 def _letters(text: str) -> np.ndarray:
-    """Letter numbers: 1 to 26 for a-z, 27 to 62 for letters beyond ASCII, 63 for blanks, 0 for all else."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Letter numbers of the folded text: 1 to 26 for a-z, 27 to 62 for other letters, 63 for blanks of any kind, 0 for all else.
+
+    What is a letter or a blank is told by its Unicode category, so signs, dashes, digits and characters without width are 0.
+    """
+    points = np.frombuffer(folded(text).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.zeros(len(points), np.int32)
     latin = (points >= 97) & (points <= 122)
     codes[latin] = points[latin] - 96
-    wide = points >= 0xC0
-    codes[wide] = 27 + points[wide] % 36
     codes[(points == 32) | ((points >= 9) & (points <= 13))] = BLANK
+    beyond = points >= 128
+    if beyond.any():
+        distinct, back = np.unique(points[beyond], return_inverse=True)
+        kinds = [unicodedata.category(chr(p))[0] for p in distinct.tolist()]
+        codes[beyond] = np.array([27 + p % 36 if k == "L" else BLANK if k == "Z" else 0 for p, k in zip(distinct.tolist(), kinds)], np.int32)[back]
     return codes
 
 
@@ -124,17 +139,21 @@ class Kernel:
         self.number[known] = np.arange(len(known))
         self.known = np.zeros(LETTERS**3, bool)
         self.known[known] = True
-        self.length = np.array([len(z) for z in self.landmarks], np.int64)
+        self.length = np.array([len(landmark_codes(z)) for z in self.landmarks], np.int64)
+        # the largest share of a landmark's squared norm that one occurrence of a subsequence can stand for
+        self.reach = np.zeros(len(known))
+        np.maximum.at(self.reach, np.repeat(np.arange(len(known)), self.count), self.weight**2 / self.norm[self.owner] ** 2)
 
     def similarities(self, texts: list[str | None]) -> np.ndarray:
         """One row per text: best similarity to each landmark, then log(1 + near matches) with each."""
         m = len(self.landmarks)
         out = np.zeros((len(texts), 2 * m))
+        gap = np.zeros(2 * int(self.length.max()) + SPAN, np.int32)  # no window reaches over it
         parts, owners, size = [], [], 0
         for i, t in enumerate(texts):
             codes = encode(t or "")
             for k in range(0, max(len(codes), 1), PIECE):  # pieces overlap by more than a window
-                parts.append(np.concatenate([codes[max(0, k - 32) : k + PIECE], np.zeros(SPAN, np.int32)]))
+                parts.append(np.concatenate([codes[max(0, k - 32) : k + PIECE], gap]))
                 owners.append(i)
                 size += len(parts[-1])
                 if size > PIECE:
@@ -159,11 +178,12 @@ class Kernel:
             triples.append(triple[hit])
             weights.append(np.full(len(hit), w))
         square = np.cumsum(square, dtype=np.float64)
-        at, triple, w = np.concatenate(starts), np.concatenate(triples), np.concatenate(weights)
-        around = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(codes)))])
-        reach = 2 * int(self.length.max())
-        dense = around[np.minimum(at + reach, len(codes))] - around[np.maximum(at - reach, 0)] >= SHARED
-        at, n, w = at[dense], self.number[triple[dense]], w[dense]
+        at, n, w = np.concatenate(starts), self.number[np.concatenate(triples)], np.concatenate(weights)
+        # by Cauchy and Schwarz a window's squared value is at most the sum of what its subsequences can stand for, so no value above LOW is lost
+        around = np.concatenate([[0.0], np.cumsum(np.bincount(at, self.reach[n], minlength=len(codes)))])
+        width = 2 * int(self.length.max())
+        dense = around[np.minimum(at + width, len(codes))] - around[np.maximum(at - width, 0)] >= LOW * LOW - 1e-6
+        at, n, w = at[dense], n[dense], w[dense]
         if not len(at):
             return
         times = self.count[n]
@@ -240,7 +260,7 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     toxic, clean = Counter(), Counter()
     for batch in batches:
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            words = {"".join(c for c in w if c.isalpha()) for w in set((text or "").lower().split())}
+            words = {"".join(c for c in w if c.isalpha()) for w in set(folded(text or "").split())}
             (toxic if label else clean).update(f" {w} " for w in words if GRAM[0] - 1 <= len(w) <= 40)
     words = list(toxic.keys() | clean.keys())
     yield pa.RecordBatch.from_pydict({"word": words, "toxic": [toxic[w] for w in words], "clean": [clean[w] for w in words]}, schema=pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())]))
