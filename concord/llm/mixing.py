@@ -2,7 +2,7 @@
 
 A source with a share p of all tokens gets the weight p^a, normalised. Bisection finds the exponent a in [0, 1]: the
 largest one at which the weights' entropy reaches a target, raised where needed so that no source is repeated
-more than ``max_repeats`` times within the token budget. Each round halves the interval five times with one aggregate over
+more than ``max_repeats`` times within the token budget. Each round halves the interval eight times with one aggregate over
 the sources, so there may be any number of them.
 
 The weights are realised block by block. A hash deals each source's documents to 4096 blocks. A pass over a source is
@@ -22,7 +22,8 @@ from ._common import staged, text_or_empty
 
 TARGET_ENTROPY = 0.95
 MAX_REPEATS = 4.0
-ROUNDS, PARTS = 8, 32
+ROUNDS, PARTS = 5, 256
+MAX_PASSES = 1 << 20
 BROADCAST_SOURCES = 50_000
 
 
@@ -30,11 +31,11 @@ def n_tokens(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def _sums(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float]]:
-    """For each exponent a, the sums of p^a and of p^a ln p over all sources, in one row."""
-    p = F.col("p")
-    row = shares.agg(*[F.struct(F.sum(F.pow(p, F.lit(a))), F.sum(F.pow(p, F.lit(a)) * F.ln(p))) for a in exponents]).first()
-    return [tuple(r) for r in row]
+def _sums(shares: DataFrame, exponents: list[float]) -> dict[float, tuple[float, float]]:
+    """For each exponent a, the sums of p^a and of p^a ln p over all sources: each share meets all exponents, and one aggregate adds up."""
+    met = shares.select("p", F.explode(F.array(*[F.lit(a) for a in exponents])).alias("a"))
+    power = F.pow(F.col("p"), F.col("a"))
+    return {r.a: (r.z, r.s) for r in met.groupBy("a").agg(F.sum(power).alias("z"), F.sum(power * F.ln("p")).alias("s")).collect()}
 
 
 def choose_exponent(sources: DataFrame, budget: int, total: int, target_entropy: float, max_repeats: float) -> float:
@@ -59,10 +60,10 @@ def choose_exponent(sources: DataFrame, budget: int, total: int, target_entropy:
     for _ in range(ROUNDS):
         grid = {f: [lo + (hi - lo) * k / PARTS for k in range(1, PARTS)] for f, (lo, hi) in spans.items()}
         points = [(f, x, x if f is even else 1 - x) for f, xs in grid.items() for x in xs]
-        sums = _sums(shares, [a for *_, a in points])
+        sums = _sums(shares, sorted({a for *_, a in points}))
         for f, (lo, hi) in spans.items():
-            good = [x for (g, x, a), (z, s) in zip(points, sums) if g is f and f(a, z, s)]
-            bad = [x for (g, x, a), (z, s) in zip(points, sums) if g is f and not f(a, z, s)]
+            good = [x for g, x, a in points if g is f and f(a, *sums[a])]
+            bad = [x for g, x, a in points if g is f and not f(a, *sums[a])]
             spans[f] = (max(good, default=lo), min(bad, default=hi))
     return round(max(spans[even][0], 1 - spans[few][0]), 6)
 
@@ -89,18 +90,21 @@ def mix(docs: DataFrame, budget: int | None = None, target_entropy: float = TARG
     block_rank is the block's place in the permutation of that epoch (pass), from 1. A source's tokens add up to
     its target or less by under one document. Null sources are one source named ''. Documents without words
     go with their block; a source of such documents only is not dealt. Repeated rows are dealt each. Texts of any length
-    count whole; columns not named are ignored. Empty in, empty out.
+    count whole; columns not named are ignored. Empty in, empty out. A budget that deals a source more than MAX_PASSES times is refused, as its result
+    would have a row for each time.
     """
     sized = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), n_tokens(text_or_empty()).alias("tokens"), *keep)
     place = F.md5(F.concat_ws(":", F.lit(seed), "doc_id"))
     sized = staged(sized.withColumn("place", place).withColumn("block", F.substring("place", 1, 3)), "mix-documents")
     blocks = staged(sized.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")), "mix-blocks")
     sources = staged(blocks.groupBy("source").agg(F.sum("tokens").alias("tokens")), "mix-sources")
-    plan = plan_weights(sources, budget, target_entropy, max_repeats).withColumn("passes", F.floor(F.col("target") / F.col("tokens")).cast("int"))
+    plan = plan_weights(sources, budget, target_entropy, max_repeats).withColumn("passes", F.expr("target div tokens"))
     plan = staged(plan.withColumn("rest", F.col("target") - F.col("passes") * F.col("tokens")), "mix-plan")
+    if (plan.agg(F.max("passes")).first()[0] or 0) > MAX_PASSES:
+        raise ValueError(f"the budget deals a source more than {MAX_PASSES} times")
     each = plan.select("source", "weight", "passes", "rest")
     epochs = blocks.join(F.broadcast(each) if sources.count() <= BROADCAST_SOURCES else each, "source")
-    epochs = epochs.select("*", F.explode(F.sequence(F.lit(0), "passes")).alias("epoch"))
+    epochs = epochs.select("*", F.explode(F.sequence(F.lit(0), F.col("passes").cast("int"))).alias("epoch"))
     # a window here holds at most 4096 rows
     order = Window.partitionBy("source", "epoch").orderBy(F.md5(F.concat_ws(":", F.lit(seed), "source", "epoch", "block")), "block")
     dealt = epochs.withColumn("block_rank", F.row_number().over(order)).withColumn("before", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)))

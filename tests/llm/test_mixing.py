@@ -107,3 +107,12 @@ def test_columns_can_be_kept(make_docs):
 
 def test_empty_table(make_docs):
     assert result(mixing.mix(make_docs([]))) == []
+
+
+def test_null_and_repeated_sources_and_budgets_without_measure(spark):
+    rows = [(1, "a b c", None), (2, "d e", ""), (3, "f", "x"), (3, "f", "x"), (4, "g h", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(docs, budget=50)
+    assert sorted((r.doc_id, r.source, r.tokens, r.epoch, r.block, r.block_rank, r.weight) for r in found.collect()) == sorted(brute(rows, 50))
+    with pytest.raises(ValueError, match="deals a source"):
+        mixing.mix(docs, budget=10**10)
