@@ -34,7 +34,7 @@ from ._common import staged, unstaged
 SHINGLE, SEED, RADIUS = 3, 42, 3
 FANOUT = 8
 CHUNK_ROWS = 20_000
-MAX_HEAVY = 200
+CHUNK_TEXTS = 500
 BROADCAST_ROWS = 400_000
 SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, BOTH_RADIUS = 5, 0.8, 26, 42
 
@@ -277,7 +277,7 @@ def _link_similar(similarity: float, verify: bool):
     return link
 
 
-def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: int = 500, max_heavy: int = MAX_HEAVY) -> DataFrame:
+def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: int = CHUNK_ROWS, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
     """One row per row of ``docs``: doc_id and component_id, the smallest doc_id that links reach (null where none has an id).
 
     Texts link at a Jaccard similarity of ``similarity`` or more between their sets of five-word shingles, cut as in
@@ -285,6 +285,10 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: i
     bit differs with probability 0.15 (up to 0.19 in short texts), so 26 of 64 bits, and 42 of the 128 of two fingerprints, are
     exceeded about once in 10,000 such pairs; unrelated texts that share a shingle are within both about once in 20,000, so
     candidates form small groups.
+
+    A task holds two chunks at most, of ``chunk_rows`` rows without texts or ``chunk_texts`` texts, whatever the input; a group of n
+    candidates copies each of its texts n / chunk_texts times. An empty table gives an empty one, repeated rows one row each, other columns are
+    ignored, and texts of any length are read whole.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
@@ -294,14 +298,13 @@ def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: i
     distinct = staged(distinct, "distinct-shingle-sets")
     is_row = (F.col("text_hash") == F.col("row.text_hash")) & F.col("doc_id").eqNullSafe(F.col("row.doc_id"))
     standing = marked.select("doc_id", "text_hash", "prefix", "node").join(_small(distinct.select(F.col("node").alias("n"), "row", "size", "fp", "fp2")), (F.col("node") == F.col("n")) & is_row)
-    n_prefix = marked.agg(F.sum(F.size("prefix").cast("long"))).first()[0] or 0
     dealt = standing.select("node", "size", "fp", "fp2", F.explode("prefix").alias("block"))
-    tasks = _tasks(dealt, max(chunk_rows, n_prefix // max_heavy), "node").select("node", "size", "fp", "fp2", "task")
+    tasks = _tasks(dealt, chunk_rows, "node").select("node", "size", "fp", "fp2", "task")
     loose = components(tasks.repartition("task").mapInArrow(_link_similar(similarity, False), "a long, b long"))
     members = staged(distinct.join(loose, "node"), "candidate-members")
     with_text = texts.join(_small(members.select("row", "node", "size", "fp", "fp2", F.col("root").alias("block"))), is_row)
     with_text = staged(with_text.select("node", "size", "fp", "fp2", "block", "text"), "candidate-texts")
-    tasks = _tasks(with_text, max(chunk_rows, members.count() // max_heavy), "node").select("node", "size", "fp", "fp2", "text", "task")
+    tasks = _tasks(with_text, chunk_texts, "node").select("node", "size", "fp", "fp2", "text", "task")
     roots = staged(components(tasks.repartition("task").mapInArrow(_link_similar(similarity, True), "a long, b long")), "similar-roots")
     unstaged(with_text)
     linked = distinct.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))

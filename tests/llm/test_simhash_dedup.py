@@ -104,9 +104,25 @@ def test_changed_words_are_found_in_chunks_too(make_docs):
     wanted = similar_brute(docs)
     assert 12 < len({c for _, c in wanted}) < len(docs)
     assert found(simhash_dedup.similar_texts(make_docs(docs, clash=True))) == wanted
-    assert found(simhash_dedup.similar_texts(make_docs(docs), chunk_rows=10, max_heavy=10**6)) == wanted
+    assert found(simhash_dedup.similar_texts(make_docs(docs), chunk_rows=10, chunk_texts=10)) == wanted
 
 
 def test_similar_texts_edge_cases(make_docs, edge_pairs):
     assert found(simhash_dedup.similar_texts(make_docs(edge_pairs, clash=True))) == similar_brute(edge_pairs)
     assert found(simhash_dedup.similar_texts(make_docs([]))) == []
+
+
+def test_one_candidate_group_of_five_thousand_texts(make_docs):
+    """Near copies of one text in ever other places, in small chunks: nothing is lost, and what is less similar stays apart."""
+    words = [f"w{i}" for i in range(200)]
+    near = [(i, " ".join([*words[: i % 190], f"new{i}", *words[i % 190 + 1 :]])) for i in range(1, 5001)]
+    far = [(9000 + i, " ".join([*words[:60], *(f"x{i}-{k}" for k in range(140))])) for i in range(20)]
+    roots = dict(tuple(r) for r in simhash_dedup.similar_texts(make_docs(near + far)).collect())
+    assert {roots[i] for i, _ in near} == {1}
+    assert all(roots[i] == i for i, _ in far)
+
+
+def test_similar_texts_of_odd_tables(make_docs, edge_pairs):
+    assert simhash_dedup.similar_texts(make_docs([])).collect() == []
+    got = sorted(((r.doc_id, r.component_id) for r in simhash_dedup.similar_texts(make_docs([*edge_pairs, (1, edge_pairs[-1][1])], clash=True)).collect()), key=repr)
+    assert got == sorted([(5, 3), (3, 3), (4, 3), (9, 8), (8, 8), (None, 8), (9, 8), (7, 7), (1, 1), (1, 1)], key=repr)
