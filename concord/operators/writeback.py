@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.records import dot_path
 from ..sources.staging import staged
 from .events import capped
 
@@ -41,6 +42,20 @@ def restrict(payload: Column, fields: Column) -> Column:
     return F.array_sort(F.map_entries(F.map_filter(payload, lambda k, _: F.array_contains(fields, k))))
 
 
+def _object(text: Column) -> Column:
+    """A JSON object as a map of texts; null where there is none or it is empty."""
+    made = F.from_json(text, "map<string,string>")
+    return F.when(F.size(made) > 0, made)
+
+
+def base_lookup(base: Column, data: Column, other: Column) -> Column:
+    """The base of a desired row as a map of texts: its own column, else ``_base`` inside its data, else a column ``_base``, else empty.
+
+    All three are JSON texts; what is missing, empty or no object counts as absent.
+    """
+    return F.coalesce(_object(base), _object(dot_path(data, "_base")), _object(other), F.create_map().cast("map<string,string>"))
+
+
 def three_way(desired: DataFrame) -> DataFrame:
     """``desired`` with ``safe``: on its payload's fields, the remote equals the base or what was last written.
 
@@ -99,6 +114,13 @@ def field_diff(old: Column, new: Column) -> dict[str, Column]:
     }
 
 
+def field_diff_values(old: Column, new: Column) -> Column:
+    """(added, removed, changed): names of fields that came and went, and ``from`` and ``to`` of those that changed, by name."""
+    names = field_diff(old, new)
+    changed = F.map_from_arrays(names["changed"], F.transform(names["changed"], lambda k: F.struct(old[k].alias("from"), new[k].alias("to"))))
+    return F.struct(names["added"].alias("added"), names["removed"].alias("removed"), changed.alias("changed"))
+
+
 def mismatches(sent: Column, remote: Column) -> Column:
     """Fields that a read after the write shows with another value than was sent."""
     return F.array_sort(F.filter(F.map_keys(sent), lambda k: F.map_contains_key(remote, k) & ~remote[k].eqNullSafe(sent[k])))
@@ -115,6 +137,100 @@ def plan(rows: DataFrame, operations: dict[str, tuple[str, str]], key: str) -> D
     return rows.withColumns({"method": method, "path": path}).withColumn("step", F.when(known & F.col("method").isNotNull(), "write").otherwise("skip"))
 
 
+def requests(planned: DataFrame, base_url: str, payload: str, etag: str | None = None, key: str | None = None, if_match: str = "If-Match", key_header: str = "Idempotency-Key") -> DataFrame:
+    """A plan with ``url``, ``if_match``, ``headers`` and ``body`` as they would be sent; null where the step is no write.
+
+    ``payload`` is a JSON text; deletes send none. Updates carry the tag of the version that was read in ``if_match``, so a target that
+    has moved on answers 412. headers is a JSON object by name.
+    """
+    writes = F.col("step") == "write"
+    tag = F.when(writes & (F.col("_action") == "update"), F.col(etag)) if etag else F.lit(None).cast("string")
+    named = {if_match: tag, key_header: F.when(writes, F.col(key)) if key else F.lit(None).cast("string")}
+    return planned.withColumns({
+        "url": F.when(writes, F.concat(F.lit(base_url.rstrip("/")), F.col("path"))),
+        "if_match": tag,
+        "headers": F.when(writes, F.to_json(F.struct(*[value.alias(name) for name, value in sorted(named.items())]))),
+        "body": F.when(writes & (F.col("_action") != "delete"), F.col(payload)),
+    })
+
+
+def dry_run(asked: DataFrame) -> DataFrame:
+    """(external_id, action, method, url, headers, body, conflict_detected) of the writes that would be sent; nothing is."""
+    conflict = F.col("conflict") if "conflict" in asked.columns else F.lit(False)
+    return asked.where("step = 'write'").select("external_id", F.col("_action").alias("action"), "method", "url", "headers", "body", conflict.alias("conflict_detected"))
+
+
+def outcomes(asked: DataFrame, responses: DataFrame) -> DataFrame:
+    """``asked`` with ``outcome`` and ``conflict`` by the status of each response (external_id, status).
+
+    412 means that the target has moved on: a conflict, and the write is skipped. Other statuses from 200 to 299 are ok, all else failed;
+    a write without a response is failed, a row without a write skipped.
+    """
+    status = responses.select("external_id", F.col("status").alias("__status"))
+    met = asked.drop("conflict", "outcome").join(status, "external_id", "left")
+    ok = F.coalesce(F.col("__status").between(200, 299), F.lit(False))
+    moved = (F.col("step") == "write") & F.coalesce(F.col("__status") == 412, F.lit(False))
+    outcome = F.when((F.col("step") != "write") | moved, "skipped").when(ok, "ok").otherwise("failed")
+    return met.withColumns({"outcome": outcome, "conflict": moved}).drop("__status")
+
+
+def assigned_id(response: Column, connector: str, datatype: str) -> Column:
+    """The id that a target gave in its response to an insert: the first candidate field with a value."""
+    names = ("id", f"{datatype}_id", f"{connector}_id", "externalId", "external_id")
+    return F.coalesce(*[dot_path(response, f'"{n}"') for n in names])
+
+
+def archivable(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows to archive whose records (``gone``: external_id) are not gone already."""
+    return rows.where("_action = 'archive'").join(gone.select("external_id"), "external_id", "left_anti")
+
+
+def upsert_methods(rows: DataFrame, existing: DataFrame, update: str = "PATCH", insert: str = "POST") -> DataFrame:
+    """(external_id, method) of upserts: records that exist are updated, others inserted."""
+    there = existing.select("external_id", F.lit(True).alias("__exists")).distinct()
+    method = F.when(F.col("__exists"), update).otherwise(insert)
+    return rows.where("_action = 'upsert'").join(there, "external_id", "left").select("external_id", method.alias("method"))
+
+
+def answered(rows: DataFrame, answers: DataFrame, error: str = "rejected") -> DataFrame:
+    """(external_id, success, error) by the items of batch responses (external_id, ok); a row without an item succeeded."""
+    ok = F.coalesce("ok", F.lit(True))
+    return rows.join(answers.select("external_id", "ok"), "external_id", "left").select("external_id", ok.alias("success"), F.when(~ok, error).alias("error"))
+
+
+def audited(rows: DataFrame, log: DataFrame) -> DataFrame:
+    """The audit rows (external_id, _action, run_id, ...) that the log does not have yet, each once."""
+    keys = ["external_id", "_action", "run_id"]
+    return rows.dropDuplicates(keys).join(log.select(*keys), keys, "left_anti")
+
+
+def failing(failures: DataFrame, key: str, most: int = 3) -> DataFrame:
+    """(key, failures) of rows that have failed ``most`` times or more: they become dead letters."""
+    return failures.groupBy(key).agg(F.count("*").alias("failures")).where(F.col("failures") >= most)
+
+
+def statuses(rows: DataFrame, succeeded: DataFrame, failed: DataFrame) -> DataFrame:
+    """``rows`` with ``_status``: processed, failed or skipped, by the ids that a run reports; success counts before failure."""
+    good = succeeded.select("external_id", F.lit(True).alias("__good")).distinct()
+    bad = failed.select("external_id", F.lit(True).alias("__bad")).distinct()
+    met = rows.drop("_status").join(good, "external_id", "left").join(bad, "external_id", "left")
+    return met.withColumn("_status", F.when(F.col("__good"), "processed").when(F.col("__bad"), "failed").otherwise("skipped")).drop("__good", "__bad")
+
+
+QUEUED = ("_queued_at", "_ingested_at", "_created_at", "_produced_at")
+
+
+def stale_batches(rows: DataFrame, batch: list[str], order: str, now: Column, most_seconds: float) -> DataFrame:
+    """(batch, rows_in_batch, oldest_age_secs, stale): how old the first row of each batch is by the first of its QUEUED times.
+
+    A batch whose first row has none of them has no age and is not stale.
+    """
+    at = F.coalesce(*[F.col(c) for c in QUEUED if c in rows.columns])
+    first = rows.groupBy(*batch).agg(F.count("*").alias("rows_in_batch"), F.min_by(F.struct(at.alias("at")), order).alias("__first"))
+    age = F.round((F.unix_micros(now) - F.unix_micros("__first.at")) / 1e6, 1)
+    return first.select(*batch, "rows_in_batch", age.alias("oldest_age_secs"), F.coalesce(age > most_seconds, F.lit(False)).alias("stale"))
+
+
 def resync_commands(resolved: DataFrame, most: int) -> DataFrame:
     """(external_id, command, admitted) for the rows whose step is resync: at most ``most`` per record in an hour's window.
 

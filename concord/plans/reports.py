@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import records as R
+from ..operators import commands as control_commands
 from ..operators import hooks, merge, schemas
 from ..operators import runs as runlog
 from .registry import NOW, query, table
@@ -73,12 +74,13 @@ def connector_count(spark, d):
 
 
 SCORE = RUNS + f""", s AS (SELECT connector, datatype, round(avg(CASE WHEN status = 'completed' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 4) AS score
-  FROM (SELECT *, {RANK} AS n FROM runs) WHERE n <= 10 GROUP BY ALL)"""
+  FROM (SELECT *, {RANK} AS n FROM runs) WHERE n <= 10 GROUP BY ALL UNION ALL SELECT 'c9', 'never-run', 1.0::DOUBLE)"""
 
 
 def scores(spark, d):
-    good = F.when(F.col("status") == "completed", F.lit(1.0)).otherwise(F.lit(0.0))
-    return newest_runs(spark, d, 10).groupBy(*PAIR).agg(F.round(F.avg(good), 4).alias("score"))
+    """All pairs of connectors and datatypes that have run, and one that has not."""
+    r = runs(spark, d)
+    return runlog.health_scores(r, r.select(*PAIR).union(spark.createDataFrame([("c9", "never-run")], "connector string, datatype string")))
 
 
 @query(SCORE + "SELECT * FROM s")
@@ -159,9 +161,7 @@ FROM (SELECT DISTINCT datatype AS n_name FROM runs UNION ALL SELECT 'never-run')
 def sla_status(spark, d):
     r = runs(spark, d)
     wanted = r.select("datatype").distinct().union(spark.createDataFrame([("never-run",)], "datatype string"))
-    last = r.where("status = 'completed'").groupBy("datatype").agg(F.max("finished_at").alias("at"))
-    late = F.col("at").isNull() | (F.col("at") < ago("48 hours"))
-    return wanted.join(last, "datatype", "left").select("datatype", text("at", "finished"), late.alias("violated"))
+    return runlog.late(wanted, r, ["datatype"], F.lit(NOW).cast("timestamp"), "48 hours").select("datatype", text("at", "finished"), "violated")
 
 
 @query(RUNS + "SELECT connector, count(*) AS failures FROM runs WHERE status = 'failed' GROUP BY 1")
@@ -208,6 +208,86 @@ def housekeeping_keep(spark, d):
     return runs(spark, d).where(~F.coalesce(old, F.lit(False))).select("id")
 
 
+KEPT = """WITH o AS (SELECT o_orderkey AS id, ['sync_run', 'dead_letter', 'history', 'webhook_route_seq', 'writeback_result', 'writeback_dead_letter', 'desired_state'][o_orderkey % 7 + 1] AS kind,
+  [90, 30, 365, 7, 1, 30, 90][o_orderkey % 7 + 1] AS days,
+  CASE WHEN o_orderkey % 5 <> 0 THEN timestamp '2024-02-01 00:00:00' - to_hours((o_orderkey * 13 % 12000)::INTEGER) END AS at_ FROM orders)
+SELECT id, kind FROM o WHERE at_ IS NULL OR at_ >= timestamp '2024-02-01 00:00:00' - to_days(days::INTEGER)"""
+
+
+@query(KEPT)
+def retention(spark, d):
+    """Seven classes of rows, each with its time and window; results of writes have a window of no day, and stay for one."""
+    k = F.col("o_orderkey")
+    kinds = list(runlog.AGES_BY)
+    at = F.when(k % 5 != 0, F.lit(NOW).cast("timestamp") - F.make_dt_interval(hours=(k * 13 % 12000).cast("int")))
+    rows = table(spark, d, "orders").select(k.alias("id"), F.element_at(F.array(*[F.lit(n) for n in kinds]), (k % 7).cast("int") + 1).alias("kind"), at.alias("at"))
+    left = None
+    for kind in kinds:
+        own = rows.where(F.col("kind") == kind).withColumnRenamed("at", runlog.AGES_BY[kind])
+        kept = runlog.retained(own, kind, F.lit(NOW).cast("timestamp"), runlog.RETENTION | {"writeback_result": 0}).select("id", "kind")
+        left = kept if left is None else left.unionByName(kept)
+    return left
+
+
+COMMANDS = """WITH names AS (SELECT ['force_full_sync', 'pause_connector', 'resume_connector', 'requeue_dead_letter', 'gdpr-purge', 'dance'] AS n),
+c AS (SELECT event_id AS id, 'c' || user_id % 5 AS connector, CASE WHEN event_id % 3 <> 0 THEN event_type END AS datatype, n[event_id % 6 + 1] AS command,
+  CASE WHEN event_id % 4 = 0 THEN 'done' ELSE 'pending' END AS status, ts AS issued_at, '{"external_id":"' || user_id || '"}' AS payload,
+  CASE event_id % 5 WHEN 0 THEN 'writer' WHEN 1 THEN 'reader' END AS target_tool FROM events, names),
+taken AS (SELECT * FROM c WHERE status = 'pending' AND (target_tool IS NULL OR target_tool = 'reader') ORDER BY issued_at, id LIMIT 20),
+pairs AS (SELECT DISTINCT 'c' || user_id % 5 AS connector, event_type AS datatype FROM events)
+"""
+
+
+def control(spark, d):
+    """Commands of all kinds, one of them unknown, for two tools or any."""
+    k = F.col("event_id")
+    names = F.array(*[F.lit(n) for n in ("force_full_sync", "pause_connector", "resume_connector", "requeue_dead_letter", "gdpr-purge", "dance")])
+    made = table(spark, d, "events").select(
+        k.alias("id"), F.concat(F.lit("c"), (F.col("user_id") % 5).cast("string")).alias("connector"), F.when(k % 3 != 0, F.col("event_type")).alias("datatype"),
+        F.element_at(names, (k % 6).cast("int") + 1).alias("command"), F.when(k % 4 == 0, "done").otherwise("pending").alias("status"), F.col("ts").alias("issued_at"),
+        F.concat(F.lit('{"external_id":"'), F.col("user_id").cast("string"), F.lit('"}')).alias("payload"), F.when(k % 5 == 0, "writer").when(k % 5 == 1, "reader").alias("target_tool"))
+    return made, control_commands.due(made, "reader")
+
+
+def _pairs(spark, d):
+    return table(spark, d, "events").select(F.concat(F.lit("c"), (F.col("user_id") % 5).cast("string")).alias("connector"), F.col("event_type").alias("datatype")).distinct()
+
+
+@query(COMMANDS + """SELECT id, CASE WHEN id IN (SELECT id FROM taken) THEN CASE WHEN command = 'dance' THEN 'failed' ELSE 'completed' END ELSE status END AS status,
+  CASE WHEN command = 'dance' AND id IN (SELECT id FROM taken) THEN 'Unknown command: dance' END AS error FROM c""")
+def control_dispatch(spark, d):
+    made, taken = control(spark, d)
+    return control_commands.dispatched(made, taken).select("id", "status", "error")
+
+
+@query(COMMANDS + "SELECT * FROM pairs p WHERE NOT EXISTS (SELECT * FROM taken t WHERE t.command = 'force_full_sync' AND t.connector = p.connector AND (t.datatype IS NULL OR t.datatype = p.datatype))")
+def control_resets(spark, d):
+    return control_commands.reset_watermarks(_pairs(spark, d), control(spark, d)[1])
+
+
+@query(COMMANDS + """SELECT connector, datatype, coalesce((SELECT arg_max(t.command, (t.issued_at, t.id)) FROM taken t WHERE t.command IN ('pause_connector', 'resume_connector')
+  AND t.connector = p.connector AND (t.datatype IS NULL OR t.datatype = p.datatype)) = 'pause_connector', false) AS paused FROM pairs p""")
+def control_pauses(spark, d):
+    state = _pairs(spark, d).withColumn("paused", F.lit(False))
+    return control_commands.pauses(state, control(spark, d)[1])
+
+
+@query(COMMANDS + """, l AS (SELECT event_id AS id, 'c' || user_id % 5 AS connector, event_type AS datatype, event_id % 6 AS requeue_count FROM events),
+r AS (SELECT *, requeue_count < 3 AND EXISTS (SELECT * FROM taken t WHERE t.command = 'requeue_dead_letter' AND t.connector = l.connector AND (t.datatype IS NULL OR t.datatype = l.datatype)) AS requeued FROM l)
+SELECT id, requeue_count + requeued::INT AS requeue_count, requeued FROM r""")
+def control_requeues(spark, d):
+    e = table(spark, d, "events")
+    found = e.select(F.col("event_id").alias("id"), F.concat(F.lit("c"), (F.col("user_id") % 5).cast("string")).alias("connector"), F.col("event_type").alias("datatype"), (F.col("event_id") % 6).alias("requeue_count"))
+    return control_commands.requeued(found, control(spark, d)[1]).select("id", "requeue_count", "requeued")
+
+
+@query(COMMANDS + """SELECT c_custkey::VARCHAR AS external_id, CASE WHEN g.x IS NOT NULL THEN '{}' ELSE c_name END AS data, g.x IS NOT NULL AS _deleted
+FROM customer LEFT JOIN (SELECT DISTINCT json_extract_string(payload, '$.external_id') AS x FROM taken WHERE command = 'gdpr-purge') g ON g.x = c_custkey::VARCHAR""")
+def control_purges(spark, d):
+    held = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("external_id"), F.col("c_name").alias("data"), F.sha2("c_name", 256).alias("_raw_hash"), F.lit(False).alias("_deleted"))
+    return control_commands.purged(held, control(spark, d)[1]).drop("_raw_hash")
+
+
 @query("SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN '{}' ELSE c_name END AS data, c_custkey % 10 = 3 AS _deleted FROM customer")
 def privacy_purge(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("data"), F.col("c_name").alias("_raw_hash"), F.lit(False).alias("_deleted"))
@@ -317,7 +397,8 @@ def sync_run_log(spark, d):
         done = [F.lit(status).alias("status"), F.col("ts").alias("finished_at"), F.concat(F.lit("w"), F.col("event_id").cast("string")).alias("watermark_after")]
         return part.select((F.col("event_id") + shift).alias("run_id"), *done, *[(F.col("event_id") * 2).alias(c) for c in runlog.COUNTERS])
 
-    log = runlog.finished(log, results(1, "completed").union(results(2, "failed")))
+    late = results(1, "failed").withColumn("finished_at", F.col("finished_at") + F.expr("interval 1 hour"))  # a second result of the same runs
+    log = runlog.finished(log, results(1, "completed").union(results(2, "failed")).union(late))
     log = runlog.finished(log, results(1, "failed").union(results(2, "completed", -1_000_000_000)))
     return log.select("run_id", "datatype", "status", "fetched", "watermark_after")
 

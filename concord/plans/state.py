@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import merge
+from ..operators import merge, runs
 from ..sources import snapshots
 from .registry import query, table
 
@@ -151,9 +151,8 @@ def checkpoint_resume(spark, d):
     """The newest checkpoint of each connector whose run has not ended."""
     e = table(spark, d, "events").withColumn("connector", F.col("user_id") % 5)
     saved = e.select("connector", F.col("event_id").alias("run_id"), (F.col("event_id") % 17).alias("page_number"))
-    running = e.where("event_type <> 'purchase'").select(F.col("event_id").alias("run_id"))
-    open_runs = saved.join(running, "run_id", "left_semi")
-    return open_runs.groupBy("connector").agg(F.max_by(F.struct("run_id", "page_number"), "run_id").alias("r")).select("connector", "r.*")
+    status = F.when(F.col("event_type") != "purchase", "running").otherwise("completed")
+    return runs.resumable(saved, e.select(F.col("event_id").alias("run_id"), status.alias("status")), ["connector"])
 
 
 @query("""WITH runs AS (SELECT user_id % 5 AS connector, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY ALL),
@@ -161,13 +160,9 @@ p AS (SELECT *, lag(n) OVER (PARTITION BY connector ORDER BY day) AS before FROM
 SELECT connector, strftime(day, '%Y-%m-%d') AS day, n, before, round((before - n) / before, 4) AS shrink, (before - n) / before > 0.3 AS alarmed FROM p WHERE before IS NOT NULL""")
 def drift_guard(spark, d):
     """Runs with their shrink against the run before."""
-    from pyspark.sql import Window
-
     e = table(spark, d, "events")
-    runs = e.groupBy((F.col("user_id") % 5).alias("connector"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).agg(F.count("*").alias("n"))
-    p = runs.withColumn("before", F.lag("n").over(Window.partitionBy("connector").orderBy("day"))).where("before is not null")
-    shrink = (F.col("before") - F.col("n")) / F.col("before")
-    return p.select("connector", F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "before", F.round(shrink, 4).alias("shrink"), (shrink > 0.3).alias("alarmed"))
+    counted = e.groupBy((F.col("user_id") % 5).alias("connector"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).agg(F.count("*").alias("n"))
+    return runs.shrunk(counted, ["connector"], "day", "n", 0.3).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query(INPUT + """, sample AS (SELECT * FROM incoming JOIN (SELECT external_id, _raw_hash AS stored FROM cur WHERE NOT _deleted) USING (external_id) ORDER BY md5(external_id), external_id LIMIT 100)
@@ -176,8 +171,7 @@ def reconcile_drift(spark, d):
     """Content drift over a sample of at most 100 live records, in hash order: a sampling operator."""
     stored = current(spark, d).where("not _deleted").select("external_id", F.col("_raw_hash").alias("stored"))
     sample = incoming(spark, d).join(stored, "external_id").orderBy(F.md5("external_id"), "external_id").limit(100)
-    drifted = F.count_if(~F.col("stored").eqNullSafe(F.col("_raw_hash")))
-    return sample.agg(F.count("*").alias("sampled"), drifted.alias("drifted"), F.round(drifted / F.count("*"), 4).alias("share"))
+    return runs.drift_share(sample, "stored", "_raw_hash")
 
 
 @query(INPUT + "SELECT count(*) AS n FROM live")

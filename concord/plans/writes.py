@@ -78,8 +78,7 @@ def audit_dedup(spark, d):
 @query(DELTA + "SELECT external_id FROM delta WHERE _action = 'archive' AND external_id % 7 <> 0")
 def archive_guard(spark, d):
     rows = delta(spark, d)
-    gone = rows.where("external_id % 7 = 0").select("external_id")
-    return rows.where("_action = 'archive'").join(gone, "external_id", "left_anti").select("external_id")
+    return writeback.archivable(rows, rows.where("external_id % 7 = 0")).select("external_id")
 
 
 @query("SELECT o_orderkey FROM orders WHERE coalesce(CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate END, timestamp '1996-01-01') < timestamp '2024-02-01 00:00:00' - interval 9500 day")
@@ -175,15 +174,13 @@ def batch_response(spark, d):
     batches = rows.where("external_id % 9 <> 0").groupBy(F.expr("external_id div 50").alias("batch"))
     answers = batches.agg(F.collect_list(F.struct(F.col("external_id").alias("id"), (F.col("external_id") % 5 != 0).alias("ok"))).alias("items"))
     each = answers.select(F.explode("items").alias("i")).select(F.col("i.id").alias("external_id"), "i.ok")
-    ok = F.coalesce("ok", F.lit(True))
-    return rows.join(each, "external_id", "left").select("external_id", ok.alias("success"), F.when(~ok, "rejected").alias("error"))
+    return writeback.answered(rows, each)
 
 
 @query(DELTA + "SELECT external_id, CASE WHEN external_id % 12 = 4 THEN 'PATCH' ELSE 'POST' END AS method FROM delta WHERE _action = 'upsert'")
 def upsert_route(spark, d):
-    rows = delta(spark, d).where("_action = 'upsert'")
-    there = rows.where("external_id % 12 = 4").select("external_id", F.lit(True).alias("exists"))
-    return rows.join(there, "external_id", "left").select("external_id", F.when(F.col("exists"), "PATCH").otherwise("POST").alias("method"))
+    rows = delta(spark, d)
+    return writeback.upsert_methods(rows, rows.where("external_id % 12 = 4"))
 
 
 OPERATIONS = {"insert": ("POST", "/orders"), "update": ("PATCH", "/orders/${external_id}"), "delete": ("DELETE", "/orders/${external_id}"), "upsert": ("PUT", "/orders/${external_id}")}
@@ -211,15 +208,14 @@ def shadow_log(spark, d):
 @query(PLAN + "SELECT external_id, _action, CASE step WHEN 'write' THEN 'ok' ELSE 'skipped' END AS status, 'run-1' AS run_id FROM plan WHERE external_id % 4 <> 0")
 def audit_rows(spark, d):
     rows = planned(spark, d).select("external_id", "_action", F.when(F.col("step") == "write", "ok").otherwise("skipped").alias("status"), F.lit("run-1").alias("run_id"))
-    logged = rows.where("external_id % 4 = 0").select("external_id", "_action", "run_id")
     again = rows.union(rows.where("external_id % 10 = 1"))
-    return again.dropDuplicates(["external_id", "_action", "run_id"]).join(logged, ["external_id", "_action", "run_id"], "left_anti").select("external_id", "_action", "status", "run_id")
+    return writeback.audited(again, rows.where("external_id % 4 = 0")).select("external_id", "_action", "status", "run_id")
 
 
 @query("SELECT l_orderkey AS external_id, count(*) AS failures FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING count(*) >= 3")
 def auto_dead_letter(spark, d):
-    failed = table(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("external_id")).agg(F.count("*").alias("failures"))
-    return failed.where("failures >= 3")
+    returned = table(spark, d, "lineitem").where("l_returnflag = 'R'")
+    return writeback.failing(returned.withColumnRenamed("l_orderkey", "external_id"), "external_id")
 
 
 @query("""SELECT coalesce(n.o_orderkey, o.o_orderkey) AS external_id, CASE WHEN n.o_orderkey IS NOT NULL THEN n.o_orderpriority ELSE o.o_orderstatus END AS data
@@ -234,10 +230,7 @@ def desired_upsert(spark, d):
 @query("SELECT o_orderkey AS external_id, CASE WHEN o_orderkey % 2 = 0 THEN 'processed' WHEN o_orderkey % 3 = 0 THEN 'failed' ELSE 'skipped' END AS _status FROM orders")
 def desired_status(spark, d):
     rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("external_id"))
-    good = rows.where("external_id % 2 = 0").withColumn("good", F.lit(True))
-    bad = rows.where("external_id % 3 = 0").withColumn("bad", F.lit(True))
-    met = rows.join(good, "external_id", "left").join(bad, "external_id", "left")
-    return met.select("external_id", F.when(F.col("good"), "processed").when(F.col("bad"), "failed").otherwise("skipped").alias("_status"))
+    return writeback.statuses(rows, rows.where("external_id % 2 = 0"), rows.where("external_id % 3 = 0"))
 
 
 @query("""SELECT coalesce(n.o_orderkey, o.o_orderkey) AS external_id, coalesce(CASE WHEN n.o_orderkey % 4 = 0 THEN 'n' || n.o_custkey END, 'o' || o.o_custkey) AS cluster_id,
@@ -250,15 +243,15 @@ def lwstate_merge(spark, d):
     return merge.keyed_merge(old, new, ["external_id"], keep_old_if_null=["cluster_id"])
 
 
-@query("SELECT o_orderkey AS external_id, 'c' || o_custkey AS cluster_id, o_orderkey::VARCHAR AS target_external_id FROM orders")
+@query("SELECT o_orderkey AS external_id, 'c' || o_custkey AS cluster_id, CASE WHEN o_orderkey % 6 <> 5 THEN o_orderkey::VARCHAR END AS target_external_id FROM orders")
 def identity_map_extract(spark, d):
-    """The target's id from the first response field that has one."""
+    """The target's id from the first of five response fields that has one; some responses have none, some two."""
     k = F.col("o_orderkey").cast("string")
-    names = ["id", "Id", "externalId", "key"]
-    response = F.element_at(F.array(*[F.concat(F.lit('{"' + n + '":"'), k, F.lit('"}')) for n in names]), (F.col("o_orderkey") % 4).cast("int") + 1)
-    rows = table(spark, d, "orders").withColumn("r", response)
-    first = F.coalesce(*[F.get_json_object("r", f"$.{n}") for n in names])
-    return rows.select(F.col("o_orderkey").alias("external_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("cluster_id"), first.alias("target_external_id"))
+    names = ["id", "order_id", "crm_id", "externalId", "external_id"]
+    texts = [F.concat(F.lit('{"note":1,"id":null,"' + n + '":'), k, F.lit(',"external_id":"other"}' if n != "external_id" else "}")) for n in names]
+    response = F.element_at(F.array(*texts, F.lit('{"status":"ok"}')), (F.col("o_orderkey") % 6).cast("int") + 1)
+    rows = table(spark, d, "orders").withColumn("r", F.regexp_replace(response, '"id":null,"id"', '"id"'))
+    return rows.select(F.col("o_orderkey").alias("external_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("cluster_id"), writeback.assigned_id(F.col("r"), "crm", "order").alias("target_external_id"))
 
 
 @query("SELECT o_orderkey, upper(o_orderpriority) AS priority, length(o_orderpriority) AS size FROM orders WHERE o_orderstatus <> 'P'")
@@ -269,3 +262,72 @@ def hook_filter(spark, d):
         enrich=lambda df: df.withColumn("size", F.length("priority").cast("long")),
     )
     return hooks.apply_hooks(table(spark, d, "orders"), rules).select("o_orderkey", "priority", "size")
+
+
+@query(WAY + """, b AS (SELECT *, CASE WHEN id % 4 = 0 AND id % 8 <> 0 THEN b_status || 'c' WHEN id % 4 = 1 OR id % 8 = 0 THEN b_status WHEN id % 4 = 2 THEN b_status || 'u' END AS base_status FROM w)
+SELECT id, base_status, coalesce(r_status = base_status AND r_priority = priority, false) OR (r_status = lw_status AND r_priority = lw_priority) AS safe FROM b""")
+def three_way_base(spark, d):
+    """The check with bases that stand in a column, in the data, in another column, or nowhere; an empty one counts as absent."""
+    rows, k = sides(spark, d), F.col("id")
+    text = lambda mark: F.to_json(F.create_map(F.lit("status"), F.concat(F.col("base.status"), F.lit(mark)), F.lit("priority"), F.col("base.priority")))
+    base = F.when(k % 8 == 0, "{}").when(k % 4 == 0, text("c"))
+    data = F.concat(F.lit('{"status":1,"_base":'), F.when((k % 4 == 1) | (k % 8 == 0), text("")).otherwise("[]"), F.lit("}"))
+    found = rows.withColumn("base", writeback.base_lookup(base, data, F.when(k % 4 != 3, text("u"))))
+    return writeback.three_way(found).select("id", F.col("base.status").alias("base_status"), "safe")
+
+
+ASKED = PLAN + """, asked AS (SELECT p.external_id, p._action, p.method, p.step, CASE WHEN p.step = 'write' THEN 'https://host/v1' || p.path END AS url,
+  CASE WHEN p._action = 'update' AND p.external_id % 3 <> 0 THEN 'W/"' || p.external_id || '"' END AS if_match,
+  CASE WHEN p.step = 'write' AND p._action <> 'delete' THEN '{"status":"' || d.status || '"}' END AS body FROM plan p JOIN delta d USING (external_id))
+"""
+
+
+def asked(spark, d):
+    k = F.col("external_id")
+    rows = delta(spark, d).withColumn("payload", F.concat(F.lit('{"status":"'), "status", F.lit('"}'))).withColumn("etag", F.when(k % 3 != 0, F.concat(F.lit('W/"'), k.cast("string"), F.lit('"'))))
+    return writeback.requests(writeback.plan(rows.withColumn("key", F.concat(F.lit("k"), k.cast("string"))), OPERATIONS, "external_id"), "https://host/v1/", "payload", "etag", "key")
+
+
+@query(ASKED + """SELECT external_id, method, url, if_match, body, CASE WHEN step = 'write' THEN '{"Idempotency-Key":"k' || external_id || '"' ||
+  CASE WHEN if_match IS NOT NULL THEN ',"If-Match":"W/\\"' || external_id || '\\""' ELSE '' END || '}' END AS headers FROM asked""")
+def writeback_requests(spark, d):
+    """Requests with conditional headers, idempotency keys and bodies."""
+    return asked(spark, d).select("external_id", "method", "url", "if_match", "body", "headers")
+
+
+@query(ASKED + "SELECT external_id, _action AS action, method, url, body, false AS conflict_detected FROM asked WHERE step = 'write'")
+def writeback_dry_run(spark, d):
+    return writeback.dry_run(asked(spark, d)).drop("headers")
+
+
+@query(ASKED + """SELECT external_id, CASE WHEN step <> 'write' OR external_id % 7 = 1 THEN 'skipped' WHEN external_id % 7 IN (2, 3) THEN 'failed' ELSE 'ok' END AS outcome,
+  step = 'write' AND external_id % 7 = 1 AS conflict FROM asked""")
+def writeback_outcomes(spark, d):
+    """412 is a conflict and a skip, 500 and no answer are failures."""
+    rows = asked(spark, d)
+    k = F.col("external_id") % 7
+    responses = rows.where(k != 3).select("external_id", F.when(k == 1, 412).when(k == 2, 500).when(k == 4, 204).otherwise(200).alias("status"))
+    return writeback.outcomes(rows, responses).select("external_id", "outcome", "conflict")
+
+
+@query("""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 2 = 0 THEN 'note' ELSE '' END AS added, CASE WHEN o_orderkey % 3 = 0 THEN 'old' ELSE '' END AS removed,
+  CASE WHEN o_orderkey % 5 = 0 THEN '{"status":{"from":"' || o_orderstatus || '","to":"changed"}}' ELSE '{}' END AS changed FROM orders""")
+def field_diff_values(spark, d):
+    k, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    none = F.create_map().cast("map<string,string>")
+    old = F.map_concat(F.create_map(F.lit("status"), status), F.when(k % 3 == 0, F.create_map(F.lit("old"), status)).otherwise(none))
+    new = F.map_concat(F.create_map(F.lit("status"), F.when(k % 5 == 0, "changed").otherwise(status)), F.when(k % 2 == 0, F.create_map(F.lit("note"), status)).otherwise(none))
+    rows = table(spark, d, "orders").select(k.alias("id"), old.alias("old"), new.alias("new"))
+    diff = rows.select("id", writeback.field_diff_values(F.col("old"), F.col("new")).alias("d"))
+    return diff.select("id", F.array_join("d.added", ",").alias("added"), F.array_join("d.removed", ",").alias("removed"), F.to_json("d.changed").alias("changed"))
+
+
+@query("""WITH r AS (SELECT *, CASE o_orderkey % 5 WHEN 0 THEN o_orderdate WHEN 1 THEN o_orderdate + interval 1 day WHEN 2 THEN o_orderdate + interval 2 day WHEN 3 THEN o_orderdate + interval 3 day END AS t FROM orders),
+b AS (SELECT o_custkey AS batch, count(*) AS n, arg_min({'t': t}, o_orderkey).t AS t FROM r GROUP BY 1)
+SELECT batch, n AS rows_in_batch, epoch(timestamp '2024-02-01 00:00:00' - t)::DOUBLE AS oldest_age_secs, coalesce(epoch(timestamp '2024-02-01 00:00:00' - t) > 820000000, false) AS stale FROM b""")
+def stale_batches(spark, d):
+    """The age of each customer's first order by the first of four times that it has."""
+    k, at = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    times = {c: F.when(k % 5 == i, at + F.make_dt_interval(days=F.lit(i))) for i, c in enumerate(writeback.QUEUED)}
+    rows = table(spark, d, "orders").withColumns(times).withColumnRenamed("o_custkey", "batch")
+    return writeback.stale_batches(rows, ["batch"], "o_orderkey", F.lit(NOW).cast("timestamp"), 820_000_000)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import merge
+from ..sources.staging import staged, unstaged
 from .stateful import Newest, Reorder, processed
 
 
@@ -77,14 +78,18 @@ def change_sink(
 
     ``prepare`` maps, normalises, checks and keys a batch: it gives records (external_id, seq, op, data, _raw_hash) and rejects.
     ``write`` gets the frames of ``merge.change_batch`` (state, history, watermark, rejects) and the batch's number, with which it
-    can tell a repeated batch. A snapshot that is partitioned by key needs only the partitions that ``history`` and
-    tombstones name.
+    can tell a repeated batch. The frames are written before ``write`` gets them, so it may replace the state in any order. For a table
+    that is merged in place see ``concord.sources.snapshots.snapshot_sink``.
     """
 
     def body(batch: DataFrame, number: int) -> None:
         good, bad = prepare(batch)
         out = merge.change_batch(good, read_state(), "seq", f"{run_id}-{number}", keep)
-        write(out | {"rejects": out["rejects"].unionByName(bad, allowMissingColumns=True)}, number)
+        frames = out | {"rejects": out["rejects"].unionByName(bad, allowMissingColumns=True)}
+        frames = {name: staged(frame, f"change-{name}") for name, frame in frames.items()}
+        write(frames, number)
+        for frame in frames.values():
+            unstaged(frame)
 
     return body
 
