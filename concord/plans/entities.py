@@ -97,13 +97,13 @@ def resolve_group(spark, d):
     return clustered(spark, d).groupBy("cluster_id").agg(group.alias("g")).select("cluster_id", "g.name", "g.nation")
 
 
-@query("""WITH new AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 5 <> 0),
-old AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 'old' ELSE c_name END AS name FROM customer WHERE c_custkey % 3 <> 0)
+@query("""WITH new AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal >= 1000),
+old AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 'old' ELSE c_name END AS name FROM customer WHERE c_acctbal < 8000)
 SELECT id, CASE WHEN o.name IS NULL THEN 'insert' WHEN n.name IS NULL THEN 'delete' WHEN o.name = n.name THEN 'noop' ELSE 'update' END AS _action, n.name FROM new n FULL OUTER JOIN old o USING (id)""")
 def delta_classify(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    base = c.where("id % 3 <> 0").withColumn("name", F.when(F.col("id") % 4 == 0, "old").otherwise(F.col("name")))
-    return mapping.delta(c.where("id % 5 <> 0"), base, "id", ["name"])
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), "c_acctbal")
+    base = c.where("c_acctbal < 8000").withColumn("name", F.when(F.col("id") % 4 == 0, "old").otherwise(F.col("name")))
+    return mapping.delta(c.where("c_acctbal >= 1000"), base, "id", ["name"])
 
 
 @query(CLUSTERS + "SELECT o_orderkey, cluster_id FROM orders JOIN cluster ON o_custkey = id")

@@ -180,21 +180,21 @@ def glob_filter(spark, d):
     return c.where(R.matches_glob(F.col("c_mktsegment"), "B*") | R.matches_glob(F.col("c_name"), "*[13]")).select("c_custkey")
 
 
-@query("""SELECT coalesce(n.k, o.k) AS k, coalesce(n.score, o.score) AS score FROM (SELECT n_nationkey AS k, 'old' || n_name AS score FROM nation WHERE n_nationkey % 2 = 0) o
-FULL OUTER JOIN (SELECT n_nationkey AS k, 'new' || n_name AS score FROM nation WHERE n_nationkey % 3 = 0) n ON o.k = n.k""")
+@query("""SELECT coalesce(n.k, o.k) AS k, coalesce(n.score, o.score) AS score FROM (SELECT c_custkey AS k, 'old' || c_name AS score FROM customer WHERE c_acctbal < 6000) o
+FULL OUTER JOIN (SELECT c_custkey AS k, 'new' || c_name AS score FROM customer WHERE c_acctbal >= 2000) n ON o.k = n.k""")
 def heartbeat_merge(spark, d):
-    n = table(spark, d, "nation")
-    part = lambda m, mark: n.where(f"n_nationkey % {m} = 0").select(F.col("n_nationkey").alias("k"), F.concat(F.lit(mark), "n_name").alias("score"))
-    return merge.keyed_merge(part(2, "old"), part(3, "new"), ["k"])
+    c = table(spark, d, "customer")
+    part = lambda which, mark: c.where(which).select(F.col("c_custkey").alias("k"), F.concat(F.lit(mark), "c_name").alias("score"))
+    return merge.keyed_merge(part("c_acctbal < 6000", "old"), part("c_acctbal >= 2000", "new"), ["k"])
 
 
-@query("""SELECT coalesce(n.k, o.k) AS k, CASE WHEN n.k IS NOT NULL THEN 'unhealthy' ELSE 'healthy' END AS status, coalesce(o.at, n.at) AS marked_unhealthy_at
-FROM (SELECT n_nationkey AS k, CASE WHEN n_nationkey % 4 = 0 THEN '2024-01-01' END AS at FROM nation WHERE n_nationkey % 2 = 0) o
-FULL OUTER JOIN (SELECT n_nationkey AS k, '2024-02-01' AS at FROM nation WHERE n_nationkey % 3 = 0) n ON o.k = n.k""")
+@query("""SELECT coalesce(n.k, o.k) AS k, CASE WHEN n.k IS NOT NULL THEN 'unhealthy' ELSE 'healthy' END AS status, coalesce(o.since, n.since) AS marked_unhealthy_at
+FROM (SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN '2024-01-01' END AS since FROM customer WHERE c_acctbal < 6000) o
+FULL OUTER JOIN (SELECT c_custkey AS k, '2024-02-01' AS since FROM customer WHERE c_acctbal >= 2000) n ON o.k = n.k""")
 def health_merge(spark, d):
-    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"))
-    old = n.where("k % 2 = 0").select("k", F.lit("healthy").alias("status"), F.when(F.col("k") % 4 == 0, "2024-01-01").alias("marked_unhealthy_at"))
-    new = n.where("k % 3 = 0").select("k", F.lit("unhealthy").alias("status"), F.lit("2024-02-01").alias("marked_unhealthy_at"))
+    c = table(spark, d, "customer").withColumn("k", F.col("c_custkey"))
+    old = c.where("c_acctbal < 6000").select("k", F.lit("healthy").alias("status"), F.when(F.col("c_mktsegment") == "BUILDING", "2024-01-01").alias("marked_unhealthy_at"))
+    new = c.where("c_acctbal >= 2000").select("k", F.lit("unhealthy").alias("status"), F.lit("2024-02-01").alias("marked_unhealthy_at"))
     return merge.keyed_merge(old, new, ["k"], keep_first=["marked_unhealthy_at"])
 
 

@@ -10,18 +10,18 @@ from ..operators import merge, runs
 from ..sources import snapshots
 from .registry import query, table
 
-# The same inputs for both engines: customers as they come in, and a snapshot that lacks some, differs in others and has
-# tombstones. Some payloads have no hash on either side.
+# The same inputs for both engines: customers as they come in (those in debt do not), and a snapshot that lacks some of them, differs
+# in others and has tombstones. Every customer is on one side at least. Some payloads have no hash on either side.
 INPUT = """WITH incoming AS (
   SELECT c_custkey::VARCHAR AS external_id, c_mktsegment || ':' || c_nationkey AS data,
          CASE WHEN c_custkey % 17 <> 0 THEN sha256(c_mktsegment || ':' || c_nationkey) END AS _raw_hash, true AS here
-  FROM customer WHERE c_custkey % 13 <> 0
+  FROM customer WHERE c_acctbal >= 0
 ), cur AS (
   SELECT c_custkey::VARCHAR AS external_id,
          CASE WHEN c_custkey % 9 = 0 THEN '{}' ELSE c_mktsegment || ':' || (c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END) END AS data,
          CASE WHEN c_custkey % 19 <> 0 AND c_custkey % 34 <> 0 THEN sha256(c_mktsegment || ':' || (c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END)) END AS _raw_hash,
          c_custkey % 9 = 0 AS _deleted, true AS here
-  FROM customer WHERE c_custkey % 7 <> 0
+  FROM customer WHERE c_acctbal < 0 OR c_mktsegment <> 'MACHINERY'
 ), classified AS (
   SELECT i.external_id, CASE WHEN c.here IS NULL THEN 'insert' WHEN c._deleted THEN 'resurrect'
          WHEN c._raw_hash IS DISTINCT FROM i._raw_hash THEN 'update' ELSE 'noop' END AS action, i.data, i._raw_hash
@@ -32,13 +32,13 @@ INPUT = """WITH incoming AS (
 
 def incoming(spark, d):
     text = F.concat_ws(":", "c_mktsegment", "c_nationkey")
-    return table(spark, d, "customer").where("c_custkey % 13 <> 0").select(F.col("c_custkey").cast("string").alias("external_id"), text.alias("data"), F.when(F.col("c_custkey") % 17 != 0, F.sha2(text, 256)).alias("_raw_hash"))
+    return table(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").cast("string").alias("external_id"), text.alias("data"), F.when(F.col("c_custkey") % 17 != 0, F.sha2(text, 256)).alias("_raw_hash"))
 
 
 def current(spark, d):
     text = F.concat_ws(":", "c_mktsegment", F.col("c_nationkey") + F.when(F.col("c_custkey") % 5 == 0, 1).otherwise(0))
     gone, hashed = F.col("c_custkey") % 9 == 0, (F.col("c_custkey") % 19 != 0) & (F.col("c_custkey") % 34 != 0)
-    rows = table(spark, d, "customer").where("c_custkey % 7 <> 0")
+    rows = table(spark, d, "customer").where("c_acctbal < 0 or c_mktsegment <> 'MACHINERY'")
     return rows.select(F.col("c_custkey").cast("string").alias("external_id"), F.when(gone, "{}").otherwise(text).alias("data"), F.when(hashed, F.sha2(text, 256)).alias("_raw_hash"), gone.alias("_deleted"))
 
 

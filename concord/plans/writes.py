@@ -61,9 +61,14 @@ def batch_bytes(spark, d):
     return rows.select("external_id", "cluster_id", "running_bytes")
 
 
-@query(DELTA + "SELECT external_id, _action FROM delta WHERE _action <> 'delete'")
+@query(DELTA + """, bounds AS (SELECT unnest([20, (SELECT count(*) FROM delta WHERE _action = 'delete')]) AS most)
+SELECT most, external_id, _action FROM delta, bounds WHERE _action <> 'delete' OR (SELECT count(*) FROM delta WHERE _action = 'delete') <= most""")
 def delete_guard(spark, d):
-    return writeback.guard_deletes(delta(spark, d), 20).select("external_id", "_action")
+    """A bound that the deletes exceed, and one that they just reach."""
+    rows = delta(spark, d)
+    n = rows.where("_action = 'delete'").count()
+    kept = [writeback.guard_deletes(rows, most).select(F.lit(most).cast("long").alias("most"), "external_id", "_action") for most in (20, n)]
+    return kept[0].unionByName(kept[1])
 
 
 @query(DELTA + "SELECT external_id, _action FROM delta WHERE NOT (external_id % 4 = 0)")
@@ -219,11 +224,11 @@ def auto_dead_letter(spark, d):
 
 
 @query("""SELECT coalesce(n.o_orderkey, o.o_orderkey) AS external_id, CASE WHEN n.o_orderkey IS NOT NULL THEN n.o_orderpriority ELSE o.o_orderstatus END AS data
-  FROM (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) o FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) n ON o.o_orderkey = n.o_orderkey""")
+  FROM (SELECT * FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice < 200000) o FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderstatus = 'O') n ON o.o_orderkey = n.o_orderkey""")
 def desired_upsert(spark, d):
     o = table(spark, d, "orders")
-    old = o.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("external_id"), F.col("o_orderstatus").alias("data"))
-    new = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("external_id"), F.col("o_orderpriority").alias("data"))
+    old = o.where("o_orderstatus <> 'O' or o_totalprice < 200000").select(F.col("o_orderkey").alias("external_id"), F.col("o_orderstatus").alias("data"))
+    new = o.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("external_id"), F.col("o_orderpriority").alias("data"))
     return merge.keyed_merge(old, new, ["external_id"])
 
 
@@ -235,11 +240,11 @@ def desired_status(spark, d):
 
 @query("""SELECT coalesce(n.o_orderkey, o.o_orderkey) AS external_id, coalesce(CASE WHEN n.o_orderkey % 4 = 0 THEN 'n' || n.o_custkey END, 'o' || o.o_custkey) AS cluster_id,
   CASE WHEN n.o_orderkey IS NOT NULL THEN n.o_orderpriority ELSE o.o_orderstatus END AS _written
-  FROM (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) o FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) n ON o.o_orderkey = n.o_orderkey""")
+  FROM (SELECT * FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice < 200000) o FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderstatus = 'O') n ON o.o_orderkey = n.o_orderkey""")
 def lwstate_merge(spark, d):
     o = table(spark, d, "orders")
-    old = o.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("external_id"), F.concat(F.lit("o"), F.col("o_custkey").cast("string")).alias("cluster_id"), F.col("o_orderstatus").alias("_written"))
-    new = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("external_id"), F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("n"), F.col("o_custkey").cast("string"))).alias("cluster_id"), F.col("o_orderpriority").alias("_written"))
+    old = o.where("o_orderstatus <> 'O' or o_totalprice < 200000").select(F.col("o_orderkey").alias("external_id"), F.concat(F.lit("o"), F.col("o_custkey").cast("string")).alias("cluster_id"), F.col("o_orderstatus").alias("_written"))
+    new = o.where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("external_id"), F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("n"), F.col("o_custkey").cast("string"))).alias("cluster_id"), F.col("o_orderpriority").alias("_written"))
     return merge.keyed_merge(old, new, ["external_id"], keep_old_if_null=["cluster_id"])
 
 
