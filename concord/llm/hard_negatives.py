@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def _negatives(part: _Part, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The part's best rows of other labels in the span of each positive of each anchor."""
     anchor, label, q = batch.column("row_id").to_numpy(), batch.column("label").to_numpy(), _matrix(batch.column("q"))
     asked = batch.column("asked")
-    owner = np.repeat(np.arange(len(anchor)), pa.compute.list_value_length(asked).to_numpy(zero_copy_only=False))
+    owner = np.repeat(np.arange(len(anchor)), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
     span = asked.flatten()
     nr, floor, ceiling = (span.field(k).to_numpy() for k in ("nr", "low", "high"))
     low, high = np.full(len(anchor), LONG), np.full(len(anchor), -LONG)
@@ -203,7 +204,7 @@ FOUND = "anchor long, nr int, found_id long, found_row long, score long"
 def _passed(rows: DataFrame, anchors: DataFrame, parts: int, bits: int, find, by_label: bool) -> DataFrame:
     dealt = rows.withColumn("asked", F.lit(None).cast("array<struct<nr:int,low:long,high:long>>")).withColumn("part", F.pmod(F.xxhash64("row_id"), F.lit(parts))).withColumn("is_anchor", F.lit(False))
     passing = anchors.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))).withColumn("is_anchor", F.lit(True))
-    met = dealt.unionByName(passing).repartition(parts, "part").sortWithinPartitions("part", "is_anchor")
+    met = dealt.unionByName(passing).repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "is_anchor")
     return met.mapInArrow(_meet(bits, find, by_label), FOUND)
 
 
