@@ -90,7 +90,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
     Texts are lower-cased and cut into words at blanks; start counts words from 0. Items of fewer than five words
     have one shingle, the whole of them; items without words or with a null id never match. Null document ids and
-    texts match nothing. Repeated rows of a document give one result. Other columns are ignored. Texts of any length are
+    texts match nothing. Repeated rows of a document give one result. Of equally similar windows the one with the smallest start is told, then the
+    shortest. Other columns are ignored. Texts of any length are
     searched whole; without documents or items there are no leaks.
     """
     hashed = benchmark.where("item_id is not null").select("item_id", word_hashes(F.col("text")).alias("h")).where(F.size("h") > 0).distinct()

@@ -167,7 +167,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20) -> Data
     at least ``min_chars`` code points in at least ``min_docs`` documents lose all their lines but those of
     the largest doc_id. Null text counts as one empty line and comes back as an empty text. Rows that share
     a doc_id count as one document; null doc_ids count as one document that never keeps a line. Columns of
-    ``docs`` named n_lines or n_dropped are replaced; all others stay. Empty in, empty out.
+    ``docs`` named n_lines or n_dropped are replaced; all others stay. Texts of any length are read whole, one at a time. Empty in,
+    empty out.
     """
     lost = repeated_lines(docs, min_docs, min_chars).select(F.col("doc_id").alias("__id"), F.col("digests").alias("__lost"))
     rest = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]

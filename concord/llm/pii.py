@@ -150,7 +150,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 
     The spans of email, ip, card and phone are those of their patterns and checks alone; iban and ssn are kept
     from a score of 0.5. Null text counts as empty and has no spans. Rows are treated one by one, so
-    repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
+    repeated rows give repeated results; an empty table gives an empty result; other columns are ignored. Texts of any length are
+    read whole, in one row each.
     """
     text = docs.select("doc_id", text_or_empty().alias("text"))
     return text.select("doc_id", *[spans_of(F.col("text"), k).alias(k.name) for k in KINDS])
