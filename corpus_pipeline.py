@@ -77,7 +77,7 @@ ORACLE_SQL = None  # the toxicity model and SimHash components have no SQL form;
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``: the corpus as it is to be trained on. A stage's table goes once the next one is written.
 
-    Every stage takes extra columns (they are left behind) and empty tables (the result is empty).
+    Every stage takes extra columns (they are left behind), empty tables (the result is empty) and texts of any length (they are read whole).
     """
     docs = before = documents(spark, sf_dir)
     for name, stage in STAGES:
