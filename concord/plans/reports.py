@@ -412,6 +412,24 @@ def schema_diff(spark, d):
     return schemas.diff(spark, old.schema, new.schema)
 
 
+@query("""WITH o AS (SELECT '{"id":' || c_custkey || ',"name":"' || c_name || '","acct":' || c_acctbal || ',"seg":"' || c_mktsegment || '"}' AS j FROM customer),
+n AS (SELECT '{"id":"' || c_custkey || '","name":' || CASE WHEN c_acctbal < 0 THEN '1' ELSE '"' || c_name || '"' END || ',"acct":' || c_acctbal || ',"phone":{"n":' || c_nationkey || '},"seg":null}' AS j FROM customer),
+e AS (SELECT side, name, CASE json_type(j, '$.' || name) WHEN 'VARCHAR' THEN 'string' WHEN 'OBJECT' THEN 'object' WHEN 'NULL' THEN NULL ELSE 'number' END AS kind
+  FROM (SELECT 'o' AS side, j, unnest(json_keys(j)) AS name FROM o UNION ALL SELECT 'n', j, unnest(json_keys(j)) FROM n)),
+t AS (SELECT side, name, CASE WHEN count(DISTINCT kind) > 1 THEN 'mixed' ELSE max(kind) END AS type FROM e GROUP BY ALL)
+SELECT coalesce(a.name, b.name) AS field, CASE WHEN a.name IS NULL THEN 'added' WHEN b.name IS NULL THEN 'removed' ELSE 'retyped' END AS change, a.type AS was, b.type AS now
+FROM (FROM t WHERE side = 'o') a FULL OUTER JOIN (FROM t WHERE side = 'n') b ON a.name = b.name WHERE a.name IS NULL OR b.name IS NULL OR a.type <> b.type""")
+def schema_diff_observed(spark, d):
+    """Fields that appear, or change their type, between two states of all records."""
+    c = table(spark, d, "customer")
+    k, acct = F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("string")
+    old = F.concat(F.lit('{"id":'), k, F.lit(',"name":"'), "c_name", F.lit('","acct":'), acct, F.lit(',"seg":"'), "c_mktsegment", F.lit('"}'))
+    name = F.when(F.col("c_acctbal") < 0, F.lit("1")).otherwise(F.concat(F.lit('"'), "c_name", F.lit('"')))
+    new = F.concat(F.lit('{"id":"'), k, F.lit('","name":'), name, F.lit(',"acct":'), acct, F.lit(',"phone":{"n":'), F.col("c_nationkey").cast("string"), F.lit('},"seg":null}'))
+    states = [schemas.observed_types(c.select(state.alias("j")), "j") for state in (old, new)]
+    return schemas.diff_types(*states)
+
+
 FIELDS = "WITH f AS (SELECT DISTINCT unnest(json_keys(props)) AS field FROM events), k(field) AS (VALUES ('old')) "
 
 
