@@ -78,3 +78,9 @@ def test_context_is_read_on_both_sides_and_through_neighbours(make_docs):
 
 def test_empty_table(make_docs):
     assert pii.find_personal_data(make_docs([])).collect() == []
+
+
+def test_repeated_rows_give_repeated_results(make_docs):
+    texts = [(1, "a@b.c 1.2.3.4"), (1, "a@b.c 1.2.3.4"), (1, "+49 89 1234 5678"), (None, "a@b.c 1.2.3.4")]
+    rows = sorted(((r.doc_id or 0, len(r.email), len(r.ip), len(r.phone)) for r in pii.find_personal_data(make_docs(texts)).collect()))
+    assert rows == [(0, 1, 1, 0), (1, 0, 0, 1), (1, 1, 1, 0), (1, 1, 1, 0)]
