@@ -35,6 +35,7 @@ SHINGLE, SEED, RADIUS = 3, 42, 3
 FANOUT = 8
 CHUNK_ROWS = 20_000
 CHUNK_TEXTS = 500
+TEXTS_AT_ONCE = 500
 BROADCAST_ROWS = 400_000
 SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, BOTH_RADIUS = 5, 0.8, 26, 42
 
@@ -214,7 +215,7 @@ def _mixed(hashes: np.ndarray) -> np.ndarray:
 
 def _describe(similarity: float):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(k, TEXTS_AT_ONCE) for whole in batches for k in range(0, whole.num_rows, TEXTS_AT_ONCE)):
             each = [shingle_hashes(t, SIMILAR_SHINGLE) for t in batch.column("text").to_pylist()]
             sets = [np.unique(x) for x in each]
             nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
