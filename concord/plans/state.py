@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import merge, runs
-from ..sources import snapshots
+from ..sources import snapshots, staging
 from .registry import query, table
 
 # The same inputs for both engines: customers as they come in (those in debt do not), and a snapshot that lacks some of them, differs
