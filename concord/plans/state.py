@@ -140,6 +140,33 @@ def sync_counters(spark, d):
     return merge.counters(classified(spark, d))
 
 
+@query(INPUT + """SELECT count(*) AS fetched, count(*) FILTER (WHERE action = 'insert') AS inserted, count(*) FILTER (WHERE action = 'update') AS updated,
+  count(*) FILTER (WHERE action = 'resurrect') AS resurrected, 0::BIGINT AS deleted, count(*) FILTER (WHERE action = 'noop') AS unchanged FROM classified""")
+def observed_counters(spark, d):
+    """The counters of a merge, taken while a bucketed snapshot is written."""
+    held = snapshots.Snapshot(spark, f"snapshot_{uuid.uuid4().hex}", 8, 4)
+    held.create(current(spark, d))
+    counters = held.merge(incoming(spark, d))
+    spark.sql(f"DROP TABLE {held.name}")
+    return spark.createDataFrame([tuple(counters.values())], ", ".join(f"{k} long" for k in counters))
+
+
+@query(CHANGES + """SELECT external_id, CASE o.op WHEN 'UPSERT' THEN o.data WHEN 'DELETE' THEN '{}' ELSE c.data END AS data,
+  CASE WHEN o.op = 'UPSERT' THEN sha256(o.data) ELSE c._raw_hash END AS _raw_hash, CASE o.op WHEN 'UPSERT' THEN false WHEN 'DELETE' THEN true ELSE c._deleted END AS _deleted,
+  CASE WHEN o.op IS NULL THEN NULL WHEN o.op = 'DELETE' THEN CASE WHEN c._deleted THEN 'noop' ELSE 'delete' END WHEN c.here IS NULL THEN 'insert'
+    WHEN c._deleted THEN 'resurrect' WHEN c._raw_hash IS DISTINCT FROM sha256(o.data) THEN 'update' ELSE 'noop' END AS action
+  FROM cur c FULL OUTER JOIN one o USING (external_id) WHERE c.here OR o.op = 'UPSERT'""")
+def bucketed_merge(spark, d):
+    """Changes of orders merged into a bucketed snapshot, with the action of each."""
+    held = snapshots.Snapshot(spark, f"snapshot_{uuid.uuid4().hex}", 8, 4)
+    held.create(current(spark, d))
+    o = table(spark, d, "orders")
+    changes = o.select(F.col("o_custkey").cast("string").alias("external_id"), F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 6 == 0, "DELETE").otherwise("UPSERT").alias("op"), F.col("o_orderstatus").alias("data"), F.sha2("o_orderstatus", 256).alias("_raw_hash"))
+    out = staging.staged(held.merged(merge.first_per_key(changes, "external_id", "seq", ["op", "data", "_raw_hash"])), "merged")
+    spark.sql(f"DROP TABLE {held.name}")
+    return out
+
+
 @query("SELECT event_type AS datatype, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS watermark_value FROM events GROUP BY 1")
 def watermark_max(spark, d):
     e = table(spark, d, "events")
