@@ -229,17 +229,17 @@ def known(value: Column) -> Column:
 
 def kind_of(value: Column) -> Column:
     """number, string, boolean, array or object; null for null."""
-    name = F.schema_of_variant(value)
-    return (
+    # the schema walks all of a value, so it is made once
+    return _let(F.schema_of_variant(value), lambda name: (
         F.when(F.regexp_like(name, F.lit("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")), "number")
         .when(name == "STRING", "string").when(name == "BOOLEAN", "boolean")
         .when(name.startswith("ARRAY"), "array").when(name.startswith("OBJECT"), "object")
-    )
+    ))
 
 
 def items(value: Column) -> Column:
     """The array's elements, null for anything else."""
-    return F.when(kind_of(value) == "array", F.try_variant_get(value, "$", "array<variant>"))
+    return F.try_variant_get(value, "$", "array<variant>")
 
 
 def number(value: Column) -> Column:
@@ -328,7 +328,7 @@ def _length(a: Column) -> Column:
 
 
 def _entries(a: Column) -> Column:
-    return F.when(kind_of(a) == "object", F.try_variant_get(a, "$", "map<string,variant>"))
+    return F.try_variant_get(a, "$", "map<string,variant>")
 
 
 def _same(e: Column) -> Column:

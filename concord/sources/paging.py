@@ -40,9 +40,11 @@ def select_records(payload: Column, expression: str) -> Column:
 
     Null gives none, and anything but an array is a list of one.
     """
-    found = jmespath.search(payload, expression)
-    listed = F.transform(jmespath.items(found), lambda e: jmespath.text(jmespath.known(e)))
-    return F.when(found.isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(listed, F.array(jmespath.text(found))))
+    def listed(found: Column) -> Column:
+        each = F.transform(jmespath.items(found), lambda e: jmespath.text(jmespath.known(e)))
+        return F.when(found.isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(each, F.array(jmespath.text(found))))
+
+    return jmespath._let(jmespath.search(payload, expression), listed)
 
 
 def with_details(stubs: DataFrame, ref: str, details: DataFrame, key: str) -> DataFrame:
