@@ -35,16 +35,12 @@ class Fields:
         return (value & np.uint64((1 << self.width) - 1)).astype(np.int64)
 
 
-def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The place of the rank-th one (from 0) in each word, by halving."""
-    place, rest = np.zeros(len(words), np.uint64), rank.astype(np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = (words >> place) & np.uint64((1 << half) - 1)
-        ones = np.bitwise_count(low).astype(np.int64)
-        above = rest >= ones
-        rest = np.where(above, rest - ones, rest)
-        place = place + np.where(above, np.uint64(half), np.uint64(0))
-    return place.astype(np.int64)
+#: The place of the rank-th one (from 0) in each byte.
+SELECT = np.argsort(1 - np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"), axis=1, kind="stable").ravel()
+
+
+def _select(bytes_: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return SELECT[(bytes_.astype(np.int64) << 3) + rank]
 
 
 class Monotone:
@@ -53,9 +49,10 @@ class Monotone:
     def __init__(self, words: dict[str, np.ndarray], size: int, width: int, top: int):
         self.size, self.width, self.top = size, width, top
         self.low, self.high = Fields(words["low"], width), words["high"]
-        ones = np.cumsum(np.bitwise_count(self.high), dtype=np.int64)
-        self.ones = np.concatenate([[0], ones[:-1]])  # before each word
-        self.zeros = 64 * np.arange(len(self.high), dtype=np.int64) - self.ones
+        self.bytes = self.high.view(np.uint8)
+        ones = np.cumsum(np.bitwise_count(self.bytes), dtype=np.int64)
+        self.ones = np.concatenate([[0], ones[:-1]])  # before each byte
+        self.zeros = 8 * np.arange(len(self.bytes), dtype=np.int64) - self.ones
 
     @staticmethod
     def packed(values: np.ndarray) -> tuple[dict[str, np.ndarray], dict[str, int]]:
@@ -68,15 +65,15 @@ class Monotone:
         return {"low": Fields.packed(values & ((1 << width) - 1), width), "high": high}, {"size": n, "width": width, "top": top}
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        word = np.searchsorted(self.ones, at, "right") - 1
-        place = 64 * word + _select(self.high[word], at - self.ones[word])
+        byte = np.searchsorted(self.ones, at, "right") - 1
+        place = 8 * byte + _select(self.bytes[byte], at - self.ones[byte])
         return ((place - at) << self.width) | self.low[at]
 
     def _up_to(self, bucket: np.ndarray) -> np.ndarray:
         """How many numbers have high bits of at most ``bucket``."""
         inside = np.clip(bucket, 0, self.top)
-        word = np.searchsorted(self.zeros, inside, "right") - 1
-        place = 64 * word + _select(~self.high[word], inside - self.zeros[word])
+        byte = np.searchsorted(self.zeros, inside, "right") - 1
+        place = 8 * byte + _select(~self.bytes[byte], inside - self.zeros[byte])
         return np.where(bucket < 0, 0, np.where(bucket > self.top, self.size, place - inside))
 
     def _run(self, place: np.ndarray, bucket: np.ndarray) -> np.ndarray:
@@ -96,14 +93,18 @@ class Monotone:
         last = first + self._run(np.clip(first + bucket, 0, 64 * len(self.high) - 1), bucket)
         if begin is not None:
             first, last = np.clip(first, begin, end), np.clip(last, begin, end)
-        place, stop = first.copy(), last.copy()
-        while len(open_ := np.flatnonzero(place < stop)):
-            middle = (place[open_] + stop[open_]) >> 1
-            less = self.low[middle] < low[open_]
-            place[open_] = np.where(less, middle + 1, place[open_])
-            stop[open_] = np.where(less, stop[open_], middle)
-        found = place < last
-        found[found] = self.low[place[found]] == low[found]
+        place, found = last.copy(), np.zeros(len(first), bool)
+        open_ = np.flatnonzero(first < last)
+        left, right, low = first[open_], last[open_], low[open_]
+        equal = np.zeros(len(open_), bool)  # whether the number at ``right`` is the target's
+        while len(open_):
+            middle = (left + right) >> 1
+            number = self.low[middle]
+            less = number < low
+            left, right, equal = np.where(less, middle + 1, left), np.where(less, right, middle), np.where(less, equal, number == low)
+            done, more = left >= right, left < right
+            place[open_[done]], found[open_[done]] = right[done], equal[done]
+            open_, left, right, low, equal = (x[more] for x in (open_, left, right, low, equal))
         return place, found
 
 

@@ -1,6 +1,14 @@
-"""A language model in Elias-Fano tries, and the scores of texts under it.
+"""Language models in Elias-Fano tries, and the scores of texts under them.
 
-The model is of order two: the probability of a token after a word is its discounted share of the word's successors, plus what the
+``learned_scores`` learns a model of order three from some rows of a table and scores all of them. With counts c, the probability
+of a token w after words u, v is (c(uvw) + m3 p(w|v)) / (c(uv) + m3), and p(w|v) is (c(vw) + m2 p(w)) / (c(v) + m2), where p(w) is the
+token's share of all tokens (a hierarchical Dirichlet model). The trie of a shard has v on its first level, pairs on its second (the
+successors of v, and the words before it) and trigrams on its third. On the third level a successor is not numbered as a word but by
+its place among the successors of v, so its numbers are as small as v has few (context-based numbering of words). A trigram is where
+its pair (v, w) is, as is the weight m3 / (c(vw) + m3) of the context that (v, w) is for the next token: a token's logarithm is the sum
+of what two shards know, and one exchange of the tokens serves to learn and to score.
+
+``fit`` and ``score`` keep a model of order two and apply it to any table: the probability of a token after a word is its discounted share of the word's successors, plus what the
 discount left over times the token's share of all tokens. A trie has the contexts (words) on its first level, with their
 left-over weights and counts and with monotone pointers to the second level, the successors of each context. Both levels are
 monotone sequences in Elias-Fano form with probabilities quantised to twelve bits, rounded down so that they never
@@ -15,6 +23,7 @@ file that a task maps into memory.
 
 from __future__ import annotations
 
+import itertools
 import os
 import struct
 import tempfile
@@ -172,14 +181,32 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return contexts, np.repeat(np.arange(m), times), word, extra
 
 
+def pack3(context: np.ndarray, word: np.ndarray, before: np.ndarray, extra: np.ndarray) -> bytes:
+    """As ``pack``, with the words before the contexts."""
+    rare = before >= RARE
+    body = pa.compress(_planes(np.where(rare, RARE >> 40, before), 4) + _planes(before[rare], 8), "zstd", asbytes=True)
+    return struct.pack("<2I", len(body), int(rare.sum())) + body + pack(context, word, extra)
+
+
+def unpack3(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What ``unpack`` gives, and the words before."""
+    size, r = struct.unpack_from("<2I", blob)
+    contexts, of, word, extra = unpack(blob[8 + size :])
+    body = pa.decompress(blob[8 : 8 + size], 4 * len(word) + 8 * r, "zstd", asbytes=True)
+    before = _unplaned(body[: 4 * len(word)], len(word), 4)
+    before[before == RARE >> 40] = _unplaned(body[4 * len(word) :], r, 8)
+    return contexts, of, word, extra, before
+
+
 @dataclass
-class _Bigrams:
-    """All tokens of a group of pieces, ends included: their texts' numbers, and contexts and tokens as places in sorted ``codes``."""
+class _Ngrams:
+    """All tokens of a group of pieces, ends included: their texts' numbers, and tokens, contexts and the words before as places in sorted ``codes``."""
 
     doc: np.ndarray
     context: np.ndarray
     token: np.ndarray
     codes: np.ndarray
+    before: np.ndarray | None = None
 
     def dealt(self, vocabulary: Vocabulary) -> np.ndarray:
         """The shard of each."""
@@ -194,11 +221,11 @@ class _Bigrams:
         return self.context * len(self.codes) + self.token
 
 
-def _bigrams(group, last: dict[int, int], vocabulary: Vocabulary) -> _Bigrams:
-    """``last`` carries the last word of a text over a cut."""
+def _ngrams(group, last: dict[int, tuple[int, int]], vocabulary: Vocabulary) -> _Ngrams:
+    """``last`` carries the last two words of a text over a cut."""
     owner, word, distinct = _tokens([p for _, p, _ in group])
     named = vocabulary.of(distinct)
-    codes = np.unique(np.concatenate([named, np.array([END, BEGIN, *(last[i] for i, _, _ in group if i in last)], np.int64)]))
+    codes = np.unique(np.concatenate([named, np.array([END, BEGIN, *(c for i, _, _ in group if i in last for c in last[i])], np.int64)]))
     end, begin = np.searchsorted(codes, [END, BEGIN])
     doc = np.array([i for i, _, _ in group], np.int64)
     n = np.bincount(owner, minlength=len(group))
@@ -209,12 +236,22 @@ def _bigrams(group, last: dict[int, int], vocabulary: Vocabulary) -> _Bigrams:
     token[np.arange(len(word)) + np.repeat(start - (np.cumsum(n) - n), n)] = np.searchsorted(codes, named)[word]
     context = np.empty_like(token)
     context[1:] = token[:-1]
-    for k, (i, _, _) in enumerate(group):  # the first context of a piece is the text's beginning, or its last word before the cut
+    before = np.empty_like(token)
+    held = {}
+    for k, (i, _, _) in enumerate(group):  # what stands before a piece is the text's beginning, or its last words before the cut
         if size[k]:
-            context[start[k]] = np.searchsorted(codes, last[i]) if i in last else begin
+            held[start[k]], context[start[k]] = np.searchsorted(codes, last[i]) if i in last else (begin, begin)
             if not ends[k]:
-                last[i] = int(codes[token[start[k] + size[k] - 1]])
-    return _Bigrams(np.repeat(doc, size), context, token, codes)
+                z = start[k] + size[k] - 1
+                last[i] = (int(codes[context[z]]), int(codes[token[z]]))
+    before[1:] = context[:-1]
+    before[list(held)] = list(held.values())
+    return _Ngrams(np.repeat(doc, size), context, token, codes, before)
+
+
+def _order(shard: np.ndarray) -> np.ndarray:
+    """Rows by shard; numpy sorts numbers of 16 bits fastest."""
+    return np.argsort(shard.astype(np.min_scalar_type(int(shard.max(initial=0)))), kind="stable")
 
 
 def _by_shard(shard: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -228,13 +265,13 @@ def _count_bigrams(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch in batches:
-            last: dict[int, int] = {}
+            last: dict[int, tuple[int, int]] = {}
             for group in _pieces(batch.column("text")):
-                all_ = _bigrams(group, last, vocabulary)
+                all_ = _ngrams(group, last, vocabulary)
                 keys, times = np.unique(all_.keys(), return_counts=True)
-                one = _Bigrams(keys, *np.divmod(keys, len(all_.codes)), all_.codes)
+                one = _Ngrams(keys, *np.divmod(keys, len(all_.codes)), all_.codes)
                 shard, context, token = one.dealt(vocabulary), one.codes[one.context], one.codes[one.token]
-                rows = [(s, pack(context[at], token[at], times[at])) for s, at in _by_shard(shard, np.argsort(shard, kind="stable"))]
+                rows = [(s, pack(context[at], token[at], times[at])) for s, at in _by_shard(shard, _order(shard))]
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([s for s, _ in rows], pa.int64()), "bigrams": [b for _, b in rows]})
 
     return count
@@ -334,17 +371,23 @@ class Trie:
         rest = np.where(wide > 0, wide, rest)
         p = rest[of] * lower
         if self.levels:
-            distinct, back = np.unique(words, return_inverse=True)
-            nr, seen = self.levels["words"].successor(distinct)
-            ask = np.flatnonzero(known[of] & seen[back])
-            pointers, where = self.levels["pointers"], at[of[ask]]
-            begin, end = pointers[at[known]], pointers[at[known] + 1]
-            place_of = np.cumsum(known) - 1
-            target = where * self.levels["words"].size + nr[back[ask]]
-            place, found = self.levels["successors"].successor(target, begin[place_of[of[ask]]], end[place_of[of[ask]]])
-            p[ask[found]] += value(self.levels["share"][place[found]])
+            place, found = self._successors(at, known, of, words)
+            p[found] += value(self.levels["share"][place[found]])
         return p
 
+    def _successors(self, at: np.ndarray, known: np.ndarray, of: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word stands on the second level behind the context at[of] of the first, and whether it does."""
+        place, found = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        distinct, back = np.unique(words, return_inverse=True)
+        nr, seen = self.levels["words"].successor(distinct)
+        ask = np.flatnonzero(known[of] & seen[back])
+        pointers, where = self.levels["pointers"], at[of[ask]]
+        begin, end = pointers[at[known]], pointers[at[known] + 1]
+        place_of = np.cumsum(known) - 1
+        target = where * self.levels["words"].size + nr[back[ask]]
+        place[ask], found[ask] = self.levels["successors"].successor(target, begin[place_of[of[ask]]], end[place_of[of[ask]]])
+        return place, found
+
 
 @dataclass
 class Model:
@@ -352,16 +395,9 @@ class Model:
     tries: DataFrame  # shard, trie, wide, degree
 
 
-def fit(docs: DataFrame, frequent: int = FREQUENT, shard_tokens: int = SHARD_TOKENS) -> Model:
-    """Learn from the texts of all rows of ``docs``; null texts are empty, repeated rows count each, other columns are ignored.
-
-    Words are runs of all but space and \\t to \\r with A-Z lower-cased, told apart by 64-bit hashes. Ties among frequent words go by hash.
-    An empty table gives a model for which every token has probability one.
-    """
-    spark = docs.sparkSession
+def _vocabulary(texts: DataFrame, frequent: int, shard_tokens: int) -> Vocabulary:
     if not 0 <= frequent < END:
         raise ValueError("at most 2^20 - 1 words can be frequent")
-    texts = docs.select(F.col("text").cast("binary").alias("text"))
     n_docs = texts.count()
     words = staged(texts.mapInArrow(_count_words, "word long, count long").groupBy("word").agg(F.sum("count").alias("count")), "word-counts")
     size = F.floor(8 * F.log2("count")).cast("int")
@@ -382,35 +418,50 @@ def fit(docs: DataFrame, frequent: int = FREQUENT, shard_tokens: int = SHARD_TOK
     by_code[[END, BEGIN]] = n_docs
     n_words, n_distinct = sum(r["count"] for r in sizes), sum(r.n for r in sizes)
     shards = max(1, -(-(n_words + n_docs) // shard_tokens))
-    vocabulary = Vocabulary(n_docs, n_words, n_distinct, hashes[by_hash], codes[by_hash], by_code, shards, shard_tokens, np.zeros(BEGIN + 1))
+    return Vocabulary(n_docs, n_words, n_distinct, hashes[by_hash], codes[by_hash], by_code, shards, shard_tokens, np.zeros(BEGIN + 1))
+
+
+def fit(docs: DataFrame, frequent: int = FREQUENT, shard_tokens: int = SHARD_TOKENS) -> Model:
+    """Learn a model of order two from the texts of all rows of ``docs``; null texts are empty, repeated rows count each, other columns are ignored.
+
+    Words are runs of all but space and \\t to \\r with A-Z lower-cased, told apart by 64-bit hashes. Ties among frequent words go by hash.
+    An empty table gives a model for which every token has probability one.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col("text").cast("binary").alias("text"))
+    vocabulary = _vocabulary(texts, frequent, shard_tokens)
     shared = spark.sparkContext.broadcast(vocabulary)
-    counted = texts.mapInArrow(_count_bigrams(shared), "shard long, bigrams binary").repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
+    counted = texts.mapInArrow(_count_bigrams(shared), "shard long, bigrams binary").repartitionById(vocabulary.shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
     tries = staged(counted.mapInArrow(_build(shared), "shard long, trie binary, wide array<long>, degree array<long>"), "tries")
     zipped = tries.select(F.explode(F.arrays_zip("wide", "degree")).alias("x")).groupBy(F.col("x.wide").alias("wide")).agg(F.sum("x.degree").alias("degree"))
     for row in zipped.collect():  # frequent words at most
-        vocabulary.rest[row.wide] = value(level(np.array([DISCOUNT * row.degree / by_code[row.wide]])))[0]
+        vocabulary.rest[row.wide] = value(level(np.array([DISCOUNT * row.degree / vocabulary.counts[row.wide]])))[0]
     return Model(vocabulary, tries)
 
 
-TEXTS, BIGRAMS, WORDS = 1, 2, 3
+TEXTS, BIGRAMS, WORDS, TRIGRAMS = 1, 2, 3, 4
 TOGETHER = 100_000  # queries that are answered at once
 PARTS = "batch long, kind int, block binary"
 
 
 def _ask(shared):
-    """Blocks of queries for the shards, and one row per batch with what is known about its texts already."""
+    """Blocks of queries for the shards, and one row per batch with what is known about its texts already.
+
+    Where rows say whether they are learned from, queries are trigrams that tell so.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         task = TaskContext.get().partitionId() << 32
         for nr, batch in enumerate(batches):
             n = batch.num_rows
+            learned = batch.column("learned").to_numpy(zero_copy_only=False).astype(np.int64) if "learned" in batch.schema.names else None
             tokens, known, base = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n)
-            last: dict[int, int] = {}
+            last: dict[int, tuple[int, int]] = {}
             for group in _pieces(batch.column("text")):
-                all_ = _bigrams(group, last, vocabulary)
-                order = np.argsort(all_.keys(), kind="stable")
-                all_ = _Bigrams(all_.doc[order], all_.context[order], all_.token[order], all_.codes)
+                all_ = _ngrams(group, last, vocabulary)
+                order = np.argsort(all_.keys())
+                all_ = _Ngrams(all_.doc[order], all_.context[order], all_.token[order], all_.codes, all_.before[order])
                 doc, token = all_.doc, all_.codes[all_.token]
                 tokens += np.bincount(doc, minlength=n)
                 frequent = token < RARE
@@ -419,8 +470,12 @@ def _ask(shared):
                 base += np.bincount(doc[frequent], np.log10((count + 1) / vocabulary.base), minlength=n)
                 rows = []
                 shard = all_.dealt(vocabulary)
-                for s, at in _by_shard(shard, np.argsort(shard, kind="stable")):
-                    rows.append((s, BIGRAMS, pack(all_.codes[all_.context[at]], token[at], doc[at])))
+                for s, at in _by_shard(shard, _order(shard)):
+                    context = all_.codes[all_.context[at]]
+                    if learned is None:
+                        rows.append((s, BIGRAMS, pack(context, token[at], doc[at])))
+                    else:
+                        rows.append((s, TRIGRAMS, pack3(context, token[at], all_.codes[all_.before[at]], 2 * doc[at] + learned[doc[at]])))
                 doc, token = doc[~frequent], token[~frequent]
                 shard = _mixed(token) % vocabulary.shards  # where a rare word is a context, undivided
                 for s, at in _by_shard(shard, np.lexsort((token, shard))):
@@ -485,7 +540,7 @@ def _answer(shared):
                     asked.append((nr, kind, unpack(block)))
                     size += len(asked[-1][2][3])
             out += _answered(trie, asked, vocabulary)
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["batch", "kind", "block"])
+            yield _told(out)
 
     return answer
 
@@ -510,7 +565,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             doc = np.frombuffer(block, "<u4", n, 4)
             values = np.frombuffer(block, "<f8", -1, 4 + 4 * n).reshape(-1, n)
-            if kind == BIGRAMS:
+            if kind in (BIGRAMS, TRIGRAMS):
                 held[3][doc] += values[0]
             else:
                 held[2][doc] += values[0]
@@ -535,3 +590,205 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     met = tries.unionByName(asked).repartitionById(model.vocabulary.shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "kind")
     answers = staged(met.mapInArrow(_answer(shared), PARTS), "answers")
     return answers.repartition("batch").sortWithinPartitions("batch", "kind").mapInArrow(_gather, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+
+
+PRIOR2, PRIOR3 = 1000, 10  # m2, m3: so many tokens weighs what the shorter context says
+FINE, COARSE = 64, 16  # steps of counts of pairs and of trigrams, for each doubling
+
+
+def _steps(counts: np.ndarray, fine: int) -> tuple[np.ndarray, int]:
+    """Counts in steps of their logarithm, rounded down, and the bits that they need; they come back by ``_times``."""
+    steps = np.floor(np.log2(counts) * fine + 1e-9).astype(np.int64)
+    return steps, int(steps.max(initial=0)).bit_length()
+
+
+def _times(steps: np.ndarray, fine: int) -> np.ndarray:
+    return 2.0 ** (steps / fine)
+
+
+def _distinct(context: np.ndarray, word: np.ndarray, before: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct trigrams by context, word and the word before, with their summed counts."""
+    order = np.lexsort((before, word, context))
+    context, word, before = context[order], word[order], before[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1]) | (before[1:] != before[:-1])
+    first = np.flatnonzero(new)
+    return context[first], word[first], before[first], np.add.reduceat(times[order], first) if len(first) else times
+
+
+def trigram_trie(context: np.ndarray, word: np.ndarray, before: np.ndarray, times: np.ndarray) -> bytes:
+    """The trie of sorted distinct trigrams (``before``, ``context``, ``word``)."""
+    new = np.ones(len(context), bool)
+    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
+    pair = np.flatnonzero(new)
+    first = np.flatnonzero(np.diff(context[pair], prepend=-1))
+    contexts, degree = context[pair][first], np.diff(np.append(first, len(pair)))
+    nr = np.repeat(np.arange(len(contexts)), degree)  # of a pair's context
+    pair_times = np.add.reduceat(times, pair)
+    count = np.add.reduceat(pair_times, first)
+    rare_count = np.where(contexts < RARE, 0, count)
+    words = np.unique(word)
+
+    third = np.flatnonzero(context != BEGIN)  # behind a text's beginning nothing more is known
+    pair_of = (np.cumsum(new) - 1)[third]
+    befores = np.unique(before[third])
+    key = nr[pair_of] * len(befores) + np.searchsorted(befores, before[third])
+    order = np.argsort(key, kind="stable")
+    key, rank = key[order], (np.arange(len(pair)) - np.repeat(first, degree))[pair_of[order]]
+    head = np.flatnonzero(np.diff(key, prepend=-1))
+    predecessors = key[head]
+    of = predecessors // max(len(befores), 1)
+    many = np.bincount(of, minlength=len(contexts))  # words before each context
+    places, bases = (np.concatenate([[0], np.cumsum(x)]) for x in (many, many * degree))
+    base = bases[of] + (np.arange(len(of)) - places[of]) * degree[of]
+    pair_steps, pair_bits = _steps(pair_times, FINE)
+    steps, bits = _steps(times[third][order], COARSE)
+    return elias_fano.to_bytes(
+        {
+            "contexts": contexts, "words": words, "befores": befores,
+            "pointers": np.append(first, len(pair)), "successors": nr * len(words) + np.searchsorted(words, word[pair]),
+            "places": places, "bases": bases, "predecessors": predecessors,
+            "ranges": np.append(head, len(key)), "trigrams": np.repeat(base, np.diff(np.append(head, len(key)))) + rank,
+        },
+        {"pair_times": (pair_steps, pair_bits), "times": (steps, bits), "count": (rare_count, int(rare_count.max()).bit_length())},
+    )
+
+
+class TrigramTrie(Trie):
+    def logarithms(self, contexts: np.ndarray, of: np.ndarray, words: np.ndarray, pair: np.ndarray, before: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+        """Of distinct pairs (contexts[of], words) the weight of what is known about their words alone, as a context; and of each
+        trigram of a word ``before`` and a ``pair`` its probability over the weight of its own context. Both as log10."""
+        count = np.zeros(len(contexts))
+        frequent = contexts < RARE
+        count[frequent] = vocabulary.counts[contexts[frequent]]
+        times, more = np.zeros(len(words)), np.zeros(len(pair))
+        if self.levels:
+            at, known = self.levels["contexts"].successor(contexts)
+            rare = known & ~frequent
+            count[rare] = self.levels["count"][at[rare]]
+            place, found = self._successors(at, known, of, words)
+            times[found] = _times(self.levels["pair_times"][place[found]], FINE)
+            ask = np.flatnonzero((found & (contexts[of] != BEGIN))[pair])
+            more[ask] = self._trigrams(at[of], place, pair[ask], before[ask])
+        p = PRIOR2 / (count + PRIOR2)
+        p = p[of] * (times / PRIOR2 + vocabulary.shared(words))
+        upper = np.where(words == END, 0, times * 2 ** (1 / FINE))  # nothing follows an end
+        return np.log10(PRIOR3 / (upper + PRIOR3)), np.log10(more / PRIOR3 + p[pair])
+
+    def _trigrams(self, at: np.ndarray, place: np.ndarray, pair: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """How often each pair, whose context stands ``at`` and whose word at ``place``, has followed the word ``before``."""
+        out = np.zeros(len(pair))
+        distinct, back = np.unique(before, return_inverse=True)
+        nr, seen = self.levels["befores"].successor(distinct)
+        ask = np.flatnonzero(seen[back])
+        target = at[pair[ask]] * self.levels["befores"].size + nr[back[ask]]
+        order = np.argsort(target)  # what is sorted is found with fewer steps through memory
+        ask = ask[order]
+        predecessor, met = self.levels["predecessors"].successor(target[order])
+        ask, predecessor = ask[met], predecessor[met]
+        contexts, of = np.unique(at[pair[ask]], return_inverse=True)
+        pointers, places, bases = (self.levels[x][contexts] for x in ("pointers", "places", "bases"))
+        degree = self.levels["pointers"][contexts + 1] - pointers
+        rank = place[pair[ask]] - pointers[of]
+        ranges = self.levels["ranges"]
+        target = bases[of] + (predecessor - places[of]) * degree[of] + rank
+        found_at, found = self.levels["trigrams"].successor(target, ranges[predecessor], ranges[predecessor + 1])
+        out[ask[found]] = _times(self.levels["times"][found_at[found]], COARSE)
+        return out
+
+
+def _answered3(trie: TrigramTrie, asked: list[tuple], vocabulary: Vocabulary) -> Iterator[tuple[int, int, bytes]]:
+    """The sums of many blocks of one shard, whose trigrams are put together."""
+    blocks = [(nr, unpack3(block)) for nr, kind, block in asked if kind == TRIGRAMS]
+    if blocks:
+        begins = np.cumsum([0, *(len(x[0]) for _, x in blocks)])
+        contexts, words, before = (np.concatenate([x[k] for _, x in blocks]) for k in (0, 2, 4))
+        contexts, of = np.unique(contexts, return_inverse=True)
+        of = np.concatenate([of[begin:][x[1]] for (_, x), begin in zip(blocks, begins)])
+        words, word = np.unique(words, return_inverse=True)
+        key = of * len(words) + word
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))  # each pair once, in the order of the trie
+        pair = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
+        of, word = np.divmod(key[first], len(words))
+        weight, sorted_ = trie.logarithms(contexts, of, words[word], pair, before[order], vocabulary)
+        found = np.empty(len(order))
+        found[order] = sorted_ + weight[pair]
+        ends = np.cumsum([len(x[1]) for _, x in blocks])
+        for (nr, x), end in zip(blocks, ends):
+            yield nr, TRIGRAMS, _sums(x[3] >> 1, found[end - len(x[1]) : end])
+    for nr, kind, block in asked:
+        if kind == WORDS:
+            contexts, of, _, doc = unpack(block)
+            count = trie.counts(contexts)[of]
+            yield nr, kind, _sums(doc, np.log10((count + 1) / vocabulary.base), count > 0)
+
+
+def _learned(blocks: list[bytes], so_far: list[tuple]) -> list[tuple]:
+    """Distinct trigrams of the texts that are learned from."""
+    parts = list(so_far)
+    for contexts, of, word, extra, before in map(unpack3, blocks):
+        keep = np.flatnonzero(extra & 1)
+        parts.append((contexts[of[keep]], word[keep], before[keep], np.ones(len(keep), np.int64)))
+    return [_distinct(*(np.concatenate(x) for x in zip(*parts)))] if parts else []
+
+
+def _learn_and_answer(shared, rows_at_once: int = 2 * SHARD_TOKENS):
+    """A shard's trie is made from its blocks, which wait in a file of the task and are answered from the trie then."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        rows = (r for batch in batches for r in zip(*(batch.column(c) for c in ("shard", "batch", "kind", "block"))))
+        for _, of_shard in itertools.groupby(rows, lambda r: r[0].as_py()):
+            with tempfile.TemporaryFile() as waiting:
+                out, index, blocks, learned, size = [], [], [], [], 0
+                for _, nr, kind, block in of_shard:
+                    nr, kind, block = nr.as_py(), kind.as_py(), block.as_py()
+                    if kind == TEXTS:
+                        out.append((nr, kind, block))
+                        continue
+                    n = 0
+                    waiting.write(block)
+                    if kind == TRIGRAMS:
+                        n = struct.unpack_from("<3I", block, 8 + struct.unpack_from("<I", block)[0])[1]
+                        blocks.append(block)
+                        size += n
+                        if size > rows_at_once:
+                            learned = _learned(blocks, learned)
+                            blocks, size = [], 0
+                    index.append((nr, kind, len(block), n))
+                learned = _learned(blocks, learned)
+                trie = TrigramTrie(trigram_trie(*learned[0]) if learned and len(learned[0][0]) else None)
+                del blocks, learned
+                yield _told(out)
+                waiting.seek(0)
+                asked, size = [], 0
+                for k, (nr, kind, length, n) in enumerate(index):
+                    asked.append((nr, kind, waiting.read(length)))
+                    size += n
+                    if size > 2 * TOGETHER or k == len(index) - 1:
+                        yield _told(list(_answered3(trie, asked, vocabulary)))
+                        asked, size = [], 0
+
+    return answer
+
+
+def _told(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary())], names=["batch", "kind", "block"])
+
+
+def learned_scores(docs: DataFrame, learned: Column, frequent: int = FREQUENT, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """What ``score`` gives of all rows of ``docs``, and train_tokens, under a model of order three of those rows that are ``learned`` from.
+
+    Rows for which ``learned`` is null are not learned from. What is said of ``fit`` and ``score`` about texts, repeated rows and ids holds here.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), F.coalesce(learned, F.lit(False)).alias("learned"))
+    vocabulary = _vocabulary(texts.where("learned").select("text"), frequent, shard_tokens)
+    vocabulary.rest = None
+    shared = spark.sparkContext.broadcast(vocabulary)
+    asked = texts.mapInArrow(_ask(shared), f"shard long, {PARTS}").repartitionById(vocabulary.shards, F.col("shard").cast("int")).sortWithinPartitions("shard")
+    answers = staged(asked.mapInArrow(_learn_and_answer(shared), PARTS), "answers")
+    told = answers.repartition("batch").sortWithinPartitions("batch", "kind").mapInArrow(_gather, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return told.withColumn("train_tokens", F.lit(vocabulary.n_tokens).cast("long"))

@@ -133,9 +133,8 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    model = language_model.fit(docs.where(~language_model.held_out()))
-    scored = language_model.score(docs, model)
-    return scored.select("doc_id", language_model.held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.vocabulary.n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    scored = language_model.learned_scores(docs, ~language_model.held_out())
+    return scored.select("doc_id", language_model.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:

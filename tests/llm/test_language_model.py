@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from concord.llm import elias_fano, language_model, registry
 
@@ -133,3 +134,82 @@ def test_monotone_sequences(top, tmp_path):
         place, found = made["s"].successor(target, begin, end)
         wanted = np.clip(np.searchsorted(values, target), begin, end)
         assert np.array_equal(place, wanted) and np.array_equal(found, (wanted < end) & (values[np.minimum(wanted, max(n - 1, 0))] == target) if n else found)
+
+
+class Trigrams(Plain):
+    """The model of order three by its definition; counts are quantised as in the trie."""
+
+    def __init__(self, texts, frequent):
+        super().__init__(texts, frequent)
+        self.triple = Counter()
+        for t in map(tokens, texts):
+            self.triple.update(zip([b"", b"", *t], [b"", *t], t))
+
+    @staticmethod
+    def steps(n, fine):
+        return 2 ** (math.floor(math.log2(n) * fine + 1e-9) / fine) if n else 0
+
+    def probability(self, u, v, w):
+        """v is b"" at the beginning of a text, which has no words before it."""
+        lower = self.c[w] / (self.n + 1) if self.c[w] and (w is None or w in self.frequent) else self.rare
+        p = (self.steps(self.pair[v, w], 64) + language_model.PRIOR2 * lower) / (self.context[v] + language_model.PRIOR2)
+        if v == b"":
+            return p
+        context = self.steps(self.pair[u, v], 64) * 2 ** (1 / 64)
+        return (self.steps(self.triple[u, v, w], 16) + language_model.PRIOR3 * p) / (context + language_model.PRIOR3)
+
+    def scores(self, text):
+        t = tokens(text)
+        return *super().scores(text)[:3], sum(math.log10(self.probability(*x)) for x in zip([b"", b"", *t], [b"", *t], t))
+
+
+def test_query_is_of_order_three(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    rows = registry.op11_language_model(spark, "/root/testdata/sf0.01").collect()
+    plain = Trigrams([t for i, t in docs if not out(i)], language_model.FREQUENT)
+    held(rows, docs, plain)
+    assert all(r.held_out == out(r.doc_id) and r.train_tokens == plain.n for r in rows)
+    unseen = [r for r in rows if r.held_out]
+    assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
+
+
+@pytest.mark.parametrize(("frequent", "shard_tokens", "piece"), [(0, 500, 64), (20, 100, 1 << 20), (1000, 300, 200), (1000, 100_000, 8 << 20)])
+def test_trigrams_of_shards_and_cut_texts(spark, make_docs, monkeypatch, frequent, shard_tokens, piece):
+    monkeypatch.setattr(language_model, "PIECE", piece)
+    rnd = random.Random(5)
+    words = [f"w{int(rnd.paretovariate(0.7))}" for _ in range(400)]
+    docs = [(i, " ".join(rnd.choice(words).upper() if rnd.random() < 0.1 else rnd.choice(words) for _ in range(rnd.randint(0, 120)))) for i in range(80)]
+    scored = language_model.learned_scores(make_docs(docs, clash=True).repartition(3), F.when(F.col("doc_id") % 5 > 0, True), frequent, shard_tokens)
+    held(scored.collect(), docs, Trigrams([t for i, t in docs if i % 5], frequent))
+
+
+def test_trigrams_of_nulls_repeats_and_long_texts(spark, make_docs, edge_pairs):
+    pairs = [*edge_pairs, (20, " \t\x0b "), (21, "a\x0cb\x1cc d Ä ä A"), (22, "the " * 200_000), (None, None)]
+    new = [(30, "never seen before"), (31, "one end b c d the the")]
+    scored = language_model.learned_scores(make_docs([*pairs, *new]), ~F.coalesce(F.col("doc_id"), F.lit(0)).isin(30, 31), shard_tokens=50_000)
+    held(scored.collect(), [*pairs, *new], Trigrams([t for _, t in pairs], language_model.FREQUENT))
+
+
+def test_trigrams_of_empty_tables(spark, make_docs):
+    assert language_model.learned_scores(make_docs([]), F.lit(True)).collect() == []
+    rows = language_model.learned_scores(make_docs([(1, "a b"), (2, None)]), F.lit(False)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in rows) == [(1, 3, 0, 0.0, 0.0), (2, 1, 0, 0.0, 0.0)]
+    rows = language_model.learned_scores(make_docs([(1, ""), (2, "a")]), F.col("doc_id") == 1).collect()
+    held(rows, [(1, ""), (2, "a")], Trigrams([""], language_model.FREQUENT))
+
+
+def test_trigram_probabilities_sum_to_one_at_most():
+    model = Trigrams(["a b c a b a d", "b c e", "a b c c"] * 20, 1000)
+    for u, v in {p for p in model.pair if p[1] is not None}:
+        assert 0.9 < sum(model.probability(u, v, w) for w in [*model.c, b"new"]) <= 1 + 1e-9
+
+
+def test_trigrams_summed_in_parts():
+    rnd = np.random.default_rng(3)
+    rows = np.sort(rnd.integers(0, 9, 5000))
+    word, before, learned = rnd.integers(0, 9, 5000), rnd.integers(0, 9, 5000), rnd.integers(0, 2, 5000)
+    blocks = [language_model.pack3(rows[a : a + 500], word[a : a + 500], before[a : a + 500], learned[a : a + 500]) for a in range(0, 5000, 500)]
+    whole = language_model._learned(blocks, [])[0]
+    parts = language_model._learned(blocks[3:], language_model._learned(blocks[:3], []))[0]
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
+    assert Counter(zip(*(x[learned == 1].tolist() for x in (rows, word, before)))) == {(a, b, c): n for a, b, c, n in zip(*(x.tolist() for x in whole))}
