@@ -246,15 +246,16 @@ def levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
     edges: (id, parent). Every round takes the edges to rows just settled out of the open ones and settles the rows that
     have none left, until none is left or none can be settled, so there are as many rounds as the longest chain has rows.
-    Both tables are written to the shared folder, so a round costs what is still open.
+    Both tables are written to the shared folder, so a round costs what is still open. Rows are dealt by id before repeated ones are
+    dropped: a task that did so over a part of a file would hold all of it.
     """
-    waiting = staged(edges.select("id", "parent").distinct(), "open-edges")
-    fresh = staged(nodes.select("id").distinct().join(waiting.select("id").distinct(), "id", "left_anti"), "level-0")
+    waiting = staged(edges.select("id", "parent").repartition("id").distinct(), "open-edges")
+    fresh = staged(nodes.select("id").repartition("id").join(waiting.select("id"), "id", "left_anti").distinct(), "level-0")
     settled, level = [fresh.withColumn("level", F.lit(0))], 0
     while not fresh.isEmpty():
         level += 1
         still = staged(waiting.join(fresh.select(F.col("id").alias("parent")), "parent", "left_anti").select("id", "parent"), "open-edges")
-        fresh = staged(waiting.select("id").distinct().join(still.select("id").distinct(), "id", "left_anti"), "level")
+        fresh = staged(waiting.select("id").repartition("id").join(still.select("id"), "id", "left_anti").distinct(), "level")
         settled.append(fresh.withColumn("level", F.lit(level)))
         waiting = still
         if len(settled) == 32:  # a long union makes a slow plan
@@ -278,7 +279,7 @@ def write_order(rows: DataFrame, key: str, group: str, parents: list[str]) -> Da
     grouped = rows.where(F.col(group).isNotNull())
     node = F.struct(F.col(group).alias("g"), F.col(key).alias("k"))
     named = [grouped.where(F.col(p).isNotNull() & (F.col(p) != F.col(key))).select(node.alias("id"), F.struct(F.col(group).alias("g"), F.col(p).alias("k")).alias("parent")) for p in parents]
-    nodes = grouped.select(node.alias("id")).distinct()
+    nodes = grouped.select(node.alias("id")).repartition("id").distinct()
     edges = _united(named).join(nodes.withColumnRenamed("id", "parent"), "parent", "left_semi")
     found = staged(levels(edges, nodes), "write-levels")
     bad = found.where("level is null").select(F.col("id.g").alias("__bad")).distinct().withColumn("cycle", F.lit(True))

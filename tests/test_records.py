@@ -100,6 +100,27 @@ def test_write_order_flags_whole_groups(spark):
     assert got == {"p1": (0, False), "c1": (1, False), "a": (None, True), "b": (None, True), "free": (None, True), "x": (None, False), "y": (0, False)}
 
 
+def test_levels_deal_rows_before_they_drop_repeated_ones(spark, tmp_path, monkeypatch):
+    spark.range(40).selectExpr("id", "id % 3 as g", "id - 3 as parent").write.parquet(f"{tmp_path}/rows")
+    plans, write = [], writeback.staged
+
+    def staged(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().splitlines())
+        return write(df, name)
+
+    monkeypatch.setattr(writeback, "staged", staged)
+    rows = writeback.write_order(spark.read.parquet(f"{tmp_path}/rows"), "id", "g", ["parent"])
+    assert {(r.id, r.write_level) for r in rows.collect()} == {(i, i // 3) for i in range(40)}
+    met = 0
+    for lines in plans:
+        for k, line in enumerate(lines):
+            if "Aggregate(" in line:
+                below = next(x for x in lines[k + 1 :] if "Exchange" in x or "Scan" in x)
+                assert "Exchange hashpartitioning" in below, "\n".join(lines)
+                met += 1
+    assert met
+
+
 def test_record_hooks_and_policies(spark):
     rows = spark.createDataFrame([(1, '{"a":1}'), (2, "[1]"), (3, "bad"), (4, None), (5, '{"a":null}')], "id long, p string")
 
