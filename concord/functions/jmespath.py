@@ -262,7 +262,7 @@ def _number_value(value: Column) -> Column:
 
 
 def _array_value(elements: Column) -> Column:
-    return F.when(elements.isNotNull(), F.to_variant_object(elements))
+    return _let(elements, lambda e: F.when(e.isNotNull(), F.to_variant_object(e)))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -286,10 +286,13 @@ def _member(value: Column, name: str) -> Column:
 
 
 def _sliced(elements: Column, start: int | None, end: int | None, step: int) -> Column:
+    """``elements`` must be bound (see ``_let``): their size is asked for at each of them."""
     n = F.size(elements)
     place = lambda k: F.lit(k) if k >= 0 else n + k
     if step > 0:
         low, high = F.greatest(place(start or 0), F.lit(0)), F.least(n if end is None else place(end), n)
+        if step == 1:
+            return F.slice(elements, low + 1, F.greatest(high - low, F.lit(0)))
         return F.filter(elements, lambda _, i: (i >= low) & (i < high) & ((i - low) % step == 0))
     high = n - 1 if start is None else F.least(place(start), n - 1)
     low = F.lit(-1) if end is None else place(end)
@@ -319,7 +322,11 @@ def _folded(elements: Column) -> Column:
 
 
 def _contains(a: Column, b: Column) -> Column:
-    return variant(F.when(kind_of(a) == "string", F.contains(string(a), string(b))).otherwise(F.exists(items(a), lambda e: F.coalesce(_equal(known(e), b), F.lit(False)))))
+    def among(pair):  # bound, as each element is held against it
+        x, y = pair["a"], pair["b"]
+        return variant(F.when(kind_of(x) == "string", F.contains(string(x), string(y))).otherwise(F.exists(items(x), lambda e: F.coalesce(_equal(known(e), y), F.lit(False)))))
+
+    return _let(F.struct(a.alias("a"), b.alias("b")), among)
 
 
 def _length(a: Column) -> Column:
@@ -395,7 +402,7 @@ def build(node: Node, value: Column) -> Column:
         return build(right, inner) if right[0] in ("self", "field", "index") else _let(inner, lambda x: build(right, x))
     if kind == "slice":
         left, start, end, step = rest
-        return _let(build(left, value), lambda x: _array_value(_sliced(items(x), start, end, step or 1)))
+        return _let(build(left, value), lambda x: _array_value(_let(items(x), lambda elements: _sliced(elements, start, end, step or 1))))
     if kind == "flatten":
         return _let(build(rest[0], value), lambda x: _array_value(F.flatten(F.transform(items(x), lambda e: F.coalesce(items(e), F.array(e))))))
     if kind == "keep":

@@ -2,6 +2,7 @@
 
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +36,18 @@ def found(spark, docs, expressions):
     return [[None if x is None else json.loads(x) for x in r[1:]] for r in rows]
 
 
+def test_long_lists_take_time_in_proportion(spark):
+    def seconds(n):
+        table = spark.range(1).select(F.to_json(F.struct(F.sequence(F.lit(1), F.lit(n)).alias("l"))).alias("p"))
+        sliced = [F.size(jp.items(jp.search(F.col("p"), e))) for e in ("l[1:]", "l[:-1]", "l[::-1]")]
+        at = time.monotonic()
+        assert tuple(table.select(*sliced).first()) == (n - 1, n - 1, n)
+        return time.monotonic() - at
+
+    seconds(10)
+    assert seconds(12_000) < 5 + 3 * seconds(3_000)
+
+
 def test_written_results(spark):
     names = list(CASES)
     for part in (names[k : k + 20] for k in range(0, len(names), 20)):
