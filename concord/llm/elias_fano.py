@@ -6,6 +6,7 @@ All reads take arrays of positions or targets and answer them together.
 from __future__ import annotations
 
 import json
+from functools import cached_property
 
 import numpy as np
 
@@ -22,7 +23,8 @@ class Fields:
     def packed(values: np.ndarray, width: int) -> np.ndarray:
         if not width or not len(values):
             return np.zeros(1, np.uint64)
-        bits = np.unpackbits(np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :width]
+        bytes_ = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, : -(-width // 8)]
+        bits = np.unpackbits(bytes_, axis=1, count=width, bitorder="little")
         packed = np.packbits(bits.ravel(), bitorder="little")
         return np.concatenate([packed, np.zeros(16 - len(packed) % 8, np.uint8)]).view(np.uint64)
 
@@ -35,24 +37,26 @@ class Fields:
         return (value & np.uint64((1 << self.width) - 1)).astype(np.int64)
 
 
-#: The place of the rank-th one (from 0) in each byte.
-SELECT = np.argsort(1 - np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"), axis=1, kind="stable").ravel()
-
-
-def _select(bytes_: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    return SELECT[(bytes_.astype(np.int64) << 3) + rank]
-
-
 class Monotone:
     """A never falling sequence in Elias-Fano form: low bits in fields, high bits in unary."""
 
     def __init__(self, words: dict[str, np.ndarray], size: int, width: int, top: int):
         self.size, self.width, self.top = size, width, top
         self.low, self.high = Fields(words["low"], width), words["high"]
-        self.bytes = self.high.view(np.uint8)
-        ones = np.cumsum(np.bitwise_count(self.bytes), dtype=np.int64)
-        self.ones = np.concatenate([[0], ones[:-1]])  # before each byte
-        self.zeros = 8 * np.arange(len(self.bytes), dtype=np.int64) - self.ones
+
+    def _bits(self) -> np.ndarray:
+        return np.unpackbits(self.high.view(np.uint8), count=self.size + self.top + 1, bitorder="little").view(bool)
+
+    @cached_property
+    def ones(self) -> np.ndarray:
+        """The place of each one, four bytes each; made when a number is read first."""
+        return np.flatnonzero(self._bits()).astype(np.uint32)
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """How many numbers have smaller high bits, for all of up to ``top + 1``; made at the first search."""
+        zeros = np.flatnonzero(~self._bits())
+        return np.concatenate([[0], zeros - np.arange(self.top + 1)]).astype(np.uint32)
 
     @staticmethod
     def packed(values: np.ndarray) -> tuple[dict[str, np.ndarray], dict[str, int]]:
@@ -65,32 +69,12 @@ class Monotone:
         return {"low": Fields.packed(values & ((1 << width) - 1), width), "high": high}, {"size": n, "width": width, "top": top}
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        byte = np.searchsorted(self.ones, at, "right") - 1
-        place = 8 * byte + _select(self.bytes[byte], at - self.ones[byte])
-        return ((place - at) << self.width) | self.low[at]
-
-    def _up_to(self, bucket: np.ndarray) -> np.ndarray:
-        """How many numbers have high bits of at most ``bucket``."""
-        inside = np.clip(bucket, 0, self.top)
-        byte = np.searchsorted(self.zeros, inside, "right") - 1
-        place = 8 * byte + _select(~self.bytes[byte], inside - self.zeros[byte])
-        return np.where(bucket < 0, 0, np.where(bucket > self.top, self.size, place - inside))
-
-    def _run(self, place: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        """How many numbers have high bits of ``bucket``, whose ones begin at ``place``."""
-        word, shift = place >> 6, (place & 63).astype(np.uint64)
-        gaps = ~(self.high[word] >> shift)
-        ones = np.bitwise_count((gaps & (~gaps + ONE)) - ONE).astype(np.int64)
-        over = np.flatnonzero(ones >= 64 - (place & 63))  # the run goes on in the next word
-        if len(over):
-            ones[over] = self._up_to(bucket[over]) - self._up_to(bucket[over] - 1)
-        return np.where((bucket < 0) | (bucket > self.top), 0, ones)
+        return ((self.ones[at] - at) << self.width) | self.low[at]
 
     def successor(self, target: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The first place from ``begin`` up to ``end`` whose number is at least ``target`` (``end`` if none), and whether it is equal."""
         bucket, low = target >> self.width, target & ((1 << self.width) - 1)
-        first = self._up_to(bucket - 1)
-        last = first + self._run(np.clip(first + bucket, 0, 64 * len(self.high) - 1), bucket)
+        first, last = (self.starts[np.clip(b, 0, self.top + 1)].astype(np.int64) for b in (bucket, bucket + 1))
         if begin is not None:
             first, last = np.clip(first, begin, end), np.clip(last, begin, end)
         place, found = last.copy(), np.zeros(len(first), bool)

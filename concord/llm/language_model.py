@@ -86,7 +86,8 @@ def _tokens(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, owner = split.flatten(), pc.list_parent_indices(split)
     full = pc.greater(pc.binary_length(words), 0)
     words, owner = words.filter(full).dictionary_encode(), owner.filter(full).to_numpy()
-    distinct = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.view(pa.binary()).to_pylist()], np.uint64)
+    each = words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False)
+    distinct = np.fromiter(map(xxhash.xxh3_64_intdigest, each), np.uint64, len(each))
     return owner, words.indices.to_numpy(), distinct.view(np.int64)
 
 
@@ -153,6 +154,26 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(20)).astype(np.int64)
 
 
+def _ranked(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the rank of each code; of many codes only rare ones are sorted."""
+    if len(codes) < END >> 4:
+        return np.unique(codes, return_inverse=True)
+    rare = np.flatnonzero(codes > BEGIN)
+    seen = np.zeros(BEGIN + 2, bool)
+    if not len(rare):
+        seen[codes] = True
+        return np.flatnonzero(seen), (np.cumsum(seen) - 1)[codes]
+    distinct, back = np.unique(codes[rare], return_inverse=True)
+    small = codes.copy()
+    small[rare] = BEGIN + 1
+    seen[small] = True
+    seen[-1] = False
+    frequent = np.flatnonzero(seen)
+    rank = (np.cumsum(seen) - 1)[small]
+    rank[rare] = len(frequent) + back
+    return np.concatenate([frequent, distinct]), rank
+
+
 def _planes(values: np.ndarray, width: int) -> bytes:
     """Bytes of equal rank side by side, which compresses well."""
     return values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
@@ -181,21 +202,58 @@ def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     return contexts, np.repeat(np.arange(m), times), word, extra
 
 
-def pack3(context: np.ndarray, word: np.ndarray, before: np.ndarray, extra: np.ndarray) -> bytes:
-    """As ``pack``, with the words before the contexts."""
-    rare = before >= RARE
-    body = pa.compress(_planes(np.where(rare, RARE >> 40, before), 4) + _planes(before[rare], 8), "zstd", asbytes=True)
-    return struct.pack("<2I", len(body), int(rare.sum())) + body + pack(context, word, extra)
+#: Bytes of a trigram in a block: its context, word and word before, and what else is said of it. A rare code is marked, and follows in full.
+WIDTHS, MARK = (3, 3, 3, 4), (1 << 21) - 1
+
 
+def packed3(context: np.ndarray, word: np.ndarray, before: np.ndarray, extra: np.ndarray, cuts: list[int]) -> Iterator[bytes]:
+    """A block of the rows between any two ``cuts``: a byte of equal rank side by side, as in ``pack``."""
+    planes, rare = np.empty((sum(WIDTHS), len(context)), np.uint8), []
+    k = 0
+    for column, width in zip((context, word, before, extra), WIDTHS):
+        if width == 3:
+            at = np.flatnonzero(column >= RARE)
+            rare.append((column[at].astype("<u8"), np.searchsorted(at, cuts).tolist()))
+            column = np.minimum(column, MARK)
+        for byte in range(width):
+            planes[k] = column >> 8 * byte
+            k += 1
+    for i, (a, b) in enumerate(itertools.pairwise(cuts)):
+        full = [codes[places[i] : places[i + 1]] for codes, places in rare]
+        body = planes[:, a:b].tobytes() + b"".join(x.tobytes() for x in full)
+        yield struct.pack("<4I", b - a, *map(len, full)) + pa.compress(body, "zstd", asbytes=True)
 
-def unpack3(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """What ``unpack`` gives, and the words before."""
-    size, r = struct.unpack_from("<2I", blob)
-    contexts, of, word, extra = unpack(blob[8 + size :])
-    body = pa.decompress(blob[8 : 8 + size], 4 * len(word) + 8 * r, "zstd", asbytes=True)
-    before = _unplaned(body[: 4 * len(word)], len(word), 4)
-    before[before == RARE >> 40] = _unplaned(body[4 * len(word) :], r, 8)
-    return contexts, of, word, extra, before
+
+def pack3(context: np.ndarray, word: np.ndarray, before: np.ndarray, extra: np.ndarray) -> bytes:
+    """One block of all rows."""
+    return next(packed3(context, word, before, extra, [0, len(context)]))
+
+
+def unpacked3(blocks: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Contexts, words, words before and extras of the blocks' rows, and how many rows each block has."""
+    planes, rare, sizes = [], ([], [], []), []
+    for block in blocks:
+        n, *full = struct.unpack_from("<4I", block)
+        body = pa.decompress(memoryview(block)[16:], sum(WIDTHS) * n + 8 * sum(full), "zstd", asbytes=True)
+        planes.append(np.frombuffer(body, np.uint8, sum(WIDTHS) * n).reshape(sum(WIDTHS), n))
+        sizes.append(n)
+        at = sum(WIDTHS) * n
+        for codes, m in zip(rare, full):
+            if m:
+                codes.append(np.frombuffer(body, "<i8", m, at))
+            at += 8 * m
+    planes = np.concatenate(planes, axis=1)
+    columns, k = [], 0
+    for i, width in enumerate(WIDTHS):
+        column = planes[k].astype(np.uint32)
+        for byte in range(1, width):
+            column |= planes[k + byte].astype(np.uint32) << np.uint32(8 * byte)
+        column = column.astype(np.int64)
+        if i < 3 and rare[i]:
+            column[column == MARK] = np.concatenate(rare[i])
+        columns.append(column)
+        k += width
+    return columns, np.array(sizes)
 
 
 @dataclass
@@ -224,16 +282,15 @@ class _Ngrams:
 def _ngrams(group, last: dict[int, tuple[int, int]], vocabulary: Vocabulary) -> _Ngrams:
     """``last`` carries the last two words of a text over a cut."""
     owner, word, distinct = _tokens([p for _, p, _ in group])
-    named = vocabulary.of(distinct)
-    codes = np.unique(np.concatenate([named, np.array([END, BEGIN, *(c for i, _, _ in group if i in last for c in last[i])], np.int64)]))
-    end, begin = np.searchsorted(codes, [END, BEGIN])
+    codes, rank = _ranked(np.concatenate([vocabulary.of(distinct), np.array([END, BEGIN, *(c for i, _, _ in group if i in last for c in last[i])], np.int64)]))
+    end, begin = rank[len(distinct) : len(distinct) + 2]
     doc = np.array([i for i, _, _ in group], np.int64)
     n = np.bincount(owner, minlength=len(group))
     ends = np.array([e for _, _, e in group])
     size = n + ends
     start = np.cumsum(size) - size
     token = np.full(size.sum(), end, np.int64)
-    token[np.arange(len(word)) + np.repeat(start - (np.cumsum(n) - n), n)] = np.searchsorted(codes, named)[word]
+    token[np.arange(len(word)) + np.repeat(start - (np.cumsum(n) - n), n)] = rank[word]
     context = np.empty_like(token)
     context[1:] = token[:-1]
     before = np.empty_like(token)
@@ -256,11 +313,23 @@ def _order(shard: np.ndarray) -> np.ndarray:
 
 def _by_shard(shard: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     shard = shard[order]
-    cuts = [*np.flatnonzero(np.diff(shard, prepend=-1)).tolist(), len(shard)]
+    cuts = _cuts(shard)
     for a, b in zip(cuts, cuts[1:]):
         yield int(shard[a]), order[a:b]
 
 
+def _cuts(sorted_: np.ndarray) -> list[int]:
+    """Where runs of equal numbers begin, and the end."""
+    return [*np.flatnonzero(np.diff(sorted_, prepend=-1)).tolist(), len(sorted_)]
+
+
+def _shard_order(shard: np.ndarray, keys: np.ndarray, top: int) -> np.ndarray:
+    """Rows by shard and then by their keys, which are below ``top``."""
+    if (int(shard.max(initial=0)) + 1) * top < 1 << 63:
+        return np.argsort(shard * top + keys)
+    return np.lexsort((keys, shard))
+
+
 def _count_bigrams(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
@@ -460,26 +529,33 @@ def _ask(shared):
             last: dict[int, tuple[int, int]] = {}
             for group in _pieces(batch.column("text")):
                 all_ = _ngrams(group, last, vocabulary)
-                order = np.argsort(all_.keys())
-                all_ = _Ngrams(all_.doc[order], all_.context[order], all_.token[order], all_.codes, all_.before[order])
-                doc, token = all_.doc, all_.codes[all_.token]
-                tokens += np.bincount(doc, minlength=n)
-                frequent = token < RARE
-                count = vocabulary.counts[token[frequent]]
-                known += np.bincount(doc[frequent][count > 0], minlength=n)
-                base += np.bincount(doc[frequent], np.log10((count + 1) / vocabulary.base), minlength=n)
-                rows = []
+                frequent = all_.codes < RARE
+                count = np.zeros(len(all_.codes), np.int64)
+                count[frequent] = vocabulary.counts[all_.codes[frequent]]
+                tokens += np.bincount(all_.doc, minlength=n)
+                known += np.bincount(all_.doc, (count > 0)[all_.token], n).astype(np.int64)
+                base += np.bincount(all_.doc, np.where(frequent, np.log10((count + 1) / vocabulary.base), 0)[all_.token], n)
+                rare = np.flatnonzero(~frequent[all_.token])
+                rare_doc, rare_token = all_.doc[rare], all_.codes[all_.token[rare]]
                 shard = all_.dealt(vocabulary)
-                for s, at in _by_shard(shard, _order(shard)):
-                    context = all_.codes[all_.context[at]]
-                    if learned is None:
-                        rows.append((s, BIGRAMS, pack(context, token[at], doc[at])))
-                    else:
-                        rows.append((s, TRIGRAMS, pack3(context, token[at], all_.codes[all_.before[at]], 2 * doc[at] + learned[doc[at]])))
-                doc, token = doc[~frequent], token[~frequent]
-                shard = _mixed(token) % vocabulary.shards  # where a rare word is a context, undivided
-                for s, at in _by_shard(shard, np.lexsort((token, shard))):
-                    rows.append((s, WORDS, pack(token[at], np.zeros(len(at), np.int64), doc[at])))
+                order = _shard_order(shard, all_.keys(), len(all_.codes) ** 2)
+                cuts = _cuts(shard[order])
+                shards = shard[order[cuts[:-1]]].tolist()
+                context, token, doc = all_.codes[all_.context[order]], all_.codes[all_.token[order]], all_.doc[order]
+                if learned is None:
+                    rows = [(s, BIGRAMS, pack(context[a:b], token[a:b], doc[a:b])) for s, a, b in zip(shards, cuts, cuts[1:])]
+                else:
+                    blocks = packed3(context, token, all_.codes[all_.before[order]], 2 * doc + learned[doc], cuts)
+                    rows = [(s, TRIGRAMS, block) for s, block in zip(shards, blocks)]
+                shard = _mixed(rare_token) % vocabulary.shards  # where a rare word is a context, undivided
+                if learned is None:
+                    for s, at in _by_shard(shard, np.lexsort((rare_token, shard))):
+                        rows.append((s, WORDS, pack(rare_token[at], np.zeros(len(at), np.int64), rare_doc[at])))
+                else:
+                    order = _order(shard)
+                    cuts, rare_token, rare_doc = _cuts(shard[order]), rare_token[order], rare_doc[order].astype("<u4")
+                    blocks = (rare_token[a:b].tobytes() + rare_doc[a:b].tobytes() for a, b in itertools.pairwise(cuts))
+                    rows += [(s, WORDS, block) for s, block in zip(shard[order[cuts[:-1]]].tolist(), blocks)]
                 yield _rows([s for s, *_ in rows], task | nr, [k for _, k, _ in rows], [b for *_, b in rows])
             ids = batch.column("doc_id")
             about = np.column_stack([ids.fill_null(0).to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False), tokens, known])
@@ -495,8 +571,8 @@ def _rows(shards: list[int], batch: int, kinds: list[int], blocks: list[bytes])
 
 def _sums(doc: np.ndarray, *values: np.ndarray) -> bytes:
     """Sums by text, of those that occur."""
-    some, back = np.unique(doc, return_inverse=True)
-    sums = [np.bincount(back, v, minlength=len(some)) for v in values]
+    some = np.flatnonzero(np.bincount(doc))
+    sums = [np.bincount(doc, v)[some] for v in values]
     return struct.pack("<I", len(some)) + some.astype("<u4").tobytes() + b"".join(s.astype("<f8").tobytes() for s in sums)
 
 
@@ -603,17 +679,52 @@ def _steps(counts: np.ndarray, fine: int) -> tuple[np.ndarray, int]:
 
 
 def _times(steps: np.ndarray, fine: int) -> np.ndarray:
-    return 2.0 ** (steps / fine)
+    return (2.0 ** (np.arange(int(steps.max(initial=0)) + 1) / fine))[steps]
+
+
+@dataclass
+class _Trigrams:
+    """Distinct trigrams in the order of the trie: their contexts, words and words before as ranks among distinct codes."""
+
+    contexts: np.ndarray
+    words: np.ndarray
+    befores: np.ndarray
+    context: np.ndarray
+    word: np.ndarray
+    before: np.ndarray
+    of: np.ndarray  # the trigram of each row that they come from
+
+    def coded(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.contexts[self.context[at]], self.words[self.word[at]], self.befores[self.before[at]]
+
+
+def _trigrams(context: np.ndarray, word: np.ndarray, before: np.ndarray, bits: int = 63) -> _Trigrams:
+    """Of rows; ranks that have more than ``bits`` together are not sorted as one number."""
+    (contexts, context), (words, word), (befores, before) = map(_ranked, (context, word, before))
+    narrow, middle = (len(x).bit_length() for x in (befores, words))
+    if narrow + middle + len(contexts).bit_length() <= bits:
+        key = (((context << middle) | word) << narrow) | before
+        order = np.argsort(key)
+        key = key[order]
+        new = np.diff(key, prepend=-1) != 0
+        key = key[new]
+        context, word, before = key >> (narrow + middle), (key >> narrow) & ((1 << middle) - 1), key & ((1 << narrow) - 1)
+    else:
+        order = np.lexsort((before, word, context))
+        context, word, before = context[order], word[order], before[order]
+        new = (np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0) | (np.diff(before, prepend=-1) != 0)
+        context, word, before = context[new], word[new], before[new]
+    of = np.empty(len(order), np.int32)
+    of[order] = np.cumsum(new, dtype=np.int32) - 1
+    return _Trigrams(contexts, words, befores, context, word, before, of)
 
 
 def _distinct(context: np.ndarray, word: np.ndarray, before: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct trigrams by context, word and the word before, with their summed counts."""
-    order = np.lexsort((before, word, context))
-    context, word, before = context[order], word[order], before[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1]) | (before[1:] != before[:-1])
-    first = np.flatnonzero(new)
-    return context[first], word[first], before[first], np.add.reduceat(times[order], first) if len(first) else times
+    all_ = _trigrams(context, word, before)
+    sums = np.bincount(all_.of, times, len(all_.context)).astype(np.int64)
+    at = np.flatnonzero(sums)
+    return *all_.coded(at), sums[at]
 
 
 def trigram_trie(context: np.ndarray, word: np.ndarray, before: np.ndarray, times: np.ndarray) -> bytes:
@@ -627,12 +738,12 @@ def trigram_trie(context: np.ndarray, word: np.ndarray, before: np.ndarray, time
     pair_times = np.add.reduceat(times, pair)
     count = np.add.reduceat(pair_times, first)
     rare_count = np.where(contexts < RARE, 0, count)
-    words = np.unique(word)
+    words, word_nr = _ranked(word[pair])
 
     third = np.flatnonzero(context != BEGIN)  # behind a text's beginning nothing more is known
     pair_of = (np.cumsum(new) - 1)[third]
-    befores = np.unique(before[third])
-    key = nr[pair_of] * len(befores) + np.searchsorted(befores, before[third])
+    befores, before_nr = _ranked(before[third])
+    key = nr[pair_of] * len(befores) + before_nr
     order = np.argsort(key, kind="stable")
     key, rank = key[order], (np.arange(len(pair)) - np.repeat(first, degree))[pair_of[order]]
     head = np.flatnonzero(np.diff(key, prepend=-1))
@@ -646,7 +757,7 @@ def trigram_trie(context: np.ndarray, word: np.ndarray, before: np.ndarray, time
     return elias_fano.to_bytes(
         {
             "contexts": contexts, "words": words, "befores": befores,
-            "pointers": np.append(first, len(pair)), "successors": nr * len(words) + np.searchsorted(words, word[pair]),
+            "pointers": np.append(first, len(pair)), "successors": nr * len(words) + word_nr,
             "places": places, "bases": bases, "predecessors": predecessors,
             "ranges": np.append(head, len(key)), "trigrams": np.repeat(base, np.diff(np.append(head, len(key)))) + rank,
         },
@@ -655,121 +766,141 @@ def trigram_trie(context: np.ndarray, word: np.ndarray, before: np.ndarray, time
 
 
 class TrigramTrie(Trie):
-    def logarithms(self, contexts: np.ndarray, of: np.ndarray, words: np.ndarray, pair: np.ndarray, before: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-        """Of distinct pairs (contexts[of], words) the weight of what is known about their words alone, as a context; and of each
-        trigram of a word ``before`` and a ``pair`` its probability over the weight of its own context. Both as log10."""
-        count = np.zeros(len(contexts))
-        frequent = contexts < RARE
-        count[frequent] = vocabulary.counts[contexts[frequent]]
-        times, more = np.zeros(len(words)), np.zeros(len(pair))
+    def logarithms(self, asked: _Trigrams, vocabulary: Vocabulary) -> np.ndarray:
+        """What this shard knows of each distinct trigram, as log10: its probability over the weight of its own context, and the
+        weight that its pair has, as a context, for what is known about words alone. They are looked up in the order of the trie."""
+        count = np.zeros(len(asked.contexts))
+        frequent = asked.contexts < RARE
+        count[frequent] = vocabulary.counts[asked.contexts[frequent]]
         if self.levels:
-            at, known = self.levels["contexts"].successor(contexts)
+            at, known = self.levels["contexts"].successor(asked.contexts)
             rare = known & ~frequent
             count[rare] = self.levels["count"][at[rare]]
-            place, found = self._successors(at, known, of, words)
-            times[found] = _times(self.levels["pair_times"][place[found]], FINE)
-            ask = np.flatnonzero((found & (contexts[of] != BEGIN))[pair])
-            more[ask] = self._trigrams(at[of], place, pair[ask], before[ask])
-        p = PRIOR2 / (count + PRIOR2)
-        p = p[of] * (times / PRIOR2 + vocabulary.shared(words))
-        upper = np.where(words == END, 0, times * 2 ** (1 / FINE))  # nothing follows an end
-        return np.log10(PRIOR3 / (upper + PRIOR3)), np.log10(more / PRIOR3 + p[pair])
-
-    def _trigrams(self, at: np.ndarray, place: np.ndarray, pair: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """How often each pair, whose context stands ``at`` and whose word at ``place``, has followed the word ``before``."""
-        out = np.zeros(len(pair))
-        distinct, back = np.unique(before, return_inverse=True)
-        nr, seen = self.levels["befores"].successor(distinct)
-        ask = np.flatnonzero(seen[back])
-        target = at[pair[ask]] * self.levels["befores"].size + nr[back[ask]]
-        order = np.argsort(target)  # what is sorted is found with fewer steps through memory
-        ask = ask[order]
-        predecessor, met = self.levels["predecessors"].successor(target[order])
-        ask, predecessor = ask[met], predecessor[met]
-        contexts, of = np.unique(at[pair[ask]], return_inverse=True)
-        pointers, places, bases = (self.levels[x][contexts] for x in ("pointers", "places", "bases"))
-        degree = self.levels["pointers"][contexts + 1] - pointers
-        rank = place[pair[ask]] - pointers[of]
-        ranges = self.levels["ranges"]
-        target = bases[of] + (predecessor - places[of]) * degree[of] + rank
-        found_at, found = self.levels["trigrams"].successor(target, ranges[predecessor], ranges[predecessor + 1])
-        out[ask[found]] = _times(self.levels["times"][found_at[found]], COARSE)
+            word_nr, word_seen = self.levels["words"].successor(asked.words)
+            before_nr, before_seen = self.levels["befores"].successor(asked.befores)
+            at = np.minimum(at, self.levels["contexts"].size - 1)
+            begin, end = self.levels["pointers"][at], self.levels["pointers"][at + 1]
+            place_of, base = self.levels["places"][at], self.levels["bases"][at]
+        prior, shared = PRIOR2 / (count + PRIOR2), vocabulary.shared(asked.words)
+        deep, is_end = asked.contexts != BEGIN, asked.words == END
+        out = np.empty(len(asked.context))
+        for a in range(0, len(out), TOGETHER):
+            context, word, before = (x[a : a + TOGETHER] for x in (asked.context, asked.word, asked.before))
+            new = (np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0)
+            pair = np.cumsum(new) - 1
+            of, word = context[new], word[new]
+            times, more = np.zeros(len(of)), np.zeros(len(pair))
+            if self.levels:
+                ask = np.flatnonzero(known[of] & word_seen[word])
+                asked_of = of[ask]
+                place, found = self.levels["successors"].successor(at[asked_of] * self.levels["words"].size + word_nr[word[ask]], begin[asked_of], end[asked_of])
+                ask, place = ask[found], place[found]
+                times[ask] = _times(self.levels["pair_times"][place], FINE)
+                rank = np.full(len(of), -1, np.int64)  # of a known pair, among those of its context
+                rank[ask] = place - begin[of[ask]]
+                ask = np.flatnonzero(((rank >= 0) & deep[of])[pair] & before_seen[before])
+                predecessor, met = self.levels["predecessors"].successor(at[context[ask]] * self.levels["befores"].size + before_nr[before[ask]])
+                ask, predecessor = ask[met], predecessor[met]
+                of_ask = context[ask]
+                target = base[of_ask] + (predecessor - place_of[of_ask]) * (end - begin)[of_ask] + rank[pair[ask]]
+                ranges = self.levels["ranges"]
+                place, found = self.levels["trigrams"].successor(target, ranges[predecessor], ranges[predecessor + 1])
+                more[ask[found]] = _times(self.levels["times"][place[found]], COARSE)
+            p = prior[of] * (times / PRIOR2 + shared[word])
+            upper = np.where(is_end[word], 0, times * 2 ** (1 / FINE))  # nothing follows an end
+            out[a : a + TOGETHER] = np.log10(PRIOR3 / (upper + PRIOR3))[pair] + np.log10(more / PRIOR3 + p[pair])
         return out
 
 
-def _answered3(trie: TrigramTrie, asked: list[tuple], vocabulary: Vocabulary) -> Iterator[tuple[int, int, bytes]]:
-    """The sums of many blocks of one shard, whose trigrams are put together."""
-    blocks = [(nr, unpack3(block)) for nr, kind, block in asked if kind == TRIGRAMS]
-    if blocks:
-        begins = np.cumsum([0, *(len(x[0]) for _, x in blocks)])
-        contexts, words, before = (np.concatenate([x[k] for _, x in blocks]) for k in (0, 2, 4))
-        contexts, of = np.unique(contexts, return_inverse=True)
-        of = np.concatenate([of[begin:][x[1]] for (_, x), begin in zip(blocks, begins)])
-        words, word = np.unique(words, return_inverse=True)
-        key = of * len(words) + word
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.diff(key, prepend=-1))  # each pair once, in the order of the trie
-        pair = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
-        of, word = np.divmod(key[first], len(words))
-        weight, sorted_ = trie.logarithms(contexts, of, words[word], pair, before[order], vocabulary)
-        found = np.empty(len(order))
-        found[order] = sorted_ + weight[pair]
-        ends = np.cumsum([len(x[1]) for _, x in blocks])
-        for (nr, x), end in zip(blocks, ends):
-            yield nr, TRIGRAMS, _sums(x[3] >> 1, found[end - len(x[1]) : end])
-    for nr, kind, block in asked:
-        if kind == WORDS:
-            contexts, of, _, doc = unpack(block)
-            count = trie.counts(contexts)[of]
-            yield nr, kind, _sums(doc, np.log10((count + 1) / vocabulary.base), count > 0)
+class _Asked:
+    """Blocks of one shard whose trigrams are put together; each distinct one is sorted and looked up once."""
+
+    def __init__(self, rows: list[tuple[int, int, bytes]]):
+        rows = sorted(rows, key=lambda r: r[0])
+        self.words = [(nr, block) for nr, kind, block in rows if kind == WORDS]  # codes of eight bytes, then texts of four
+        self.batches = [nr for nr, kind, _ in rows if kind == TRIGRAMS]
+        self.trigrams = None
+        if self.batches:
+            (*columns, self.extra), sizes = unpacked3([block for _, kind, block in rows if kind == TRIGRAMS])
+            self.ends = np.cumsum(sizes)
+            self.trigrams = _trigrams(*columns)
+
+    def learned(self) -> list[tuple[np.ndarray, ...]]:
+        """Distinct trigrams of the texts that are learned from, with their counts."""
+        if self.trigrams is None:
+            return []
+        times = np.bincount(self.trigrams.of, self.extra & 1, len(self.trigrams.context)).astype(np.int64)
+        at = np.flatnonzero(times)
+        return [(*self.trigrams.coded(at), times[at])]
+
+    def answered(self, trie: TrigramTrie, vocabulary: Vocabulary) -> Iterator[tuple[int, int, bytes]]:
+        """The sums by text, once for each batch."""
+        if self.trigrams is not None:
+            found = trie.logarithms(self.trigrams, vocabulary)[self.trigrams.of]
+            for nr, a, b in self._by_batch(self.batches, self.ends):
+                yield nr, TRIGRAMS, _sums(self.extra[a:b] >> 1, found[a:b])
+        if self.words:
+            sizes = [len(block) // 12 for _, block in self.words]
+            codes, of = _ranked(np.concatenate([np.frombuffer(block, "<i8", n) for (_, block), n in zip(self.words, sizes)]))
+            doc = np.concatenate([np.frombuffer(block, "<u4", n, 8 * n) for (_, block), n in zip(self.words, sizes)])
+            count = trie.counts(codes)
+            base, known = np.log10((count + 1) / vocabulary.base)[of], (count > 0)[of]
+            for nr, a, b in self._by_batch([nr for nr, _ in self.words], np.cumsum(sizes)):
+                yield nr, WORDS, _sums(doc[a:b], base[a:b], known[a:b])
+
+    @staticmethod
+    def _by_batch(batches: list[int], ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        begin = 0
+        for k, nr in enumerate(batches):
+            if k + 1 == len(batches) or batches[k + 1] != nr:
+                yield nr, begin, int(ends[k])
+                begin = int(ends[k])
+
+
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+    return [_distinct(*(np.concatenate(x) for x in zip(*parts)))] if len(parts) > 1 else parts
 
 
 def _learned(blocks: list[bytes], so_far: list[tuple]) -> list[tuple]:
     """Distinct trigrams of the texts that are learned from."""
-    parts = list(so_far)
-    for contexts, of, word, extra, before in map(unpack3, blocks):
-        keep = np.flatnonzero(extra & 1)
-        parts.append((contexts[of[keep]], word[keep], before[keep], np.ones(len(keep), np.int64)))
-    return [_distinct(*(np.concatenate(x) for x in zip(*parts)))] if parts else []
+    return _merged([*so_far, *_Asked([(0, TRIGRAMS, block) for block in blocks]).learned()])
+
+
+def _n_rows(kind: int, block: bytes) -> int:
+    return struct.unpack_from("<I", block)[0] if kind == TRIGRAMS else len(block) // 12
 
 
 def _learn_and_answer(shared, rows_at_once: int = 2 * SHARD_TOKENS):
-    """A shard's trie is made from its blocks, which wait in a file of the task and are answered from the trie then."""
+    """A shard's trie is made from its blocks, which are answered from the trie then; all but the last two million rows wait in a file."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         rows = (r for batch in batches for r in zip(*(batch.column(c) for c in ("shard", "batch", "kind", "block"))))
         for _, of_shard in itertools.groupby(rows, lambda r: r[0].as_py()):
             with tempfile.TemporaryFile() as waiting:
-                out, index, blocks, learned, size = [], [], [], [], 0
+                out, index, held, learned, size = [], [], [], [], 0
                 for _, nr, kind, block in of_shard:
                     nr, kind, block = nr.as_py(), kind.as_py(), block.as_py()
                     if kind == TEXTS:
                         out.append((nr, kind, block))
                         continue
-                    n = 0
-                    waiting.write(block)
-                    if kind == TRIGRAMS:
-                        n = struct.unpack_from("<3I", block, 8 + struct.unpack_from("<I", block)[0])[1]
-                        blocks.append(block)
-                        size += n
-                        if size > rows_at_once:
-                            learned = _learned(blocks, learned)
-                            blocks, size = [], 0
-                    index.append((nr, kind, len(block), n))
-                learned = _learned(blocks, learned)
+                    n = _n_rows(kind, block)
+                    if held and size + n > rows_at_once:
+                        learned = _merged([*learned, *_Asked(held).learned()])
+                        index.append([(*x[:2], waiting.write(x[2])) for x in held])
+                        held, size = [], 0
+                    held.append((nr, kind, block))
+                    size += n
+                asked = _Asked(held)
+                learned = _merged([*learned, *asked.learned()])
                 trie = TrigramTrie(trigram_trie(*learned[0]) if learned and len(learned[0][0]) else None)
-                del blocks, learned
-                yield _told(out)
+                del held, learned
+                yield _told([*out, *asked.answered(trie, vocabulary)])
                 waiting.seek(0)
-                asked, size = [], 0
-                for k, (nr, kind, length, n) in enumerate(index):
-                    asked.append((nr, kind, waiting.read(length)))
-                    size += n
-                    if size > 2 * TOGETHER or k == len(index) - 1:
-                        yield _told(list(_answered3(trie, asked, vocabulary)))
-                        asked, size = [], 0
+                for part in index:
+                    asked = None
+                    asked = _Asked([(nr, kind, waiting.read(length)) for nr, kind, length in part])
+                    yield _told(list(asked.answered(trie, vocabulary)))
 
     return answer
 

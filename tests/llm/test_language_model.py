@@ -3,8 +3,10 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +215,60 @@ def test_trigrams_summed_in_parts():
     parts = language_model._learned(blocks[3:], language_model._learned(blocks[:3], []))[0]
     assert all(np.array_equal(a, b) for a, b in zip(whole, parts))
     assert Counter(zip(*(x[learned == 1].tolist() for x in (rows, word, before)))) == {(a, b, c): n for a, b, c, n in zip(*(x.tolist() for x in whole))}
+
+
+def one_shard(rows_at_once=None, blocks=40, rows=3000):
+    """A shard's answers for blocks of ten batches over few distinct trigrams, some of them rare words; and its vocabulary."""
+    rnd = np.random.default_rng(5)
+    counts = np.zeros(language_model.BEGIN + 1, np.int64)
+    counts[:9], counts[-2:] = 5000, 10
+    vocabulary = language_model.Vocabulary(10, 50_000, 12, np.arange(9), np.arange(9), counts, 1, 10**6)
+    codes = np.array([*range(9), language_model.END, language_model.RARE | 3, language_model.RARE | 9])
+    made = []
+    for k in range(blocks):
+        context, word, before = codes[np.sort(rnd.integers(0, 12, rows))], *codes[rnd.integers(0, 12, (2, rows))]
+        made.append((k % 10, language_model.TRIGRAMS, language_model.pack3(context, word, before, 2 * rnd.integers(0, 7, rows) + rnd.integers(0, 2, rows))))
+        rare = codes[-2:][np.sort(rnd.integers(0, 2, 5))]
+        made.append((k % 10, language_model.WORDS, rare.tobytes() + np.arange(5, dtype="<u4").tobytes()))
+    run = language_model._learn_and_answer(SimpleNamespace(value=vocabulary), *[x for x in [rows_at_once] if x])
+    batches = [pa.RecordBatch.from_pydict({"shard": [0], "batch": [nr], "kind": [kind], "block": pa.array([b], pa.binary())}) for nr, kind, b in made]
+    return [tuple(x.values()) for b in run(iter(batches)) for x in b.to_pylist()]
+
+
+def test_each_trigram_of_a_shard_is_looked_up_once(monkeypatch):
+    asked, successor = [], elias_fano.Monotone.successor
+    monkeypatch.setattr(elias_fano.Monotone, "successor", lambda self, target, *more: asked.append(len(target)) or successor(self, target, *more))
+    answers = one_shard()
+    assert sum(asked) < 3 * 12**3 + 1000  # of 120,000 rows
+    assert sum(kind == language_model.TRIGRAMS for _, kind, _ in answers) == 10
+
+
+def test_rows_that_wait_in_a_file_are_answered_alike():
+    def sums(answers):
+        out = Counter()
+        for nr, kind, block in answers:
+            n = int.from_bytes(block[:4], "little")
+            for doc, x in zip(np.frombuffer(block, "<u4", n, 4).tolist(), np.frombuffer(block, "<f8", n, 4 + 4 * n).tolist()):
+                out[nr, kind, doc] += x
+        return out
+
+    whole, parts = sums(one_shard()), sums(one_shard(10_000))
+    assert whole.keys() == parts.keys() and all(math.isclose(whole[k], parts[k], rel_tol=1e-12) for k in whole)
+
+
+def test_blocks_and_ranks_with_rare_words():
+    rnd = np.random.default_rng(11)
+    codes = np.concatenate([rnd.integers(0, language_model.BEGIN + 1, 50), language_model.RARE | rnd.integers(0, 2**62, 50)])
+    columns = [codes[rnd.integers(0, 100, 2000)] for _ in range(3)] + [rnd.integers(0, 2**32, 2000)]
+    blocks = list(language_model.packed3(*columns, [0, 1, 900, 900, 2000]))
+    made, sizes = language_model.unpacked3(blocks)
+    assert sizes.tolist() == [1, 899, 0, 1100] and all(np.array_equal(a, b) for a, b in zip(made, columns))
+    for some in (columns[0], codes[:0], *(np.tile(x, 2000) for x in (codes, codes[:50], codes[50:]))):
+        assert all(np.array_equal(a, b) for a, b in zip(language_model._ranked(some), np.unique(some, return_inverse=True)))
+    for bits in (63, 5):
+        distinct = language_model._trigrams(*columns[:3], bits)
+        assert all(np.array_equal(a[distinct.of], b) for a, b in zip(distinct.coded(slice(None)), columns))
+        triples = list(zip(*(x.tolist() for x in distinct.coded(slice(None)))))
+        assert triples == sorted(set(triples))
+    shard, keys = rnd.integers(0, 9, 500), rnd.permutation(500)
+    assert np.array_equal(language_model._shard_order(shard, keys, 500), language_model._shard_order(shard, keys, 2**62))
