@@ -12,7 +12,8 @@ fingerprints are cut into chunks, and each pair of chunks gets a task of its own
 
 ``similar_texts`` links texts by the Jaccard similarity of their five-word shingles instead. Its radius is too wide for
 blocks of bits, so tasks hold the texts that share one of the first shingles in hash order: two texts of similarity s
-share one among the first n - ceil(s * n) + 1 of n. The same index finds the candidates there; components of candidates
+share one among the first n - ceil(s * n) + 1 of n. The same index finds the candidates there, and MinHash sketches drop
+those that only share a passage, of which there are ever more in a larger table; components of candidates
 are dealt out with their texts, and only pairs whose exact similarity is high enough are linked.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -37,7 +39,9 @@ CHUNK_ROWS = 20_000
 CHUNK_TEXTS = 500
 TEXTS_AT_ONCE = 500
 BROADCAST_ROWS = 400_000
-SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, BOTH_RADIUS = 5, 0.8, 26, 42
+SIMILAR_SHINGLE, SIMILARITY, SIMILAR_RADIUS, SKETCH_BITS, SKETCH_RADIUS = 5, 0.8, 26, 128, 32
+PRINTS = ("fp", "low", "high")
+PASS_BYTES = 1 << 30
 
 
 def shingle_hashes(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -158,14 +162,21 @@ def _small(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def _tasks(dealt: DataFrame, limit: int, salt: str = "fp") -> DataFrame:
-    """``dealt`` with ``task`` in place of ``block``: a block of more than ``limit`` rows becomes pairs of chunks."""
+    """``dealt`` with an array ``tasks`` in place of ``block``: a block of more than ``limit`` rows becomes pairs of chunks."""
     sizes = dealt.groupBy("block").agg(F.count("*").alias("n"))
     heavy = staged(sizes.where(F.col("n") > limit).withColumn("chunks", F.ceil(F.col("n") / limit).cast("int")).drop("n"), "heavy-blocks")
     chunk = F.pmod(F.xxhash64(salt), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(chunk, j).alias("i"), F.greatest(chunk, j).alias("j")))
     parts = F.when(F.col("chunks").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(pairs)
-    tasks = dealt.join(_small(heavy), "block", "left").select("*", F.explode(parts).alias("part"))
-    return tasks.withColumn("task", F.xxhash64("block", "part.i", "part.j")).drop("block", "chunks", "part")
+    tasks = dealt.join(_small(heavy), "block", "left").withColumn("tasks", F.transform(parts, lambda part: F.xxhash64("block", part.i, part.j)))
+    return tasks.drop("block", "chunks")
+
+
+def _passes(dealt: DataFrame, limit: int, most: int) -> int:
+    """How many passes over the tasks keep the copies of ``text`` in each within what the texts take once, or within ``most`` bytes."""
+    sizes = dealt.groupBy("block").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("size"))
+    once, copied = sizes.agg(F.sum("size"), F.sum(F.col("size") * F.ceil(F.col("n") / limit))).first()
+    return -(-(copied or 0) // max(once or 0, most)) or 1
 
 
 def links(fingerprints: DataFrame, radius: int = RADIUS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -177,7 +188,7 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, chunk_rows: int = CHUNK
     width = -(-64 // (radius + 1))
     blocks = F.array(*[F.concat_ws(":", F.lit(i), F.shiftrightunsigned("fp", i * width).bitwiseAND((1 << min(width, 64 - i * width)) - 1)) for i in range(radius + 1)])
     dealt = fingerprints.select("fp", F.explode(blocks).alias("block"))
-    tasks = _tasks(dealt, chunk_rows).select("fp", "task")
+    tasks = _tasks(dealt, chunk_rows).select("fp", F.explode("tasks").alias("task"))
     return tasks.repartition("task").mapInArrow(_link(radius), "a long, b long")
 
 
@@ -207,12 +218,27 @@ def _prefix(sizes: int, similarity: float) -> int:
 
 
 def _mixed(hashes: np.ndarray) -> np.ndarray:
-    """Other hashes of the same shingles, for a second fingerprint."""
     x = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+MULTIPLIERS = _mixed(np.arange(1, SKETCH_BITS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def sketches_of(sets: list[np.ndarray], block: int = 1 << 16) -> np.ndarray:
+    """MinHash sketches, a bit from the smallest of a set's hashes under each of ``SKETCH_BITS`` multipliers; 64 bits to a column.
+
+    Bits of two sets differ with probability (1 - similarity) / 2.
+    """
+    least = np.zeros((len(sets), SKETCH_BITS), np.uint64)
+    for row, hashes in zip(least, sets):
+        step = max(1, block // max(1, len(hashes)))
+        for k in range(0, SKETCH_BITS if len(hashes) else 0, step):
+            row[k : k + step] = (hashes * MULTIPLIERS[k : k + step, None]).min(axis=1)
+    return np.packbits((least >> np.uint64(24)).astype(np.uint8) & 1, axis=1, bitorder="little").view("<u8")
+
+
 def _describe(similarity: float):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(k, TEXTS_AT_ONCE) for whole in batches for k in range(0, whole.num_rows, TEXTS_AT_ONCE)):
@@ -223,23 +249,23 @@ def _describe(similarity: float):
             ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.empty(0, np.int64)])))
             size = pa.array([len(x) for x in sets], pa.int32())
-            fp, fp2 = (pa.array(fingerprints_of_hashes(x).view(np.int64)) for x in (sets, [_mixed(x) for x in sets]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes), size, fp, fp2, prefix], names=["doc_id", "text_hash", "node", "size", "fp", "fp2", "prefix"])
+            prints = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (fingerprints_of_hashes(sets), *sketches_of(sets).T)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes), size, *prints, prefix], names=["doc_id", "text_hash", "node", "size", *PRINTS, "prefix"])
 
     return describe
 
 
-def _similar_stars(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, codes: np.ndarray, others: np.ndarray, similarity: float, sets: list[np.ndarray] | None, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def _similar_stars(keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, codes: np.ndarray, low: np.ndarray, high: np.ndarray, similarity: float, sets: list[np.ndarray] | None, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Stars of the candidates of equal key, or with ``sets`` of those whose similarity is high enough.
 
     A pair is compared only as long as other pairs have not connected it, so a group of n near copies takes about n comparisons.
     """
     order = np.lexsort((gray_rank(codes), keys))
-    keys, nodes, sizes, codes, others = keys[order], nodes[order], sizes[order], codes[order], others[order]
+    keys, nodes, sizes, codes, low, high = keys[order], nodes[order], sizes[order], codes[order], low[order], high[order]
     label = np.arange(len(codes))
     for a, b in linked_pairs(keys, codes, SIMILAR_RADIUS):
         fits = np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9
-        fits &= np.bitwise_count(codes[a] ^ codes[b]) + np.bitwise_count(others[a] ^ others[b]) <= BOTH_RADIUS
+        fits &= np.bitwise_count(low[a] ^ low[b]) + np.bitwise_count(high[a] ^ high[b]) <= SKETCH_RADIUS
         a, b = a[fits], b[fits]
         while len(a):
             apart = label[a] != label[b]
@@ -268,46 +294,53 @@ def _link_similar(similarity: float, verify: bool):
         if not parts:
             return
         rows = pa.Table.from_batches(parts)
-        keys, nodes, sizes, codes, others = (rows.column(c).to_numpy() for c in ("task", "node", "size", "fp", "fp2"))
+        keys, nodes, sizes, *prints = (rows.column(c).to_numpy() for c in ("task", "node", "size", *PRINTS))
         _, keys, times = np.unique(keys, return_inverse=True, return_counts=True)
         at = np.flatnonzero(times[keys] > 1)
         sets = [np.unique(shingle_hashes(t, SIMILAR_SHINGLE)) for t in rows.column("text").take(pa.array(at)).to_pylist()] if verify else None
-        a, b = _similar_stars(keys[at], nodes[at], sizes[at], codes[at].view(np.uint64), others[at].view(np.uint64), similarity, sets)
+        a, b = _similar_stars(keys[at], nodes[at], sizes[at], *(x[at].view(np.uint64) for x in prints), similarity, sets)
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return link
 
 
-def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: int = CHUNK_ROWS, chunk_texts: int = CHUNK_TEXTS) -> DataFrame:
+def similar_texts(docs: DataFrame, similarity: float = SIMILARITY, chunk_rows: int = CHUNK_ROWS, chunk_texts: int = CHUNK_TEXTS, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id and component_id, the smallest doc_id that links reach (null where none has an id).
 
     Texts link at a Jaccard similarity of ``similarity`` or more between their sets of five-word shingles, cut as in
     ``near_duplicates``; wordless and null texts are alike. The radii are far above the bits in which such sets differ: at 0.8 a
-    bit differs with probability 0.15 (up to 0.19 in short texts), so 26 of 64 bits, and 42 of the 128 of two fingerprints, are
-    exceeded about once in 10,000 such pairs; unrelated texts that share a shingle are within both about once in 20,000, so
-    candidates form small groups.
+    bit of the fingerprint differs with probability 0.15 (up to 0.19 in short texts) and one of the sketch with 0.1, so 26 of 64 and 32 of
+    128 bits are exceeded in less than one of 50,000 such pairs. Texts of similarity 0.1 have sketches within 32 bits about once in a million
+    pairs, those of similarity 0.3 about once in a hundred, so candidates form small groups.
 
     A task holds two chunks at most, of ``chunk_rows`` rows without texts or ``chunk_texts`` texts, whatever the input; a group of n
-    candidates copies each of its texts n / chunk_texts times. An empty table gives an empty one, repeated rows one row each, other columns are
-    ignored, and texts of any length are read whole.
+    candidates copies each of its texts n / chunk_texts times. Copies are made in passes over the tasks, each of as many bytes as the candidates'
+    texts (``pass_bytes`` if they have fewer), and a pass's copies go before the next one. An empty table gives an empty one, repeated rows one row
+    each, other columns are ignored, and texts of any length are read whole.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    marked = staged(texts.mapInArrow(_describe(similarity), "doc_id long, text_hash long, node long, size int, fp long, fp2 long, prefix array<long>"), "shingle-sets")
+    marked = staged(texts.mapInArrow(_describe(similarity), "doc_id long, text_hash long, node long, size int, fp long, low long, high long, prefix array<long>"), "shingle-sets")
     # one row stands for all with its shingle set; the sets' long columns stay where they are
-    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2"))
+    distinct = marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("row"), *(F.first(c).alias(c) for c in ("size", *PRINTS)))
     distinct = staged(distinct, "distinct-shingle-sets")
     is_row = (F.col("text_hash") == F.col("row.text_hash")) & F.col("doc_id").eqNullSafe(F.col("row.doc_id"))
-    standing = marked.select("doc_id", "text_hash", "prefix", "node").join(_small(distinct.select(F.col("node").alias("n"), "row", "size", "fp", "fp2")), (F.col("node") == F.col("n")) & is_row)
-    dealt = standing.select("node", "size", "fp", "fp2", F.explode("prefix").alias("block"))
-    tasks = _tasks(dealt, chunk_rows, "node").select("node", "size", "fp", "fp2", "task")
+    standing = marked.select("doc_id", "text_hash", "prefix", "node").join(_small(distinct.select(F.col("node").alias("n"), "row", "size", *PRINTS)), (F.col("node") == F.col("n")) & is_row)
+    dealt = standing.select("node", "size", *PRINTS, F.explode("prefix").alias("block"))
+    tasks = _tasks(dealt, chunk_rows, "node").select("node", "size", *PRINTS, F.explode("tasks").alias("task"))
     loose = components(tasks.repartition("task").mapInArrow(_link_similar(similarity, False), "a long, b long"))
     members = staged(distinct.join(loose, "node"), "candidate-members")
-    with_text = texts.join(_small(members.select("row", "node", "size", "fp", "fp2", F.col("root").alias("block"))), is_row)
-    with_text = staged(with_text.select("node", "size", "fp", "fp2", "block", "text"), "candidate-texts")
-    tasks = _tasks(with_text, chunk_texts, "node").select("node", "size", "fp", "fp2", "text", "task")
-    roots = staged(components(tasks.repartition("task").mapInArrow(_link_similar(similarity, True), "a long, b long")), "similar-roots")
-    unstaged(with_text)
+    with_text = texts.join(_small(members.select("row", "node", "size", *PRINTS, F.col("root").alias("block"))), is_row)
+    with_text = staged(with_text.select("node", "size", *PRINTS, "block", "text"), "candidate-texts")
+    tasks, found = _tasks(with_text, chunk_texts, "node"), []
+    passes = _passes(with_text, chunk_texts, pass_bytes)
+    for k in range(passes):
+        own = F.filter("tasks", lambda task: F.pmod(task, F.lit(passes)) == k)
+        part = tasks.select("node", "size", *PRINTS, "text", F.explode(own).alias("task")).repartition("task")
+        found.append(staged(part.mapInArrow(_link_similar(similarity, True), "a long, b long"), "similar-pairs"))
+    roots = staged(components(reduce(DataFrame.unionByName, found)), "similar-roots")
+    for done in (with_text, *found):
+        unstaged(done)
     linked = distinct.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_node = staged(linked.join(least, "root").select("node", "component_id"), "similar-components")

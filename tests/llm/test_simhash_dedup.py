@@ -126,3 +126,36 @@ def test_similar_texts_of_odd_tables(make_docs, edge_pairs):
     assert simhash_dedup.similar_texts(make_docs([])).collect() == []
     got = sorted(((r.doc_id, r.component_id) for r in simhash_dedup.similar_texts(make_docs([*edge_pairs, (1, edge_pairs[-1][1])], clash=True)).collect()), key=repr)
     assert got == sorted([(5, 3), (3, 3), (4, 3), (9, 8), (8, 8), (None, 8), (9, 8), (7, 7), (1, 1), (1, 1)], key=repr)
+
+
+def stages_of(monkeypatch):
+    """Rows of each table that the operator stages from now on, by name."""
+    rows, staged = {}, simhash_dedup.staged
+
+    def counted(df, name):
+        table = staged(df, name)
+        rows.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(simhash_dedup, "staged", counted)
+    return rows
+
+
+def test_texts_that_share_a_passage_are_no_candidates(make_docs, monkeypatch):
+    """Else false links join into one group as a table grows, and each of its texts is copied once for 500 of the group."""
+    rnd, rows = random.Random(8), stages_of(monkeypatch)
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = [(i, f"{passage} " + " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(48))) for i in range(3000)]
+    near = [(9000, docs[7][1] + " end"), (9001, docs[8][1] + " end")]
+    roots = dict(tuple(r) for r in simhash_dedup.similar_texts(make_docs(docs + near)).collect())
+    assert {i for i, c in roots.items() if c != i} == {9000, 9001} and (roots[9000], roots[9001]) == (7, 8)
+    assert sum(rows["candidate-members"]) <= 8
+
+
+def test_copied_texts_are_compared_in_passes(make_docs, monkeypatch):
+    """A pass copies no more than the texts take once, and all passes together find the same."""
+    words, rows = [f"w{i}" for i in range(60)], stages_of(monkeypatch)
+    docs = [(i, " ".join([*words[: i % 59], f"new{i}", *words[i % 59 + 1 :]])) for i in range(200)]
+    roots = dict(tuple(r) for r in simhash_dedup.similar_texts(make_docs(docs), chunk_texts=10, pass_bytes=1).collect())
+    assert len(rows["similar-pairs"]) == 20
+    assert [roots[i] for i, _ in docs] == [c for _, c in similar_brute(docs)]
